@@ -544,7 +544,7 @@ _SLOTS = ", ".join(
 )
 ORACLE["photo_slots"] = f"""
 SELECT event_id, coalesce(used[1], '-') AS naam_foto1, coalesce(used[2], '-') AS naam_foto2
-FROM (SELECT event_id, list_filter([{_SLOTS}], s -> s IS NOT NULL) AS used FROM events)"""
+FROM (SELECT event_id, list_filter([{_SLOTS}], lambda s: s IS NOT NULL) AS used FROM events)"""
 
 # --- segments and classes ---------------------------------------------------
 

@@ -75,8 +75,12 @@ def with_lambert72(df: DataFrame, lon: str, lat: str, x: str, y: str) -> DataFra
     """Add planar metres ``x``/``y`` for the degrees in ``lon``/``lat``.
 
     Every step names its intermediate results, so the optimizer keeps them as
-    separate projections and computes each of them once per row.
+    separate projections and computes each of them once per row. The result
+    passes through a one-element ``inline``: a later filter on ``x`` or ``y``
+    stops there instead of being rewritten in terms of the degrees, which would
+    repeat the whole formula for every reference.
     """
+    given = df.columns
     e2w = _e2(WGS84_INV_F)
     df = _add(df, _phi=F.radians(F.col(lat).cast("double")), _lam=F.radians(F.col(lon).cast("double")))
     df = _add(df, _sp=F.sin("_phi"), _cp=F.cos("_phi"))
@@ -112,11 +116,8 @@ def with_lambert72(df: DataFrame, lon: str, lat: str, x: str, y: str) -> DataFra
             F.col("_p") - e2 * a * F.col("_cb") * F.col("_cb") * F.col("_cb"),
         ),
     )
-    df = with_conic(df, "_blat", "_blon", x, y)
-    return df.drop(
-        "_phi", "_lam", "_sp", "_cp", "_nu", "_q", "_u", "_v", "_w", "_x", "_y", "_z",
-        "_p", "_beta", "_blon", "_sb", "_cb", "_blat",
-    )
+    df = with_conic(df, "_blat", "_blon", "_east", "_north")
+    return df.select(*given, F.inline(F.array(F.struct(F.col("_east").alias(x), F.col("_north").alias(y)))))
 
 
 def point(x: Column, y: Column) -> Column:

@@ -52,7 +52,7 @@ def to_decimal(text: Column, precision: int, scale: int) -> Column:
 
 def to_int(text: Column) -> Column:
     """Whole number; a fraction rounds half away from zero."""
-    return F.round(to_decimal(text, 38, 18)).try_cast("int")
+    return F.coalesce(F.trim(text).try_cast("int"), F.round(to_decimal(text, 38, 18)).try_cast("int"))
 
 
 def file_stem(name: Column) -> Column:

@@ -35,15 +35,26 @@ _DELIMITER_MARK, _BACKSLASH_MARK = "", ""
 
 
 def split_fields(line: Column, delimiter: str = "\t") -> Column:
-    """Fields of a line: backslash escapes undone, ``"`` and ``;`` removed."""
+    """Fields of a line: backslash escapes undone, ``"`` and ``;`` removed.
+
+    Escapes are rare, so only lines with a backslash take the longer way.
+    """
+    cleaned = '"' if delimiter == ";" else '";'
+
+    def without(text_: Column, characters: str) -> Column:
+        for c in characters:
+            text_ = F.replace(text_, F.lit(c), F.lit(""))
+        return text_
+
     marked = F.replace(line, F.lit("\\\\"), F.lit(_BACKSLASH_MARK))
     marked = F.replace(marked, F.lit("\\" + delimiter), F.lit(_DELIMITER_MARK))
     marked = F.replace(marked, F.lit("\\"), F.lit(""))
     restored = "\\" + ("" if delimiter == ";" else delimiter)
-    return F.transform(
-        F.split(marked, delimiter),
-        lambda f: F.translate(f, _BACKSLASH_MARK + _DELIMITER_MARK + '";', restored),
+    escaped = F.transform(
+        F.split(without(marked, cleaned), delimiter),
+        lambda f: F.translate(f, _BACKSLASH_MARK + _DELIMITER_MARK, restored),
     )
+    return F.when(line.contains("\\"), escaped).otherwise(F.split(without(line, cleaned), delimiter))
 
 
 def _blank(field: Column) -> Column:
@@ -62,38 +73,47 @@ def content_lines(content: Column) -> Column:
     return F.split(F.regexp_replace(content, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n")
 
 
+# The header end is looked for among this many lines before the whole file.
+_FIRST_LINES = 200
+
+
 def parse_files(files: DataFrame, layout: str = "keyed", delimiter: str = "\t") -> DataFrame:
     """Body rows of ``files`` (bestands_url, content)."""
     lines = files.select("bestands_url", content_lines(F.col("content")).alias("_lines"))
+
+    def fields_of(line: Column) -> Column:
+        return F.split(line, "\t") if layout == "positional" else split_fields(line, delimiter)
+
     if layout == "positional":
-        rows = lines.withColumn("_rows", F.transform("_lines", lambda v: F.split(v, "\t")))
-        head = {
-            name: _field(F.get("_rows", F.lit(i)), 1) for i, name in POSITIONAL_HEADER.items()
-        }
-        rows = rows.withColumn("_at", F.lit(POSITIONAL_COLUMN_LINE))
+        head = {n: _field(fields_of(F.get("_lines", F.lit(i))), 1) for i, n in POSITIONAL_HEADER.items()}
+        rows = lines.withColumn("_at", F.lit(POSITIONAL_COLUMN_LINE))
     else:
-        rows = lines.withColumn("_rows", F.transform("_lines", lambda v: split_fields(v, delimiter)))
-        rows = rows.withColumn(
-            "_at", F.array_position(F.transform("_rows", lambda f: _blank(F.get(f, F.lit(0)))), F.lit(True)).cast("int")
-        ).where(F.col("_at") > 0)
-        entries = F.slice("_rows", F.lit(1), F.col("_at") - 1)
+
+        def blank_at(part: Column) -> Column:
+            return F.array_position(F.transform(part, lambda v: _blank(_field(fields_of(v), 0))), F.lit(True))
+
+        early = F.nullif(blank_at(F.slice("_lines", 1, _FIRST_LINES)), F.lit(0))
+        at = F.coalesce(early, blank_at(F.col("_lines"))).cast("int")
+        rows = lines.withColumn("_at", at).where(F.col("_at") > 0)
+        entries = F.transform(F.slice("_lines", F.lit(1), F.col("_at") - 1), fields_of)
+        rows = rows.withColumn("_entries", entries)
 
         def last_value(key: str) -> Column:
-            named = F.filter(entries, lambda f: F.get(f, F.lit(0)) == key)
+            named = F.filter("_entries", lambda f: F.get(f, F.lit(0)) == key)
             return _field(F.try_element_at(named, F.lit(-1)), 1)
 
         head = {name: last_value(key) for key, name in HEADER_KEYS.items()}
-    body = F.slice("_rows", F.col("_at") + 2, F.greatest(F.size("_rows"), F.lit(1)))
+    body = F.slice("_lines", F.col("_at") + 2, F.greatest(F.size("_lines"), F.lit(1)))
     return (
         rows.withColumns(head)
         .select(
             "bestands_url",
             *HEADER_COLUMNS,
-            F.get("_rows", F.col("_at")).alias("columns"),
+            fields_of(F.get("_lines", F.col("_at"))).alias("columns"),
             "_at",
-            F.posexplode(body).alias("_i", "fields"),
+            F.posexplode(body).alias("_i", "_line"),
         )
-        .withColumn("line_no", (F.col("_i") + F.col("_at") + 1).cast("bigint"))
+        .withColumns({"line_no": (F.col("_i") + F.col("_at") + 1).cast("bigint"), "fields": fields_of(F.col("_line"))})
         .select(*_OUT)
     )
 
@@ -281,7 +301,8 @@ def import_rows(
     unread.append(F.when(F.col("meting_serie_naam").isNull(), F.lit("meting_serie_naam")))
     too_long = [F.when(F.length(c) > n, F.lit(c)) for c, n in TEXT_LIMITS.items()]
     typed = typed.withColumn("errors", F.array_compact(F.array(*unread, *too_long)))
-    return typed.select(*MEASUREMENT_RAW.names, "line_no", "errors")
+    # One-element inline: a filter on ``errors`` stops here and does not repeat the casts.
+    return typed.select(F.inline(F.array(F.struct(*MEASUREMENT_RAW.names, "line_no", "errors"))))
 
 
 def accepted(imported: DataFrame) -> DataFrame:
