@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from lanelux.operators.survey import normalized_line
 
 
+def year_path(path: str, report_year: int) -> str:
+    return f"{path}/report_year={report_year}"
+
+
 def refresh(df: DataFrame, path: str, report_year: int) -> None:
-    """Replace the rows of one report year and leave other years alone."""
-    (
-        df.withColumn("report_year", F.lit(report_year))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("report_year")
-        .parquet(path)
-    )
+    """Replace the rows of one report year and leave other years alone.
+
+    Writes the folder of the year itself, so an empty result empties the year.
+    """
+    df.write.mode("overwrite").parquet(year_path(path, report_year))
 
 
 def create_if_absent(df: DataFrame, path: str) -> None:

@@ -122,18 +122,21 @@ def parse_files(files: DataFrame, layout: str = "keyed", delimiter: str = "\t")
 
 
 def number_lines(lines: DataFrame, broadcast_rows: int = 4 * BROADCAST_ROWS) -> DataFrame:
-    """Turn (bestands_url, block, seq, value) into lines numbered from 0.
+    """Turn (file, block, seq, value) into lines of ``bestands_url`` numbered from 0.
 
-    ``block`` is the start of the file split, ``seq`` grows within it by one
-    per line. Only the line counts of the splits are summed per file.
+    ``file`` is the encoded path that text scans report, ``block`` the start of
+    the file split; ``seq`` grows within a split by one per line. Only the line
+    counts of the splits are summed per file.
     """
-    per_block = lines.groupBy("bestands_url", "block").agg(F.count("*").alias("_n"), F.min("seq").alias("_seq0"))
-    before = F.sum("_n").over(_blocks_before())
+    per_block = lines.groupBy("file", "block").agg(F.count("*").alias("_n"), F.min("seq").alias("_seq0"))
+    before = F.coalesce(F.sum("_n").over(_blocks_before()), F.lit(0))
+    # A plus sign stands for itself in a path, the decoder would make it a space.
+    path = F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))
     bases = settle(
-        per_block.select("bestands_url", "block", "_seq0", F.coalesce(before, F.lit(0)).alias("_base")), "line-bases"
+        per_block.select("file", "block", "_seq0", before.alias("_base"), path.alias("bestands_url")), "line-bases"
     )
     return skew_safe_join(
-        lines, bases, ["bestands_url", "block"], spread_by=["seq"], broadcast_rows=broadcast_rows
+        lines, bases, ["file", "block"], spread_by=["seq"], broadcast_rows=broadcast_rows
     ).select(
         "bestands_url",
         (F.col("_base") + F.col("seq") - F.col("_seq0")).alias("line_no"),
@@ -142,7 +145,7 @@ def number_lines(lines: DataFrame, broadcast_rows: int = 4 * BROADCAST_ROWS) ->
 
 
 def _blocks_before() -> WindowSpec:
-    return Window.partitionBy("bestands_url").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
 
 
 def _split_lines(lines: DataFrame, delimiter: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """A survey year from files to reports, each stage a stored table.
 
 Tables of all years share one folder each, partitioned by ``report_year``; a
-rerun replaces its own year only.
+rerun replaces its own year only. Reading a whole table prunes by year.
 """
 
 from __future__ import annotations
@@ -9,8 +9,10 @@ from __future__ import annotations
 import datetime
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lanelux.operators import ledger, sinks
 from lanelux.operators.joins import skew_safe_join
@@ -20,6 +22,7 @@ from lanelux.operators.shares import reading_counts
 from lanelux.operators.survey import accepted, import_rows, rejected
 from lanelux.plans.reports import LOCATED, all_reports
 from lanelux.schemas import FILE_LOG, MEASUREMENT_RAW
+from lanelux.session import settle
 from lanelux.sources.catalog import list_files
 from lanelux.sources.segment_files import read_segments
 from lanelux.sources.survey_files import read_survey
@@ -36,12 +39,19 @@ class Store:
         return f"{self.root}/{table}"
 
     def write(self, table: str, df: DataFrame, year: int) -> DataFrame:
-        sinks.refresh(df.drop("report_year"), self.path(table), year)
+        sinks.refresh(df, self.path(table), year)
         return self.read(table, year)
 
     def read(self, table: str, year: int) -> DataFrame:
-        stored = self.spark.read.parquet(self.path(table))
-        return stored.where(F.col("report_year") == year).drop("report_year")
+        return self.spark.read.parquet(sinks.year_path(self.path(table), year))
+
+    def read_or_empty(self, table: str, year: int, schema: StructType) -> DataFrame:
+        try:
+            return self.read(table, year)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
 
 
 def register_files(store: Store, survey_root: str, year: int, read_at: datetime.datetime, log: DataFrame) -> DataFrame:
@@ -66,18 +76,22 @@ def run_year(
     report_year: int,
     read_at: datetime.datetime,
 ) -> dict[str, DataFrame]:
-    """Run all stages for one year and return the stored tables by name."""
+    """Run all stages for one year and return the stored tables by name.
+
+    The file log grows: files it holds keep their state, new ones are added
+    and checked. All other tables of the year are built anew.
+    """
     store = Store(spark, out)
-    empty_log = spark.createDataFrame([], FILE_LOG)
-    new = register_files(store, survey_root, report_year, read_at, empty_log)
-    new = new.withColumns(
+    known = store.read_or_empty("file_log", report_year, FILE_LOG)
+    new = register_files(store, survey_root, report_year, read_at, known).withColumns(
         {
             "oid": F.xxhash64("drive_file_id"),
             "measure_series_name": F.lit(None).cast("string"),
             "name_conform": F.lit(None).cast("boolean"),
         }
-    ).select(*FILE_LOG.names)
-    log = store.write("files_registered", new, report_year).withColumn("report_year", F.lit(report_year))
+    )
+    # The log is overwritten below, so what it held has to be stored elsewhere first.
+    log = settle(known.unionByName(new.select(*FILE_LOG.names)), "file-log")
 
     parsed = read_survey(spark, survey_root)
     imported = store.write("measurement_import", import_rows(parsed, read_at), report_year)
@@ -85,7 +99,6 @@ def run_year(
     queue = ledger.work_queue(log, report_year).join(series, F.col("drive_file_id") == F.col("bestands_url"))
     checks = ledger.check_names(queue.withColumn("measure_series_name", F.col("_series")))
     log = store.write("file_log", ledger.apply_checks(log, checks), report_year)
-    log = log.withColumn("report_year", F.lit(report_year))
 
     conform = log.where("name_conform").select(F.col("drive_file_id").alias("bestands_url"))
     kept = skew_safe_join(imported, conform, ["bestands_url"], how="left_semi", spread_by=["oid"])

@@ -40,7 +40,7 @@ def file_lines(
         .text(root)
         .where(F.col("_metadata.file_size") > larger_than)
         .select(
-            F.col("_metadata.file_path").alias("bestands_url"),
+            F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("seq"),
             F.decode(F.col("value").cast("binary"), encoding).alias("value"),
