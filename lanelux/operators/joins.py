@@ -15,13 +15,19 @@ from pyspark.sql import functions as F
 from lanelux.session import settle
 
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 256 * 1024 * 1024
 BROADCAST_BANDS = 1_000
 ROWS_PER_TASK = 5_000_000
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more than it must."""
-    return df.limit(rows + 1).count() <= rows
+def fits(df: DataFrame, rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``rows`` rows and ``max_bytes`` of values.
+
+    Counts in one distributed pass over ``df``; nothing but the two sums moves.
+    """
+    width = F.octet_length(F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in df.columns]))
+    n, size = df.agg(F.count("*"), F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()
+    return n <= rows and size <= max_bytes
 
 
 def hot_keys(fact: DataFrame, keys: list[str], rows_per_task: int, broadcast_rows: int) -> DataFrame:

@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from lanelux.functions import text
 from lanelux.functions.times import in_year
-from lanelux.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, skew_safe_join
+from lanelux.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, fits, skew_safe_join
 from lanelux.schemas import CONFORM, NOT_CONFORM, REGISTERED, VALIDATED
+from lanelux.session import settle
 
 _NAME = ["drive_file_name", "report_year"]
+# Length of the beginnings of listed paths, and how many different ones are tried.
+_HEAD_LENGTH = 4
+_MAX_HEADS = 64
 
 
 def new_files(listing: DataFrame, log: DataFrame, read_at: datetime.datetime) -> DataFrame:
@@ -53,27 +57,39 @@ def new_paths(listing: DataFrame, log: DataFrame, path: str = "path", logged: st
     """Listed paths that occur nowhere inside a logged path.
 
     Each distinct logged path yields its substrings of the lengths that the
-    listed paths have; a plain anti join on equal text then decides. The work
-    grows with the number of paths, no pair of paths is ever compared.
+    listed paths have; a join on equal text then decides, so no pair of paths
+    is ever compared. Listed paths mostly start alike: if they do, substrings
+    start only where that beginning occurs.
     """
-    lengths = listing.select(F.length(path).alias("n")).distinct().agg(F.collect_set("n")).scalar()
-    own_lengths = F.filter(F.col("_lengths"), lambda n: n <= F.length("_text"))
+    shortest = listing.agg(F.min(F.length(path))).first()[0]
+    if shortest is None:
+        return listing
+    size = F.length("_text")
+    starts = F.sequence(F.lit(1), F.greatest(size, F.lit(1)))
+    sets = {"_lengths": listing.select(F.length(path).alias("n")).distinct().agg(F.collect_set("n")).scalar()}
+    head = min(_HEAD_LENGTH, shortest)
+    heads = listing.select(F.left(path, F.lit(head)).alias("h")).distinct()
+    if fits(heads, _MAX_HEADS):
+        sets["_heads"] = heads.agg(F.collect_set("h")).scalar()
+        known = F.col("_heads")
+        starts = F.filter(starts, lambda s: F.array_contains(known, F.substring(F.col("_text"), s, F.lit(head))))
     parts = F.transform(
-        own_lengths,
-        lambda n: F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length("_text") - n + 1, F.lit(1))),
-            lambda start: F.substring(F.col("_text"), start, n),
+        starts,
+        lambda s: F.transform(
+            F.filter(F.col("_lengths"), lambda n: n <= size - s + 1),
+            lambda n: F.substring(F.col("_text"), s, n),
         ),
     )
-    seen = (
+    inside = (
         log.select(F.col(logged).alias("_text"))
         .where(F.col("_text").isNotNull())
         .distinct()
-        .withColumn("_lengths", lengths)
-        .select(F.explode(F.flatten(parts)).alias("_part"))
+        .withColumns(sets)
+        .select(F.explode(F.flatten(parts)).alias(path))
         .distinct()
     )
-    return listing.join(seen, F.col(path) == F.col("_part"), "left_anti")
+    seen = listing.select(path).distinct().join(inside, path, "left_semi")
+    return skew_safe_join(listing, settle(seen, "seen-paths"), [path], how="left_anti")
 
 
 def work_queue(log: DataFrame, report_year: int) -> DataFrame:

@@ -41,6 +41,17 @@ def enrich(segments: DataFrame) -> DataFrame:
     )
 
 
+def _as_positions(bound: Column) -> Column:
+    """A segment bound with the four decimals of a position.
+
+    A position has four decimals, so rounding a begin up and an end down
+    changes no match. The narrow type is compared as a plain number, the
+    stored one with 38 digits is not.
+    """
+    least, most = (F.lit(str(int(v))).cast("decimal(38,4)") for v in KMP_DOMAIN)
+    return F.least(F.greatest(bound.cast("decimal(38,4)"), least), most).cast("decimal(18,4)")
+
+
 def on_segments(
     points: DataFrame,
     segments: DataFrame,
@@ -54,13 +65,14 @@ def on_segments(
     segments is left out. ``ordered`` sorts by road and position, with the row
     id as last key so that equal positions can still be split over tasks.
     """
+    low, high = _as_positions(F.ceil("beginpositie", F.lit(4))), _as_positions(F.floor("eindpositie", F.lit(4)))
     located = interval_join(
-        points.withColumn("meting_serie_naam", F.translate("meting_serie_naam", "\n", "")),
-        segments.select("ident8", "beginpositie", "eindpositie", "district", "provincie", "wegcategorie"),
+        points.withColumn("meting_serie_naam", F.replace("meting_serie_naam", F.lit("\n"), F.lit(""))),
+        segments.select("ident8", low.alias("_low"), high.alias("_high"), "district", "provincie", "wegcategorie"),
         ["ident8"],
         "kmp",
-        "beginpositie",
-        "eindpositie",
+        "_low",
+        "_high",
         cell=CELL_KM,
         domain=KMP_DOMAIN,
         spread_by=["oid"],

@@ -10,13 +10,14 @@ header columns, the column names and the field texts.
 from __future__ import annotations
 
 import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from lanelux.functions import text
 from lanelux.functions.times import iso_text, measure_time, measure_time_legacy
-from lanelux.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, fits, skew_safe_join
+from lanelux.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, skew_safe_join
 from lanelux.schemas import (
     HEADER_KEYS,
     MEASUREMENT_RAW,
@@ -69,8 +70,9 @@ def _field(fields: Column, i: int) -> Column:
 
 
 def content_lines(content: Column) -> Column:
-    """Lines of a file; a final line break ends the last line."""
-    return F.split(F.regexp_replace(content, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n")
+    """Lines of a file by any line break; a final one adds an empty last line."""
+    unix = F.replace(F.replace(content, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return F.split(F.when(content.contains("\r"), unix).otherwise(content), "\n")
 
 
 # The header end is looked for among this many lines before the whole file.
@@ -79,7 +81,9 @@ _FIRST_LINES = 200
 
 def parse_files(files: DataFrame, layout: str = "keyed", delimiter: str = "\t") -> DataFrame:
     """Body rows of ``files`` (bestands_url, content)."""
-    lines = files.select("bestands_url", content_lines(F.col("content")).alias("_lines"))
+    # One-element inline: the lines are split once, later steps do not repeat it.
+    split = F.struct("bestands_url", content_lines(F.col("content")).alias("_lines"))
+    lines = files.select(F.inline(F.array(split)))
 
     def fields_of(line: Column) -> Column:
         return F.split(line, "\t") if layout == "positional" else split_fields(line, delimiter)
@@ -103,17 +107,15 @@ def parse_files(files: DataFrame, layout: str = "keyed", delimiter: str = "\t")
             return _field(F.try_element_at(named, F.lit(-1)), 1)
 
         head = {name: last_value(key) for key, name in HEADER_KEYS.items()}
-    body = F.slice("_lines", F.col("_at") + 2, F.greatest(F.size("_lines"), F.lit(1)))
+    # What the body rows carry along is computed first: it must not refer to the
+    # lines of the file, or each body row would carry all of them.
     return (
-        rows.withColumns(head)
-        .select(
-            "bestands_url",
-            *HEADER_COLUMNS,
-            fields_of(F.get("_lines", F.col("_at"))).alias("columns"),
-            "_at",
-            F.posexplode(body).alias("_i", "_line"),
+        rows.withColumns(
+            {**head, "columns": fields_of(F.get("_lines", F.col("_at"))), "_last": F.size("_lines") - 1}
         )
-        .withColumns({"line_no": (F.col("_i") + F.col("_at") + 1).cast("bigint"), "fields": fields_of(F.col("_line"))})
+        .select("bestands_url", *HEADER_COLUMNS, "columns", "_at", "_last", F.posexplode("_lines").alias("_i", "_line"))
+        .where((F.col("_i") > F.col("_at")) & ~((F.col("_i") == F.col("_last")) & (F.col("_line") == "")))
+        .withColumns({"line_no": F.col("_i").cast("bigint"), "fields": fields_of(F.col("_line"))})
         .select(*_OUT)
     )
 
@@ -284,14 +286,11 @@ def import_rows(
         "vochtigheid": 9, "snelheid": 10, "longitude_start": 12, "latitude_start": 13,
         "longitude_eind": 14, "latitude_eind": 15,
     }
-    when_measured = parse_time(f[1])
-    shown_time = F.when(f[1].contains("/"), iso_text(when_measured)).otherwise(f[1]) if layout == "keyed" else f[1]
     typed = rows.withColumns(
         {
             **numbers,
             "oid": F.xxhash64("bestands_url", "line_no"),
-            "tijdstip_meting": when_measured,
-            "tijdstip_meting_tekst": shown_time,
+            "tijdstip_meting": parse_time(f[1]),
             "marker": f[7],
             "reference": f[11],
             "naam_foto1": photos[0],
@@ -299,11 +298,21 @@ def import_rows(
             "inleesdatum": F.lit(read_at).cast("timestamp_ntz"),
         }
     )
-    unread = [F.when(F.col(c).isNull() & (F.trim(f[i]) != ""), F.lit(c)) for c, i in source.items()]
-    unread.append(F.when(F.col("tijdstip_meting").isNull(), F.lit("tijdstip_meting")))
-    unread.append(F.when(F.col("meting_serie_naam").isNull(), F.lit("meting_serie_naam")))
-    too_long = [F.when(F.length(c) > n, F.lit(c)) for c, n in TEXT_LIMITS.items()]
-    typed = typed.withColumn("errors", F.array_compact(F.array(*unread, *too_long)))
+    shown_time = f[1]
+    if layout == "keyed":
+        shown_time = F.when(f[1].contains("/"), iso_text(F.col("tijdstip_meting"))).otherwise(f[1])
+    typed = typed.withColumn("tijdstip_meting_tekst", shown_time)
+    faults = {c: F.col(c).isNull() & (F.trim(f[i]) != "") for c, i in source.items()}
+    faults |= {c: F.col(c).isNull() for c in ("tijdstip_meting", "meting_serie_naam")}
+    for c, n in TEXT_LIMITS.items():
+        too_long = F.length(c) > n
+        faults[c] = faults[c] | too_long if c in faults else too_long
+    # Nearly all rows are sound; only the others build the list of names.
+    # Plain string functions here would join all casts in one generated method,
+    # too large to be compiled, and take twice as long.
+    named = F.array_compact(F.array(*[F.when(fault, F.lit(c)) for c, fault in faults.items()]))
+    none = F.array().cast("array<string>")
+    typed = typed.withColumn("errors", F.when(reduce(Column.__or__, faults.values()), named).otherwise(none))
     # One-element inline: a filter on ``errors`` stops here and does not repeat the casts.
     return typed.select(F.inline(F.array(F.struct(*MEASUREMENT_RAW.names, "line_no", "errors"))))
 
@@ -340,25 +349,19 @@ def tag_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def widen(tagged: DataFrame, max_layouts: int = 10_000) -> DataFrame:
+def widen(tagged: DataFrame) -> DataFrame:
     """One text column per column name of any file; NULL where a file lacks it.
 
-    Only the distinct column rows reach the driver: file layouts, not data.
+    Only the distinct column names reach the driver, the schema needs them.
     """
-    layouts = tagged.select("names").distinct()
-    if not fits(layouts, max_layouts):
-        raise ValueError(f"more than {max_layouts} different column rows")
-    names: dict[str, int] = {}
-    for row in layouts.collect():
-        for i, name in enumerate(row["names"]):
-            names[name] = min(i, names.get(name, i))
-    ordered = sorted(names, key=lambda n: (names[n], n))
+    named = tagged.select("names").distinct().select(F.posexplode("names").alias("at", "name"))
+    found = named.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()
 
     def value(name: str) -> Column:
         at = F.array_position("names", F.lit(name))
         return F.when(at > 0, F.get("texts", (at - 1).cast("int")))
 
-    return tagged.select("bestands_url", "line_no", *[value(n).alias(n) for n in ordered])
+    return tagged.select("bestands_url", "line_no", *[value(r["name"]).alias(r["name"]) for r in found])
 
 
 def nonzero_text(rows: DataFrame, column: str = "RL") -> DataFrame:
