@@ -15,7 +15,7 @@ from lanelux.operators.joins import band_join
 from lanelux.plans import adapters as given
 from lanelux.plans import reports
 from lanelux.schemas import LAMBERT72_SRID, PROVINCES
-from lanelux.session import scratch_path
+from lanelux.session import scratch_path, settle
 from lanelux.sources import catalog
 from lanelux.sources.segment_files import read_segments
 from lanelux.sources.survey_files import file_lines, read_survey
@@ -65,7 +65,8 @@ def file_catalog_search(spark, sf):
 
 
 def _lines(spark, sf, layout="keyed", delimiter="\t"):
-    return given.survey_lines(given.measurements(spark, sf), layout, delimiter)
+    """Survey text as a stored table, so that it is made once and not per pass."""
+    return settle(given.survey_lines(given.measurements(spark, sf), layout, delimiter), "survey-lines")
 
 
 def _typed(rows, layout="keyed"):

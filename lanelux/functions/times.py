@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,8 +32,11 @@ def iso_text(ts: Column) -> Column:
     return F.substring(ts.cast("timestamp_ntz").cast("string"), 1, 19)
 
 
+def stamp(at: datetime.datetime) -> Column:
+    """A constant time stamp; as text, because a time literal would be moved to the session zone."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def in_year(ts: Column, year: int) -> Column:
     """A half-open range, so the scan can use column statistics."""
-    start = F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz")
-    stop = F.lit(f"{year + 1}-01-01 00:00:00").cast("timestamp_ntz")
-    return (ts >= start) & (ts < stop)
+    return (ts >= stamp(datetime.datetime(year, 1, 1))) & (ts < stamp(datetime.datetime(year + 1, 1, 1)))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanelux.functions import text
-from lanelux.functions.times import in_year
+from lanelux.functions.times import in_year, stamp
 from lanelux.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, fits, skew_safe_join
 from lanelux.schemas import CONFORM, NOT_CONFORM, REGISTERED, VALIDATED
 from lanelux.session import settle
@@ -46,7 +46,7 @@ def new_files(listing: DataFrame, log: DataFrame, read_at: datetime.datetime) ->
         .unionByName(again.select(*columns))
         .withColumns(
             {
-                "datetime_utc_read": F.lit(read_at).cast("timestamp_ntz"),
+                "datetime_utc_read": stamp(read_at),
                 "completed_step": F.lit(REGISTERED),
             }
         )

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from lanelux.functions import text
-from lanelux.functions.times import iso_text, measure_time, measure_time_legacy
+from lanelux.functions.times import iso_text, measure_time, measure_time_legacy, stamp
 from lanelux.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, skew_safe_join
 from lanelux.schemas import (
     HEADER_KEYS,
@@ -295,7 +295,7 @@ def import_rows(
             "reference": f[11],
             "naam_foto1": photos[0],
             "naam_foto2": photos[1],
-            "inleesdatum": F.lit(read_at).cast("timestamp_ntz"),
+            "inleesdatum": stamp(read_at),
         }
     )
     shown_time = f[1]

@@ -71,6 +71,7 @@ def test_time_does_not_follow_the_session_zone(spark):
         # This wall-clock time does not exist in that zone.
         got = one(spark, times.measure_time(F.col("s")), s="26/03/2023 02:30:00")
         assert got == datetime.datetime(2023, 3, 26, 2, 30)
+        assert spark.range(1).select(times.stamp(datetime.datetime(2024, 1, 1, 12))).first()[0] == datetime.datetime(2024, 1, 1, 12)
         assert one(spark, times.iso_text(times.measure_time(F.col("s"))), s="26/03/2023 02:30:00") == "2023-03-26 02:30:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
