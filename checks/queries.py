@@ -605,8 +605,9 @@ def survey_combined_2024(spark, sf):
     lines = _lines(spark, sf)
     # Every fifth road lies in a wrong folder.
     moved = F.regexp_replace("bestands_url", r"^survey/([^/]*[05])[12]/", "survey/elders/")
-    rows = survey.parse_lines(lines.withColumn("bestands_url", moved))
-    return survey.combined_2024(rows).drop("bestands_url")
+    lines = lines.withColumn("bestands_url", moved)
+    headers = survey.line_headers(lines)
+    return survey.combined_2024(survey.parse_lines(lines, headers=headers), headers).drop("bestands_url")
 
 
 @query

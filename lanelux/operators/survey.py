@@ -79,8 +79,8 @@ def content_lines(content: Column) -> Column:
 _FIRST_LINES = 200
 
 
-def parse_files(files: DataFrame, layout: str = "keyed", delimiter: str = "\t") -> DataFrame:
-    """Body rows of ``files`` (bestands_url, content)."""
+def _located_files(files: DataFrame, layout: str, delimiter: str) -> DataFrame:
+    """One row per file: header columns, column names, their line ``_at`` and all ``_lines``."""
     # One-element inline: the lines are split once, later steps do not repeat it.
     split = F.struct("bestands_url", content_lines(F.col("content")).alias("_lines"))
     lines = files.select(F.inline(F.array(split)))
@@ -107,17 +107,24 @@ def parse_files(files: DataFrame, layout: str = "keyed", delimiter: str = "\t")
             return _field(F.try_element_at(named, F.lit(-1)), 1)
 
         head = {name: last_value(key) for key, name in HEADER_KEYS.items()}
-    # What the body rows carry along is computed first: it must not refer to the
-    # lines of the file, or each body row would carry all of them.
-    return (
-        rows.withColumns(
-            {**head, "columns": fields_of(F.get("_lines", F.col("_at"))), "_last": F.size("_lines") - 1}
-        )
-        .select("bestands_url", *HEADER_COLUMNS, "columns", "_at", "_last", F.posexplode("_lines").alias("_i", "_line"))
-        .where((F.col("_i") > F.col("_at")) & ~((F.col("_i") == F.col("_last")) & (F.col("_line") == "")))
-        .withColumns({"line_no": F.col("_i").cast("bigint"), "fields": fields_of(F.col("_line"))})
-        .select(*_OUT)
-    )
+    return rows.withColumns({**head, "columns": fields_of(F.get("_lines", F.col("_at")))})
+
+
+def file_headers(files: DataFrame, layout: str = "keyed", delimiter: str = "\t") -> DataFrame:
+    """Header and column names, one row per file of ``files`` (bestands_url, content)."""
+    return _located_files(files, layout, delimiter).select("bestands_url", *HEADER_COLUMNS, "columns")
+
+
+def parse_files(files: DataFrame, layout: str = "keyed", delimiter: str = "\t") -> DataFrame:
+    """Body rows of ``files`` (bestands_url, content)."""
+    # The header is a column of its own by now: were it taken from the lines
+    # next to posexplode, each body row would carry all lines of its file.
+    rows = _located_files(files, layout, delimiter).withColumn("_last", F.size("_lines") - 1)
+    body = rows.select(
+        "bestands_url", *HEADER_COLUMNS, "columns", "_at", "_last", F.posexplode("_lines").alias("_i", "_line")
+    ).where((F.col("_i") > F.col("_at")) & ~((F.col("_i") == F.col("_last")) & (F.col("_line") == "")))
+    fields = F.split("_line", "\t") if layout == "positional" else split_fields(F.col("_line"), delimiter)
+    return body.withColumns({"line_no": F.col("_i").cast("bigint"), "fields": fields}).select(*_OUT)
 
 
 # --- one row per line -------------------------------------------------------
@@ -181,40 +188,58 @@ def header_entries(
     )
 
 
-def parse_lines(
+def _fields_of_lines(lines: DataFrame, layout: str, delimiter: str) -> DataFrame:
+    if layout == "positional":
+        return lines.select("bestands_url", "line_no", F.split("value", "\t").alias("fields"))
+    return _split_lines(lines, delimiter)
+
+
+def line_headers(
     lines: DataFrame,
     layout: str = "keyed",
     delimiter: str = "\t",
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Body rows of ``lines`` (bestands_url, line_no, value)."""
+    """Header, column names and the line of these, one stored row per file."""
     number, fields = F.col("line_no"), F.col("fields")
+    rows = _fields_of_lines(lines, layout, delimiter)
     if layout == "positional":
-        rows = lines.select("bestands_url", "line_no", F.split("value", "\t").alias("fields"))
-        top = rows.where(number <= POSITIONAL_COLUMN_LINE)
+        at = F.when(number == POSITIONAL_COLUMN_LINE, number)
         picks = [F.max(F.when(number == i, _field(fields, 1))).alias(n) for i, n in POSITIONAL_HEADER.items()]
-        column_row = [
-            F.max(F.when(number == POSITIONAL_COLUMN_LINE, number)).alias("_at"),
-            F.max(F.when(number == POSITIONAL_COLUMN_LINE, fields)).alias("columns"),
-        ]
-        heads = top.groupBy("bestands_url").agg(*picks, *column_row)
+        rows = rows.where(number <= POSITIONAL_COLUMN_LINE)
     else:
-        rows = _split_lines(lines, delimiter)
-        tagged = _with_header_end(rows, broadcast_rows, rows_per_task)
-        in_header, after = number < F.col("_end"), F.when(number > F.col("_end"), number)
+        rows = _with_header_end(rows, broadcast_rows, rows_per_task)
+        at = F.when(number > F.col("_end"), number)
+        in_header = number < F.col("_end")
         picks = [
             F.max_by(_field(fields, 1), F.when(in_header & (_field(fields, 0) == key), number)).alias(name)
             for key, name in HEADER_KEYS.items()
         ]
-        heads = tagged.groupBy("bestands_url").agg(
-            *picks, F.min(after).alias("_at"), F.min_by(fields, after).alias("columns")
-        )
+    heads = rows.groupBy("bestands_url").agg(*picks, F.min(at).alias("_at"), F.min_by(fields, at).alias("columns"))
+    return settle(heads, "headers")
+
+
+def parse_lines(
+    lines: DataFrame,
+    layout: str = "keyed",
+    delimiter: str = "\t",
+    headers: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Body rows of ``lines`` (bestands_url, line_no, value).
+
+    ``headers`` is what :func:`line_headers` gives for the same lines, if it is
+    at hand.
+    """
+    if headers is None:
+        headers = line_headers(lines, layout, delimiter, broadcast_rows, rows_per_task)
     return skew_safe_join(
-        rows,
-        settle(heads, "headers"),
+        _fields_of_lines(lines, layout, delimiter),
+        headers,
         ["bestands_url"],
-        condition=number > F.col("_at"),
+        condition=F.col("line_no") > F.col("_at"),
         spread_by=["line_no"],
         broadcast_rows=broadcast_rows,
         rows_per_task=rows_per_task,
@@ -337,6 +362,11 @@ def series_parts(series: Column) -> list[Column]:
     return [F.substring(series, 1, 8), F.substring(series, 10, 2)]
 
 
+def _tagged_names(columns: Column) -> Column:
+    kept = KEPT_COLUMNS - len(TAGS)
+    return F.concat(F.array(*[F.lit(t) for t in TAGS]), F.slice(_with_speed_name(columns), 1, kept))
+
+
 def tag_rows(rows: DataFrame) -> DataFrame:
     """Body rows with series name, road id and marking in front, as names and texts."""
     series = F.col("meting_serie_naam")
@@ -344,17 +374,17 @@ def tag_rows(rows: DataFrame) -> DataFrame:
     return rows.select(
         "bestands_url",
         "line_no",
-        F.concat(F.array(*[F.lit(t) for t in TAGS]), F.slice(_with_speed_name(F.col("columns")), 1, kept)).alias("names"),
+        _tagged_names(F.col("columns")).alias("names"),
         F.concat(F.array(series, *series_parts(series)), F.slice("fields", 1, kept)).alias("texts"),
     )
 
 
-def widen(tagged: DataFrame) -> DataFrame:
-    """One text column per column name of any file; NULL where a file lacks it.
+def widen(tagged: DataFrame, layouts: DataFrame) -> DataFrame:
+    """One text column per name in ``layouts`` (names); NULL where a file lacks it.
 
     Only the distinct column names reach the driver, the schema needs them.
     """
-    named = tagged.select("names").distinct().select(F.posexplode("names").alias("at", "name"))
+    named = layouts.select("names").distinct().select(F.posexplode("names").alias("at", "name"))
     found = named.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()
 
     def value(name: str) -> Column:
@@ -369,17 +399,22 @@ def nonzero_text(rows: DataFrame, column: str = "RL") -> DataFrame:
     return rows.where(~F.col(column).eqNullSafe(F.lit("0")))
 
 
-def combined_2024(rows: DataFrame) -> DataFrame:
-    """All body rows of accepted files in one wide text table.
-
-    A file is taken if the first word of its name is its folder name and its
-    stem is the series name.
-    """
+def taken_2024(rows: DataFrame) -> DataFrame:
+    """Rows of files whose name begins with the folder name and whose stem is the series name."""
     path = F.col("bestands_url")
     name = F.substring_index(path, "/", -1)
     folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-    taken = rows.where(text.rejection_2024(name, folder, F.col("meting_serie_naam")).isNull())
-    return nonzero_text(widen(tag_rows(taken)))
+    return rows.where(text.rejection_2024(name, folder, F.col("meting_serie_naam")).isNull())
+
+
+def combined_2024(rows: DataFrame, headers: DataFrame) -> DataFrame:
+    """All body rows of taken files in one wide text table.
+
+    ``headers`` has one row per file, so the column names are found without
+    reading the body.
+    """
+    layouts = taken_2024(headers).select(_tagged_names(F.col("columns")).alias("names"))
+    return nonzero_text(widen(tag_rows(taken_2024(rows)), layouts))
 
 
 def union_frames(frames: list[DataFrame]) -> DataFrame:

@@ -17,9 +17,14 @@ LOG_YEAR = 1997
 WATERMARK = "2024-01-15"
 
 # Fixture values: class bands, general and for primary roads.
-_CLASS_TEXT = "('A','laag','R1','slecht','vervangen'), ('B','matig','R2','matig','opvolgen'), ('C','goed','R3','goed','geen'), ('D','hoog','R4','zeer goed','geen')"
-_BANDS = [("A", 0, 49), ("B", 50, 99), ("C", 100, 199), ("D", 200, 9999)]
-_BANDS_P = [("A", 0, 79), ("B", 80, 119), ("C", 120, 179), ("D", 180, 9999)]
+_CLASS_TEXTS = [
+    ("A", "laag", "R1", "slecht", "vervangen"),
+    ("B", "matig", "R2", "matig", "opvolgen"),
+    ("C", "goed", "R3", "goed", "geen"),
+    ("D", "hoog", "R4", "zeer goed", "geen"),
+]
+_BANDS = [(0, 49), (50, 99), (100, 199), (200, 9999)]
+_BANDS_P = [(0, 79), (80, 119), (120, 179), (180, 9999)]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -107,15 +112,9 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _class_rows(spark: SparkSession, bands: list[tuple[str, int, int]]) -> DataFrame:
-    limits = ", ".join(f"('{k}', {lo}, {hi})" for k, lo, hi in bands)
-    return spark.sql(
-        f"""
-        SELECT t.klasse, t.luminatie, t.performatieklasse, t.beoordeling, t.actie, b.l_min, b.l_max
-        FROM VALUES {_CLASS_TEXT} AS t(klasse, luminatie, performatieklasse, beoordeling, actie)
-        JOIN VALUES {limits} AS b(k, l_min, l_max) ON b.k = t.klasse
-        """
-    ).to(QUALITY_CLASS)
+def _class_rows(spark: SparkSession, bands: list[tuple[int, int]]) -> DataFrame:
+    rows = ", ".join(str((*texts, *limits)) for texts, limits in zip(_CLASS_TEXTS, bands))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(QUALITY_CLASS.names)})").to(QUALITY_CLASS)
 
 
 def classes(spark: SparkSession) -> DataFrame:

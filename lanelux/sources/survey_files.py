@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lanelux.operators.survey import number_lines, parse_files, parse_lines
+from lanelux.operators.survey import file_headers, line_headers, number_lines, parse_files, parse_lines
 
 ENCODING = "ISO-8859-1"
 # Files up to this size are parsed as one row; larger ones line by line.
@@ -49,6 +49,20 @@ def file_lines(
     return number_lines(lines)
 
 
+def _in_two_ways(found, root, whole, by_line, pattern, encoding, whole_file_bytes) -> DataFrame:
+    """``whole`` of the small files and ``by_line`` of the large ones, if there are any."""
+    rows = whole(whole_files(found.where(F.col("length") <= whole_file_bytes), encoding))
+    large = found.where(F.col("length") > whole_file_bytes).select("path")
+    if root is None:
+        root = [r["path"] for r in large.collect()]
+    elif not large.limit(1).count():
+        root = []
+    if root:
+        lines = file_lines(found.sparkSession, root, pattern, whole_file_bytes, encoding)
+        rows = rows.unionByName(by_line(lines).select(*rows.columns))
+    return rows
+
+
 def parse_found(
     found: DataFrame,
     root: str | list[str] | None = None,
@@ -63,25 +77,47 @@ def parse_found(
     Without ``root`` the names of the large files are gathered from ``found``,
     which must then be a bounded batch.
     """
-    small = found.where(F.col("length") <= whole_file_bytes)
-    rows = parse_files(whole_files(small, encoding), layout, delimiter)
-    large = found.where(F.col("length") > whole_file_bytes).select("path")
-    if root is None:
-        root = [r["path"] for r in large.collect()]
-    elif not large.limit(1).count():
-        root = []
-    if root:
-        lines = file_lines(found.sparkSession, root, pattern, whole_file_bytes, encoding)
-        rows = rows.unionByName(parse_lines(lines, layout, delimiter))
-    return rows
+    return _in_two_ways(
+        found,
+        root,
+        lambda files: parse_files(files, layout, delimiter),
+        lambda lines: parse_lines(lines, layout, delimiter),
+        pattern,
+        encoding,
+        whole_file_bytes,
+    )
 
 
-def read_survey(spark: SparkSession, root: str, pattern: str = "*.xls", **options) -> DataFrame:
-    """Body rows of every survey file below ``root``; options as :func:`parse_found`."""
-    found = (
+def _find(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .load(root)
     )
-    return parse_found(found, root, pattern=pattern, **options)
+
+
+def read_survey(spark: SparkSession, root: str, pattern: str = "*.xls", **options) -> DataFrame:
+    """Body rows of every survey file below ``root``; options as :func:`parse_found`."""
+    return parse_found(_find(spark, root, pattern), root, pattern=pattern, **options)
+
+
+def read_headers(
+    spark: SparkSession,
+    root: str,
+    pattern: str = "*.xls",
+    layout: str = "keyed",
+    delimiter: str = "\t",
+    encoding: str = ENCODING,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
+) -> DataFrame:
+    """Header and column names of every survey file below ``root``, one row each."""
+    return _in_two_ways(
+        _find(spark, root, pattern),
+        root,
+        lambda files: file_headers(files, layout, delimiter),
+        lambda lines: line_headers(lines, layout, delimiter),
+        pattern,
+        encoding,
+        whole_file_bytes,
+    )
