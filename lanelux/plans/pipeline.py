@@ -21,11 +21,11 @@ from lanelux.operators.segments import enrich, on_segments
 from lanelux.operators.shares import reading_counts
 from lanelux.operators.survey import accepted, import_rows, rejected
 from lanelux.plans.reports import LOCATED, all_reports
-from lanelux.schemas import FILE_LOG, MEASUREMENT_RAW
+from lanelux.schemas import FILE_LOG
 from lanelux.session import settle
 from lanelux.sources.catalog import list_files
 from lanelux.sources.segment_files import read_segments
-from lanelux.sources.survey_files import read_survey
+from lanelux.sources.survey_files import read_headers, read_survey
 
 
 @dataclass(frozen=True)
@@ -93,26 +93,29 @@ def run_year(
     # The log is overwritten below, so what it held has to be stored elsewhere first.
     log = settle(known.unionByName(new.select(*FILE_LOG.names)), "file-log")
 
-    parsed = read_survey(spark, survey_root)
-    imported = store.write("measurement_import", import_rows(parsed, read_at), report_year)
-    series = imported.groupBy("bestands_url").agg(F.max("meting_serie_naam").alias("_series"))
-    queue = ledger.work_queue(log, report_year).join(series, F.col("drive_file_id") == F.col("bestands_url"))
+    headers = read_headers(spark, survey_root).select("bestands_url", F.col("meting_serie_naam").alias("_series"))
+    queue = ledger.work_queue(log, report_year).join(headers, F.col("drive_file_id") == F.col("bestands_url"))
     checks = ledger.check_names(queue.withColumn("measure_series_name", F.col("_series")))
     log = store.write("file_log", ledger.apply_checks(log, checks), report_year)
 
     conform = log.where("name_conform").select(F.col("drive_file_id").alias("bestands_url"))
-    kept = skew_safe_join(imported, conform, ["bestands_url"], how="left_semi", spread_by=["oid"])
-    store.write("measurement_rejected", rejected(kept), report_year)
-    raw = store.write("measurement_raw", accepted(kept).select(*MEASUREMENT_RAW.names), report_year)
+    rows = read_survey(spark, survey_root)
+    rows = skew_safe_join(rows, conform, ["bestands_url"], how="left_semi", spread_by=["line_no"])
+    imported = store.write("measurement_import", import_rows(rows, read_at), report_year)
+    raw = accepted(imported)
 
     points = store.write("measurement_point", measurement_points(raw, report_year), report_year)
-    store.write("measurement_line", measurement_lines(points), report_year)
+    lines = store.write("measurement_line", measurement_lines(points), report_year)
     segments = store.write("segment", enrich(read_segments(spark, segments_path)), report_year)
     wegcat = store.write(LOCATED, on_segments(points, segments), report_year)
     counts = store.write("reading_counts", reading_counts(wegcat), report_year)
     tables = {}
     for name, report in all_reports(wegcat, classes, classes_p, counts).items():
         tables[name] = wegcat if name == LOCATED else store.write(name, report, report_year)
-    for name in ("file_log", "measurement_raw", "measurement_rejected", "measurement_point", "measurement_line"):
-        tables[name] = store.read(name, report_year)
-    return tables
+    return tables | {
+        "file_log": log,
+        "measurement_raw": raw,
+        "measurement_rejected": rejected(imported),
+        "measurement_point": points,
+        "measurement_line": lines,
+    }

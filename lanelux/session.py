@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +29,11 @@ def local_session(cores: str = "*", app: str = "lanelux") -> SparkSession:
     return spark
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="lanelux-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only in local mode."""
     root = spark.conf.get(SCRATCH_CONF, None)
@@ -35,9 +41,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SCRATCH_CONF} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="lanelux-")
-    spark.conf.set(SCRATCH_CONF, root)
-    return root
+    return _local_scratch()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
