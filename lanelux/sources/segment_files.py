@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from lanelux.schemas import SEGMENT
 
@@ -12,7 +13,8 @@ def read_segments(spark: SparkSession, path: str, multi_line: bool = True) -> Da
     """Tab-separated segments; columns by position, the exported id is dropped.
 
     Every field is read as text and cast afterwards, so an empty number is
-    NULL and a bad one does not stop the load. ``multi_line`` allows line
+    NULL and a bad one does not stop the load; an empty text stays empty.
+    ``multi_line`` allows line
     breaks inside quoted texts; without them pass False, and a large export is
     read by many tasks.
     """
@@ -28,10 +30,15 @@ def read_segments(spark: SparkSession, path: str, multi_line: bool = True) -> Da
         .schema(", ".join(f"`{n}` string" for n in names))
         .csv(path)
     )
-    return rows.select(
-        *[
-            F.col(f.name) if f.dataType.simpleString() == "string" else F.trim(f.name).try_cast(f.dataType).alias(f.name)
-            for f in SEGMENT
-            if f.name != "objectid"
-        ]
-    )
+    return rows.select(*[_typed(f) for f in SEGMENT if f.name != "objectid"])
+
+
+def _typed(field: StructField) -> Column:
+    raw = F.col(field.name)
+    if field.dataType.typeName() != "string":
+        return F.trim(raw).try_cast(field.dataType).alias(field.name)
+    # The reader knows one escape, the backslash. It leaves a quoted text with
+    # doubled quotes as it stands, outer quotes included.
+    doubled = raw.rlike(r'(?s)^".*"".*"$')
+    inner = F.regexp_replace(raw.substr(F.lit(2), F.length(raw) - 2), r'(?s)\\(.)|"(")', "$1$2")
+    return F.coalesce(F.when(doubled, inner).otherwise(raw), F.lit("")).alias(field.name)

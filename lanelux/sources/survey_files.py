@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanelux.operators.survey import file_headers, line_headers, number_lines, parse_files, parse_lines
+from lanelux.session import settle
 
 ENCODING = "ISO-8859-1"
 # Files up to this size are parsed as one row; larger ones line by line.
@@ -33,7 +34,11 @@ def file_lines(
     larger_than: int = -1,
     encoding: str = ENCODING,
 ) -> DataFrame:
-    """Numbered lines of all files above a size; one file may span many splits."""
+    """Numbered lines of all files above a size; one file may span many splits.
+
+    The lines are stored once: how a file is split depends on the executors at
+    hand, so two scans need not agree on the place of a line.
+    """
     lines = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
@@ -46,7 +51,7 @@ def file_lines(
             F.decode(F.col("value").cast("binary"), encoding).alias("value"),
         )
     )
-    return number_lines(lines)
+    return number_lines(settle(lines, "file-lines"))
 
 
 def _in_two_ways(found, root, whole, by_line, pattern, encoding, whole_file_bytes) -> DataFrame:

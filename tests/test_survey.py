@@ -251,12 +251,13 @@ def test_read_segments(spark, tmp_path):
     head = "\t".join(f"h{i}" for i in range(24))
     row = ["77", "1", "N0010001", "0", "0", "0,5", "10", "0", "10.5", '"Regio ""x"', "true", '"a\tb"', "10", "", "jan"]
     row += ["2024-01-02 03:04:05", "2024-01-02", "", "", "", "x", "H", "-3", "2024-01-02 03:04:05"]
-    row[9] = "Regio D11142"
+    row[9], row[14] = "Regio D11142", '"jan ""de"" x"'
     (tmp_path / "s.tsv").write_text(head + "\n" + "\t".join(row) + "\n" + "\t".join(row).replace('"a\tb"', '"a\nb"') + "\n")
     first, second = read_segments(spark, str(tmp_path / "s.tsv")).collect()
     assert "objectid" not in first.asDict()
     assert (first["id"], first["eindpositie"], first["offset_"]) == (1, Decimal("10.50000000"), -3)
     assert first["beginpositie"] is None and first["bronid"] is None and first["werkelijkelengte"] is None
+    assert first["gebruiker"] == 'jan "de" x' and first["eigenbeheer"] == "true"
     assert first["opmerking"] == "a\tb" and second["opmerking"] == "a\nb"
     assert first["opnamedatum"] == datetime.datetime(2024, 1, 2, 3, 4, 5)
 
