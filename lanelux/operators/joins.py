@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
 from lanelux.session import settle
 
@@ -25,7 +26,9 @@ def fits(df: DataFrame, rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
 
     Counts in one distributed pass over ``df``; nothing but the two sums moves.
     """
-    width = F.octet_length(F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in df.columns]))
+    plain = [f.name for f in df.schema if isinstance(f.dataType, (NumericType, DatetimeType, BooleanType))]
+    sized = [F.octet_length(F.col(f"`{c}`").cast("string")) for c in df.columns if c not in plain]
+    width = reduce(Column.__add__, [F.coalesce(w, F.lit(0)) for w in sized], F.lit(16 * len(plain)))
     n, size = df.agg(F.count("*"), F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()
     return n <= rows and size <= max_bytes
 

@@ -66,7 +66,7 @@ def test_keyed_file(spark, folder):
     assert len({r["oid"] for r in got}) == 3
 
 
-@pytest.mark.parametrize("split_bytes", ["134217728", "64"])
+@pytest.mark.parametrize("split_bytes", ["134217728", "700"])
 def test_line_path_equals_whole_file_path(spark, folder, rows, split_bytes):
     many = [body(f0=f"{i},5", f7="x" * (i % 30)) for i in range(300)]
     write(folder / "N0010003" / "N0010003+ M1%é.xls", keyed(*many, head={**HEAD, "Lane:": "R9"}), "\n")
