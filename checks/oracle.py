@@ -128,7 +128,7 @@ INGEST = f"""
 SELECT oid, 'temp/' || drive_file_name AS bestands_url,
   '\\' || drive_folder_name || '\\' || drive_file_name AS map_bestand,
   drive_folder_name || '\\' || measure_series_name AS bestandsnaam, measure_series_name,
-  CASE WHEN name_conform IS TRUE THEN 'bestandsnaam conform header / bestandsmap conform header'
+  CASE WHEN coalesce(name_conform, false) THEN 'bestandsnaam conform header / bestandsmap conform header'
     ELSE 'bestandsnaam NIET conform header / bestandsmap NIET conform header' END AS ctr_header_bestandsnaam,
   datetime_utc_read AS inleesdatum
 FROM file_log WHERE completed_step = 4 AND report_year = {LOG_YEAR}
@@ -200,10 +200,8 @@ FROM ({lambert("measurement", "longitude_start", "latitude_start", "mx", "my")})
 WHERE year(tijdstip_meting) = {SURVEY_YEAR}
 """
 
-KAART_OFFSET = """CASE WHEN left(markering, 2) = 'M1' AND right(ident8, 1) = '1' THEN 2000
-  WHEN left(markering, 2) = 'M2' AND right(ident8, 1) = '1' THEN 1000
-  WHEN left(markering, 2) = 'M1' AND right(ident8, 1) = '2' THEN -2000
-  WHEN left(markering, 2) = 'M2' AND right(ident8, 1) = '2' THEN -1000 END"""
+KAART_OFFSET = """(CASE left(markering, 2) WHEN 'M1' THEN 2000 WHEN 'M2' THEN 1000 END
+  * CASE right(ident8, 1) WHEN '1' THEN 1 WHEN '2' THEN -1 END)"""
 
 LINE_ALL = f"""
 SELECT *, sqrt((mx - ex) * (mx - ex) + (my - ey) * (my - ey)) AS lengte,
@@ -491,6 +489,18 @@ ORACLE["name_conformity_status"] = with_views(
 FROM file_log""",
 )
 
+ORACLE["legacy_log_rows"] = with_views(
+    "file_log",
+    body=f"""SELECT 'H:\\metingen\\Meetjaar {LOG_YEAR}\\in\\' || below AS bestands_url, '\\in\\' || below AS map_bestand,
+  left(below, length(below) - 4) AS bestandsnaam, measure_series_name,
+  CASE WHEN left(drive_file_name, length(drive_file_name) - 4) = measure_series_name
+    THEN 'bestandsnaam conform header' ELSE ' bestandsnaam NIET conform header' END ||
+  CASE WHEN split_part(measure_series_name, ' ', 1) = drive_folder_name
+    THEN ' / bestandsmap conform header' ELSE ' / bestandsmap NIET conform header!' END AS ctr_header_bestandsnaam,
+  {READ_AT} AS inleesdatum
+FROM (SELECT *, drive_folder_name || '\\' || drive_file_name AS below FROM file_log)""",
+)
+
 # --- scalar expressions -----------------------------------------------------
 
 ORACLE["scalar_left_right"] = with_views(
@@ -630,6 +640,8 @@ ORACLE["report_lines"] = with_views(
     "line", body=f"SELECT {cols([c for c in _LINE_PLAIN if c != 'lengte'])}, round(lengte, 3) AS lengte FROM line"
 )
 
+ORACLE["incremental_lines"] = ORACLE["report_lines"]
+
 # --- report tables ----------------------------------------------------------
 
 ORACLE["report_per_district_wegcat"] = with_views(

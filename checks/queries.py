@@ -14,6 +14,7 @@ from lanelux.operators import ledger, points, segments, shares, sinks, survey
 from lanelux.operators.joins import band_join
 from lanelux.plans import adapters as given
 from lanelux.plans import reports
+from lanelux.plans.pipeline import Store, append_new_lines
 from lanelux.schemas import LAMBERT72_SRID, PROVINCES
 from lanelux.session import scratch_path, settle
 from lanelux.sources import catalog
@@ -267,6 +268,17 @@ def incremental_watermark(spark, sf):
     return plain(ledger.newer_rows(m, target).select("oid", "kmp", "rl", "inleesdatum"))
 
 
+@query
+def incremental_lines(spark, sf):
+    """Lines of the second half of the month added to those of the first half."""
+    rows = _measurement_points(spark, sf)
+    store = Store(spark, scratch_path(spark, "lines"))
+    append_new_lines(store, rows.where(F.col("inleesdatum") < given.WATERMARK), given.SURVEY_YEAR)
+    append_new_lines(store, rows, given.SURVEY_YEAR)
+    lines = append_new_lines(store, rows, given.SURVEY_YEAR)
+    return plain(lines.drop("geom_line").withColumn("lengte", F.round("lengte", 3)))
+
+
 @query
 def work_queue(spark, sf):
     return ledger.work_queue(given.file_log(spark, sf), given.LOG_YEAR)
@@ -388,10 +400,20 @@ def name_conformity_status(spark, sf):
     series = F.when(F.col("oid") % 4 == 0, F.concat("measure_series_name", F.lit("\r\n"))).otherwise(
         F.col("measure_series_name")
     )
-    status = text.conformity_status(F.col("drive_file_name"), F.col("drive_folder_name"), series)
+    status = text.conformity_status(text.file_stem(F.col("drive_file_name")), F.col("drive_folder_name"), series)
     return log.select("oid", status.alias("status"))
 
 
+@query
+def legacy_log_rows(spark, sf):
+    root = f"H:\\metingen\\Meetjaar {given.LOG_YEAR}\\in"
+    files = given.file_log(spark, sf).select(
+        F.concat_ws("\\", F.lit(root), "drive_folder_name", "drive_file_name").alias("bestands_url"),
+        F.concat("measure_series_name", F.lit("\n")).alias("meting_serie_naam"),
+    )
+    return ledger.legacy_log(files, root, f"Meetjaar {given.LOG_YEAR}", READ_AT)
+
+
 # --- scalar expressions -----------------------------------------------------
 
 

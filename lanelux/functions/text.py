@@ -79,11 +79,11 @@ def rejection_2024(file_name: Column, folder: Column, series: Column) -> Column:
     )
 
 
-def conformity_status(file_name: Column, folder: Column, series: Column) -> Column:
+def conformity_status(stem: Column, folder: Column, series: Column) -> Column:
     """The two name checks as one status text."""
     clean = drop_line_breaks(series)
     # The status texts, spaces and exclamation mark included.
-    name_part = F.when(stem_matches(file_name, clean), F.lit("bestandsnaam conform header")).otherwise(
+    name_part = F.when(stem == clean, F.lit("bestandsnaam conform header")).otherwise(
         F.lit(" bestandsnaam NIET conform header")
     )
     folder_part = F.when(folder_matches(folder, clean), F.lit(" / bestandsmap conform header")).otherwise(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -148,6 +149,26 @@ def ingest_log(log: DataFrame, report_year: int) -> DataFrame:
     )
 
 
+def legacy_log(files: DataFrame, root: str, trigger: str, read_at: datetime.datetime, sep: str = "\\") -> DataFrame:
+    """Log rows of loaded files (bestands_url, meting_serie_naam) with the status of both name checks.
+
+    Paths look like root, folder, file. ``trigger`` is the part of ``root``
+    after which the shown path begins.
+    """
+    below = F.substring("bestands_url", len(root) + len(sep) + 1, 10_000)
+    stem = text.file_stem(below)
+    folder, name = F.substring_index(stem, sep, 1), F.get(F.split(stem, re.escape(sep)), F.lit(1))
+    series = F.col("meting_serie_naam")
+    return files.select(
+        "bestands_url",
+        F.concat(F.lit(root.split(trigger)[1] + sep), below).alias("map_bestand"),
+        stem.alias("bestandsnaam"),
+        text.drop_line_breaks(series).alias("measure_series_name"),
+        text.conformity_status(name, folder, series).alias("ctr_header_bestandsnaam"),
+        stamp(read_at).alias("inleesdatum"),
+    )
+
+
 def conform_files(ingest: DataFrame) -> DataFrame:
     return ingest.where(~F.col("ctr_header_bestandsnaam").contains("NIET")).select("bestands_url")
 

@@ -39,21 +39,23 @@ def measurement_points(raw: DataFrame, report_year: int) -> DataFrame:
     ).select(*POINT_COLUMNS)
 
 
+def _side(road: Column) -> Column:
+    """1 or -1 by the direction digit that ends the road id."""
+    digit = text.right(road, 1)
+    return F.when(digit == "1", 1).when(digit == "2", -1)
+
+
 def map_offset(marking: Column, road: Column) -> Column:
-    """Drawing offset by marking kind and direction digit; NULL for others."""
-    kind, direction = text.left(marking, 2), text.right(road, 1)
-    # Offsets in metres.
-    return (
-        F.when((kind == "M1") & (direction == "1"), 2000)
-        .when((kind == "M2") & (direction == "1"), 1000)
-        .when((kind == "M1") & (direction == "2"), -2000)
-        .when((kind == "M2") & (direction == "2"), -1000)
-    )
+    """Drawing offset in metres by marking kind and direction; NULL for others."""
+    kind = text.left(marking, 2)
+    # Distance from the road axis.
+    distance = F.when(kind == "M1", 2000).when(kind == "M2", 1000)
+    return distance * _side(road)
 
 
 def direction_offset(road: Column) -> Column:
-    direction = text.right(road, 1)
-    return F.when(direction == "1", 1000).when(direction == "2", -1000)
+    # Fixed value: distance from the road axis.
+    return _side(road) * 1000
 
 
 def with_line(points: DataFrame) -> DataFrame:

@@ -66,6 +66,15 @@ def register_files(store: Store, survey_root: str, year: int, read_at: datetime.
     return ledger.new_files(listing, log, read_at)
 
 
+def append_new_lines(store: Store, points: DataFrame, year: int) -> DataFrame:
+    """Add the lines of points loaded after the newest stored line; all of them the first time."""
+    none = measurement_lines(points.limit(0))
+    known = store.read_or_empty("measurement_line", year, none.schema)
+    path = sinks.year_path(store.path("measurement_line"), year)
+    sinks.append(measurement_lines(ledger.newer_rows(points, known)), path)
+    return store.read("measurement_line", year)
+
+
 def run_year(
     spark: SparkSession,
     survey_root: str,

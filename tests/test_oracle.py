@@ -17,6 +17,8 @@ def con():
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_equals_sql(spark, con, name):
     df = queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "EvalPython" not in plan
     if name in SQL:
         assert compare(df, con, SQL[name]) == ""
     else:
