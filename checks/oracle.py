@@ -391,15 +391,15 @@ ORACLE["log_new_files"] = with_views(
   {READ_AT} AS datetime_utc_read, CAST(3 AS INTEGER) AS completed_step
 FROM (SELECT l.*, row_number() OVER (PARTITION BY drive_file_name, report_year
     ORDER BY drive_folder_name || '/' || drive_file_name, drive_file_id) AS rn
-  FROM file_log l WHERE oid % 2 = 1) t
-WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM file_log g WHERE g.oid % 2 = 0
+  FROM file_log l) t
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM file_log g WHERE g.completed_step = 4
   AND g.drive_file_name = t.drive_file_name AND g.report_year = t.report_year)""",
 )
 ORACLE["log_new_files_substring"] = with_views(
     "file_log",
-    body="""SELECT oid, path FROM (SELECT oid, drive_folder_name || '/' || drive_file_name AS path FROM file_log WHERE oid % 2 = 1) n
+    body="""SELECT oid, path FROM (SELECT oid, drive_folder_name || '/' || drive_file_name AS path FROM file_log) n
 WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT 'archief/' || drive_folder_name || '/' || drive_file_name || '.oud' AS url
-  FROM file_log WHERE oid % 2 = 0) g WHERE contains(g.url, n.path))""",
+  FROM file_log WHERE completed_step = 4) g WHERE contains(g.url, n.path))""",
 )
 ORACLE["incremental_watermark"] = with_views(
     "measurement",
@@ -446,7 +446,7 @@ WHERE b.ctr_header_bestandsnaam = 'bestandsnaam conform header / bestandsmap con
 )
 ORACLE["backlog_count"] = with_views(
     "ingest",
-    body="SELECT (SELECT count(*) FROM file_log WHERE oid % 2 = 1) - (SELECT count(*) FROM ingest) AS n",
+    body="SELECT (SELECT count(*) FROM file_log) - (SELECT count(*) FROM ingest) AS n",
 )
 
 # --- filters and name checks ------------------------------------------------

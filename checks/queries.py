@@ -231,9 +231,9 @@ def sink_combined_csv(spark, sf):
 @query
 def sink_report_export(spark, sf):
     path = scratch_path(spark, "export")
-    located = scratch_path(spark, "located")
-    _located(spark, sf).write.parquet(located)
-    tables = reports.all_reports(spark.read.parquet(located), given.classes(spark), given.classes_p(spark))
+    located = settle(_located(spark, sf), "located")
+    counts = settle(shares.reading_counts(located), "reading-counts")
+    tables = reports.all_reports(located, given.classes(spark), given.classes_p(spark), counts)
     places = sinks.export_reports(tables, path)
     counted = [
         spark.read.option("sep", ";").option("header", True).csv(place).agg(F.count("*").alias("n"))
@@ -478,28 +478,26 @@ def decimal_comma(spark, sf):
     return plain(e.select("event_id", typed.alias("typed"), rounded.alias("whole")))
 
 
-def _day_first(spark, sf, sep):
-    m = given.measurements(spark, sf)
+def _day_first(sep):
+    """The measuring time with the day first; a bad date in every seventeenth row."""
     ts = F.col("tijdstip_meting_tekst")
-    day = F.concat(F.substring(ts, 9, 2).cast("int"), F.lit(sep), F.substring(ts, 6, 2).cast("int"), F.lit(sep), F.substring(ts, 1, 4))
-    bad = F.concat(F.lit("99"), F.lit(sep), F.lit("99"), F.lit(sep), F.lit("2024 00:00:00"))
-    shown = F.when(F.col("oid") % 17 == 0, bad).otherwise(F.concat(day, F.substring(ts, 11, 9)))
-    return m.select("oid", "tijdstip_meting_tekst", shown.alias("shown"))
+    day, month, year = F.substring(ts, 9, 2).cast("int"), F.substring(ts, 6, 2).cast("int"), F.substring(ts, 1, 4)
+    good = F.concat(day, F.lit(sep), month, F.lit(sep), year, F.substring(ts, 11, 9))
+    return F.when(F.col("oid") % 17 == 0, F.lit(f"99{sep}99{sep}2024 00:00:00")).otherwise(good)
 
 
 @query
 def parse_measure_time(spark, sf):
-    rows = _day_first(spark, sf, "/")
-    rows = rows.withColumn("shown", F.when(F.col("oid") % 3 == 0, F.col("tijdstip_meting_tekst")).otherwise(F.col("shown")))
-    parsed = rows.withColumn("tijdstip_meting", times.measure_time(F.col("shown")))
-    return parsed.select("oid", "tijdstip_meting", times.iso_text(F.col("tijdstip_meting")).alias("tekst"))
+    shown = F.when(F.col("oid") % 3 == 0, F.col("tijdstip_meting_tekst")).otherwise(_day_first("/"))
+    parsed = given.measurements(spark, sf).select("oid", times.measure_time(shown).alias("tijdstip_meting"))
+    return parsed.withColumn("tekst", times.iso_text(F.col("tijdstip_meting")))
 
 
 @query
 def parse_measure_time_legacy(spark, sf):
-    slash, dash = _day_first(spark, sf, "/"), _day_first(spark, sf, "-")
-    rows = slash.where(F.col("oid") % 2 == 0).unionByName(dash.where(F.col("oid") % 2 == 1))
-    return rows.select("oid", times.measure_time_legacy(F.col("shown")).alias("tijdstip_meting"))
+    shown = F.when(F.col("oid") % 3 == 0, _day_first("-")).otherwise(_day_first("/"))
+    m = given.measurements(spark, sf)
+    return m.select("oid", times.measure_time_legacy(shown).alias("tijdstip_meting"))
 
 
 @query

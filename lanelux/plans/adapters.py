@@ -146,12 +146,14 @@ def file_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(*[columns[n].cast(t).alias(n) for n, t in ((f.name, f.dataType) for f in FILE_LOG)])
 
 
-def logged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_log(spark, sf_dir).where(F.col("oid") % 2 == 0)
+def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing holds every file."""
+    return file_log(spark, sf_dir)
 
 
-def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_log(spark, sf_dir).where(F.col("oid") % 2 == 1)
+def logged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log holds the files that are checked."""
+    return file_log(spark, sf_dir).where(F.col("completed_step") == 4)
 
 
 # --- raw survey text --------------------------------------------------------
