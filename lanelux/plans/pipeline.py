@@ -25,7 +25,7 @@ from lanelux.schemas import FILE_LOG
 from lanelux.session import settle
 from lanelux.sources.catalog import list_files
 from lanelux.sources.segment_files import read_segments
-from lanelux.sources.survey_files import read_headers, read_survey
+from lanelux.sources.survey_files import scan_survey
 
 
 @dataclass(frozen=True)
@@ -102,13 +102,13 @@ def run_year(
     # The log is overwritten below, so what it held has to be stored elsewhere first.
     log = settle(known.unionByName(new.select(*FILE_LOG.names)), "file-log")
 
-    headers = read_headers(spark, survey_root).select("bestands_url", F.col("meting_serie_naam").alias("_series"))
-    queue = ledger.work_queue(log, report_year).join(headers, F.col("drive_file_id") == F.col("bestands_url"))
+    headers, rows = scan_survey(spark, survey_root)
+    series = headers.select("bestands_url", F.col("meting_serie_naam").alias("_series"))
+    queue = ledger.work_queue(log, report_year).join(series, F.col("drive_file_id") == F.col("bestands_url"))
     checks = ledger.check_names(queue.withColumn("measure_series_name", F.col("_series")))
     log = store.write("file_log", ledger.apply_checks(log, checks), report_year)
 
     conform = log.where("name_conform").select(F.col("drive_file_id").alias("bestands_url"))
-    rows = read_survey(spark, survey_root)
     rows = skew_safe_join(rows, conform, ["bestands_url"], how="left_semi", spread_by=["line_no"])
     imported = store.write("measurement_import", import_rows(rows, read_at), report_year)
     raw = accepted(imported)

@@ -54,20 +54,6 @@ def file_lines(
     return number_lines(settle(lines, "file-lines"))
 
 
-def _in_two_ways(found, root, whole, by_line, pattern, encoding, whole_file_bytes) -> DataFrame:
-    """``whole`` of the small files and ``by_line`` of the large ones, if there are any."""
-    rows = whole(whole_files(found.where(F.col("length") <= whole_file_bytes), encoding))
-    large = found.where(F.col("length") > whole_file_bytes).select("path")
-    if root is None:
-        root = [r["path"] for r in large.collect()]
-    elif not large.limit(1).count():
-        root = []
-    if root:
-        lines = file_lines(found.sparkSession, root, pattern, whole_file_bytes, encoding)
-        rows = rows.unionByName(by_line(lines).select(*rows.columns))
-    return rows
-
-
 def parse_found(
     found: DataFrame,
     root: str | list[str] | None = None,
@@ -76,53 +62,40 @@ def parse_found(
     pattern: str = "*.xls",
     encoding: str = ENCODING,
     whole_file_bytes: int = WHOLE_FILE_BYTES,
-) -> DataFrame:
-    """Body rows of listed files (binaryFile columns), by size in one of two ways.
+) -> tuple[DataFrame, DataFrame]:
+    """Headers and body rows of listed files (binaryFile columns), by size in one of two ways.
 
-    Without ``root`` the names of the large files are gathered from ``found``,
-    which must then be a bounded batch.
+    Headers have one row per file. Without ``root`` the names of the large
+    files are gathered from ``found``, which must then be a bounded batch.
     """
-    return _in_two_ways(
-        found,
-        root,
-        lambda files: parse_files(files, layout, delimiter),
-        lambda lines: parse_lines(lines, layout, delimiter),
-        pattern,
-        encoding,
-        whole_file_bytes,
-    )
+    files = whole_files(found.where(F.col("length") <= whole_file_bytes), encoding)
+    headers, rows = file_headers(files, layout, delimiter), parse_files(files, layout, delimiter)
+    large = found.where(F.col("length") > whole_file_bytes).select("path")
+    if root is None:
+        root = [r["path"] for r in large.collect()]
+    elif not large.limit(1).count():
+        root = []
+    if root:
+        lines = file_lines(found.sparkSession, root, pattern, whole_file_bytes, encoding)
+        tops = line_headers(lines, layout, delimiter)
+        headers = headers.unionByName(tops.select(*headers.columns))
+        rows = rows.unionByName(parse_lines(lines, layout, delimiter, tops))
+    return headers, rows
 
 
-def _find(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    return (
+def scan_survey(
+    spark: SparkSession, root: str, pattern: str = "*.xls", **options
+) -> tuple[DataFrame, DataFrame]:
+    """Headers and body rows of every survey file below ``root``; options as :func:`parse_found`."""
+    found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .load(root)
     )
+    return parse_found(found, root, pattern=pattern, **options)
 
 
-def read_survey(spark: SparkSession, root: str, pattern: str = "*.xls", **options) -> DataFrame:
-    """Body rows of every survey file below ``root``; options as :func:`parse_found`."""
-    return parse_found(_find(spark, root, pattern), root, pattern=pattern, **options)
-
-
-def read_headers(
-    spark: SparkSession,
-    root: str,
-    pattern: str = "*.xls",
-    layout: str = "keyed",
-    delimiter: str = "\t",
-    encoding: str = ENCODING,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
-) -> DataFrame:
-    """Header and column names of every survey file below ``root``, one row each."""
-    return _in_two_ways(
-        _find(spark, root, pattern),
-        root,
-        lambda files: file_headers(files, layout, delimiter),
-        lambda lines: line_headers(lines, layout, delimiter),
-        pattern,
-        encoding,
-        whole_file_bytes,
-    )
+def read_survey(spark: SparkSession, root: str, **options) -> DataFrame:
+    """Body rows of every survey file below ``root``; options as :func:`scan_survey`."""
+    return scan_survey(spark, root, **options)[1]

@@ -46,7 +46,7 @@ def start_ingest(
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        rows = parse_found(batch, pattern=pattern, whole_file_bytes=whole_file_bytes)
+        _, rows = parse_found(batch, pattern=pattern, whole_file_bytes=whole_file_bytes)
         (
             accepted(import_rows(rows, read_at))
             .withColumn("batch", F.lit(number).cast("bigint"))

@@ -8,7 +8,7 @@ from lanelux.operators import sinks, survey
 from lanelux.schemas import HEADER_KEYS
 from lanelux.sources import catalog
 from lanelux.sources.segment_files import read_segments
-from lanelux.sources.survey_files import file_lines, read_headers, read_survey
+from lanelux.sources.survey_files import file_lines, read_survey, scan_survey
 from lanelux.streaming.ingest import start_ingest
 
 READ_AT = datetime.datetime(2024, 1, 1)
@@ -192,10 +192,11 @@ def test_combined_2024(spark, tmp_path, rows):
     other = keyed(body(), head=series("N0010004 M2"))
     other[-2] = other[-2].replace("c5", "anders")
     write(tmp_path / "N0010004" / "N0010004 M2.xls", other)
-    got = survey.combined_2024(read_survey(spark, str(tmp_path)), read_headers(spark, str(tmp_path)))
-    by_line = survey.combined_2024(
-        read_survey(spark, str(tmp_path), whole_file_bytes=0), read_headers(spark, str(tmp_path), whole_file_bytes=0)
-    )
+    def combined(**options):
+        headers, parsed = scan_survey(spark, str(tmp_path), **options)
+        return survey.combined_2024(parsed, headers)
+
+    got, by_line = combined(), combined(whole_file_bytes=0)
     assert by_line.columns == got.columns and rows(by_line) == rows(got)
     assert got.columns[2:6] == ["meting_serie_naam", "ident8", "markering", "Position km"]
     assert "Speed km/h km/h" in got.columns and "c16" not in got.columns
