@@ -157,20 +157,26 @@ def _blocks_before() -> WindowSpec:
     return Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _split_lines(lines: DataFrame, delimiter: str) -> DataFrame:
-    return lines.select("bestands_url", "line_no", split_fields(F.col("value"), delimiter).alias("fields"))
-
+def _top_lines(lines: DataFrame, delimiter: str, broadcast_rows: int, rows_per_task: int) -> DataFrame:
+    """Split lines up to the column row, with the line ``_end`` that ends the header.
 
-def _with_header_end(rows: DataFrame, broadcast_rows: int, rows_per_task: int) -> DataFrame:
-    ends = rows.where(_blank(_field(F.col("fields"), 0))).groupBy("bestands_url").agg(F.min("line_no").alias("_end"))
-    return skew_safe_join(
-        rows,
+    Only lines that may begin with a blank field are split to find the end, and
+    only the top of each file is split after that.
+    """
+    fields = split_fields(F.col("value"), delimiter)
+    may_be_blank = F.col("value").rlike(rf'^[\s";\\\x1c-\x1f\x85\xa0]*({delimiter}|$)')
+    blank = lines.where(may_be_blank).where(_blank(_field(fields, 0)))
+    ends = blank.groupBy("bestands_url").agg(F.min("line_no").alias("_end"))
+    top = skew_safe_join(
+        lines,
         settle(ends, "header-ends"),
         ["bestands_url"],
+        condition=F.col("line_no") <= F.col("_end") + 1,
         spread_by=["line_no"],
         broadcast_rows=broadcast_rows,
         rows_per_task=rows_per_task,
     )
+    return top.withColumn("fields", fields).drop("value")
 
 
 def header_entries(
@@ -180,7 +186,7 @@ def header_entries(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Header of each file as (bestands_url, key, value); the last of a repeated key counts."""
-    rows = _with_header_end(_split_lines(lines, delimiter), broadcast_rows, rows_per_task)
+    rows = _top_lines(lines, delimiter, broadcast_rows, rows_per_task)
     return (
         rows.where(F.col("line_no") < F.col("_end"))
         .groupBy("bestands_url", _field(F.col("fields"), 0).alias("key"))
@@ -191,7 +197,7 @@ def header_entries(
 def _fields_of_lines(lines: DataFrame, layout: str, delimiter: str) -> DataFrame:
     if layout == "positional":
         return lines.select("bestands_url", "line_no", F.split("value", "\t").alias("fields"))
-    return _split_lines(lines, delimiter)
+    return lines.select("bestands_url", "line_no", split_fields(F.col("value"), delimiter).alias("fields"))
 
 
 def line_headers(
@@ -201,15 +207,17 @@ def line_headers(
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Header, column names and the line of these, one stored row per file."""
+    """Header, column names and the line of these, one stored row per file.
+
+    Line numbers have no gap up to the column row, which follows the blank row.
+    """
     number, fields = F.col("line_no"), F.col("fields")
-    rows = _fields_of_lines(lines, layout, delimiter)
     if layout == "positional":
         at = F.when(number == POSITIONAL_COLUMN_LINE, number)
         picks = [F.max(F.when(number == i, _field(fields, 1))).alias(n) for i, n in POSITIONAL_HEADER.items()]
-        rows = rows.where(number <= POSITIONAL_COLUMN_LINE)
+        rows = _fields_of_lines(lines.where(number <= POSITIONAL_COLUMN_LINE), layout, delimiter)
     else:
-        rows = _with_header_end(rows, broadcast_rows, rows_per_task)
+        rows = _top_lines(lines, delimiter, broadcast_rows, rows_per_task)
         at = F.when(number > F.col("_end"), number)
         in_header = number < F.col("_end")
         picks = [
