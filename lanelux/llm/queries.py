@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from lanelux.llm.packing import op4_packing
+from lanelux.llm.simhash import op2_simhash
 from lanelux.llm.token_files import op3_token_files
 
-QUERIES = {f.__name__: f for f in (op3_token_files, op4_packing)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op3_token_files, op4_packing)}
 
 ORACLE: dict[str, str] = {}
