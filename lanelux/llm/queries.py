@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from lanelux.llm.mixing import OP5_SQL, op5_mixing
 from lanelux.llm.packing import op4_packing
+from lanelux.llm.quality import op8_quality_rules
+from lanelux.llm.secrets import op6_secret_scans
 from lanelux.llm.simhash import op2_simhash
 from lanelux.llm.token_files import op3_token_files
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op3_token_files, op4_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (op2_simhash, op3_token_files, op4_packing, op5_mixing, op6_secret_scans, op8_quality_rules)
+}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_mixing": OP5_SQL,
+}
