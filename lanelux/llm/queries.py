@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lanelux.llm.langid import op10_language_id
 from lanelux.llm.mixing import OP5_SQL, op5_mixing
 from lanelux.llm.packing import op4_packing
 from lanelux.llm.quality import op8_quality_rules
@@ -11,7 +12,7 @@ from lanelux.llm.token_files import op3_token_files
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_simhash, op3_token_files, op4_packing, op5_mixing, op6_secret_scans, op8_quality_rules)
+    for f in (op2_simhash, op3_token_files, op4_packing, op5_mixing, op6_secret_scans, op8_quality_rules, op10_language_id)
 }
 
 ORACLE: dict[str, str] = {
