@@ -9,12 +9,25 @@ from lanelux.llm.quality import op8_quality_rules
 from lanelux.llm.secrets import op6_secret_scans
 from lanelux.llm.simhash import op2_simhash
 from lanelux.llm.token_files import op3_token_files
+from lanelux.llm.topk import OP1_SQL, op1_topk
+from lanelux.llm.urls import op7_url_filters
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_simhash, op3_token_files, op4_packing, op5_mixing, op6_secret_scans, op8_quality_rules, op10_language_id)
+    for f in (
+        op1_topk,
+        op2_simhash,
+        op3_token_files,
+        op4_packing,
+        op5_mixing,
+        op6_secret_scans,
+        op7_url_filters,
+        op8_quality_rules,
+        op10_language_id,
+    )
 }
 
 ORACLE: dict[str, str] = {
+    "op1_topk": OP1_SQL,
     "op5_mixing": OP5_SQL,
 }
