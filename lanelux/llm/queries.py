@@ -5,6 +5,7 @@ from __future__ import annotations
 from lanelux.llm.langid import op10_language_id
 from lanelux.llm.mixing import OP5_SQL, op5_mixing
 from lanelux.llm.packing import op4_packing
+from lanelux.llm.passages import op9_repeated_passages
 from lanelux.llm.quality import op8_quality_rules
 from lanelux.llm.secrets import op6_secret_scans
 from lanelux.llm.simhash import op2_simhash
@@ -23,6 +24,7 @@ QUERIES = {
         op6_secret_scans,
         op7_url_filters,
         op8_quality_rules,
+        op9_repeated_passages,
         op10_language_id,
     )
 }
