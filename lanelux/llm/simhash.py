@@ -60,13 +60,16 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in steps(batches, "text"):
         prints = np.array([fingerprint(t, shingle) for t in batch["text"].to_pylist()], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints)], ["doc_id", "print"])
+        yield pa.RecordBatch.from_arrays(
+            [batch["doc_id"], batch["place"], pa.array(prints)], ["doc_id", "place", "print"]
+        )
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and ``print``, the fingerprint as a signed 64-bit integer, of every row."""
+    """doc_id, ``place`` (a hash of the text) and ``print``, the fingerprint as a signed 64-bit integer, of every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(partial(_fingerprints, shingle=shingle), "doc_id long, print long")
+    rows = rows.withColumn("place", F.xxhash64("text"))
+    return rows.mapInArrow(partial(_fingerprints, shingle=shingle), "doc_id long, place long, print long")
 
 
 def _entries(column: str, blocks: int, distance: int):
@@ -163,6 +166,16 @@ def links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, til
     return grouped.select("own", "other").mapInArrow(partial(_linked, distance=distance), "u long, v long").distinct()
 
 
+def components(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+    """Per distinct ``print`` of ``prints`` (doc_id, print): component_id, and ``root``, a print that names the component."""
+    distinct = settle(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    joined = roots(links(distinct.select("print"), distance, blocks))
+    named = distinct.join(joined.withColumnRenamed("u", "print").withColumnRenamed("v", "root"), "print", "left")
+    named = named.withColumn("root", F.coalesce("root", "print"))
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return named.join(least, "root").select("print", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, fingerprint (16 hex digits), component_id.
 
@@ -171,17 +184,28 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     id. Repeated rows stay. An empty table gives no rows. Other columns are not read.
     """
     prints = settle(fingerprints(docs, shingle), "fingerprints")
-    distinct = settle(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    joined = roots(links(distinct.select("print"), distance, blocks))
-    named = distinct.join(joined.withColumnRenamed("u", "print").withColumnRenamed("v", "root"), "print", "left")
-    named = named.withColumn("root", F.coalesce("root", "print"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    components = named.join(least, "root").select("print", "component_id")
-    return prints.join(components, "print").select(
+    return prints.join(components(prints, distance, blocks), "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def kept(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+    """One row of ``docs`` (doc_id, text and others) per component, that of its smallest doc_id.
+
+    Rows that share that id are told apart by a hash of their text, of which the smallest stays; rows
+    that are equal in both stay one row. A component of null ids alone keeps one row too.
+    """
+    place = F.xxhash64(F.col("text").cast("string"))
+    prints = settle(fingerprints(docs, shingle), "fingerprints")
+    named = prints.join(components(prints, distance, blocks), "print")
+    first = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "place")).alias("own"))
+    first = settle(first.select(F.col("own.doc_id").alias("_id"), F.col("own.place").alias("_place")).distinct(), "kept")
+    named = docs.withColumn("_place_", place)
+    same = F.col("_id").eqNullSafe(named["doc_id"].cast("long")) & (F.col("_place") == F.col("_place_"))
+    rows = named.join(first.hint("shuffle_hash"), same, "left_semi")
+    return rows.dropDuplicates(["doc_id", "_place_"]).drop("_place_")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents whose fingerprints differ in at most four bits."""
     return near_duplicates(table(spark, sf_dir, "documents"))
