@@ -156,3 +156,32 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_policy(entries, STANDARD).select(
         "doc_id", *MEASURES[:5], base.alias("base_failed"), "kept", "failed"
     )
+
+
+OP8_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS place, doc_id, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), i AS (
+    SELECT place, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2
+), g AS (
+    SELECT place, i, count(*) OVER (PARTITION BY place, w[i], w[i + 1], w[i + 2]) AS n FROM i
+), r AS (
+    SELECT place, count(DISTINCT i + k) AS n_repeat_words FROM g, (VALUES (0), (1), (2)) AS o(k) WHERE n > 1 GROUP BY place
+), m AS (
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: len(x))), 0)::BIGINT AS word_chars,
+           len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+           len(lines) AS n_lines, len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) AS n_alpha_words
+    FROM d LEFT JOIN r USING (place)
+), f AS (
+    SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > 3 * n_words)::INT
+        + 8 * (n_dup_lines > 2 AND 10 * n_dup_lines > 3 * n_lines)::INT
+        + 16 * (word_chars < 2 * n_words OR word_chars > 16 * n_words)::INT + 32 * (10 * n_alpha_words < 6 * n_words)::INT)::BIGINT AS failed
+    FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed
+FROM f
+"""

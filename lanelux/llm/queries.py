@@ -6,8 +6,8 @@ from lanelux.llm.langid import op10_language_id
 from lanelux.llm.mixing import OP5_SQL, op5_mixing
 from lanelux.llm.packing import op4_packing
 from lanelux.llm.passages import op9_repeated_passages
-from lanelux.llm.quality import op8_quality_rules
-from lanelux.llm.secrets import op6_secret_scans
+from lanelux.llm.quality import OP8_SQL, op8_quality_rules
+from lanelux.llm.secrets import OP6_SQL, op6_secret_scans
 from lanelux.llm.simhash import op2_simhash
 from lanelux.llm.token_files import op3_token_files
 from lanelux.llm.topk import OP1_SQL, op1_topk
@@ -32,4 +32,6 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op1_topk": OP1_SQL,
     "op5_mixing": OP5_SQL,
+    "op6_secret_scans": OP6_SQL,
+    "op8_quality_rules": OP8_SQL,
 }

@@ -202,3 +202,38 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, path: str | None =
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All spans of secrets in all documents, by a new ledger."""
     return report(table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = r"""
+WITH rules(ord, kind, pattern, grp, least) AS (VALUES
+    (0, 'assign', '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 8),
+    (1, 'access', 'AKIA[A-Z0-9]+', 0, 16),
+    (2, 'hex', '[0-9a-f]+', 0, 32),
+    (3, 'pem', '-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----', 0, 1),
+    (4, 'jwt', 'eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}', 0, 1)
+), d AS (
+    SELECT row_number() OVER () AS place, doc_id, coalesce(text, '') AS t FROM documents
+), m AS (
+    SELECT place, 0 AS ord, regexp_extract_all(t, (SELECT pattern FROM rules WHERE ord = 0), 0) AS found,
+           regexp_extract_all(t, (SELECT pattern FROM rules WHERE ord = 0), 2) AS sized,
+           string_split_regex(t, (SELECT pattern FROM rules WHERE ord = 0)) AS pieces FROM d
+    UNION ALL
+    SELECT place, ord, regexp_extract_all(t, pattern, 0), regexp_extract_all(t, pattern, 0), string_split_regex(t, pattern)
+    FROM d CROSS JOIN rules WHERE ord > 0
+), k AS (
+    SELECT *, unnest(range(1, len(found) + 1)) AS k FROM m
+), s AS (
+    SELECT k.place, k.ord, rules.kind,
+           (list_sum(list_transform(pieces[:k], lambda x: len(x))) + coalesce(list_sum(list_transform(found[:k - 1], lambda x: len(x))), 0))::BIGINT AS a,
+           len(found[k]) AS n
+    FROM k JOIN rules USING (ord) WHERE len(sized[k]) >= rules.least
+), g AS (
+    SELECT place, count(*) FILTER (ord = 0) AS n_assign, count(*) FILTER (ord = 1) AS n_access, count(*) FILTER (ord = 2) AS n_hex,
+           string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, ord) FILTER (ord < 3) AS base,
+           string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, ord) AS spans
+    FROM s GROUP BY place
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (place)
+"""
