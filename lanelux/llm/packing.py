@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanelux.llm.common import steps, table
-from lanelux.llm.tokens import BYTE_BPE, encoder
+from lanelux.llm.tokens import BYTE_BPE, TOKEN_STEP, Vocabulary, encoder
 
 LENGTH = 1024
 END_ID = 0
@@ -69,11 +69,11 @@ def fill_gaps(bins: list[list[tuple[int, int, int]]], length: int, least: int) -
     What is then left in a bin that others were filled from is cut to sequences whose lengths are
     powers of two, which need no padding.
     """
-    fills = [sum(p[2] for p in b) for b in bins]
-    order = sorted(range(len(bins)), key=lambda b: -fills[b])
+    order = sorted(range(len(bins)), key=lambda b: -sum(p[2] for p in bins[b]))
     out, at, last = [], 0, len(order) - 1
     while at <= last:
-        own, fill = bins[order[at]], fills[order[at]]
+        own = bins[order[at]]
+        fill = sum(p[2] for p in own)  # others may have been filled from it
         while at < last and padding(fill, length) >= least:
             item, start, size = bins[order[last]].pop()
             take = min(size, length - fill)
@@ -132,7 +132,7 @@ def _pack(batches: Iterator[pa.RecordBatch], length, end_id, vocabulary, path, g
             sequence += 1
         rest.clear()
 
-    for batch in steps(batches, "text"):
+    for batch in steps(batches, "text", TOKEN_STEP):
         columns = batch["doc_id"].to_pylist(), batch["_group"].to_pylist(), encode(batch["text"].to_pylist())
         for doc_id, own_group, ids in zip(*columns, strict=True):
             if own_group != group:
@@ -158,7 +158,7 @@ def pack(
     docs: DataFrame,
     length: int = LENGTH,
     end_id: int = END_ID,
-    vocabulary: tuple[str, str] = BYTE_BPE,
+    vocabulary: Vocabulary = BYTE_BPE,
     tokenizer_path: str | None = None,
     group_docs: int = 2048,
     least_piece: int = 4,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lanelux.llm import frames
 from lanelux.llm.common import sized, steps, table
-from lanelux.llm.tokens import WORD_BPE, encoder
+from lanelux.llm.tokens import TOKEN_STEP, WORD_BPE, Vocabulary, encoder
 from lanelux.session import scratch_path, settle
 
 END_ID = 2
@@ -43,7 +43,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, end_id: int, vocabula
             [pa.array(v, t) for v, t in zip(own, types, strict=True)], ["part", "file", "path", "n_docs", "n_tokens"]
         )
 
-    for batch in steps(batches, "text"):
+    for batch in steps(batches, "text", TOKEN_STEP):
         for doc_id, ids in zip(batch["doc_id"].to_pylist(), encode(batch["text"].to_pylist()), strict=True):
             if writer is None:
                 name = f"{part:06d}-{n:04d}-{uuid.uuid4().hex}.zst"
@@ -60,7 +60,7 @@ def write_token_files(
     docs: DataFrame,
     folder: str,
     end_id: int = END_ID,
-    vocabulary: tuple[str, str] = WORD_BPE,
+    vocabulary: Vocabulary = WORD_BPE,
     tokenizer_path: str | None = None,
     file_bytes: int = 64 << 20,
 ) -> DataFrame:

@@ -1,12 +1,12 @@
 """Whole texts to token ids, with the ids of repeated words kept.
 
-The tokenizers library does the encoding. Both vocabularies used here cut a text
-before they merge: a blank, tab or line break after another character always ends
-a piece. So the ids of a text are those of its units one after another, where a
-unit is a run of white space and the word behind it, and a unit met before needs
-no second encoding. New units of many texts are joined by a separator, encoded in
-one call and cut apart at the separator's id. A text with any other kind of white
-space, or with the separator itself, is encoded in one piece.
+The tokenizers library does the encoding. Both vocabularies used here cut a text into
+pieces before they merge, and two places always are cuts: between a character and white
+space behind it, and between an ASCII letter and an ASCII sign behind it. So the ids of a
+text are those of its units one after another, where units end at such places, and each
+different unit of many texts is encoded once. New units are joined by a separator,
+encoded in one call and cut apart at the separator's id. A text with any white space but
+blanks, tabs and line breaks is encoded in one piece.
 """
 
 from __future__ import annotations
@@ -16,100 +16,162 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
 IDS = np.dtype("<u4")
 
-_UNITS = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+").findall
-_OTHER_SPACE = re.compile(r"[^\S \n\t\r]|[\x00\x0b\x0c\x1c-\x1f\x85᠎​⁠﻿]").search
-_MARKS = frozenset(".,")
+#: Bytes of text that are cut into units together.
+TOKEN_STEP = 12 << 20
 
-
-def _parts(unit: str) -> tuple[str, ...]:
-    """Shorter units whose ids, one after another, are those of ``unit``.
-
-    White space before a word is a piece up to its last character; that one belongs
-    to the word if it is a blank and is a piece otherwise. A full stop or comma
-    behind a letter begins a piece.
-    """
-    word = unit.lstrip(" \n\t\r")
-    at = len(unit) - len(word)
-    if at and (at > 1 or unit[0] != " ") and word:
-        own = (unit[: at - 1], " " + word) if unit[at - 1] == " " else (unit[: at - 1], unit[at - 1], word)
-        return tuple(p for own_part in own if own_part for p in _parts(own_part))
-    if len(word) > 1 and word[-1] in _MARKS and word[-2].isascii() and word[-2].isalpha():
-        return unit[:-1], word[-1]
-    return (unit,)
+_SPACE, _LETTER, _SIGN = 1, 2, 4
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[list(b" \n\t\r")] = _SPACE
+_KINDS[[c for c in range(128) if chr(c).isalpha()]] = _LETTER
+_KINDS[[c for c in range(33, 127) if not chr(c).isalnum()]] = _SIGN
+_OTHER_SPACE = re.compile("[^\\S \n\t\r]|[\x00\x0b\x0c\x1c-\x1f\x85᠎​⁠﻿]").search
 
 
 class Encoder:
     """Encodes texts; keeps the ids of some ``keep`` units used last.
 
-    ``joined`` is the number of new units that share a call of the library.
+    ``joined`` is the number of new units that share a piece of text. ``folds`` says that the
+    vocabulary drops white space and letter case.
     """
 
-    def __init__(self, path: str, separator: str, keep: int = 800_000, joined: int = 1024):
+    def __init__(self, path: str, separator: str, folds: bool, keep: int = 800_000, joined: int = 1024):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._separator, self._half, self._joined = separator, keep // 2, joined
+        self._separator, self._folds, self._half, self._joined = separator, folds, keep // 2, joined
         self._mark = self._whole(separator)
-        self._known: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
+        self._known: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, IDS).tobytes()
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         """Ids of ``new``, of which none is known."""
-        known, between = self._known, self._separator.strip(" ")
+        known, between = self._known, self._separator.strip(" ").encode()
         plain = [u for u in new if between not in u and not u.isspace()] if len(self._mark) == 4 else []
         parts = [plain[start : start + self._joined] for start in range(0, len(plain), self._joined)]
-        joined = self._tokenizer.encode_batch_fast([self._separator.join(p) for p in parts], add_special_tokens=False)
+        join = self._separator.encode().join
+        texts = [join(p).decode() for p in parts]
         mark = int.from_bytes(self._mark[:4], "little")
-        for part, encoding in zip(parts, joined, strict=True):
+        for part, encoding in zip(parts, self._tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             ids = np.array(encoding.ids, IDS)
             cuts = np.flatnonzero(ids == mark)
             if len(cuts) == len(part) - 1:
                 raw, bounds = ids.tobytes(), (4 * cuts).tolist()
                 known.update(
-                    (u, raw[a:b]) for u, a, b in zip(part, [0, *(c + 4 for c in bounds)], [*bounds, len(raw)], strict=True)
+                    [(u, raw[a:b]) for u, a, b in zip(part, [0, *(c + 4 for c in bounds)], [*bounds, len(raw)], strict=True)]
                 )
-        known.update((u, self._whole(u)) for u in new if u not in known)
+        known.update([(u, self._whole(u.decode())) for u in new if u not in known])
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
-        units = [_UNITS(t) if t else [] for t in texts]
+    def _need(self, units: list[bytes]) -> None:
+        """Make all ``units`` known.
+
+        White space before a word is a piece up to its last character; that one belongs to the word
+        if it is a blank and is a piece otherwise.
+        """
         if len(self._known) > self._half:
             self._known, self._older = {}, self._known
         known, older = self._known, self._older
-        new = set().union(*units).difference(known)
-        odd = {u for u in new if _OTHER_SPACE(u)}
+        new = [u for u in units if u not in known]
         known.update([(u, older[u]) for u in new if u in older])
-        parts = {u: _parts(u) for u in new.difference(known, odd)}
-        self._learn(list({p for own in parts.values() for p in own}.difference(known)))
+        new = [u for u in new if u not in known]
+        parts: dict[bytes, tuple[bytes, ...]] = {}
+        for u in new:
+            word = u.lstrip(b" \n\t\r")
+            at = len(u) - len(word)
+            if word and at and (at > 1 or u[:1] != b" "):
+                own = (u[: at - 1], b" " + word) if u[at - 1 : at] == b" " else (u[: at - 1], u[at - 1 : at], word)
+                parts[u] = tuple(p for p in own if p)
+        stems = {u for u in new if u not in parts}
+        stems.update([p for own in parts.values() for p in own if p not in known])
+        self._learn(list(stems))
         for u, own in parts.items():
-            if len(own) > 1:
-                known[u] = b"".join([known[p] for p in own])
-        return [
-            self._whole(t) if odd and not odd.isdisjoint(own) else b"".join([known[u] for u in own])
-            for t, own in zip(texts, units, strict=True)
-        ]
-
+            known[u] = b"".join([known[p] for p in own])
 
-#: White space is dropped in this vocabulary; a control character is a piece and one id.
-WORD_BPE = ("word_bpe_49k.json", " \x01 ")
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
+        out: list[bytes] = []
+        raw = [t.encode() if t else b"" for t in texts]
+        at = 0
+        while at < len(raw):
+            end, size = at, 0
+            while end < len(raw) and (size < TOKEN_STEP or end == at):
+                size += len(raw[end])
+                end += 1
+            out += self._encode(raw[at:end])
+            at = end
+        return out
+
+    def _encode(self, raw: list[bytes]) -> list[bytes]:
+        joined = b"".join(raw)
+        if not joined:
+            return [b""] * len(raw)
+        data = np.frombuffer(joined.lower() if self._folds else joined, np.uint8)
+        kinds = _KINDS[data]
+        space = kinds == _SPACE
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        ends = np.cumsum(sizes)
+        first = np.zeros(len(data), bool)  # bytes that begin a unit
+        first[1:] = (space[1:] & ~space[:-1]) | ((kinds[1:] == _SIGN) & (kinds[:-1] == _LETTER))
+        if self._folds:
+            first[1:] |= space[:-1] & ~space[1:]
+        first[(ends - sizes)[sizes > 0]] = True
+        if self._folds:  # white space has no ids
+            first &= ~space
+            kept = np.cumsum(~space)
+            starts = np.flatnonzero(first)
+            owner = np.searchsorted(ends, starts, "right")
+            starts, data = kept[starts] - 1, data[~space]
+        else:
+            starts = np.flatnonzero(first)
+            owner = np.searchsorted(ends, starts, "right")
+        counts = np.bincount(owner, minlength=len(raw))
+        if not len(starts):
+            return [b""] * len(raw)
+        offsets = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
+        units = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, offsets, pa.py_buffer(data)]).dictionary_encode()
+        different = units.dictionary.to_pylist()
+        index = units.indices.to_numpy()
+        other = np.fromiter((u not in self._known and _OTHER_SPACE(u.decode()) is not None for u in different), bool, len(different))
+        self._need([u for u, odd in zip(different, other.tolist(), strict=True) if not odd] if other.any() else different)
+        known = self._known
+        ids = [b"" if odd else known[u] for u, odd in zip(different, other.tolist(), strict=True)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        table = np.frombuffer(b"".join(ids), IDS)
+        table_starts = np.cumsum(lengths) - lengths
+        own = lengths[index]
+        before = np.cumsum(own) - own
+        flat = table[np.repeat(table_starts[index] - before, own) + np.arange(int(own.sum()))].tobytes()
+        unit_ends = np.concatenate([[0], np.cumsum(counts)])
+        bounds = np.append(before, len(flat) // 4)[unit_ends] * 4
+        out = [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        if other.any():
+            for k in np.unique(owner[other[index]]).tolist():
+                out[k] = self._whole(raw[k].decode())
+        return out
+
+
+#: White space and case are dropped in this vocabulary; a control character is a piece and one id.
+WORD_BPE = ("word_bpe_49k.json", " \x01 ", True)
 #: A line break is one id in this vocabulary, and no plain unit holds one.
-BYTE_BPE = ("byte_bpe_50k.json", "\n")
+BYTE_BPE = ("byte_bpe_50k.json", "\n", False)
+
+Vocabulary = tuple[str, str, bool]
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+_encoders: dict[Vocabulary, Encoder] = {}
 
 
-def encoder(vocabulary: tuple[str, str] = WORD_BPE, path: str | None = None) -> Encoder:
+def encoder(vocabulary: Vocabulary = WORD_BPE, path: str | None = None) -> Encoder:
     """The worker's encoder for a vocabulary; ``path`` names another place of its file."""
-    name, separator = vocabulary
-    key = (path or public_tokenizers.path(name), separator)
+    name, separator, folds = vocabulary
+    key = (path or public_tokenizers.path(name), separator, folds)
     if key not in _encoders:
         _encoders[key] = Encoder(*key)
     return _encoders[key]
