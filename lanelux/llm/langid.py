@@ -13,7 +13,6 @@ order, so transitions between languages are seen. Prediction reads whole texts.
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -37,33 +36,58 @@ KEEP_WORDS = 300_000
 UNKNOWN = "und"
 
 
-def _features(word: str) -> list[int]:
-    """Hashed features of a word: lexicon entry, affixes, n-grams, shape."""
-    low = word.lower()
-    core = low.strip(".,;:!?\"'()[]|") or low
-    own = [f"w{core}", f"c{len(core) > 3}"]
-    own += [f"p{core[:k]}" for k in (1, 2, 3, 4) if len(core) >= k]
-    own += [f"s{core[-k:]}" for k in (1, 2, 3, 4) if len(core) >= k]
-    edged = f"^{core[:40]}$"
-    own += [f"2{edged[k : k + 2]}" for k in range(len(edged) - 1)]
-    own += [f"3{edged[k : k + 3]}" for k in range(len(edged) - 2)]
-    size = (1 << WEIGHT_BITS) - 1
-    return [zlib.crc32(f.encode()) & size for f in own]
+_PUNCTUATION = ".,;:!?\"'()[]|"
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+_TURN = np.uint64(0xA0761D6478BD642F)
+_LONGEST = 40
 
 
-def _table(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all words in one array, and where each word's begin."""
-    own = [_features(w) for w in words]
-    sizes = np.fromiter(map(len, own), np.int64, len(own))
-    flat = np.fromiter((x for f in own for x in f), np.int64, int(sizes.sum()))
-    return flat, np.concatenate([[0], np.cumsum(sizes)])
+def _hashed(kind: int, parts: list[np.ndarray]) -> np.ndarray:
+    """Weight rows of features of one kind, each made of the characters at the same place of ``parts``."""
+    mixed = np.full(len(parts[0]), kind * 0x51ED270B, np.uint64)
+    for k, part in enumerate(parts):
+        mixed = (mixed + part) * _ODD[k]
+    return (((mixed ^ (mixed >> np.uint64(31))) * _TURN) >> np.uint64(64 - WEIGHT_BITS)).astype(np.int64)
 
 
-def _scores(weights: np.ndarray, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    if len(starts) == 1:
-        return np.zeros((0, weights.shape[1]))
-    sums = np.add.reduceat(weights[flat], starts[:-1], axis=0)
-    return sums / np.sqrt(np.diff(starts))[:, None]
+def _table(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed features of all words (weight rows), the words they belong to, and how many each word has.
+
+    A word is taken in lower case, without punctuation around it, up to ``_LONGEST`` characters. It
+    has a lexicon entry, prefixes and suffixes of one to four characters, and the pairs and triples of
+    its characters with marks for its ends.
+    """
+    low = [w.lower() for w in words]
+    cores = [(w.strip(_PUNCTUATION) or w)[:_LONGEST] for w in low]
+    sizes = np.fromiter(map(len, cores), np.int64, len(cores)) + 2
+    marked = "".join(["\x02" + c + "\x03" for c in cores])
+    codes = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    ends = np.cumsum(sizes)
+    starts, number = ends - sizes, np.arange(len(cores))
+    owner = np.repeat(number, sizes)
+    place = np.arange(len(codes)) - np.repeat(starts, sizes)
+    left = np.repeat(sizes, sizes) - place
+    flat, owners = [], []
+    if len(cores):
+        powers = np.multiply.accumulate(np.full(_LONGEST + 2, _ODD[0]))
+        flat.append(_hashed(1, [np.add.reduceat(codes * powers[place], starts)]))
+        owners.append(number)
+    for k in (1, 2, 3, 4):
+        ok = sizes - 2 >= k
+        for kind, first in ((10 + k, starts[ok] + 1), (20 + k, ends[ok] - 1 - k)):
+            flat.append(_hashed(kind, [codes[first + j] for j in range(k)]))
+            owners.append(number[ok])
+    for k in (2, 3):
+        first = np.flatnonzero(left >= k)
+        flat.append(_hashed(30 + k, [codes[first + j] for j in range(k)]))
+        owners.append(owner[first])
+    all_owners = np.concatenate(owners)
+    return np.concatenate(flat), all_owners, np.bincount(all_owners, minlength=len(cores))
+
+
+def _scores(weights: np.ndarray, flat: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    sums = np.stack([np.bincount(owner, weights[flat, k], len(counts)) for k in range(weights.shape[1])], axis=1)
+    return sums / np.sqrt(np.maximum(1, counts))[:, None]
 
 
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, first: np.ndarray):
@@ -126,9 +150,8 @@ def train(texts: list[str], labels: list[str], rounds: int = 14, rate: float = 0
     weights = np.zeros((1 << WEIGHT_BITS, size))
     moves, first = np.zeros((size, size)), np.zeros(size)
     if pieces:
-        flat, starts = _table(list(known))
-        scaled = 1 / np.sqrt(np.diff(starts))
-        owner = np.repeat(np.arange(len(known)), np.diff(starts))
+        flat, owner, counts = _table(list(known))
+        scaled = 1 / np.sqrt(np.maximum(1, counts))
         squares, move_squares, first_squares = np.full_like(weights, 1e-8), np.full_like(moves, 1e-8), np.full(size, 1e-8)
         for _ in range(rounds):
             order = rng.permutation(len(pieces))
@@ -138,7 +161,7 @@ def train(texts: list[str], labels: list[str], rounds: int = 14, rate: float = 0
                 gold = np.repeat([y for _, y in chosen], [len(p) for p, _ in chosen])
                 # three pieces make a chain
                 lengths = np.array([sum(len(p) for p, _ in chosen[k : k + 3]) for k in range(0, len(chosen), 3)])
-                scores = _scores(weights, flat, starts)[words]
+                scores = _scores(weights, flat, owner, counts)[words]
                 posterior, forward, backward, local, scale, _ = forward_backward(scores, lengths, moves, first)
                 gradient = -posterior
                 gradient[np.arange(len(gold)), gold] += 1
