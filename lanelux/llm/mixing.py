@@ -151,8 +151,8 @@ def mix(docs: DataFrame, plan: DataFrame, seed: int = 11) -> DataFrame:
     named = docs.withColumns(
         {"_mix_key": _source(F.col("source")), "_mix_size": words(text), "_mix_unit": random_unit(F.col("doc_id"), text, seed)}
     )
-    own = plan.select("key", F.struct("source_size", "target", "whole", "odds", "cut", "last").alias("_mix_plan"))
-    joined = named.join(own, named["_mix_key"] == own["key"]).drop("key")
+    own = plan.select(F.col("key").alias("_mix_of"), F.struct("source_size", "target", "whole", "odds", "cut", "last").alias("_mix_plan"))
+    joined = named.join(own, F.col("_mix_key") == F.col("_mix_of")).drop("_mix_of")
     rank = _rank(F.col("_mix_unit"), F.col("_mix_plan.odds"))
     more = F.coalesce(rank <= F.col("_mix_plan.cut"), F.lit(False)) | rank.eqNullSafe(F.col("_mix_plan.last"))
     more = more & rank.isNotNull()

@@ -139,14 +139,15 @@ def found(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -
     known = F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(v).alias("version"), F.lit(n).alias("n")) for (k, v), n in order.items()))
     hits = ledger.where("spans is not null and size(spans) > 0").distinct()
     hits = hits.withColumn(
-        "n", F.filter(known, lambda x: (x["kind"] == F.col("kind")) & (x["version"] == F.col("version")))[0]["n"]
-    ) if rules else hits
+        "n", F.get(F.filter(known, lambda x: (x["kind"] == F.col("kind")) & (x["version"] == F.col("version"))), F.lit(0))["n"]
+    )
     hits = hits.where("n is not null")
     each = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.col("n").alias("n"), F.col("kind"), s["end"].alias("end")))
     per_blob = hits.select("blob", each.alias("own")).groupBy("blob")  # one row per rule
     per_blob = per_blob.agg(F.array_sort(F.flatten(F.collect_list("own"))).alias("_found"))
     named = blobs(docs).drop("_text")
-    return named.join(per_blob, named["_blob"] == per_blob["blob"], "left").drop("blob", "_blob")
+    per_blob = per_blob.select(F.col("blob").alias("_of"), "_found")
+    return named.join(per_blob, F.col("_blob") == F.col("_of"), "left").drop("_of", "_blob")
 
 
 def _joined(spans_: Column) -> Column:

@@ -109,6 +109,8 @@ def search(
             rows = alive[at == b]
             span = slice(starts[b], starts[b] + block)
             scores, names = _product(queries[rows], vectors[span]), ids[span]
+            if scores.dtype == object:
+                scores = np.minimum(np.maximum(scores, -LONGEST - 1), LONGEST)
             scored += len(rows)
             for q, line in zip(rows.tolist(), scores, strict=True):
                 good = np.flatnonzero((line >= kth[q]) & (names != own[q]))
@@ -222,7 +224,7 @@ def _searched(batches: Iterator[pa.RecordBatch], k: int):
             queries = _unpacked(r["q_vectors"], r["q_item"], r["q_width"], r["q_rows"])
             best_ids, best, _ = search(queries, own, np.array(r["q_least"]), ids, vectors, k)
             sizes = [len(b) for b in best]
-            scores = [max(-LONGEST - 1, min(LONGEST, int(s))) for b in best for s in b]
+            scores = [int(s) for b in best for s in b]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(own, sizes)), pa.array(np.concatenate(best_ids)) if best_ids else pa.array([], pa.int64()), pa.array(scores, pa.int64())],
                 ["query_id", "vec_id", "score"],
@@ -236,7 +238,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, range_bytes: int = RA
     vec_id, all candidates if there are fewer than k. Vectors that are null or hold a null or
     non-finite component take no part, nor do null ids. A row is no candidate for its own id.
     Repeated ids count once, with the best score. Of vectors of different length the common
-    components count; an empty vector scores 0 with all. Scores beyond a long are the nearest long.
+    components count; an empty vector scores 0 with all. Scores beyond a long are the nearest long and tie there.
     An empty table gives no rows. Other columns are not read.
     """
     spark = vectors.sparkSession
