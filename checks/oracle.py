@@ -282,6 +282,18 @@ _FILE_SUMS = with_views(
   min(date_trunc('second', tijdstip_meting)) AS first_at, max(date_trunc('second', tijdstip_meting)) AS last_at
 FROM measurement GROUP BY 1""",
 )
+_FILES = """
+SELECT 'B' || lpad(CAST(oid // 1000 AS VARCHAR), 7, '0') || ' M1' AS file,
+  CASE oid // 1000 % 8 WHEN 1 THEN 'no header end' WHEN 3 THEN 'no column row' WHEN 5 THEN 'no series name' ELSE 'ok' END AS outcome,
+  CASE WHEN oid // 1000 % 8 <> 1 THEN max(toestel) END AS toestel,
+  CASE WHEN oid // 1000 % 8 IN (1, 3, 5) THEN 0 ELSE count(*) END AS n_good,
+  CASE WHEN oid // 1000 % 8 = 5 THEN count(*) ELSE 0 END AS n_bad
+FROM measurement GROUP BY oid // 1000
+"""
+ORACLE["stream_ingest_outcomes"] = with_views("measurement", body=_FILES)
+ORACLE["survey_file_outcomes"] = with_views(
+    "measurement", body=f"SELECT * FROM ({_FILES}) CROSS JOIN (VALUES ('whole'), ('lines')) w(way)"
+)
 for _name in ("survey_read_files", "survey_read_large_files", "stream_ingest"):
     ORACLE[_name] = _FILE_SUMS
 

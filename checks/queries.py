@@ -19,7 +19,7 @@ from lanelux.schemas import LAMBERT72_SRID, PROVINCES
 from lanelux.session import scratch_path, settle
 from lanelux.sources import catalog
 from lanelux.sources.segment_files import read_segments
-from lanelux.sources.survey_files import file_lines, read_survey
+from lanelux.sources.survey_files import WHOLE_FILE_BYTES, file_lines, read_survey, scan_survey
 from lanelux.streaming.ingest import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +125,36 @@ def survey_read_large_files(spark, sf):
     return _file_sums(good)
 
 
+def _file_of(url):
+    return F.regexp_extract(url, r"bestand=([^/]+)/", 1)
+
+
+def _counted(files, imported):
+    """Per file what became of it and of its lines."""
+    bad = F.size("errors") > 0
+    lines = imported.groupBy("bestands_url").agg(F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
+    none = F.lit(0).cast("long")
+    return files.join(lines, "bestands_url", "left").select(
+        _file_of("bestands_url").alias("file"),
+        "outcome",
+        "toestel",
+        F.coalesce("good", none).alias("n_good"),
+        F.coalesce("bad", none).alias("n_bad"),
+    )
+
+
+@query
+def survey_file_outcomes(spark, sf):
+    """Sound and broken files, read whole and line by line."""
+    path = scratch_path(spark, "broken-files")
+    given.write_survey_files(given.measurements(spark, sf), path, broken=True)
+    found = []
+    for way, size in (("whole", WHOLE_FILE_BYTES), ("lines", 0)):
+        headers, rows = scan_survey(spark, path, pattern="*.txt", whole_file_bytes=size)
+        found.append(_counted(headers, survey.import_rows(rows, READ_AT)).withColumn("way", F.lit(way)))
+    return survey.union_frames(found)
+
+
 @query
 def segment_load(spark, sf):
     path = scratch_path(spark, "segment-export")
@@ -750,3 +780,15 @@ def stream_ingest(spark, sf):
     for _ in range(2):
         start_ingest(spark, folder, table, checkpoint, READ_AT, pattern="*.txt", files_per_batch=40).awaitTermination()
     return _file_sums(spark.read.parquet(table))
+
+
+@query
+def stream_ingest_outcomes(spark, sf):
+    """Sound and broken files in small batches: no file and no line is lost."""
+    path = scratch_path(spark, "broken-files")
+    given.write_survey_files(given.measurements(spark, sf), path, broken=True)
+    table, checkpoint = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-checkpoint")
+    start_ingest(spark, path, table, checkpoint, READ_AT, pattern="*.txt", files_per_batch=40).awaitTermination()
+    sound = spark.read.parquet(table).select("bestands_url", F.array().cast("array<string>").alias("errors"))
+    faulty = spark.read.parquet(f"{table}_rejected").select("bestands_url", "errors")
+    return _counted(spark.read.parquet(f"{table}_files"), sound.unionByName(faulty))

@@ -73,9 +73,12 @@ def name_conform(file_name: Column, folder: Column, series: Column) -> Column:
 
 
 def rejection_2024(file_name: Column, folder: Column, series: Column) -> Column:
-    """Why a file is left out of the combined table; NULL when it is taken."""
-    return F.when(first_token(file_name) != folder, F.lit("map")).when(
-        F.regexp_replace(file_name, r"\.[^.]*$", "") != series, F.lit("reeks")
+    """Why a file is left out of the combined table; NULL when it is taken.
+
+    A file without series name is never taken.
+    """
+    return F.when(~first_token(file_name).eqNullSafe(folder), F.lit("map")).when(
+        ~F.regexp_replace(file_name, r"\.[^.]*$", "").eqNullSafe(series), F.lit("reeks")
     )
 
 

@@ -155,7 +155,7 @@ def legacy_log(files: DataFrame, root: str, trigger: str, read_at: datetime.date
     Paths look like root, folder, file. ``trigger`` is the part of ``root``
     after which the shown path begins.
     """
-    below = F.substring("bestands_url", len(root) + len(sep) + 1, 10_000)
+    below = F.col("bestands_url").substr(F.lit(len(root) + len(sep) + 1), F.length("bestands_url"))
     stem = text.file_stem(below)
     folder, name = F.substring_index(stem, sep, 1), F.get(F.split(stem, re.escape(sep)), F.lit(1))
     series = F.col("meting_serie_naam")

@@ -69,10 +69,37 @@ def _field(fields: Column, i: int) -> Column:
 # --- one row per file -------------------------------------------------------
 
 
+# A byte-order mark as such, and as its three bytes are read in ISO-8859-1.
+_BYTE_ORDER_MARK = "^(\ufeff|\u00ef\u00bb\u00bf)"
+
+
 def content_lines(content: Column) -> Column:
-    """Lines of a file by any line break; a final one adds an empty last line."""
-    unix = F.replace(F.replace(content, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    return F.split(F.when(content.contains("\r"), unix).otherwise(content), "\n")
+    """Lines of a file by any line break, as a reader of lines gives them.
+
+    A byte-order mark is no part of the first line, and a final line break
+    ends the last line without beginning another.
+    """
+    plain = F.regexp_replace(content, _BYTE_ORDER_MARK, "")
+    unix = F.replace(F.replace(plain, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    unix = F.when(plain.contains("\r"), unix).otherwise(plain)
+    ended = F.when(unix.endswith("\n"), F.left(unix, F.length(unix) - 1)).otherwise(unix)
+    return F.when(unix == "", F.array().cast("array<string>")).otherwise(F.split(ended, "\n"))
+
+
+# What can be said of a file.
+FILE_OK, NO_HEADER_END, NO_COLUMN_ROW, NO_SERIES_NAME = "ok", "no header end", "no column row", "no series name"
+
+
+def _outcome(layout: str) -> Column:
+    """What the header of a file (``_at``, ``columns`` and header columns) lets it be."""
+    no_end = F.col("_at").isNull() if layout == "keyed" else F.lit(False)
+    no_name = F.trim(F.coalesce(F.col("meting_serie_naam"), F.lit(""))) == ""
+    return (
+        F.when(no_end, NO_HEADER_END)
+        .when(F.col("columns").isNull(), NO_COLUMN_ROW)
+        .when(no_name, NO_SERIES_NAME)
+        .otherwise(FILE_OK)
+    )
 
 
 # The header end is looked for among this many lines before the whole file.
@@ -80,7 +107,10 @@ _FIRST_LINES = 200
 
 
 def _located_files(files: DataFrame, layout: str, delimiter: str) -> DataFrame:
-    """One row per file: header columns, column names, their line ``_at`` and all ``_lines``."""
+    """One row per file: header columns, column names, their line ``_at`` and all ``_lines``.
+
+    Without the blank row that ends a header, ``_at`` and the header are NULL.
+    """
     # One-element inline: the lines are split once, later steps do not repeat it.
     split = F.struct("bestands_url", content_lines(F.col("content")).alias("_lines"))
     lines = files.select(F.inline(F.array(split)))
@@ -98,7 +128,7 @@ def _located_files(files: DataFrame, layout: str, delimiter: str) -> DataFrame:
 
         early = F.nullif(blank_at(F.slice("_lines", 1, _FIRST_LINES)), F.lit(0))
         at = F.coalesce(early, blank_at(F.col("_lines"))).cast("int")
-        rows = lines.withColumn("_at", at).where(F.col("_at") > 0)
+        rows = lines.withColumn("_at", F.nullif(at, F.lit(0)))
         entries = F.transform(F.slice("_lines", F.lit(1), F.col("_at") - 1), fields_of)
         rows = rows.withColumn("_entries", entries)
 
@@ -111,18 +141,19 @@ def _located_files(files: DataFrame, layout: str, delimiter: str) -> DataFrame:
 
 
 def file_headers(files: DataFrame, layout: str = "keyed", delimiter: str = "\t") -> DataFrame:
-    """Header and column names, one row per file of ``files`` (bestands_url, content)."""
-    return _located_files(files, layout, delimiter).select("bestands_url", *HEADER_COLUMNS, "columns")
+    """Header, column names and outcome, one row per file of ``files`` (bestands_url, content)."""
+    located = _located_files(files, layout, delimiter)
+    return located.select("bestands_url", *HEADER_COLUMNS, "columns", _outcome(layout).alias("outcome"))
 
 
 def parse_files(files: DataFrame, layout: str = "keyed", delimiter: str = "\t") -> DataFrame:
     """Body rows of ``files`` (bestands_url, content)."""
     # The header is a column of its own by now: were it taken from the lines
     # next to posexplode, each body row would carry all lines of its file.
-    rows = _located_files(files, layout, delimiter).withColumn("_last", F.size("_lines") - 1)
+    rows = _located_files(files, layout, delimiter)
     body = rows.select(
-        "bestands_url", *HEADER_COLUMNS, "columns", "_at", "_last", F.posexplode("_lines").alias("_i", "_line")
-    ).where((F.col("_i") > F.col("_at")) & ~((F.col("_i") == F.col("_last")) & (F.col("_line") == "")))
+        "bestands_url", *HEADER_COLUMNS, "columns", "_at", F.posexplode("_lines").alias("_i", "_line")
+    ).where(F.col("_i") > F.col("_at"))
     fields = F.split("_line", "\t") if layout == "positional" else split_fields(F.col("_line"), delimiter)
     return body.withColumns({"line_no": F.col("_i").cast("bigint"), "fields": fields}).select(*_OUT)
 
@@ -157,26 +188,31 @@ def _blocks_before() -> WindowSpec:
     return Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _top_lines(lines: DataFrame, delimiter: str, broadcast_rows: int, rows_per_task: int) -> DataFrame:
-    """Split lines up to the column row, with the line ``_end`` that ends the header.
+def _header_ends(lines: DataFrame, delimiter: str) -> DataFrame:
+    """The line ``_end`` that ends each file's header, NULL where no line does; one stored row per file.
 
-    Only lines that may begin with a blank field are split to find the end, and
-    only the top of each file is split after that.
+    Only lines that may begin with a blank field are split.
     """
-    fields = split_fields(F.col("value"), delimiter)
     may_be_blank = F.col("value").rlike(rf'^[\s";\\\x1c-\x1f\x85\xa0]*({delimiter}|$)')
-    blank = lines.where(may_be_blank).where(_blank(_field(fields, 0)))
-    ends = blank.groupBy("bestands_url").agg(F.min("line_no").alias("_end"))
+    blank = F.when(may_be_blank, _blank(_field(split_fields(F.col("value"), delimiter), 0)))
+    ends = lines.groupBy("bestands_url").agg(F.min(F.when(blank, F.col("line_no"))).alias("_end"))
+    return settle(ends, "header-ends")
+
+
+def _top_lines(
+    lines: DataFrame, ends: DataFrame, delimiter: str, broadcast_rows: int, rows_per_task: int
+) -> DataFrame:
+    """Split lines up to the column row, with the line ``_end`` that ends the header."""
     top = skew_safe_join(
         lines,
-        settle(ends, "header-ends"),
+        ends.where(F.col("_end").isNotNull()),
         ["bestands_url"],
         condition=F.col("line_no") <= F.col("_end") + 1,
         spread_by=["line_no"],
         broadcast_rows=broadcast_rows,
         rows_per_task=rows_per_task,
     )
-    return top.withColumn("fields", fields).drop("value")
+    return top.withColumn("fields", split_fields(F.col("value"), delimiter)).drop("value")
 
 
 def header_entries(
@@ -186,7 +222,7 @@ def header_entries(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Header of each file as (bestands_url, key, value); the last of a repeated key counts."""
-    rows = _top_lines(lines, delimiter, broadcast_rows, rows_per_task)
+    rows = _top_lines(lines, _header_ends(lines, delimiter), delimiter, broadcast_rows, rows_per_task)
     return (
         rows.where(F.col("line_no") < F.col("_end"))
         .groupBy("bestands_url", _field(F.col("fields"), 0).alias("key"))
@@ -207,9 +243,10 @@ def line_headers(
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Header, column names and the line of these, one stored row per file.
+    """Header, column names, the line of these and outcome, one stored row per file.
 
     Line numbers have no gap up to the column row, which follows the blank row.
+    A file without a line is not among ``lines`` and so has no row here.
     """
     number, fields = F.col("line_no"), F.col("fields")
     if layout == "positional":
@@ -217,7 +254,8 @@ def line_headers(
         picks = [F.max(F.when(number == i, _field(fields, 1))).alias(n) for i, n in POSITIONAL_HEADER.items()]
         rows = _fields_of_lines(lines.where(number <= POSITIONAL_COLUMN_LINE), layout, delimiter)
     else:
-        rows = _top_lines(lines, delimiter, broadcast_rows, rows_per_task)
+        ends = _header_ends(lines, delimiter)
+        rows = _top_lines(lines, ends, delimiter, broadcast_rows, rows_per_task)
         at = F.when(number > F.col("_end"), number)
         in_header = number < F.col("_end")
         picks = [
@@ -225,7 +263,10 @@ def line_headers(
             for key, name in HEADER_KEYS.items()
         ]
     heads = rows.groupBy("bestands_url").agg(*picks, F.min(at).alias("_at"), F.min_by(fields, at).alias("columns"))
-    return settle(heads, "headers")
+    if layout != "positional":
+        # A header that ends with the file has a place for the column row, but no such row.
+        heads = ends.join(heads.drop("_at"), "bestands_url", "left").withColumn("_at", F.col("_end") + 1).drop("_end")
+    return settle(heads.withColumn("outcome", _outcome(layout)), "headers")
 
 
 def parse_lines(
@@ -245,7 +286,7 @@ def parse_lines(
         headers = line_headers(lines, layout, delimiter, broadcast_rows, rows_per_task)
     return skew_safe_join(
         _fields_of_lines(lines, layout, delimiter),
-        headers,
+        headers.where(F.col("_at").isNotNull()),
         ["bestands_url"],
         condition=F.col("line_no") > F.col("_at"),
         spread_by=["line_no"],
@@ -370,9 +411,19 @@ def series_parts(series: Column) -> list[Column]:
     return [F.substring(series, 1, 8), F.substring(series, 10, 2)]
 
 
+def _told_apart(names: Column) -> Column:
+    """Names of which a repeated one gets its number behind it: a, b, a (2)."""
+
+    def numbered(name: Column, i: Column) -> Column:
+        n = F.size(F.filter(F.slice(names, F.lit(1), i + 1), lambda other: other.eqNullSafe(name)))
+        return F.when(n > 1, F.concat(name, F.lit(" ("), n.cast("string"), F.lit(")"))).otherwise(name)
+
+    return F.transform(names, numbered)
+
+
 def _tagged_names(columns: Column) -> Column:
     kept = KEPT_COLUMNS - len(TAGS)
-    return F.concat(F.array(*[F.lit(t) for t in TAGS]), F.slice(_with_speed_name(columns), 1, kept))
+    return _told_apart(F.concat(F.array(*[F.lit(t) for t in TAGS]), F.slice(_with_speed_name(columns), 1, kept)))
 
 
 def tag_rows(rows: DataFrame) -> DataFrame:
@@ -387,13 +438,17 @@ def tag_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def widen(tagged: DataFrame, layouts: DataFrame) -> DataFrame:
+def widen(tagged: DataFrame, layouts: DataFrame, most_columns: int = 1000) -> DataFrame:
     """One text column per name in ``layouts`` (names); NULL where a file lacks it.
 
     Only the distinct column names reach the driver, the schema needs them.
+    More than ``most_columns`` of them are refused: then some column row is
+    none, and :func:`line_headers` tells which.
     """
     named = layouts.select("names").distinct().select(F.posexplode("names").alias("at", "name"))
-    found = named.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()
+    found = named.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").limit(most_columns + 1).collect()
+    if len(found) > most_columns:
+        raise ValueError(f"more than {most_columns} different column names")
 
     def value(name: str) -> Column:
         at = F.array_position("names", F.lit(name))

@@ -243,7 +243,24 @@ def survey_lines(measured: DataFrame, layout: str = "keyed", delimiter: str = "\
     return header.select("bestands_url", F.col("line_no").cast("bigint"), "value").unionByName(rows)
 
 
-def write_survey_files(measured: DataFrame, path: str, rows_per_file: int = 1000) -> None:
+def _broken(lines: DataFrame, block: Column) -> DataFrame:
+    """Every fourth kind of file without header end, column row or series name, or with a byte-order mark."""
+    kind, number, series = block % 8, F.col("line_no"), F.col("value").startswith("Measure Series Name:")
+    blank = len(HEADER_KEYS) + 1
+    kept = (
+        F.when(kind == 1, number != blank)
+        .when(kind == 3, number <= blank)
+        .when(kind == 5, ~series)
+        .when(kind == 7, number != 0)
+        .otherwise(True)
+    )
+    marked = F.when((kind == 7) & (number == 1), F.concat(F.lit("\ufeff"), "value")).otherwise(F.col("value"))
+    return lines.where(kept).withColumn("value", marked)
+
+
+def write_survey_files(
+    measured: DataFrame, path: str, rows_per_file: int = 1000, broken: bool = False
+) -> None:
     """Real survey files of at most ``rows_per_file`` measurements each.
 
     One file per block of measurement ids, header first. Each file is one row
@@ -256,10 +273,11 @@ def write_survey_files(measured: DataFrame, path: str, rows_per_file: int = 1000
             "markering": F.lit("M1"),
         }
     )
+    lines = survey_lines(blocked).withColumn("bestand", F.regexp_extract("bestands_url", r"([^/]+)\.xls$", 1))
+    if broken:
+        lines = _broken(lines, F.substring("bestand", 2, 7).cast("int"))
     (
-        survey_lines(blocked)
-        .withColumn("bestand", F.regexp_extract("bestands_url", r"([^/]+)\.xls$", 1))
-        .repartition("bestand")
+        lines.repartition("bestand")
         .sortWithinPartitions("bestand", "line_no")
         .select("bestand", "value")
         .write.partitionBy("bestand")

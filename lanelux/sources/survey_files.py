@@ -65,7 +65,8 @@ def parse_found(
 ) -> tuple[DataFrame, DataFrame]:
     """Headers and body rows of listed files (binaryFile columns), by size in one of two ways.
 
-    Headers have one row per file. Without ``root`` the names of the large
+    Headers have one row per file, whatever is in it; ``outcome`` says what
+    keeps a file from being read. Both ways give the same rows. Without ``root`` the names of the large
     files are gathered from ``found``, which must then be a bounded batch.
     """
     files = whole_files(found.where(F.col("length") <= whole_file_bytes), encoding)

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lanelux.operators.survey import accepted, import_rows
+from lanelux.operators.ledger import check_names
+from lanelux.operators.survey import accepted, import_rows, rejected
+from lanelux.session import settle
 from lanelux.sources.survey_files import BINARY_FILE, WHOLE_FILE_BYTES, parse_found
 
 
@@ -38,23 +40,45 @@ def start_ingest(
     pattern: str = "*.xls",
     files_per_batch: int = 1000,
     whole_file_bytes: int = WHOLE_FILE_BYTES,
+    conform_only: bool = False,
 ) -> StreamingQuery:
     """Load the files that came since the last run, then stop.
 
-    The checkpoint remembers the files. A batch owns the partition with its
-    number, so a batch that is repeated after a failure replaces itself.
+    Three tables are written: ``table`` has the sound lines, ``<table>_rejected``
+    the others with their faults, ``<table>_files`` one row per file with its
+    outcome and whether file and folder name agree with the series name. With
+    ``conform_only``, lines of files whose names do not agree are left out, as
+    the yearly run does. The checkpoint remembers the files. A batch owns the
+    partition with its number in each table, so a batch that is repeated after
+    a failure replaces itself.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        _, rows = parse_found(batch, pattern=pattern, whole_file_bytes=whole_file_bytes)
-        (
-            accepted(import_rows(rows, read_at))
-            .withColumn("batch", F.lit(number).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
-            .parquet(table)
+        def store(df: DataFrame, path: str) -> None:
+            (
+                df.withColumn("batch", F.lit(number).cast("bigint"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch")
+                .parquet(path)
+            )
+
+        headers, rows = parse_found(batch, pattern=pattern, whole_file_bytes=whole_file_bytes)
+        parts = F.split("bestands_url", "/")
+        files = headers.withColumns(
+            {
+                "drive_file_name": F.element_at(parts, -1),
+                "drive_folder_name": F.element_at(parts, -2),
+                "measure_series_name": F.col("meting_serie_naam"),
+            }
         )
+        store(check_names(files).drop("measure_series_name", "columns"), f"{table}_files")
+        if conform_only:
+            logged = spark.read.parquet(f"{table}_files").where(F.col("batch") == number)
+            rows = rows.join(logged.where("name_conform").select("bestands_url"), "bestands_url", "left_semi")
+        imported = settle(import_rows(rows, read_at), "stream-batch")
+        store(rejected(imported), f"{table}_rejected")
+        store(accepted(imported), table)
 
     return (
         survey_stream(spark, root, pattern, files_per_batch)
