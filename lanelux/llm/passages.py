@@ -98,15 +98,16 @@ _words = Words()
 
 
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Kept suffixes of each text with the hash of their heads; at place -1, the text's number of words."""
     for batch in steps(batches, "text"):
         keys, at, heads = [], [], []
         for key, text in zip(batch["key"].to_pylist(), batch["text"].to_pylist(), strict=True):
             hashes = _words(text)
             own = places(hashes)
             if len(own):
-                keys.append(np.full(len(own), key))
-                at.append(own)
-                heads.append(_runs(hashes, HEAD)[own].view(np.int64))
+                keys.append(np.full(len(own) + 1, key))
+                at += [[-1], own]
+                heads += [[len(hashes)], _runs(hashes, HEAD)[own].view(np.int64)]
         if keys:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(keys)), pa.array(np.concatenate(at), pa.int32()), pa.array(np.concatenate(heads))],
@@ -231,9 +232,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, ["context", "j", "window", "low", "high"])
 
 
-def _spans(texts: DataFrame, classes: DataFrame) -> DataFrame:
+def _spans(texts: DataFrame, heads: DataFrame, classes: DataFrame) -> DataFrame:
     """key, start, end and partner (a key) of matches in distinct texts; matches may overlap."""
-    heads = settle(texts.mapInArrow(_heads, "key long, at int, head long"), "suffix-heads")
+    heads = heads.where("at >= 0")
     twice = heads.groupBy("head").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("head")
     used = heads.join(twice, "head").groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("places"))  # bounded by a text
     used = settle(used.join(classes.select("key", "doc_id"), "key"), "suffix-places")
@@ -258,6 +259,10 @@ def _spans(texts: DataFrame, classes: DataFrame) -> DataFrame:
     found = windows.join(both, "window")
     found = found.select("context", F.col("j").alias("lo"), (F.lit(LONG) - F.col("j")).alias("hi"), F.col("a").alias("partner"), F.col("b").alias("other"))
     near = near.withColumn("other", F.col("partner")).unionByName(found)
+    # matches of a context all hold its place, so together they are one span
+    near = near.groupBy("context").agg(
+        F.max("lo").alias("lo"), F.max("hi").alias("hi"), F.min("partner").alias("partner"), F.max("other").alias("other")
+    )
     # a context of several texts may be its own partner
     wide = distinct.select("context", "low", "high").where("low <> high")
     near = near.join(wide, "context", "left")
@@ -293,16 +298,16 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.where("text is not null").withColumn("key", F.xxhash64("text"))
-    size = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).alias("n_words")
-    named = settle(rows.select("doc_id", "key", F.length("text").alias("n_chars")).distinct(), "text-keys")
+    named = settle(rows.select("doc_id", "key").distinct(), "text-keys")
     id_ = F.coalesce("doc_id", F.lit(-(1 << 62)))
     classes = named.groupBy("key").agg(F.min(id_).alias("doc_id"), F.max(id_).alias("last"))
     classes = settle(classes, "text-classes")
     texts = rows.select("key", id_.alias("doc_id"), "text").where(F.length("text") >= 2 * LONG - 1)
-    spans = _merged(_spans(texts, classes)).select("key", "start", "end", "partner")
-    copies = classes.where("doc_id <> last").select("key", "doc_id", "last")
-    whole = texts.join(copies.hint("shuffle_hash"), ["key", "doc_id"]).select("key", size).where(F.col("n_words") >= LONG)
-    whole = whole.distinct().select("key", F.lit(0).alias("start"), F.col("n_words").alias("end"), F.col("key").alias("partner"))
+    heads = settle(texts.mapInArrow(_heads, "key long, at int, head long"), "suffix-heads")
+    spans = _merged(_spans(texts, heads, classes)).select("key", "start", "end", "partner")
+    sizes = heads.where("at < 0").select("key", F.col("head").cast("int").alias("end")).distinct()
+    whole = sizes.join(classes.where("doc_id <> last").select("key"), "key")
+    whole = whole.select("key", F.lit(0).alias("start"), "end", F.col("key").alias("partner"))
     copied = whole.select("key").withColumn("copied", F.lit(True))
     spans = spans.join(copied, "key", "left_anti").unionByName(whole)
     first = classes.select(F.col("key").alias("partner"), F.col("doc_id").alias("first_id"), "last")
