@@ -489,7 +489,8 @@ FROM file_log""",
 ORACLE["name_conformity_2024"] = with_views(
     "file_log",
     body="""SELECT oid, drive_file_name, CASE WHEN split_part(drive_file_name, ' ', 1) <> drive_folder_name THEN 'map'
-  WHEN regexp_replace(drive_file_name, '[.][^.]*$', '') <> measure_series_name THEN 'reeks' END AS reason FROM file_log""",
+  WHEN regexp_replace(drive_file_name, '[.][^.]*$', '') IS DISTINCT FROM
+    CASE WHEN oid % 11 <> 0 THEN measure_series_name END THEN 'reeks' END AS reason FROM file_log""",
 )
 ORACLE["name_conformity_status"] = with_views(
     "file_log",

@@ -19,6 +19,8 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 256 * 1024 * 1024
 BROADCAST_BANDS = 1_000
 ROWS_PER_TASK = 5_000_000
+# Shares of every key where the hot ones are too many to list.
+SHARES_OF_ALL = 16
 
 
 def fits(df: DataFrame, rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -33,17 +35,16 @@ def fits(df: DataFrame, rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
     return n <= rows and size <= max_bytes
 
 
-def hot_keys(fact: DataFrame, keys: list[str], rows_per_task: int, broadcast_rows: int) -> DataFrame:
+def hot_keys(fact: DataFrame, keys: list[str], rows_per_task: int, broadcast_rows: int) -> DataFrame | None:
     """Keys with more than ``rows_per_task`` rows and the shares to split them in.
 
-    There are at most ``count(fact) / rows_per_task`` of them; the limit grows
-    until that is few enough to broadcast.
+    There are at most ``count(fact) / rows_per_task`` of them. None if they are
+    too many to broadcast.
     """
     counts = fact.groupBy(*keys).agg(F.count("*").alias("_rows"))
     hot = settle(counts.where(F.col("_rows") > rows_per_task), "hot-keys")
-    while not fits(hot, broadcast_rows):
-        rows_per_task *= 10
-        hot = hot.where(F.col("_rows") > rows_per_task)
+    if not fits(hot, broadcast_rows):
+        return None
     return hot.select(
         *[F.col(k).alias(f"_hot_{k}") for k in keys],
         F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_shares"),
@@ -78,22 +79,27 @@ def skew_safe_join(
     if fits(dim, broadcast_rows):
         return fact.join(F.broadcast(dim), reduce(Column.__and__, matches), how).drop(*drop)
 
-    hot = hot_keys(fact, keys, rows_per_task, broadcast_rows)
-    same_fact = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    same_dim = reduce(Column.__and__, [F.col(f"_dim_{k}").eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    names = [f"_hot_{k}" for k in keys]
-
     spread = F.xxhash64(*(spread_by or fact.columns))
-    dealt = (
-        fact.join(F.broadcast(hot), same_fact, "left")
-        .withColumn("_share", F.pmod(spread, F.coalesce("_shares", F.lit(1)).cast("bigint")).cast("int"))
-        .drop("_shares", *names)
-    )
-    repeated = (
-        dim.join(F.broadcast(hot), same_dim, "left")
-        .withColumn("_dim_share", F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1)))
-        .drop("_shares", *names)
-    )
+    hot = hot_keys(fact, keys, rows_per_task, broadcast_rows)
+    if hot is None:
+        # So many hot keys that their list is no small table: every key is split alike.
+        shares = F.lit(SHARES_OF_ALL)
+        dealt = fact.withColumn("_share", F.pmod(spread, shares.cast("bigint")).cast("int"))
+        repeated = dim.withColumn("_dim_share", F.explode(F.sequence(F.lit(0), shares - 1)))
+    else:
+        same_fact = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+        same_dim = reduce(Column.__and__, [F.col(f"_dim_{k}").eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+        names = [f"_hot_{k}" for k in keys]
+        dealt = (
+            fact.join(F.broadcast(hot), same_fact, "left")
+            .withColumn("_share", F.pmod(spread, F.coalesce("_shares", F.lit(1)).cast("bigint")).cast("int"))
+            .drop("_shares", *names)
+        )
+        repeated = (
+            dim.join(F.broadcast(hot), same_dim, "left")
+            .withColumn("_dim_share", F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1)))
+            .drop("_shares", *names)
+        )
     matches.append(F.col("_share") == F.col("_dim_share"))
     return dealt.join(repeated, reduce(Column.__and__, matches), how).drop("_share", "_dim_share", *drop)
 
@@ -106,7 +112,7 @@ def interval_join(
     low: str,
     high: str,
     cell: float,
-    domain: tuple[float, float],
+    domain: tuple[float | Column, float | Column],
     spread_by: list[str] | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
@@ -123,7 +129,8 @@ def interval_join(
 
     def cell_of(name: str) -> Column:
         value = F.col(name).cast("double")
-        kept = F.least(F.greatest(value, F.lit(float(domain[0]))), F.lit(float(domain[1])))
+        least, most = (b.cast("double") if isinstance(b, Column) else F.lit(float(b)) for b in domain)
+        kept = F.least(F.greatest(value, least), most)
         return F.floor(kept / F.lit(float(cell)))
 
     spans = intervals.where(F.col(low) <= F.col(high)).withColumn(

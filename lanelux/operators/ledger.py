@@ -5,19 +5,16 @@ from __future__ import annotations
 import datetime
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanelux.functions import text
 from lanelux.functions.times import in_year, stamp
-from lanelux.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, fits, skew_safe_join
+from lanelux.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, skew_safe_join
 from lanelux.schemas import CONFORM, NOT_CONFORM, REGISTERED, VALIDATED
 from lanelux.session import settle
 
 _NAME = ["drive_file_name", "report_year"]
-# Length of the beginnings of listed paths, and how many different ones are tried.
-_HEAD_LENGTH = 4
-_MAX_HEADS = 64
 
 
 def new_files(listing: DataFrame, log: DataFrame, read_at: datetime.datetime) -> DataFrame:
@@ -57,39 +54,28 @@ def new_files(listing: DataFrame, log: DataFrame, read_at: datetime.datetime) ->
 def new_paths(listing: DataFrame, log: DataFrame, path: str = "path", logged: str = "bestands_url") -> DataFrame:
     """Listed paths that occur nowhere inside a logged path.
 
-    Each distinct logged path yields its substrings of the lengths that the
-    listed paths have; a join on equal text then decides, so no pair of paths
-    is ever compared. Listed paths mostly start alike: if they do, substrings
-    start only where that beginning occurs.
+    The key of a listed path is the hash of its last characters, as many as the
+    largest power of two that fits its length. A logged path has one key per
+    place and per such size; equal keys lead to the few logged texts that are
+    then searched. So work grows with the lengths of the paths, not with pairs.
     """
-    shortest = listing.agg(F.min(F.length(path))).first()[0]
-    if shortest is None:
-        return listing
-    size = F.length("_text")
-    starts = F.sequence(F.lit(1), F.greatest(size, F.lit(1)))
-    sets = {"_lengths": listing.select(F.length(path).alias("n")).distinct().agg(F.collect_set("n")).scalar()}
-    head = min(_HEAD_LENGTH, shortest)
-    heads = listing.select(F.left(path, F.lit(head)).alias("h")).distinct()
-    if fits(heads, _MAX_HEADS):
-        sets["_heads"] = heads.agg(F.collect_set("h")).scalar()
-        known = F.col("_heads")
-        starts = F.filter(starts, lambda s: F.array_contains(known, F.substring(F.col("_text"), s, F.lit(head))))
-    parts = F.transform(
-        starts,
-        lambda s: F.transform(
-            F.filter(F.col("_lengths"), lambda n: n <= size - s + 1),
-            lambda n: F.substring(F.col("_text"), s, n),
-        ),
-    )
-    inside = (
-        log.select(F.col(logged).alias("_text"))
-        .where(F.col("_text").isNotNull())
-        .distinct()
-        .withColumns(sets)
-        .select(F.explode(F.flatten(parts)).alias(path))
-        .distinct()
+    size = F.expr(f"CASE WHEN length(`{path}`) > 0 THEN shiftleft(1, length(bin(length(`{path}`))) - 1) ELSE 0 END")
+    listed = listing.select(path, size.alias("_size")).where(F.col(path).isNotNull()).distinct()
+    listed = listed.withColumn("_key", F.xxhash64("_size", F.right(path, F.col("_size"))))
+    sizes = listed.select("_size").distinct().agg(F.collect_set("_size")).scalar()
+    texts = log.select(F.col(logged).alias("_text")).where(F.col("_text").isNotNull()).distinct()
+
+    def keys(n: Column) -> Column:
+        last = F.when(n > 0, F.length("_text") - n + 1).otherwise(F.lit(1))
+        return F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(n, F.substring(F.col("_text"), i, n)))
+
+    fitting = F.filter(F.col("_sizes"), lambda n: n <= F.length("_text"))
+    at_places = texts.withColumn("_sizes", sizes).select(
+        F.xxhash64("_text").alias("_id"), F.explode(F.array_distinct(F.flatten(F.transform(fitting, keys)))).alias("_key")
     )
-    seen = listing.select(path).distinct().join(inside, path, "left_semi")
+    pairs = at_places.join(listed.select(path, "_key"), "_key").select(path, "_id")
+    known = texts.withColumn("_id", F.xxhash64("_text"))
+    seen = pairs.join(known, "_id").where(F.col("_text").contains(F.col(path))).select(path).distinct()
     return skew_safe_join(listing, settle(seen, "seen-paths"), [path], how="left_anti")
 
 

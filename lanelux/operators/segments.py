@@ -65,6 +65,8 @@ def on_segments(
     segments is left out. ``ordered`` sorts by road and position, with the row
     id as last key so that equal positions can still be split over tasks.
     """
+    # An open-ended segment is repeated for the cells that measurements lie in, and no others.
+    found = [points.agg(bound("kmp")).scalar() for bound in (F.min, F.max)]
     low, high = _as_positions(F.ceil("beginpositie", F.lit(4))), _as_positions(F.floor("eindpositie", F.lit(4)))
     located = interval_join(
         points.withColumn("meting_serie_naam", F.replace("meting_serie_naam", F.lit("\n"), F.lit(""))),
@@ -74,7 +76,7 @@ def on_segments(
         "_low",
         "_high",
         cell=CELL_KM,
-        domain=KMP_DOMAIN,
+        domain=(found[0], found[1]),
         spread_by=["oid"],
         broadcast_rows=broadcast_rows,
         rows_per_task=rows_per_task,

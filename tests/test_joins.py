@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lanelux.operators.joins import band_join, hot_keys, interval_join, skew_safe_join
 
-WAYS = [{}, {"broadcast_rows": 0, "rows_per_task": 1_000_000}, {"broadcast_rows": 0, "rows_per_task": 7}]
+WAYS = [{}, {"broadcast_rows": 0, "rows_per_task": 1_000_000}, {"broadcast_rows": 0, "rows_per_task": 7}, {"rows_per_task": 150}]
 
 
 @pytest.fixture(scope="module")
@@ -45,8 +45,8 @@ def test_join_condition_applies_on_every_path(fact, dim, rows):
 def test_hot_keys_are_split_and_few(fact):
     hot = {r["_hot_k"]: r["_shares"] for r in hot_keys(fact, ["k"], 50, 10).collect()}
     assert hot["hot"] == 4
-    # With room for one row only, the limit grows until one row is left.
-    assert len(hot_keys(fact, ["k"], 19, 1).collect()) <= 1
+    # Without room for their list, all keys are split alike.
+    assert hot_keys(fact, ["k"], 19, 1) is None
 
 
 def test_no_task_gets_the_whole_hot_key(fact, dim):
