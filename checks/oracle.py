@@ -245,6 +245,19 @@ VIEWS: dict[str, tuple[list[str], str]] = {
 
 # --- sources ----------------------------------------------------------------
 
+_TREE = "SELECT DISTINCT CAST(oid % 20 AS VARCHAR) AS weg, markering AS reeks FROM measurement"
+ORACLE["file_catalog"] = with_views(
+    "measurement",
+    body=f"""SELECT 'reeks=' || reeks AS parent_name, 'weg=' || weg AS above, 2::INTEGER AS level FROM ({_TREE})
+UNION ALL SELECT 'los', NULL, 1""",
+)
+ORACLE["folder_catalog"] = with_views("measurement", body=f"SELECT weg FROM ({_TREE}) WHERE reeks = 'M1'")
+ORACLE["file_catalog_search"] = with_views(
+    "measurement",
+    body=f"""SELECT weg, reeks, ending, part FROM ({_TREE}), (VALUES ('.csv'), ('v')) e(ending), (VALUES ('reeks=M1'), ('=M2R/')) p(part)
+WHERE CASE part WHEN 'reeks=M1' THEN reeks LIKE 'M1%' ELSE reeks = 'M2R' END""",
+)
+
 ORACLE["survey_parse_header"] = with_views(
     "measurement",
     body="\nUNION ALL\n".join(
@@ -275,6 +288,20 @@ ORACLE["survey_parse_body"] = _parsed(_noisy("'a' || chr(9) || 'b\\c'"), "tijdst
 ORACLE["survey_parse_semicolon"] = _parsed(_noisy("'ab\\c'"), "tijdstip_meting_tekst")
 ORACLE["survey_parse_positional"] = _parsed("marker", DAY_FIRST)
 
+_WHOLE_FILE = {n: f"max({n}) OVER f AS {n}" for n in HEADER_KEYS.values()} | {
+    "bestands_url": "'survey/B' || oid % 2 || '/B' || oid % 2 || ' M1.xls' AS bestands_url",
+    "meting_serie_naam": "'B' || oid % 2 || ' M1' AS meting_serie_naam",
+    "locatieomschrijving": "'café aan de Schöne straße' AS locatieomschrijving",
+    "tijdstip_meting": "date_trunc('second', tijdstip_meting) AS tijdstip_meting",
+    "marker": _noisy("'a' || chr(9) || 'b\\c'") + " AS marker",
+}
+ORACLE["survey_semicolon_round_trip"] = with_views(
+    "measurement",
+    body=f"""SELECT {", ".join(_WHOLE_FILE.get(n, cols([n])) for n in MEASUREMENT_RAW.names if n not in ("oid", "inleesdatum"))},
+  {len(HEADER_KEYS) + 2} + row_number() OVER (f ORDER BY oid) AS line_no
+FROM measurement WINDOW f AS (PARTITION BY oid % 2)""",
+)
+
 _FILE_SUMS = with_views(
     "measurement",
     body="""SELECT 'B' || lpad(CAST(oid // 1000 AS VARCHAR), 7, '0') || ' M1' AS meting_serie_naam,
@@ -388,11 +415,8 @@ ORACLE["survey_union_years"] = with_views(
     body=f"""SELECT {cols(["oid", "kmp", "rl"])}, NULL AS marker FROM measurement WHERE tijdstip_meting < TIMESTAMP '{WATERMARK}'
 UNION ALL SELECT oid, NULL, rl, marker FROM measurement WHERE tijdstip_meting >= TIMESTAMP '{WATERMARK}'""",
 )
-ORACLE["header_repair"] = with_views(
-    "measurement",
-    body=f"""SELECT DISTINCT {KEYED_URL} AS bestands_url,
-  '{";".join([*BODY_COLUMNS[:10], "Speed km/h km/h", *BODY_COLUMNS[11:]])}' AS value FROM measurement""",
-)
+_REPAIRED = ";".join([*BODY_COLUMNS[:10], "Speed km/h km/h", *BODY_COLUMNS[11:]])
+ORACLE["header_repair"] = ORACLE["survey_normalized_lines"].replace(f"'{';'.join(BODY_COLUMNS)}'", f"'{_REPAIRED}'")
 
 # --- file log ---------------------------------------------------------------
 

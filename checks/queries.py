@@ -19,7 +19,7 @@ from lanelux.schemas import LAMBERT72_SRID, PROVINCES
 from lanelux.session import scratch_path, settle
 from lanelux.sources import catalog
 from lanelux.sources.segment_files import read_segments
-from lanelux.sources.survey_files import WHOLE_FILE_BYTES, file_lines, read_survey, scan_survey
+from lanelux.sources.survey_files import WHOLE_FILE_BYTES, file_lines, normalized_lines, read_survey, scan_survey
 from lanelux.streaming.ingest import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,20 +49,40 @@ def centimetres(value) -> F.Column:
 # --- sources ----------------------------------------------------------------
 
 
+def _tree(spark, sf) -> str:
+    """A folder per road number and marking with one file each, and one file beside them."""
+    root = scratch_path(spark, "tree")
+    rows = given.measurements(spark, sf).select(
+        (F.col("oid") % 20).alias("weg"), F.col("markering").alias("reeks"), F.col("oid").cast("string").alias("value")
+    )
+    rows.repartition("weg", "reeks").write.partitionBy("weg", "reeks").csv(root)
+    rows.select("value").repartition(1).write.text(f"{root}/los")
+    return root
+
+
 @query
 def file_catalog(spark, sf):
-    return catalog.list_files(spark, sf, ["parquet"], depth=1).select("name", "parent_name", "parent_id", "length")
+    """Files of one extension up to a depth; the file beside the tree has another."""
+    root = _tree(spark, sf)
+    csv = catalog.list_files(spark, root, ["csv"], depth=2)
+    listed = csv.unionByName(catalog.list_files(spark, root, depth=1))
+    above = F.element_at(F.split("parent_id", "/"), -2)
+    return listed.select("parent_name", F.when(F.col("level") == 2, above).alias("above"), "level")
 
 
 @query
 def folder_catalog(spark, sf):
-    folders = catalog.list_folders(catalog.list_files(spark, sf))
-    return catalog.find_folders(folders, sf.rstrip("/").rsplit("/", 1)[-1])
+    """The folders of one name, by the folder above each."""
+    folders = catalog.list_folders(catalog.list_files(spark, _tree(spark, sf), ["csv"]))
+    return catalog.find_folders(folders, "reeks=M1").select(F.regexp_extract("folder_id", "weg=([0-9]+)/", 1).alias("weg"))
 
 
 @query
 def file_catalog_search(spark, sf):
-    return catalog.search_files(catalog.list_files(spark, sf), [".parquet", "t"], ["", "e"])
+    files = catalog.list_files(spark, _tree(spark, sf), ["csv"])
+    hits = catalog.search_files(files, [".csv", "v", ".txt"], ["reeks=M1", "=M2R/"])
+    weg, reeks = (F.regexp_extract("path", p, 1).alias(n) for p, n in (("weg=([0-9]+)/", "weg"), ("reeks=([^/]+)/", "reeks")))
+    return hits.select(weg, reeks, "ending", "part")
 
 
 def _lines(spark, sf, layout="keyed", delimiter="\t"):
@@ -90,6 +110,21 @@ def survey_parse_semicolon(spark, sf):
     return _typed(survey.parse_lines(_lines(spark, sf, delimiter=";"), delimiter=";"))
 
 
+@query
+def survey_semicolon_round_trip(spark, sf):
+    """Two large files, written as cleaned copies in several parts each and read again."""
+    path = scratch_path(spark, "round-trip")
+    rows = given.measurements(spark, sf).withColumns(
+        {
+            "meting_serie_naam": F.concat(F.lit("B"), (F.col("oid") % 2).cast("string"), F.lit(" M1")),
+            "locatieomschrijving": F.lit("café aan de Schöne straße"),
+        }
+    )
+    sinks.write_normalized(settle(given.survey_lines(rows), "survey-lines"), path, repair=True, parts=7)
+    again = survey.parse_lines(normalized_lines(spark, path), delimiter=";")
+    return _typed(again.withColumn("columns", F.concat_ws(";", "columns"))).drop("columns")
+
+
 @query
 def survey_parse_positional(spark, sf):
     return _typed(survey.parse_lines(_lines(spark, sf, "positional"), "positional"), "positional")
@@ -562,10 +597,8 @@ def photo_slots(spark, sf):
 
 @query
 def header_repair(spark, sf):
-    lines = _lines(spark, sf)
-    fields = survey.split_fields(F.col("value"))
-    repaired = F.concat_ws(";", survey.repair_header(fields))
-    return lines.where(fields[0] == survey.FIRST_COLUMN).select("bestands_url", repaired.alias("value"))
+    """All lines; the speed column of column rows has its right name."""
+    return survey.normalized_line(_lines(spark, sf), repair=True).select("bestands_url", "value")
 
 
 # --- segments and classes ---------------------------------------------------

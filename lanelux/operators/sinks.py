@@ -37,17 +37,31 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_normalized(lines: DataFrame, path: str, delimiter: str = "\t") -> None:
+def write_normalized(
+    lines: DataFrame,
+    path: str,
+    delimiter: str = "\t",
+    repair: bool = False,
+    encoding: str = "ISO-8859-1",
+    parts: int | None = None,
+) -> None:
     """Cleaned semicolon text, one folder per survey file.
 
     ``lines`` has ``bestands_url``, ``line_no`` and ``value``. Rows are ranged
     by file and line, so a large file becomes several parts whose names sort
-    in line order.
+    in line order; ``normalized_lines`` reads them as one file again. The text
+    is written in ``encoding``, as survey files are; of ISO-8859-1, characters
+    that it lacks become question marks.
     """
+    order = ["bestands_url", "line_no"]
+    clean = normalized_line(lines, delimiter, repair)
+    if encoding == "ISO-8859-1":
+        known = F.regexp_replace("value", r"[^\x{0}-\x{ff}]", "?")
+        # The writer passes a text's bytes on as they are.
+        clean = clean.withColumn("value", F.encode(known, encoding).cast("string"))
+    dealt = clean.repartitionByRange(parts, *order) if parts else clean.repartitionByRange(*order)
     (
-        normalized_line(lines, delimiter)
-        .repartitionByRange("bestands_url", "line_no")
-        .sortWithinPartitions("bestands_url", "line_no")
+        dealt.sortWithinPartitions(*order)
         .select("bestands_url", "value")
         .write.mode("overwrite")
         .partitionBy("bestands_url")

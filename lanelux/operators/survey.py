@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanelux.functions import text
@@ -161,17 +161,22 @@ def parse_files(files: DataFrame, layout: str = "keyed", delimiter: str = "\t")
 # --- one row per line -------------------------------------------------------
 
 
-def number_lines(lines: DataFrame, broadcast_rows: int = 4 * BROADCAST_ROWS) -> DataFrame:
+def number_lines(
+    lines: DataFrame, broadcast_rows: int = 4 * BROADCAST_ROWS, per_folder: bool = False
+) -> DataFrame:
     """Turn (file, block, seq, value) into lines of ``bestands_url`` numbered from 0.
 
     ``file`` is the encoded path that text scans report, ``block`` the start of
     the file split; ``seq`` grows within a split by one per line. Only the line
-    counts of the splits are summed per file.
+    counts of the splits are summed per file. With ``per_folder`` the files of a
+    folder, in the order of their names, are one file with the folder's path.
     """
+    owner = F.regexp_replace("file", "/[^/]*$", "") if per_folder else F.col("file")
     per_block = lines.groupBy("file", "block").agg(F.count("*").alias("_n"), F.min("seq").alias("_seq0"))
-    before = F.coalesce(F.sum("_n").over(_blocks_before()), F.lit(0))
+    order = Window.partitionBy(owner).orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(order), F.lit(0))
     # A plus sign stands for itself in a path, the decoder would make it a space.
-    path = F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))
+    path = F.url_decode(F.replace(owner, F.lit("+"), F.lit("%2B")))
     bases = settle(
         per_block.select("file", "block", "_seq0", before.alias("_base"), path.alias("bestands_url")), "line-bases"
     )
@@ -184,10 +189,6 @@ def number_lines(lines: DataFrame, broadcast_rows: int = 4 * BROADCAST_ROWS) ->
     )
 
 
-def _blocks_before() -> WindowSpec:
-    return Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-
-
 def _header_ends(lines: DataFrame, delimiter: str) -> DataFrame:
     """The line ``_end`` that ends each file's header, NULL where no line does; one stored row per file.
 
@@ -298,14 +299,6 @@ def parse_lines(
 # --- cleaned copies ---------------------------------------------------------
 
 
-def normalized_line(lines: DataFrame, delimiter: str = "\t") -> DataFrame:
-    """Each line with cleaned fields, joined by semicolons, backslashes doubled."""
-    escaped = F.transform(
-        split_fields(F.col("value"), delimiter), lambda f: F.replace(f, F.lit("\\"), F.lit("\\\\"))
-    )
-    return lines.withColumn("value", F.concat_ws(";", escaped))
-
-
 # The column name that marks a column row, and the repaired name.
 FIRST_COLUMN = "Position km"
 SPEED_COLUMN = "Speed km/h km/h"
@@ -320,6 +313,18 @@ def repair_header(fields: Column) -> Column:
     return F.when(_field(fields, 0) == FIRST_COLUMN, _with_speed_name(fields)).otherwise(fields)
 
 
+def normalized_line(lines: DataFrame, delimiter: str = "\t", repair: bool = False) -> DataFrame:
+    """Each line with cleaned fields, joined by semicolons, backslashes doubled.
+
+    ``repair`` also renames the speed column of column rows.
+    """
+    fields = split_fields(F.col("value"), delimiter)
+    escaped = F.transform(
+        repair_header(fields) if repair else fields, lambda f: F.replace(f, F.lit("\\"), F.lit("\\\\"))
+    )
+    return lines.withColumn("value", F.concat_ws(";", escaped))
+
+
 # --- typed rows -------------------------------------------------------------
 
 

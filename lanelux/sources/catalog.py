@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,15 +18,19 @@ def list_files(
     An extension is the text after the last dot of the name and is compared
     exactly; without a dot it is the whole name. File contents are not read.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if extensions and all(e.isalnum() for e in extensions):
+        # Other files are left out of the listing itself.
+        reader = reader.option("pathGlobFilter", "{" + ",".join(f"{p}{e}" for e in extensions for p in ("*.", "")) + "}")
+    files = reader.load(root)
     parts = F.split("path", "/")
-    base = len(_bare(root).split("/"))
+    base = len(_qualified(spark, root).split("/"))
     listed = files.select(
         "path",
         F.element_at(parts, -1).alias("name"),
         F.element_at(parts, -2).alias("parent_name"),
         F.regexp_replace("path", "/[^/]*$", "").alias("parent_id"),
-        (F.size(F.split(F.regexp_replace("path", "^[a-z0-9]+:/*", "/"), "/")) - base - 1).alias("level"),
+        (F.size(F.split(_bare(F.col("path")), "/")) - base - 1).alias("level"),
         "length",
         "modificationTime",
     )
@@ -37,10 +41,16 @@ def list_files(
     return listed
 
 
-def _bare(root: str) -> str:
-    """The path part of ``root`` without scheme and closing slash."""
-    path = root.split(":", 1)[1] if ":" in root.split("/", 1)[0] else root
-    return "/" + path.strip("/")
+def _bare(path: Column) -> Column:
+    """The path without scheme and host."""
+    return F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/")
+
+
+def _qualified(spark: SparkSession, root: str) -> str:
+    """``root`` from the top of its file system, however it is written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toUri().getPath().rstrip("/")
 
 
 def list_folders(files: DataFrame) -> DataFrame:

@@ -33,9 +33,12 @@ def file_lines(
     pattern: str = "*.xls",
     larger_than: int = -1,
     encoding: str = ENCODING,
+    per_folder: bool = False,
 ) -> DataFrame:
     """Numbered lines of all files above a size; one file may span many splits.
 
+    With ``per_folder`` the files of a folder are read as one.
+
     The lines are stored once: how a file is split depends on the executors at
     hand, so two scans need not agree on the place of a line.
     """
@@ -51,7 +54,14 @@ def file_lines(
             F.decode(F.col("value").cast("binary"), encoding).alias("value"),
         )
     )
-    return number_lines(settle(lines, "file-lines"))
+    return number_lines(settle(lines, "file-lines"), per_folder=per_folder)
+
+
+def normalized_lines(spark: SparkSession, root: str, encoding: str = ENCODING) -> DataFrame:
+    """Numbered lines of the copies that ``write_normalized`` made, under the paths of the originals."""
+    lines = file_lines(spark, root, "part-*", encoding=encoding, per_folder=True)
+    name = F.regexp_extract("bestands_url", r"bestands_url=([^/]*)$", 1)
+    return lines.withColumn("bestands_url", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))))
 
 
 def parse_found(
@@ -84,6 +94,20 @@ def parse_found(
     return headers, rows
 
 
+def _empty_files(found: DataFrame) -> DataFrame | None:
+    """Headers of listed files without a byte, which Spark's readers leave out; None if there are none.
+
+    The listing is on the driver already, as part of the reader.
+    """
+    listed = found.inputFiles()
+    if len(listed) == found.select("path").count():
+        return None
+    names = found.sparkSession.createDataFrame([(f,) for f in listed], "path string")
+    plain = F.regexp_replace(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    empty = names.select(plain.alias("path")).join(found.select("path"), "path", "left_anti")
+    return file_headers(empty.select(F.col("path").alias("bestands_url"), F.lit("").alias("content")))
+
+
 def scan_survey(
     spark: SparkSession, root: str, pattern: str = "*.xls", **options
 ) -> tuple[DataFrame, DataFrame]:
@@ -94,7 +118,9 @@ def scan_survey(
         .option("pathGlobFilter", pattern)
         .load(root)
     )
-    return parse_found(found, root, pattern=pattern, **options)
+    headers, rows = parse_found(found, root, pattern=pattern, **options)
+    empty = _empty_files(found)
+    return headers if empty is None else headers.unionByName(empty), rows
 
 
 def read_survey(spark: SparkSession, root: str, **options) -> DataFrame:

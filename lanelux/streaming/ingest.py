@@ -48,7 +48,8 @@ def start_ingest(
     the others with their faults, ``<table>_files`` one row per file with its
     outcome and whether file and folder name agree with the series name. With
     ``conform_only``, lines of files whose names do not agree are left out, as
-    the yearly run does. The checkpoint remembers the files. A batch owns the
+    the yearly run does. A file without a byte is not seen by the stream. The
+    checkpoint remembers the files. A batch owns the
     partition with its number in each table, so a batch that is repeated after
     a failure replaces itself.
     """
