@@ -21,7 +21,7 @@ import pyarrow as pa
 IDS = np.dtype("<u4")
 
 #: Bytes of text that are cut into units together.
-TOKEN_STEP = 12 << 20
+TOKEN_STEP = 8 << 20
 
 _SPACE, _LETTER, _SIGN = 1, 2, 4
 _KINDS = np.zeros(256, np.uint8)
@@ -38,7 +38,7 @@ class Encoder:
     vocabulary drops white space and letter case.
     """
 
-    def __init__(self, path: str, separator: str, folds: bool, keep: int = 800_000, joined: int = 1024):
+    def __init__(self, path: str, separator: str, folds: bool, keep: int = 600_000, joined: int = 1024):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
