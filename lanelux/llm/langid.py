@@ -12,6 +12,7 @@ order, so transitions between languages are seen. Prediction reads whole texts.
 
 from __future__ import annotations
 
+import string
 import uuid
 from collections.abc import Iterator
 from functools import partial
@@ -36,7 +37,7 @@ KEEP_WORDS = 300_000
 UNKNOWN = "und"
 
 
-_PUNCTUATION = ".,;:!?\"'()[]|"
+_PUNCTUATION = string.punctuation
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 _TURN = np.uint64(0xA0761D6478BD642F)
 _LONGEST = 40
@@ -53,7 +54,7 @@ def _hashed(kind: int, parts: list[np.ndarray]) -> np.ndarray:
 def _table(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashed features of all words (weight rows), the words they belong to, and how many each word has.
 
-    A word is taken in lower case, without punctuation around it, up to ``_LONGEST`` characters. It
+    A word is taken in lower case, without ASCII signs around it, up to ``_LONGEST`` characters. It
     has a lexicon entry, prefixes and suffixes of one to four characters, and the pairs and triples of
     its characters with marks for its ends.
     """
