@@ -9,7 +9,7 @@ from lanelux.operators.points import LINE_COLUMNS, POINT_COLUMNS
 from lanelux.operators.segments import WEGCAT_COLUMNS
 from lanelux.operators.shares import CLASSIFIED_COLUMNS
 from lanelux.plans.adapters import BODY_COLUMNS, LOG_YEAR, SURVEY_YEAR, WATERMARK
-from lanelux.plans.reports import CLASS_REPORTS, SHARE_REPORTS
+from lanelux.plans.reports import CLASS_REPORTS, SHARE_REPORTS, share_columns
 from lanelux.schemas import CLASS_COLUMNS, HEADER_KEYS, MEASUREMENT_RAW
 
 ORACLE: dict[str, str] = {}
@@ -333,8 +333,8 @@ ORACLE["segment_load"] = with_views(
   'beheer' AS gebruiker, TIMESTAMP '2024-01-02 03:04:05' AS opnamedatum, TIMESTAMP '2024-01-02 00:00:00' AS begindatum,
   CAST(NULL AS TIMESTAMP) AS creatiedatum, CAST(NULL AS TIMESTAMP) AS wijzigingsdatum,
   CAST(NULL AS DOUBLE) AS deltawijzigingsdatum, CAST(id % 9 AS INTEGER) AS bronid, wegcategorie,
-  CAST(id % 5 - 2 AS INTEGER) AS offset_, TIMESTAMP '2024-02-03 04:05:06' AS copydatum
-FROM segment""",
+  CAST(id % 5 - 2 AS INTEGER) AS offset_, TIMESTAMP '2024-02-03 04:05:06' AS copydatum, multi_line
+FROM segment CROSS JOIN (VALUES (false), (true)) w(multi_line)""",
 )
 
 ORACLE["class_bands_values"] = with_views(
@@ -355,7 +355,7 @@ ORACLE["sink_create_if_absent"] = with_views(
     "measurement", body=f"SELECT {cols(['oid', 'kmp', 'rl'])} FROM measurement"
 )
 _LINE_PLAIN = [c for c in LINE_COLUMNS if c != "geom_line"]
-ORACLE["line_empty_schema"] = with_views("line", body=f"SELECT {cols(_LINE_PLAIN)} FROM line WHERE 1 = 2")
+ORACLE["line_empty_schema"] = with_views("line", body=f"SELECT {cols(_LINE_PLAIN)}, oid AS line_no FROM line WHERE 1 = 2")
 ORACLE["sink_append"] = with_views("measurement", body=f"SELECT {cols(MEASUREMENT_RAW.names)} FROM measurement")
 
 _COMMA_TIME = f"CASE WHEN oid % 3 = 0 THEN tijdstip_meting_tekst ELSE {DAY_FIRST} END"
@@ -449,7 +449,9 @@ _CONFORM = """(left(drive_file_name, length(drive_file_name) - 4) = measure_seri
   AND split_part(measure_series_name, ' ', 1) = drive_folder_name)"""
 ORACLE["file_state_transition"] = with_views(
     "file_log",
-    body=f"""SELECT * REPLACE (CASE WHEN {_QUEUE} THEN {_CONFORM} ELSE name_conform END AS name_conform,
+    body=f"""SELECT * REPLACE (
+  CASE WHEN {_QUEUE} AND oid % 3 = 0 THEN measure_series_name || ' nieuw' ELSE measure_series_name END AS measure_series_name,
+  CASE WHEN {_QUEUE} THEN oid % 3 <> 0 AND {_CONFORM} ELSE name_conform END AS name_conform,
   CAST(CASE WHEN {_QUEUE} THEN 4 ELSE completed_step END AS INTEGER) AS completed_step) FROM file_log""",
 )
 ORACLE["ingest_log_build"] = with_views("ingest", body="SELECT * FROM ingest")
@@ -671,10 +673,10 @@ ORACLE["line_srid_check"] = with_views(
 )
 _POINT_PLAIN = [c for c in POINT_COLUMNS if c != "geoml72"]
 ORACLE["report_points"] = with_views(
-    "point", body=f"SELECT {cols(_POINT_PLAIN)}, round(mx, 2) AS geom_x, round(my, 2) AS geom_y FROM point"
+    "point", body=f"SELECT {cols(_POINT_PLAIN)}, oid + 100 AS line_no, round(mx, 2) AS geom_x, round(my, 2) AS geom_y FROM point"
 )
 ORACLE["report_lines"] = with_views(
-    "line", body=f"SELECT {cols([c for c in _LINE_PLAIN if c != 'lengte'])}, round(lengte, 3) AS lengte FROM line"
+    "line", body=f"SELECT {cols([c for c in _LINE_PLAIN if c != 'lengte'])}, round(lengte, 3) AS lengte, oid + 100 AS line_no FROM line"
 )
 
 ORACLE["incremental_lines"] = ORACLE["report_lines"]
@@ -705,7 +707,10 @@ for _name, _report in SHARE_REPORTS.items():
 
 
 def _body(sql: str, name: str) -> str:
-    return f"SELECT '{name}' AS report, count(*) AS n FROM ({sql})"
+    if name not in SHARE_REPORTS:
+        return f"SELECT '{name}' AS report, CAST(count(*) AS VARCHAR) AS line FROM ({sql})"
+    shown = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in sorted(share_columns(SHARE_REPORTS[name])))
+    return f"SELECT '{name}' AS report, concat_ws('|', {shown}) AS line FROM ({sql})"
 
 
 ORACLE["sink_report_export"] = "\nUNION ALL\n".join(

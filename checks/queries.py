@@ -229,7 +229,8 @@ def segment_load(spark, sf):
         .option("emptyValue", "")
         .csv(path)
     )
-    return plain(read_segments(spark, path, multi_line=False))
+    ways = [read_segments(spark, path, multi_line=m).withColumn("multi_line", F.lit(m)) for m in (False, True)]
+    return plain(survey.union_frames(ways))
 
 
 @query
@@ -300,12 +301,16 @@ def sink_report_export(spark, sf):
     counts = settle(shares.reading_counts(located), "reading-counts")
     tables = reports.all_reports(located, given.classes(spark), given.classes_p(spark), counts)
     places = sinks.export_reports(tables, path)
-    counted = [
-        spark.read.option("sep", ";").option("header", True).csv(place).agg(F.count("*").alias("n"))
-        .select(F.lit(name).alias("report"), "n")
-        for name, place in places.items()
-    ]
-    return survey.union_frames(counted)
+
+    def lines(name, place):
+        """The text of a share report's rows; of the large reports their number."""
+        read = spark.read.option("sep", ";").option("header", True).csv(place)
+        if name in reports.SHARE_REPORTS:
+            shown = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in sorted(read.columns)])
+            return read.select(F.lit(name).alias("report"), shown.alias("line"))
+        return read.agg(F.count("*").cast("string").alias("line")).select(F.lit(name).alias("report"), "line")
+
+    return survey.union_frames([lines(name, place) for name, place in places.items()])
 
 
 # --- file log ---------------------------------------------------------------
@@ -351,8 +356,12 @@ def work_queue(spark, sf):
 
 @query
 def file_state_transition(spark, sf):
+    """Every third file turns out to have another series name than the log had."""
     log = given.file_log(spark, sf)
-    return ledger.apply_checks(log, ledger.check_names(ledger.work_queue(log, given.LOG_YEAR)))
+    series = F.col("measure_series_name")
+    read = F.when(F.col("oid") % 3 == 0, F.concat(series, F.lit(" nieuw"))).otherwise(series)
+    queue = ledger.work_queue(log, given.LOG_YEAR).withColumn("measure_series_name", read)
+    return ledger.apply_checks(log, ledger.check_names(queue))
 
 
 @query
@@ -664,7 +673,7 @@ def class_share_region(spark, sf):
 @query
 def share_union_form(spark, sf):
     """One branch per province, united and made distinct."""
-    counts = shares.class_counts(_counted_classes(spark, sf), ["jaar", "provincie"])
+    counts = settle(shares.class_counts(_counted_classes(spark, sf), ["jaar", "provincie"]), "class-counts")
     branches = []
     for name in PROVINCES.values():
         branch = shares.with_total(counts.where(F.col("provincie") == name), "provincie")
@@ -728,7 +737,8 @@ def point_coords_int(spark, sf):
 
 
 def _measurement_points(spark, sf):
-    return points.measurement_points(given.measurements(spark, sf), given.SURVEY_YEAR)
+    rows = given.measurements(spark, sf).withColumn("line_no", F.col("oid") + 100)
+    return points.measurement_points(rows, given.SURVEY_YEAR)
 
 
 def _measurement_lines(spark, sf):

@@ -99,16 +99,16 @@ def check_names(files: DataFrame) -> DataFrame:
     )
 
 
-def apply_checks(log: DataFrame, checks: DataFrame) -> DataFrame:
-    """The log with the outcome of ``checks`` (oid, series name, name_conform)."""
+def apply_checks(log: DataFrame, checks: DataFrame, key: str = "drive_file_id") -> DataFrame:
+    """The log with the outcome of ``checks`` (series name, name_conform) under the same ``key``."""
     done = checks.select(
-        F.col("oid").alias("_oid"),
+        F.col(key).alias("_key"),
         F.col("measure_series_name").alias("_series"),
         F.col("name_conform").alias("_conform"),
     )
-    checked = F.col("_oid").isNotNull()
+    checked = F.col("_key").isNotNull()
     return (
-        log.join(done, F.col("oid") == F.col("_oid"), "left")
+        log.join(done, F.col(key) == F.col("_key"), "left")
         .withColumns(
             {
                 "measure_series_name": F.when(checked, F.col("_series")).otherwise(F.col("measure_series_name")),
@@ -116,7 +116,7 @@ def apply_checks(log: DataFrame, checks: DataFrame) -> DataFrame:
                 "completed_step": F.when(checked, F.lit(VALIDATED)).otherwise(F.col("completed_step")),
             }
         )
-        .drop("_oid", "_series", "_conform")
+        .drop("_key", "_series", "_conform")
     )
 
 

@@ -24,7 +24,10 @@ LINE_COLUMNS = [
 
 
 def measurement_points(raw: DataFrame, report_year: int) -> DataFrame:
-    """Measurements of the survey year with their start point in Lambert 72."""
+    """Measurements of the survey year with their start point in Lambert 72.
+
+    ``line_no`` is kept where it is known: file and line are the exact key.
+    """
     rows = raw.where(in_year(F.col("tijdstip_meting"), report_year))
     rows = geo.with_lambert72(rows, "longitude_start", "latitude_start", "_mx", "_my")
     return rows.withColumns(
@@ -36,7 +39,11 @@ def measurement_points(raw: DataFrame, report_year: int) -> DataFrame:
             "start_coord": text.coord_text(F.col("latitude_start"), F.col("longitude_start")),
             "eind_coord": text.coord_text(F.col("latitude_eind"), F.col("longitude_eind")),
         }
-    ).select(*POINT_COLUMNS)
+    ).select(*POINT_COLUMNS, *_line_number(raw))
+
+
+def _line_number(rows: DataFrame) -> list[str]:
+    return ["line_no"] if "line_no" in rows.columns else []
 
 
 def _side(road: Column) -> Column:
@@ -75,7 +82,9 @@ def with_line(points: DataFrame) -> DataFrame:
 def measurement_lines(points: DataFrame) -> DataFrame:
     """Lines of at most 100 m."""
     rows = with_line(points).where(F.col("lengte").between(0, 100))
-    return rows.withColumn("kaart_offset", map_offset(F.col("markering"), F.col("ident8"))).select(*LINE_COLUMNS)
+    return rows.withColumn("kaart_offset", map_offset(F.col("markering"), F.col("ident8"))).select(
+        *LINE_COLUMNS, *_line_number(points)
+    )
 
 
 def srid_check(rows: DataFrame, srid: str = "srid") -> DataFrame:

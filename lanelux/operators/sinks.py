@@ -4,22 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanelux.operators.survey import normalized_line
+from lanelux.session import file_system, remove
 
 
 def year_path(path: str, report_year: int) -> str:
     return f"{path}/report_year={report_year}"
 
 
+def restore(spark: SparkSession, path: str, report_year: int) -> None:
+    """Put the rows of a year back in place that a refresh, broken off between its two renames, had set aside."""
+    system, place = file_system(spark, year_path(path, report_year))
+    _, aside = file_system(spark, _beside(path, "old", report_year))
+    if not system.exists(place) and system.exists(aside):
+        system.rename(aside, place)
+
+
+def _beside(path: str, what: str, report_year: int) -> str:
+    # Readers pass over names that begin with an underscore.
+    return f"{path}/_{what}_{report_year}"
+
+
 def refresh(df: DataFrame, path: str, report_year: int) -> None:
     """Replace the rows of one report year and leave other years alone.
 
-    Writes the folder of the year itself, so an empty result empties the year.
+    The new rows are complete beside the old ones before these give way, so a
+    lost driver or executor loses neither; ``df`` may read the rows it replaces.
+    An empty result empties the year.
     """
-    df.write.mode("overwrite").parquet(year_path(path, report_year))
+    spark = df.sparkSession
+    restore(spark, path, report_year)
+    fresh, aside = _beside(path, "new", report_year), _beside(path, "old", report_year)
+    df.write.mode("overwrite").parquet(fresh)
+    system, place = file_system(spark, year_path(path, report_year))
+    remove(spark, aside)
+    if system.exists(place):
+        system.rename(place, file_system(spark, aside)[1])
+    if not system.rename(file_system(spark, fresh)[1], place):
+        raise OSError(f"{fresh} could not take its place")
+    remove(spark, aside)
 
 
 def create_if_absent(df: DataFrame, path: str) -> None:

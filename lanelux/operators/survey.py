@@ -397,7 +397,8 @@ def import_rows(
 
 
 def accepted(imported: DataFrame) -> DataFrame:
-    return imported.where(F.size("errors") == 0).select(*MEASUREMENT_RAW.names)
+    """Sound rows; file and ``line_no`` are their exact key."""
+    return imported.where(F.size("errors") == 0).select(*MEASUREMENT_RAW.names, "line_no")
 
 
 def rejected(imported: DataFrame) -> DataFrame:

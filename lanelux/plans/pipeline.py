@@ -1,18 +1,19 @@
 """A survey year from files to reports, each stage a stored table.
 
 Tables of all years share one folder each, partitioned by ``report_year``; a
-rerun replaces its own year only. Reading a whole table prunes by year.
+rerun changes its own year only. Reading a whole table prunes by year.
 """
 
 from __future__ import annotations
 
 import datetime
+import itertools
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from lanelux.operators import ledger, sinks
 from lanelux.operators.joins import skew_safe_join
@@ -21,11 +22,16 @@ from lanelux.operators.segments import enrich, on_segments
 from lanelux.operators.shares import reading_counts
 from lanelux.operators.survey import accepted, import_rows, rejected
 from lanelux.plans.reports import LOCATED, all_reports
-from lanelux.schemas import FILE_LOG
-from lanelux.session import settle
+from lanelux.functions.times import stamp
+from lanelux.schemas import FILE_LOG, MEASUREMENT_RAW
+from lanelux.session import scratch_scope, settle
 from lanelux.sources.catalog import list_files
 from lanelux.sources.segment_files import read_segments
-from lanelux.sources.survey_files import scan_survey
+from lanelux.sources.survey_files import scan_files
+
+_IMPORT = StructType(
+    [*MEASUREMENT_RAW, StructField("line_no", LongType()), StructField("errors", ArrayType(StringType()))]
+)
 
 
 @dataclass(frozen=True)
@@ -42,7 +48,12 @@ class Store:
         sinks.refresh(df, self.path(table), year)
         return self.read(table, year)
 
+    def append(self, table: str, df: DataFrame, year: int) -> DataFrame:
+        sinks.append(df, sinks.year_path(self.path(table), year))
+        return self.read(table, year)
+
     def read(self, table: str, year: int) -> DataFrame:
+        sinks.restore(self.spark, self.path(table), year)
         return self.spark.read.parquet(sinks.year_path(self.path(table), year))
 
     def read_or_empty(self, table: str, year: int, schema: StructType) -> DataFrame:
@@ -75,6 +86,37 @@ def append_new_lines(store: Store, points: DataFrame, year: int) -> DataFrame:
     return store.read("measurement_line", year)
 
 
+#: Files that are parsed together; the names of so many are on the driver at once.
+FILES_AT_ONCE = 10_000
+
+
+def load_queue(store: Store, log: DataFrame, year: int, read_at: datetime.datetime) -> DataFrame:
+    """Parse the files in the log's queue, each once; returns the log with the outcome of their checks.
+
+    Stored are ``file_outcome`` (one row per file, with what keeps it from being read) and
+    ``measurement_import`` (all lines of conform files, sound or not). A file that a run broken off
+    had stored is not stored again.
+    """
+    spark = store.spark
+    queue = ledger.work_queue(log, year).select("drive_file_id", "drive_file_name", "drive_folder_name", "oid")
+    names = (r["drive_file_id"] for r in queue.select("drive_file_id").toLocalIterator())
+    outcomes = None
+    while paths := list(itertools.islice(names, FILES_AT_ONCE)):
+        headers, rows = scan_files(spark, paths)
+        told = headers.select("bestands_url", F.col("meting_serie_naam").alias("measure_series_name"), "outcome")
+        checks = ledger.check_names(queue.join(told, F.col("drive_file_id") == F.col("bestands_url")))
+        checks = settle(checks.drop("oid").withColumn("datetime_utc_read", stamp(read_at)), "checks")
+        conform = checks.where("name_conform").select("bestands_url")
+        known = store.read_or_empty("measurement_import", year, _IMPORT).select("bestands_url").distinct()
+        conform = settle(conform.join(known, "bestands_url", "left_anti"), "conform-files")
+        rows = skew_safe_join(rows, conform, ["bestands_url"], how="left_semi", spread_by=["line_no"])
+        store.append("measurement_import", import_rows(rows, read_at), year)
+        before = store.read_or_empty("file_outcome", year, checks.schema).select("bestands_url")
+        store.append("file_outcome", checks.join(before, "bestands_url", "left_anti"), year)
+        outcomes = checks if outcomes is None else outcomes.unionByName(checks)
+    return log if outcomes is None else ledger.apply_checks(log, outcomes)
+
+
 def run_year(
     spark: SparkSession,
     survey_root: str,
@@ -84,45 +126,52 @@ def run_year(
     out: str,
     report_year: int,
     read_at: datetime.datetime,
+    multi_line_segments: bool = True,
 ) -> dict[str, DataFrame]:
     """Run all stages for one year and return the stored tables by name.
 
-    The file log grows: files it holds keep their state, new ones are added
-    and checked. All other tables of the year are built anew.
+    The file log, the imported lines, the file outcomes and the measurement lines
+    grow: files that the log holds keep their state and are not read again, and
+    lines of points loaded since the last run are added. All other tables of the
+    year are built anew from these, and the reports are exported to ``export``.
+    ``multi_line_segments`` as in :func:`read_segments`.
     """
-    store = Store(spark, out)
+    with scratch_scope(spark):
+        return _run_year(
+            Store(spark, out), survey_root, segments_path, classes, classes_p, report_year, read_at, multi_line_segments
+        )
+
+
+def _run_year(store, survey_root, segments_path, classes, classes_p, report_year, read_at, multi_line_segments):
+    spark = store.spark
     known = store.read_or_empty("file_log", report_year, FILE_LOG)
     new = register_files(store, survey_root, report_year, read_at, known).withColumns(
         {
+            # Shows files apart; the file id is the key.
             "oid": F.xxhash64("drive_file_id"),
             "measure_series_name": F.lit(None).cast("string"),
             "name_conform": F.lit(None).cast("boolean"),
         }
     )
-    # The log is overwritten below, so what it held has to be stored elsewhere first.
     log = settle(known.unionByName(new.select(*FILE_LOG.names)), "file-log")
+    log = store.write("file_log", load_queue(store, log, report_year, read_at), report_year)
+    ingest = store.write("ingest_log", ledger.ingest_log(log, report_year), report_year)
 
-    headers, rows = scan_survey(spark, survey_root)
-    series = headers.select("bestands_url", F.col("meting_serie_naam").alias("_series"))
-    queue = ledger.work_queue(log, report_year).join(series, F.col("drive_file_id") == F.col("bestands_url"))
-    checks = ledger.check_names(queue.withColumn("measure_series_name", F.col("_series")))
-    log = store.write("file_log", ledger.apply_checks(log, checks), report_year)
-
-    conform = log.where("name_conform").select(F.col("drive_file_id").alias("bestands_url"))
-    rows = skew_safe_join(rows, conform, ["bestands_url"], how="left_semi", spread_by=["line_no"])
-    imported = store.write("measurement_import", import_rows(rows, read_at), report_year)
+    imported = store.read_or_empty("measurement_import", report_year, _IMPORT)
     raw = accepted(imported)
-
     points = store.write("measurement_point", measurement_points(raw, report_year), report_year)
-    lines = store.write("measurement_line", measurement_lines(points), report_year)
-    segments = store.write("segment", enrich(read_segments(spark, segments_path)), report_year)
+    lines = append_new_lines(store, points, report_year)
+    segments = store.write("segment", enrich(read_segments(spark, segments_path, multi_line_segments)), report_year)
     wegcat = store.write(LOCATED, on_segments(points, segments), report_year)
     counts = store.write("reading_counts", reading_counts(wegcat), report_year)
     tables = {}
     for name, report in all_reports(wegcat, classes, classes_p, counts).items():
         tables[name] = wegcat if name == LOCATED else store.write(name, report, report_year)
+    sinks.export_reports(tables, f"{store.path('export')}/{report_year}")
     return tables | {
         "file_log": log,
+        "file_outcome": store.read_or_empty("file_outcome", report_year, StructType([])),
+        "ingest_log": ingest,
         "measurement_raw": raw,
         "measurement_rejected": rejected(imported),
         "measurement_point": points,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,9 +46,37 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch()
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path that no earlier run has used."""
-    return f"{scratch_root(spark)}/lanelux/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/lanelux/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what is settled inside once it is left; results must not read from it."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
+
+
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The Hadoop file system of ``path`` and the path in its form."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, place = file_system(spark, path)
+    system.delete(place, True)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

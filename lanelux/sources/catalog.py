@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lanelux.session import file_system
+
 
 def list_files(
     spark: SparkSession,
@@ -48,8 +50,7 @@ def _bare(path: Column) -> Column:
 
 def _qualified(spark: SparkSession, root: str) -> str:
     """``root`` from the top of its file system, however it is written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system, path = file_system(spark, root)
     return system.makeQualified(path).toUri().getPath().rstrip("/")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,6 +125,15 @@ def scan_survey(
     return headers if empty is None else headers.unionByName(empty), rows
 
 
+def scan_files(spark: SparkSession, paths: list[str], pattern: str = "*.xls", **options) -> tuple[DataFrame, DataFrame]:
+    """Headers and body rows of the files named, and of no others; options as :func:`parse_found`."""
+    plain = [re.sub(r"([{}\[\]*?\\,])", r"\\\1", p) for p in paths]
+    found = spark.read.format("binaryFile").load(plain)
+    headers, rows = parse_found(found, plain, pattern=pattern, **options)
+    empty = _empty_files(found)
+    return headers if empty is None else headers.unionByName(empty), rows
+
+
 def read_survey(spark: SparkSession, root: str, **options) -> DataFrame:
     """Body rows of every survey file below ``root``; options as :func:`scan_survey`."""
     return scan_survey(spark, root, **options)[1]

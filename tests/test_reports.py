@@ -112,9 +112,19 @@ def test_every_report_is_there():
     assert combos == {c for c in every if c[0] or c[1] == "provincie"}
 
 
-def test_run_year(spark, tmp_path):
+def test_run_year(spark, tmp_path, monkeypatch):
+    from lanelux.plans import pipeline
     from tests.test_survey import HEAD, body, keyed, write
 
+    read_paths = []
+
+    def scan(session, paths, *args, **options):
+        read_paths.append(sorted(p.rsplit("/", 1)[-1] for p in paths))
+        return scan_files(session, paths, *args, **options)
+
+    scan_files = pipeline.scan_files
+    monkeypatch.setattr(pipeline, "scan_files", scan)
+
     source = tmp_path / "Te_verwerken"
 
     def series(n):
@@ -123,6 +133,7 @@ def test_run_year(spark, tmp_path):
     write(source / "N0010001" / "N0010001 M1.xls", keyed(body(f0="1,0"), body(f0="10,0"), body(f0="99,0"), body(f2="veel"), head=series("N0010001 M1")))
     write(source / "N0010002" / "N0010002 M1.xls", keyed(body(f1="03/04/2023 05:06:07"), body(f2="0"), head=series("N0010002 M1")))
     write(source / "elders" / "N0010003 M1.xls", keyed(body(), head=series("N0010003 M1")))
+    write(source / "N0010004" / "N0010004 M1.xls", ["Info:\tx", body()])
     empty = [""] * 24
     segments = []
     for n, (road, begin, end) in enumerate([("N0010001", 0, 10), ("N0010001", 10, 20), ("N0010002", 0, 10), ("N0010003", 0, 10)]):
@@ -138,6 +149,10 @@ def test_run_year(spark, tmp_path):
         str(tmp_path / "uit"), 2024, read_at,
     )
     log = {r["drive_file_name"]: (r["name_conform"], r["completed_step"]) for r in tables["file_log"].collect()}
+    assert log.pop("N0010004 M1.xls") == (False, 4)
+    told = {r["drive_file_name"]: r["outcome"] for r in tables["file_outcome"].collect()}
+    assert told.pop("N0010004 M1.xls") == "no header end" and set(told.values()) == {"ok"} and len(told) == 3
+    assert tables["ingest_log"].count() == 4
     assert log == {"N0010001 M1.xls": (True, 4), "N0010002 M1.xls": (True, 4), "N0010003 M1.xls": (False, 4)}
     assert tables["measurement_raw"].count() == 5 and tables["measurement_rejected"].count() == 1
     assert tables["measurement_point"].count() == 4
@@ -151,3 +166,18 @@ def test_run_year(spark, tmp_path):
         str(tmp_path / "uit"), 2024, read_at,
     )
     assert again["per_district_wegcat"].count() == 4
+    assert read_paths == [["N0010001 M1.xls", "N0010002 M1.xls", "N0010003 M1.xls", "N0010004 M1.xls"]]
+    lines = again["measurement_line"].count()
+    write(source / "N0010005" / "N0010005 {M1}.xls", keyed(body(), body(f12="4,2", f13="50,6"), head=series("N0010005 {M1}")))
+    # A refresh broken off between its renames has set the points aside.
+    (tmp_path / "uit" / "measurement_point" / "report_year=2024").rename(tmp_path / "uit" / "measurement_point" / "_old_2024")
+    third = run_year(
+        spark, str(source), str(tmp_path / "segmenten.tsv"), given.classes(spark), given.classes_p(spark),
+        str(tmp_path / "uit"), 2024, datetime.datetime(2024, 7, 1),
+    )
+    assert read_paths[1:] == [["N0010005 {M1}.xls"]]
+    assert third["measurement_raw"].count() == 7 and third["measurement_raw"].select("bestands_url", "line_no").distinct().count() == 7
+    assert third["measurement_line"].count() == lines + 1
+    exported = spark.read.option("sep", ";").option("header", True).csv(str(tmp_path / "uit" / "export" / "2024" / "procent_per_prov_vl_H"))
+    assert [r["klasse"] for r in exported.collect()] == ["C"]
+    assert not [p for p in (tmp_path / "uit").rglob("_new_*")] and not [p for p in (tmp_path / "uit").rglob("_old_*")]

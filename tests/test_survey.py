@@ -146,7 +146,7 @@ def test_normalized_copy_parses_to_the_same_rows(spark, folder, tmp_path, rows):
 
     texts = {}
     for part in sorted(pathlib.Path(out).glob("*/part-*")):
-        texts[part.parent.name] = texts.get(part.parent.name, []) + part.read_text().splitlines()
+        texts[part.parent.name] = texts.get(part.parent.name, []) + part.read_text("latin-1").splitlines()
     assert any("Position km;Date;RL" in line for t in texts.values() for line in t)
     renumbered = [(k, i, v) for k, t in texts.items() for i, v in enumerate(t)]
     df = spark.createDataFrame(renumbered, "bestands_url string, line_no long, value string")
