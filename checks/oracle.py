@@ -719,3 +719,18 @@ ORACLE["sink_report_export"] = "\nUNION ALL\n".join(
         *[_body(ORACLE[f"report_{n.lower()}"], n) for n in [*CLASS_REPORTS, *SHARE_REPORTS]],
     ]
 )
+
+
+# --- order and years --------------------------------------------------------
+
+ORACLE["order_ingested_files"] = with_views(
+    "ingest", body="SELECT bestands_url, CAST(row_number() OVER (ORDER BY bestands_url) AS INTEGER) AS place FROM ingest"
+)
+ORACLE["order_segment_join"] = f"""SELECT ident8, kmp, oid,
+  CAST(row_number() OVER (ORDER BY ident8, kmp, oid) AS INTEGER) AS place FROM ({ORACLE["segment_interval_join"]})"""
+ORACLE["order_share_report"] = f"""SELECT provincie, markering, klasse,
+  CAST(row_number() OVER (ORDER BY provincie, markering, klasse) AS INTEGER) AS place
+FROM ({ORACLE["report_procent_per_prov_m1"]})"""
+ORACLE["points_of_one_year"] = with_views(
+    "measurement", body="SELECT oid, tijdstip_meting FROM measurement WHERE oid % 4 <> 0 AND year(tijdstip_meting) = 2024"
+)

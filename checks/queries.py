@@ -6,7 +6,7 @@ import datetime
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lanelux.functions import geo, text, times
@@ -836,3 +836,40 @@ def stream_ingest_outcomes(spark, sf):
     sound = spark.read.parquet(table).select("bestands_url", F.array().cast("array<string>").alias("errors"))
     faulty = spark.read.parquet(f"{table}_rejected").select("bestands_url", "errors")
     return _counted(spark.read.parquet(f"{table}_files"), sound.unionByName(faulty))
+
+
+# --- order and years --------------------------------------------------------
+
+
+def _placed(df, *columns):
+    """The columns with the place of each row in the order that ``df`` has."""
+    numbered = df.select(*columns, F.monotonically_increasing_id().alias("_seq"))
+    return numbered.withColumn("place", F.row_number().over(Window.orderBy("_seq"))).drop("_seq")
+
+
+@query
+def order_ingested_files(spark, sf):
+    return _placed(ledger.ingested_files(ingest_log_build(spark, sf)), "bestands_url")
+
+
+@query
+def order_segment_join(spark, sf):
+    located = segments.on_segments(
+        given.measurements(spark, sf), segments.enrich(given.segments(spark, sf)), ordered=True
+    )
+    return plain(_placed(located, "ident8", "kmp", "oid"))
+
+
+@query
+def order_share_report(spark, sf):
+    return _placed(_share_report(reports.SHARE_REPORTS["procent_per_prov_M1"], spark, sf), "provincie", "markering", "klasse")
+
+
+@query
+def points_of_one_year(spark, sf):
+    """Every fourth measurement is moved to the next year and stays out."""
+    moved = F.expr("tijdstip_meting + INTERVAL 1 YEAR")
+    rows = given.measurements(spark, sf).withColumn(
+        "tijdstip_meting", F.when(F.col("oid") % 4 == 0, moved).otherwise(F.col("tijdstip_meting"))
+    )
+    return points.measurement_points(rows, given.SURVEY_YEAR).select("oid", "tijdstip_meting")
