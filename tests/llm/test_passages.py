@@ -40,8 +40,24 @@ def check(rows, made):
         assert r["other_doc_id"] != r["doc_id"] or len(set(texts[r["doc_id"]])) > 1
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_brute_force(spark, made, odd, seed):
+@pytest.fixture(params=["as is", "many partitions", "small batches"])
+def cut(request, spark):
+    """Classes of equal heads go on in the next partition or the next batch."""
+    settings = {
+        "as is": {},
+        "many partitions": {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "23"},
+        "small batches": {"spark.sql.execution.arrow.maxRecordsPerBatch": "7"},
+    }[request.param]
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_brute_force(spark, made, odd, cut, seed):
     rng = random.Random(seed)
     bases = [words(rng, rng.choice([55, 70, 150])) for _ in range(5)]
     rows = list(odd)
