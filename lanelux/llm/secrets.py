@@ -48,7 +48,8 @@ PEM = Rule("pem", 1, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
 JWT = Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}")
 RULES = (*BASE, PEM, JWT)
 
-LEDGER = "blob binary, kind string, version int, spans array<struct<start:long,end:long>>"
+LEDGER = {"blob": "binary", "kind": "string", "version": "int", "spans": "array<struct<start:bigint,end:bigint>>"}
+_SCHEMA = ", ".join(f"{n} {t}" for n, t in LEDGER.items())
 
 
 def spans(text: Column, rule: Rule) -> Column:
@@ -91,8 +92,8 @@ def open_ledger(spark: SparkSession, path: str | None) -> DataFrame:
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         if system.exists(hadoop):
-            return spark.read.schema(LEDGER).parquet(path)
-    return spark.createDataFrame([], LEDGER)
+            return spark.read.schema(_SCHEMA).parquet(path)
+    return spark.range(0).select(*(F.lit(None).cast(t).alias(n) for n, t in LEDGER.items()))
 
 
 def update_ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES, path: str | None = None) -> DataFrame:
@@ -130,7 +131,7 @@ def update_ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES, path: str |
     rows = rows.select("_blob", "_rules", F.explode("_entries").alias("e"))
     rows = rows.where(F.array_contains("_rules", F.struct("e.kind", "e.version")))
     rows.select(F.col("_blob").alias("blob"), "e.kind", "e.version", "e.spans").write.mode("append").parquet(path)
-    return spark.read.schema(LEDGER).parquet(path)
+    return spark.read.schema(_SCHEMA).parquet(path)
 
 
 def found(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
