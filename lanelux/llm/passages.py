@@ -31,7 +31,7 @@ WINDOW, GRAM = 21, 8
 HEAD = LONG - WINDOW + 1
 REACH = WINDOW - 1
 _TAIL = LONG - HEAD
-_KEEP = 400_000
+_KEEP = 200_000
 
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
@@ -236,7 +236,8 @@ def _spans(texts: DataFrame, heads: DataFrame, classes: DataFrame) -> DataFrame:
     """key, start, end and partner (a key) of matches in distinct texts; matches may overlap."""
     heads = heads.where("at >= 0")
     twice = heads.groupBy("head").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("head")
-    # stored before it is grouped, so a very common head can be dealt to many tasks
+    twice = settle(twice, "heads-of-two")
+    # a join of two stored tables, and stored itself: Spark can deal a very common head to many tasks
     used = settle(heads.join(twice, "head").select("key", "at"), "repeated-heads").groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("places"))  # bounded by a text
     used = settle(used.join(classes.select("key", "doc_id"), "key"), "suffix-places")
     some = texts.join(used.hint("shuffle_hash"), ["key", "doc_id"]).select("key", "text", "places")
