@@ -23,11 +23,22 @@ IDS = np.dtype("<u4")
 #: Bytes of text that are cut into units together.
 TOKEN_STEP = 8 << 20
 
-_SPACE, _LETTER, _SIGN = 1, 2, 4
-_KINDS = np.zeros(256, np.uint8)
-_KINDS[list(b" \n\t\r")] = _SPACE
-_KINDS[[c for c in range(128) if chr(c).isalpha()]] = _LETTER
-_KINDS[[c for c in range(33, 127) if not chr(c).isalnum()]] = _SIGN
+_SPACE, _LETTER, _SIGN, _RARE = 1, 2, 4, 8
+
+
+def _kinds() -> bytes:
+    """For each byte what it may be; ``_RARE`` ones may be white space of another kind, or begin it."""
+    kinds = bytearray(256)
+    for c in range(128):
+        kinds[c] = _LETTER if chr(c).isalpha() else _SIGN if 33 <= c < 127 and not chr(c).isalnum() else 0
+    for c in b" \n\t\r":
+        kinds[c] = _SPACE
+    for c in (0, 11, 12, 28, 29, 30, 31, 0xE1, 0xE2, 0xE3, 0xEF):
+        kinds[c] = _RARE
+    return bytes(kinds)
+
+
+_KINDS = _kinds()
 _OTHER_SPACE = re.compile("[^\\S \n\t\r]|[\x00\x0b\x0c\x1c-\x1f\x85᠎​⁠﻿]").search
 
 
@@ -114,7 +125,7 @@ class Encoder:
         if not joined:
             return [b""] * len(raw)
         data = np.frombuffer(joined.lower() if self._folds else joined, np.uint8)
-        kinds = _KINDS[data]
+        kinds = np.frombuffer(joined.translate(_KINDS), np.uint8)
         space = kinds == _SPACE
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         ends = np.cumsum(sizes)
@@ -125,21 +136,20 @@ class Encoder:
         first[(ends - sizes)[sizes > 0]] = True
         if self._folds:  # white space has no ids
             first &= ~space
-            kept = np.cumsum(~space)
-            starts = np.flatnonzero(first)
-            owner = np.searchsorted(ends, starts, "right")
-            starts, data = kept[starts] - 1, data[~space]
-        else:
-            starts = np.flatnonzero(first)
-            owner = np.searchsorted(ends, starts, "right")
-        counts = np.bincount(owner, minlength=len(raw))
+        starts = np.flatnonzero(first)
         if not len(starts):
             return [b""] * len(raw)
+        unit_ends = np.concatenate([[0], np.searchsorted(starts, ends)])
+        rare = (kinds == _RARE).any() or ((data[:-1] == 0xC2) & ((data[1:] == 0x85) | (data[1:] == 0xA0))).any()
+        if self._folds:
+            starts, data = np.cumsum(~space, dtype=np.int32)[starts] - 1, data[~space]
         offsets = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
         units = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, offsets, pa.py_buffer(data)]).dictionary_encode()
         different = units.dictionary.to_pylist()
         index = units.indices.to_numpy()
-        other = np.fromiter((u not in self._known and _OTHER_SPACE(u.decode()) is not None for u in different), bool, len(different))
+        other = np.zeros(len(different), bool)
+        if rare:
+            other[:] = [u not in self._known and _OTHER_SPACE(u.decode()) is not None for u in different]
         self._need([u for u, odd in zip(different, other.tolist(), strict=True) if not odd] if other.any() else different)
         known = self._known
         ids = [b"" if odd else known[u] for u, odd in zip(different, other.tolist(), strict=True)]
@@ -149,11 +159,11 @@ class Encoder:
         own = lengths[index]
         before = np.cumsum(own) - own
         flat = table[np.repeat(table_starts[index] - before, own) + np.arange(int(own.sum()))].tobytes()
-        unit_ends = np.concatenate([[0], np.cumsum(counts)])
         bounds = np.append(before, len(flat) // 4)[unit_ends] * 4
         out = [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         if other.any():
-            for k in np.unique(owner[other[index]]).tolist():
+            odd_units = np.flatnonzero(other[index])
+            for k in np.unique(np.searchsorted(unit_ends, odd_units, "right") - 1).tolist():
                 out[k] = self._whole(raw[k].decode())
         return out
 
