@@ -129,7 +129,8 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.append((key, x, int(heads[x]), left.tobytes(), tail.tobytes()))
         if rows:
             types = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+            columns = zip(zip(*rows, strict=True), types, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names)
 
 
 def _block(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +162,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
         heads = np.asarray(now["head"])
         # the last class may go on; of a large one, only its last row is held back
-        begin = int(np.searchsorted(heads != heads[-1], False)) if heads[0] == heads[-1] else int(np.flatnonzero(heads != heads[-1])[-1]) + 1
+        others = np.flatnonzero(heads != heads[-1])
+        begin = int(others[-1]) + 1 if len(others) else 0
         if len(heads) - begin > 4096:
             begin = len(heads) - 1
         if begin:
@@ -259,7 +261,10 @@ def _spans(texts: DataFrame, heads: DataFrame, classes: DataFrame) -> DataFrame:
     windows = settle(windows, "windows")
     both = windows.groupBy("window").agg(F.min("low").alias("a"), F.max("high").alias("b")).where("a <> b")
     found = windows.join(both, "window")
-    found = found.select("context", F.col("j").alias("lo"), (F.lit(LONG) - F.col("j")).alias("hi"), F.col("a").alias("partner"), F.col("b").alias("other"))
+    lo = F.col("j")
+    found = found.select(
+        "context", lo.alias("lo"), (F.lit(LONG) - lo).alias("hi"), F.col("a").alias("partner"), F.col("b").alias("other")
+    )
     near = near.withColumn("other", F.col("partner")).unionByName(found)
     # matches of a context all hold its place, so together they are one span
     near = near.groupBy("context").agg(
@@ -267,7 +272,7 @@ def _spans(texts: DataFrame, heads: DataFrame, classes: DataFrame) -> DataFrame:
     )
     # a context of several texts may be its own partner
     wide = distinct.select("context", "low", "high").where("low <> high")
-    near = near.join(wide, "context", "left")
+    near = settle(near.join(wide, "context", "left"), "matches")
     spans = members.join(near, "context")
     partner = F.when(F.col("partner") != F.col("key"), F.col("partner"))
     partner = F.coalesce(partner, F.when(F.col("other") != F.col("key"), F.col("other")))
