@@ -132,6 +132,11 @@ def search(
     return best_ids, best, scored
 
 
+def _at_most(score) -> float:
+    """The score as a double; one that doubles can't hold is lowered to the next."""
+    return float(np.nextafter(float(score), -np.inf)) if abs(score) >= EXACT else float(score)
+
+
 def _first_ids(places: np.ndarray, names: np.ndarray, k: int) -> np.ndarray:
     """The first of ``places`` until they name ``k`` ids."""
     _, first = np.unique(names[places], return_index=True)
@@ -158,13 +163,13 @@ def _ranges(batches: Iterator[pa.RecordBatch], k: int, lanes: int, range_bytes:
         least = np.full(len(own), -np.inf)
         if len(own):
             _, best, _ = search(matrix[own], ids[own], least, ids, matrix, k)
-            # a score that doubles can't hold is lowered to the next one
-            least = np.array([np.nextafter(float(b[-1]), -np.inf) if len(b) == k and abs(b[-1]) >= EXACT else float(b[-1]) if len(b) == k else -np.inf for b in best])
+            least = np.array([_at_most(b[-1]) if len(b) == k else -np.inf for b in best])
         raw, item = _small(matrix)
         q_raw, q_item = _small(matrix[own])
         lane = (part * 7919 + made) % lanes
         made += 1
-        values = [lane, matrix.shape[1], len(ids), item, ids.tobytes(), raw, len(own), ids[own].tobytes(), q_raw, q_item, least.tolist()]
+        values = [lane, matrix.shape[1], len(ids), item, ids.tobytes(), raw]
+        values += [len(own), ids[own].tobytes(), q_raw, q_item, least.tolist()]
         types = [pa.int32()] * 4 + [pa.binary()] * 2 + [pa.int32()] + [pa.binary()] * 2 + [pa.int32(), pa.list_(pa.float64())]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names)
 
@@ -198,7 +203,8 @@ def _batched(batches: Iterator[pa.RecordBatch], batch_bytes: int):
             own = _unpacked(w["q_vectors"], w["q_item"], w["width"], w["q_rows"])
             parts.append(np.pad(own, ((0, 0), (0, width - w["width"]))))
         raw, item = _small(np.concatenate(parts))
-        values = [width, sum(w["q_rows"] for w in waiting), b"".join(w["q_ids"] for w in waiting), raw, item, [x for w in waiting for x in w["q_least"]]]
+        own_ids, own_least = b"".join(w["q_ids"] for w in waiting), [x for w in waiting for x in w["q_least"]]
+        values = [width, sum(w["q_rows"] for w in waiting), own_ids, raw, item, own_least]
         types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.list_(pa.float64())]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names)
 
@@ -225,13 +231,16 @@ def _searched(batches: Iterator[pa.RecordBatch], k: int):
             best_ids, best, _ = search(queries, own, np.array(r["q_least"]), ids, vectors, k)
             sizes = [len(b) for b in best]
             scores = [int(s) for b in best for s in b]
+            names = np.concatenate([np.zeros(0, np.int64), *best_ids])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(own, sizes)), pa.array(np.concatenate(best_ids)) if best_ids else pa.array([], pa.int64()), pa.array(scores, pa.int64())],
+                [pa.array(np.repeat(own, sizes)), pa.array(names), pa.array(scores, pa.int64())],
                 ["query_id", "vec_id", "score"],
             )
 
 
-def top_k(vectors: DataFrame, k: int = 5, every: int = 50, range_bytes: int = RANGE_BYTES, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def top_k(
+    vectors: DataFrame, k: int = 5, every: int = 50, range_bytes: int = RANGE_BYTES, batch_bytes: int = BATCH_BYTES
+) -> DataFrame:
     """The ``k`` best vectors of ``vectors`` (vec_id, embedding) for each whose vec_id is divisible by ``every``.
 
     Returns query_id, rank (from 1), vec_id, score: inner products of floor(256 * x), ties to smaller
