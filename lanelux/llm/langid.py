@@ -33,7 +33,9 @@ MOST_LABELS, SAMPLE_CHARS = 64, 20_000
 #: Chains of a text are at most this long, so one long text is many chains.
 CHAIN_WORDS = 256
 #: Words whose scores a worker keeps.
-KEEP_WORDS = 300_000
+KEEP_WORDS = 120_000
+#: Bytes of text that a worker tags at once; each word takes some hundred bytes meanwhile.
+TAG_STEP = 1 << 20
 UNKNOWN = "und"
 
 
@@ -262,7 +264,7 @@ def _predicted(batches: Iterator[pa.RecordBatch], shared, own: str) -> Iterator[
         _taggers.clear()
         _taggers[own] = Tagger(shared.value)
     tagger = _taggers[own]
-    for batch in steps(batches, "text"):
+    for batch in steps(batches, "text", TAG_STEP):
         shares = tagger.shares(batch["text"].to_pylist())
         best = shares.argmax(axis=1)
         known = shares.sum(axis=1) > 0

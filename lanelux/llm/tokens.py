@@ -49,7 +49,7 @@ class Encoder:
     vocabulary drops white space and letter case.
     """
 
-    def __init__(self, path: str, separator: str, folds: bool, keep: int = 600_000, joined: int = 1024):
+    def __init__(self, path: str, separator: str, folds: bool, keep: int = 400_000, joined: int = 1024):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
