@@ -2,21 +2,22 @@
 
 URLs that rules allow or block are the accepted and rejected text of two variable-order
 Markov models over bytes. Counts of contexts and of contexts with the next byte are added up
-over all such URLs in hashed tables of fixed size; the probability of a byte mixes all orders,
-each smoothed towards the next lower one. A URL's score is the difference of its log
-likelihoods per byte. The threshold is set on a fifth of the ruled URLs that was not counted.
+over all such URLs in a table with one row per n-gram, which grows with the URLs; the probability
+of a byte mixes all orders, each smoothed towards the next lower one. URLs are scored in blocks:
+the different n-grams of a block are joined to the table, and what is found goes back to the block.
+A URL's score is the difference of its log likelihoods per byte. The threshold is set on a fifth of
+the ruled URLs that was not counted.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,8 +44,10 @@ RULES = (
 )
 ALLOW, BLOCK = "allow", "block"
 ORDER = 5
-#: Each order's two tables have this many cells (a power of two) per class: the bound of the model.
+#: Cells (a power of two) per order, table and class of a model in one array (``log_ratios``).
 CELL_BITS = 17
+#: Bytes of URLs in a block.
+BLOCK_BYTES = 1 << 19
 #: Weight of the lower order in counts.
 PRIOR = 4.0
 HELD_OUT = 5
@@ -76,8 +79,8 @@ def ruled(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     return out
 
 
-def _cells(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all bytes of all URLs: the cells of their contexts and of contexts with the byte, per order; owners.
+def _symbols(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes of all URLs as numbers from 1, the URLs they belong to, and their places in these.
 
     A-Z are lower-cased and digits are one letter, so numbers weigh as numbers. The end of a URL is a
     byte of its own.
@@ -87,7 +90,28 @@ def _cells(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64) + np.uint64(1)
     owner = np.repeat(np.arange(len(raw)), sizes)
-    place = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return data, owner, np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _grams(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all bytes of all URLs: the keys of their contexts and of contexts with the byte, per order; owners.
+
+    A key is exact: nine bits a byte, the last byte lowest (0 in a context), and the order above them.
+    """
+    data, owner, place = _symbols(urls)
+    packed = np.zeros(len(data), np.uint64)
+    contexts, joints = [], []
+    for k in range(ORDER + 1):
+        if k:
+            packed = packed | (np.where(place >= k, np.roll(data, k), np.uint64(0)) << np.uint64(9 * k))
+        contexts.append(packed | np.uint64(k << 9 * (ORDER + 1)))
+        joints.append(contexts[-1] | data)
+    return np.array(contexts, np.int64), np.array(joints, np.int64), owner
+
+
+def _cells(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``_grams``, with hashed cells of an array in place of keys."""
+    data, owner, place = _symbols(urls)
     context = np.zeros(len(data), np.uint64)
     shift = np.uint64(64 - CELL_BITS)
     contexts, joints = [], []
@@ -101,72 +125,97 @@ def _cells(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(contexts, np.int64), np.array(joints, np.int64), owner
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of this task: an array of table, order and cell per class, as rows of cells that are not zero."""
-    counts = np.zeros((2, 2, ORDER + 1, 1 << CELL_BITS), np.int64)
-    for batch in steps(batches, "url", 1 << 20):
-        allowed = np.asarray(batch["allowed"])
-        contexts, joints, owner = _cells(batch["url"].to_pylist())
-        for kind in (0, 1):
-            own = allowed[owner] == bool(kind)
-            for k in range(ORDER + 1):
-                counts[kind, 0, k] += np.bincount(contexts[k, own], minlength=1 << CELL_BITS)
-                counts[kind, 1, k] += np.bincount(joints[k, own], minlength=1 << CELL_BITS)
-    flat = counts.reshape(-1)
-    cells = np.flatnonzero(flat)
-    yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(flat[cells])], ["cell", "n"])
+def _ratios(counts: Callable[[int], tuple[np.ndarray, np.ndarray]], owner: np.ndarray, n: int) -> np.ndarray:
+    """Scores of ``n`` URLs; ``counts`` gives an order's counts of contexts and joints, per class and byte."""
+    chance = np.full((2, len(owner)), 1 / 257)
+    for k in range(ORDER + 1):
+        seen, both = counts(k)
+        chance = (both + PRIOR * chance) / (seen + PRIOR)
+    logs = np.log(chance)
+    return np.bincount(owner, logs[1] - logs[0], n) / np.maximum(1, np.bincount(owner, minlength=n))
 
 
 def log_ratios(model: np.ndarray, urls: list[str]) -> np.ndarray:
-    """Log likelihood of each URL as accepted less that as rejected, per byte."""
+    """Log likelihood of each URL as accepted less that as rejected, per byte, by a small model in one array.
+
+    Cells are hashed, so this is for few URLs only; ``judge`` counts exact n-grams.
+    """
     contexts, joints, owner = _cells(urls)
-    logs = []
-    for kind in (0, 1):
-        chance = np.full(len(owner), 1 / 257)
-        for k in range(ORDER + 1):
-            seen = model[kind, 0, k][contexts[k]]
-            both = np.minimum(model[kind, 1, k][joints[k]], seen)
-            chance = (both + PRIOR * chance) / (seen + PRIOR)
-        logs.append(np.log(chance))
-    sizes = np.bincount(owner, minlength=len(urls))
-    return np.bincount(owner, logs[1] - logs[0], len(urls)) / np.maximum(1, sizes)
-
-
-_models: dict[str, np.ndarray] = {}
-
-
-def _scored(batches: Iterator[pa.RecordBatch], shared, own: str) -> Iterator[pa.RecordBatch]:
-    if own not in _models:
-        _models.clear()
-        cells, n = shared.value
-        flat = np.zeros(2 * 2 * (ORDER + 1) << CELL_BITS)
-        flat[cells] = n
-        _models[own] = flat.reshape(2, 2, ORDER + 1, -1)
-    for batch in steps(batches, "url", 1 << 20):
-        scores = log_ratios(_models[own], pc.fill_null(batch["url"], "").to_pylist())
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, "_score"])
-
-
-def _with_scores(rows: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded by CELL_BITS and ORDER
+
+    def counts(k):
+        seen = model[:, 0, k][:, contexts[k]]
+        return seen, np.minimum(model[:, 1, k][:, joints[k]], seen)
+
+    return _ratios(counts, owner, len(urls))
+
+
+def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with ``_block``: neighbours in a task, at most ``BLOCK_BYTES`` of URLs or one URL."""
+    first = TaskContext.get().partitionId() << 32
+    for k, batch in enumerate(steps(batches, "url", BLOCK_BYTES)):
+        block = pa.array(np.full(batch.num_rows, first + k, np.int64))
+        yield pa.RecordBatch.from_arrays([*batch.columns, block], [*batch.schema.names, "_block"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different n-grams of a few URLs at a time, with their counts."""
+    for batch in steps(batches, "url", BLOCK_BYTES):
+        contexts, joints, owner = _grams(batch["url"].to_pylist())
+        allowed = np.asarray(batch["allowed"])[owner]
+        for own, kind in ((allowed, True), (~allowed, False)):
+            keys, n = np.unique(np.concatenate([contexts[:, own], joints[:, own]], axis=None), return_counts=True)
+            none = np.zeros(len(n), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n if kind else none), pa.array(none if kind else n)], ["key", "allowed", "blocked"])
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different n-grams of each block (again if a block comes in several batches)."""
+    for batch in steps(batches, "url", BLOCK_BYTES):
+        blocks = np.asarray(batch["_block"])
+        for block in np.unique(blocks).tolist():
+            urls = batch["url"].filter(pa.array(blocks == block))
+            keys = np.unique(np.concatenate(_grams(pc.fill_null(urls, "").to_pylist())[:2], axis=None))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block)), pa.array(keys)], ["_block", "key"])
+
+
+def _scored(rows: pa.Table, found: pa.Table) -> pa.Table:
+    """A block's rows with their scores, from the counts of its n-grams."""
+    keys = found["key"].to_numpy()
+    order = np.argsort(keys)
+    keys = np.append(keys[order], np.iinfo(np.int64).max)
+    numbers = np.array([np.append(found[c].to_numpy()[order], 0) for c in ("blocked", "allowed")])
+    urls = pc.fill_null(rows["url"], "").to_pylist()
+    contexts, joints, owner = _grams(urls)
+
+    def counted(wanted):
+        at = np.searchsorted(keys, wanted)
+        return np.where(keys[at] == wanted, numbers[:, at], 0)
+
+    scores = _ratios(lambda k: (counted(contexts[k]), counted(joints[k])), owner, len(urls))
+    return rows.append_column("_score", pa.array(scores))
+
+
+def _with_scores(rows: DataFrame, model: DataFrame) -> DataFrame:
+    """``rows`` (url, _block and others) with ``_score``."""
+    asked = rows.select("_block", "url").mapInArrow(_asked, "_block long, key long")
+    found = asked.join(model.hint("merge"), "key").select("_block", "key", "allowed", "blocked")
     schema = T.StructType([*rows.schema.fields, T.StructField("_score", T.DoubleType())])
-    return rows.mapInArrow(partial(_scored, shared=shared, own=uuid.uuid4().hex), schema)
+    return rows.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(_scored, schema)
 
 
-def fit(labelled: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], float] | None:
-    """Model and threshold from all rows of ``labelled`` (url, allowed); None if a class has no row.
+def fit(labelled: DataFrame) -> tuple[DataFrame, float] | None:
+    """Model and threshold from all rows of ``labelled`` (url, allowed, _block); None if a class has no row.
 
-    What comes to the driver are the cells of the tables and the bins of the scores, both bounded.
+    The model has a row per n-gram: key, allowed, blocked. Only the bins of the scores come to the driver.
     """
-    rows = labelled.where("url is not null and url <> ''").select(F.col("url").cast("string").alias("url"), "allowed")
+    rows = labelled.where("url is not null and url <> ''")
     rows = rows.withColumn("held", F.pmod(F.xxhash64("url"), F.lit(HELD_OUT)) == 0)
-    counted = rows.where("not held").select("url", "allowed").mapInArrow(_counted, "cell long, n long")
-    cells = settle(counted.groupBy("cell").agg(F.sum("n").alias("n")), "url-counts").toArrow()
-    model = (cells["cell"].to_numpy(), cells["n"].to_numpy())
-    half = 2 * (ORDER + 1) << CELL_BITS
-    if not (model[0] < half).any() or not (model[0] >= half).any():
+    counted = rows.where("not held").select("url", "allowed").mapInArrow(_counted, "key long, allowed long, blocked long")
+    model = settle(counted.groupBy("key").agg(F.sum("allowed").alias("allowed"), F.sum("blocked").alias("blocked")), "url-counts")
+    both = model.agg(F.max("allowed").alias("allowed"), F.max("blocked").alias("blocked")).first()
+    if not both["allowed"] or not both["blocked"]:
         return None
-    scored = _with_scores(rows.where("held").select("url", "allowed"), model)
+    scored = _with_scores(rows.where("held").select("url", "allowed", "_block"), model)
     bins = F.least(F.greatest(F.floor((F.col("_score") + WIDEST) / (2 * WIDEST) * BINS), F.lit(0)), F.lit(BINS - 1))
     table_ = np.zeros((2, BINS))
     for r in scored.groupBy("allowed", bins.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect():
@@ -190,14 +239,16 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"))
     rows = rows.withColumns({"host": host, "path": path})
-    rows = settle(rows.withColumn("_rule", ruled(F.col("host"), F.col("path"), rules)), "ruled-urls")
+    rows = rows.withColumn("_rule", ruled(F.col("host"), F.col("path"), rules))
+    rows = settle(rows.mapInArrow(_blocked, T.StructType([*rows.schema.fields, T.StructField("_block", T.LongType())])), "ruled-urls")
     verdicts = F.array(*(F.lit(r.verdict) for r in rules)) if rules else F.array().cast("array<string>")
     places = F.array(*(F.lit(r.place) for r in rules)) if rules else F.array().cast("array<string>")
     verdict = F.get(verdicts, F.col("_rule"))
-    fitted = fit(rows.where("_rule is not null").select("url", (verdict == ALLOW).alias("allowed"))) if rules else None
+    fitted = fit(rows.where("_rule is not null").select("url", (verdict == ALLOW).alias("allowed"), "_block")) if rules else None
     if fitted:
         model, threshold = fitted
-        scored = _with_scores(rows, model)
+        decided = rows.where("_rule is not null").withColumn("_score", F.lit(None).cast("double"))
+        scored = _with_scores(rows.where("_rule is null"), model).unionByName(decided)
         own = F.when(F.col("_score") < threshold, BLOCK).otherwise(ALLOW)
     else:
         scored, own = rows.withColumn("_score", F.lit(None).cast("double")), F.lit(ALLOW)

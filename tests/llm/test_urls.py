@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -74,3 +75,42 @@ def test_probabilities_sum_to_one():
             np.add.at(model[kind, 1, k], joints[k], 1)
     ratios = urls.log_ratios(model, ["abcabc", "zzz", ""])
     assert ratios[0] > 0 > ratios[1]
+
+
+def test_scores_are_those_of_exact_counts(spark):
+    """More different n-grams than the 2^17 cells of a hashed array, so collisions would show."""
+    rng = random.Random(2)
+    name = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz-_") for _ in range(n))
+    rows = [(k, f"http://{name(8)}.{'com' if k % 2 else 'net/es'}/{name(90)}") for k in range(5000)]
+    rows += [(5000 + k, f"http://{name(8)}.org/{rows[k][1][20:60] if k % 3 else name(30)}7") for k in range(60)]
+    rows.append((5060, "http://é.org/"))
+    df = made(spark, rows)
+    held = {r["page_id"] for r in df.where(f"pmod(xxhash64(url), {urls.HELD_OUT}) = 0").collect()}
+    counts = [Counter(), Counter()]
+
+    def grams(u):
+        raw = "".join("0" if c in "123456789" else c for c in u.lower()).encode() + b"\n"
+        for i in range(len(raw)):
+            yield [((" " * urls.ORDER).encode().replace(b" ", b"\0") + raw)[urls.ORDER + i - k : urls.ORDER + i + 1] for k in range(urls.ORDER + 1)]
+
+    for k, u in rows[:5000]:
+        if k not in held:
+            for own in grams(u):
+                for j, g in enumerate(own):
+                    counts[k % 2][g] += 1
+                    counts[k % 2][j, g[:-1]] += 1
+    assert len(counts[0]) > 1 << urls.CELL_BITS
+
+    def score(u):
+        total, n = 0.0, 0
+        for own in grams(u):
+            chance = [1 / 257, 1 / 257]
+            for j, g in enumerate(own):
+                chance = [(c[g] + urls.PRIOR * p) / (c[j, g[:-1]] + urls.PRIOR) for c, p in zip(counts, chance, strict=True)]
+            total, n = total + np.log(chance[1] / chance[0]), n + 1
+        return total / n
+
+    got = {r["page_id"]: r["score"] for r in urls.judge(df).collect()}
+    assert len(got) == len(rows)
+    for k, u in rows[5000:]:
+        assert abs(got[k] - score(u)) < 1e-9
