@@ -56,12 +56,12 @@ def _hashed(kind: int, parts: list[np.ndarray]) -> np.ndarray:
 def _table(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashed features of all words (weight rows), the words they belong to, and how many each word has.
 
-    A word is taken in lower case, without ASCII signs around it, up to ``_LONGEST`` characters. It
-    has a lexicon entry, prefixes and suffixes of one to four characters, and the pairs and triples of
+    A word is taken in lower case, without ASCII signs around it; lower case may make it a little longer
+    than ``_LONGEST`` characters. It has a lexicon entry, prefixes and suffixes of one to four characters, and the pairs and triples of
     its characters with marks for its ends.
     """
     low = [w.lower() for w in words]
-    cores = [(w.strip(_PUNCTUATION) or w)[:_LONGEST] for w in low]
+    cores = [w.strip(_PUNCTUATION) or w for w in low]
     sizes = np.fromiter(map(len, cores), np.int64, len(cores)) + 2
     marked = "".join(["\x02" + c + "\x03" for c in cores])
     codes = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
@@ -72,7 +72,7 @@ def _table(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     left = np.repeat(sizes, sizes) - place
     flat, owners = [], []
     if len(cores):
-        powers = np.multiply.accumulate(np.full(_LONGEST + 2, _ODD[0]))
+        powers = np.multiply.accumulate(np.full(int(sizes.max()), _ODD[0]))
         flat.append(_hashed(1, [np.add.reduceat(codes * powers[place], starts)]))
         owners.append(number)
     for k in (1, 2, 3, 4):
@@ -123,10 +123,16 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray,
 
 
 def _chains(text: str) -> list[list[str]]:
-    """Chains of words with a letter; lines end a chain, long lines are cut."""
+    """Chains of words; lines end a chain, long lines are cut.
+
+    A word of more than ``_LONGEST`` characters, as in scripts without spaces, is consecutive words of
+    at most that many, so all of it has features and weight.
+    """
     out = []
     for line in text.split("\n"):
         words = line.split()
+        if words and max(map(len, words)) > _LONGEST:
+            words = [w[k : k + _LONGEST] for w in words for k in range(0, len(w), _LONGEST)]
         out += [words[k : k + CHAIN_WORDS] for k in range(0, len(words), CHAIN_WORDS)]
     return out
 

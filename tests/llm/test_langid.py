@@ -87,6 +87,24 @@ def test_words_beyond_memory(spark, made, monkeypatch):
     assert np.concatenate([tagger.shares([t]) for t in texts]) == pytest.approx(whole)
 
 
+def test_words_of_any_length_are_read_whole(spark, made):
+    model = langid.fit(made(rows_of(300)))
+    rng = random.Random(5)
+    rows = []
+    for k in range(30):
+        joined = {lang: text(rng, lang, 60).replace(" ", "") for lang in ("en", "fr")}
+        rows.append((k, joined["en"][:45] + joined["fr"], None, "s"))
+    got = [r["_lang_pred"] for r in langid.predict(made(rows), model).collect()]
+    assert got.count("fr") >= 29
+    tagger = langid.Tagger(model)
+    long = "é" * 95
+    assert langid._chains(f"a {long} b") == [["a", long[:40], long[40:80], long[80:], "b"]]
+    assert tagger.words([f"a {long} b"])[2].tolist() == [5]
+    # a word whose letters come behind the first 40 characters has a language
+    assert tagger.shares(["1" * 50 + "the"]).sum() > 0
+    assert tagger.shares(["İ" * 40 + "ing"]).sum() > 0
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     docs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
