@@ -48,6 +48,23 @@ PEM = Rule("pem", 1, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
 JWT = Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}")
 RULES = (*BASE, PEM, JWT)
 
+_FIELD = r"[A-Za-z][A-Za-z0-9-]{0,40}+:(?:(?!-----)[^\r\n\\])*+"
+_TRAIL = r"""[\x20\t"',;+]*+"""
+_BREAK = rf"""{_TRAIL}(?:(?:\\+[rn])++|\r\n?|\n)[\x20\t>#*|"']*+"""
+_BASE64 = r"[A-Za-z0-9+/=]"
+#: What a private key leaves to hide: from its first line over fields and base64 to its last line. Without a last
+#: line, fields and then base64 lines (real or escaped line breaks), or base64 that goes on in the same line.
+KEY = Rule(
+    "pem",
+    2,
+    r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+    rf"""(?:(?:{_FIELD}|[A-Za-z0-9+/=\s>#*|"',;\\])*+-----END [A-Z0-9 ]{{0,40}}PRIVATE KEY(?: BLOCK)?-----"""
+    rf"|(?:(?:[\x20\t]*+{_BASE64}{{20,}}+)++(?:[\x20\t]++{_BASE64}++(?=\s|\z))?)?"
+    rf"(?:{_BREAK}{_FIELD})*+(?:(?:{_BREAK})++{_BASE64}++(?={_TRAIL}(?:[\r\n\\]|\z)))*+)",
+)
+#: Rules of ``redact``. ``RULES`` report a key by its first line, as the SQL does.
+REDACTED = (*BASE, KEY, JWT)
+
 LEDGER = {"blob": "binary", "kind": "string", "version": "int", "spans": "array<struct<start:bigint,end:bigint>>"}
 _SCHEMA = ", ".join(f"{n} {t}" for n, t in LEDGER.items())
 
@@ -177,7 +194,7 @@ def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, path: str | None =
     )
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, path: str | None = None, mark: str = "[secret]") -> DataFrame:
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = REDACTED, path: str | None = None, mark: str = "[secret]") -> DataFrame:
     """``docs`` with each span of ``text`` replaced by ``mark`` (spans that overlap or touch by one) and n_chars, if there, renewed."""
     ledger = update_ledger(docs, rules, path)
     rows = found(docs, ledger, rules)

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 from collections import Counter
 
 from lanelux.llm import secrets
@@ -79,3 +81,35 @@ def test_redact(spark, made, odd):
     assert texts[102] == ("[secret]", 8)
     assert texts[4][0] == odd[5][1] and texts[1] == (None, None)
     assert secrets.report(out).where("n_access + n_hex > 0").count() == 0
+
+
+def test_redact_takes_whole_private_keys(spark, made):
+    rng = random.Random(1)
+    letters = string.ascii_letters + string.digits + "+/"
+    body = ["".join(rng.choice(letters) for _ in range(64)) for _ in range(25)] + ["Qx7/zz9w=="]
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    fields = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B2C", ""]
+    pgp = ["-----BEGIN PGP PRIVATE KEY BLOCK-----", "Version: X (y) 1.0", "", *body, "=aB3d", "-----END PGP PRIVATE KEY BLOCK-----"]
+    many = body[:25] * 800
+    keys = [
+        "\n".join([head, *body, end]),
+        "\r\n".join([head, *fields, *body, end]),
+        "\n  ".join([head, *body, end]),
+        "\\n".join([head, *body, end]),
+        " ".join([head, *body, end]),
+        "".join([head, *body, end]),
+        "\n".join(pgp),
+        "\n".join([head, *many, end]),
+        "\n".join([head, *fields, *body]),
+        "\n".join([head, *body]),
+        "\n".join([head, *many]),
+        " ".join([head, *body]),
+    ]
+    rows = [(k, f"It begins. {key}\nIt ends, so.", None, "s") for k, key in enumerate(keys)]
+    rows.append((50, f"Write {head} first. Then the key. Last is {end} and so on.", None, "s"))
+    rows.append((51, keys[9] + "\nAnd then, " + keys[0] + "\nMore, still.", None, "s"))
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(made(rows)).collect()}
+    for k in range(len(keys)):
+        assert got[k] == "It begins. [secret]\nIt ends, so.", k
+    assert got[50] == f"Write [secret] first. Then the key. Last is {end} and so on."
+    assert got[51] == "[secret]\nAnd then, [secret]\nMore, still."
