@@ -6,6 +6,10 @@ join neighbouring words. Forward-backward gives each word's probabilities, so co
 texts get a language per word; a text's language is the one with most probability over all its
 words that have a letter.
 
+Whether a text is in any of the languages is a measure of its own: the mean log probability of its
+characters under trigram models of the languages, for each word the best one's, against a limit from
+the labelled sample.
+
 Training: a bounded sample of labelled texts, cut into short pieces that are chained in mixed
 order, so transitions between languages are seen. Prediction reads whole texts.
 """
@@ -37,6 +41,9 @@ KEEP_WORDS = 120_000
 #: Bytes of text that a worker tags at once; each word takes some hundred bytes meanwhile.
 TAG_STEP = 1 << 20
 UNKNOWN = "und"
+#: Trigram models: weight of the shorter context in counts, chance of a character never seen, and what a mean
+#: over n characters is given for chance (over the root of n).
+BACK, RARE, SHORT = 2.0, 1e-5, 3.0
 
 
 _PUNCTUATION = string.punctuation
@@ -137,6 +144,103 @@ def _chains(text: str) -> list[list[str]]:
     return out
 
 
+def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Per character of all words and the end of each: exact keys of contexts and n-grams of one to three; owners.
+
+    The first array has the orders' contexts and n-grams, six rows: 0, c, b, bc, ab, abc.
+    """
+    cores = [low.strip(_PUNCTUATION) or low for low in map(str.lower, words)]
+    sizes = np.fromiter(map(len, cores), np.int64, len(cores)) + 1
+    codes = np.frombuffer("".join([c + "\x03" for c in cores]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    owner = np.repeat(np.arange(len(cores)), sizes)
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    one = np.where(place >= 1, np.roll(codes, 1), 2)
+    two = np.where(place >= 2, np.roll(codes, 2), 2)
+    # 21 bits a character; a context has 0 in place of the last one
+    rows = [np.zeros_like(codes), codes, one << 21, one << 21 | codes, two << 42 | one << 21, two << 42 | one << 21 | codes]
+    return np.stack(rows), owner
+
+
+class Trigrams:
+    """Character models of languages: how well words fit the best of them."""
+
+    def __init__(self, words: list[str], labels: np.ndarray, languages: int):
+        """``labels``: the language of each of ``words``."""
+        known: dict[str, int] = {}
+        ids = np.array([known.setdefault(w, len(known)) for w in words], np.int64)
+        times = [np.bincount(ids[labels == k], minlength=len(known)) for k in range(languages)]
+        grams, owner = _grams(list(known))
+        self.tables = []
+        for row in grams:
+            keys, at = np.unique(row, return_inverse=True)
+            counts = np.stack([np.bincount(at, n[owner], len(keys)) for n in times], axis=1)
+            none = np.zeros((1, languages))
+            self.tables.append((np.append(keys, np.iinfo(np.int64).max), np.append(counts, none, axis=0).astype(np.float32)))
+
+    def of(self, words: list[str]) -> np.ndarray:
+        """Per word the log probability under the best language, and its characters with the end."""
+        parts = [self._of(words[k : k + 8192]) for k in range(0, len(words), 8192)]
+        return np.concatenate([np.zeros((0, 2)), *parts])
+
+    def _of(self, words: list[str]) -> np.ndarray:
+        grams, owner = _grams(words)
+        chance: float | np.ndarray = RARE
+        for k in range(0, 6, 2):
+            seen, both = (self._counts(grams[j], *self.tables[j]) for j in (k, k + 1))
+            chance = (both + BACK * chance) / (seen + BACK)
+        logs = np.log(chance)
+        sums = np.stack([np.bincount(owner, logs[:, k], len(words)) for k in range(logs.shape[1])], axis=1)
+        return np.stack([sums.max(axis=1), np.bincount(owner, minlength=len(words))], axis=1)
+
+    @staticmethod
+    def _counts(wanted: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(keys, wanted)
+        return np.where((keys[at] == wanted)[:, None], counts[at], 0.0)
+
+
+def _lettered(word: str) -> bool:
+    return word.isalpha() or any(map(str.isalpha, word))
+
+
+def _plain(word: str) -> bool:
+    """A word with a letter and no digit; keys, hashes and addresses often have one and say nothing of a language."""
+    return _lettered(word) and not any(map(str.isdigit, word))
+
+
+def _mean(sums: np.ndarray) -> np.ndarray:
+    """Mean log probability from sums of logs and characters; few characters are given more, as chance weighs more."""
+    n = np.maximum(1, sums[..., 1])
+    return sums[..., 0] / n + SHORT / np.sqrt(n)
+
+
+def calibrate(texts: list[str], labels: list[str]) -> dict:
+    """Trigram models of the sample, and the mean log probability per character that a text must have.
+
+    Every second text is measured by the models of the others. The limit is the lowest hundredth of these
+    means less its distance to their median (1 at least), so it is under what labelled texts have. Without
+    texts to compare there is no limit.
+    """
+    names = sorted(set(labels))
+    left = dict.fromkeys(names, SAMPLE_WORDS)
+    words: list[tuple[list[str], int]] = []
+    for text, label in zip(texts, labels, strict=True):
+        lettered = [w for c in _chains(text) for w in c if _lettered(w)]
+        own = [w for w in lettered if _plain(w)] or lettered
+        if own and left[label] > 0:
+            left[label] -= len(own)
+            words.append((own, names.index(label)))
+
+    def models(chosen: list[tuple[list[str], int]]) -> Trigrams:
+        return Trigrams([w for own, _ in chosen for w in own], np.repeat([y for _, y in chosen], [len(own) for own, _ in chosen]), len(names))
+
+    limit = -np.inf
+    if len(words) > 1:
+        means = [_mean(by.of(own).sum(axis=0)) for k in (0, 1) for by in [models(words[1 - k :: 2])] for own, _ in words[k::2]]
+        low, middle = np.quantile(means, [0.01, 0.5])
+        limit = float(low - max(1.0, middle - low))
+    return {"trigrams": models(words) if words else None, "limit": limit}
+
+
 def train(texts: list[str], labels: list[str], rounds: int = 14, rate: float = 0.35, decay: float = 2e-6, seed: int = 5) -> dict:
     """Weights, transitions and start weights by adaptive gradient steps on the chains' likelihood."""
     names = sorted(set(labels))
@@ -197,8 +301,8 @@ def train(texts: list[str], labels: list[str], rounds: int = 14, rate: float = 0
     return {"names": names, "weights": weights.astype(np.float32), "moves": moves, "first": first}
 
 
-def fit(docs: DataFrame, texts_per_label: int = SAMPLE_TEXTS, seed: int = 3) -> dict | None:
-    """A model of ``docs`` (doc_id, text, lang); None if no row has a label and a text.
+def fit(docs: DataFrame, texts_per_label: int = SAMPLE_TEXTS, seed: int = 3, calibrated: bool = False) -> dict | None:
+    """A model of ``docs`` (doc_id, text, lang), also ``calibrated``; None if no row has a label and a text.
 
     The sample is bounded: of each label, the first ``texts_per_label`` texts in the order of a hash
     of id and text; of labels, the ``MOST_LABELS`` with most rows. Texts over ``SAMPLE_CHARS``
@@ -217,7 +321,10 @@ def fit(docs: DataFrame, texts_per_label: int = SAMPLE_TEXTS, seed: int = 3) ->
     place = F.row_number().over(Window.partitionBy("lang").orderBy("chance", "text"))
     sample = some.select("lang", "text", "chance", place.alias("place")).where(F.col("place") <= texts_per_label)
     own = sorted((r["lang"], r["place"], r["text"]) for r in sample.select("lang", "place", "text").collect())
-    return train([t for _, _, t in own], [y for y, _, _ in own]) if own else None
+    if not own:
+        return None
+    texts, labels = [t for _, _, t in own], [y for y, _, _ in own]
+    return train(texts, labels) | (calibrate(texts, labels) if calibrated else {})
 
 
 class Tagger:
@@ -228,21 +335,31 @@ class Tagger:
         self._known: dict[str, int] = {}
         self._scores = np.zeros((0, len(self.names)))
         self._letters = np.zeros(0, bool)
+        self._trigrams = model.get("trigrams")
+        self._logs, self._plain = np.zeros((0, 2)), np.zeros(0, bool)
 
     def _learn(self, new: list[str]) -> None:
         more = _scores(self._model["weights"], *_table(new))
-        letters = np.fromiter((w.isalpha() or any(map(str.isalpha, w)) for w in new), bool, len(new))
+        letters = np.fromiter(map(_lettered, new), bool, len(new))
+        if self._trigrams:
+            self._logs = np.concatenate([self._logs, self._trigrams.of(new)])
+            self._plain = np.concatenate([self._plain, np.fromiter(map(_plain, new), bool, len(new))])
         at = len(self._known)
         self._known.update(zip(new, range(at, at + len(new)), strict=True))
         self._scores, self._letters = np.concatenate([self._scores, more]), np.concatenate([self._letters, letters])
 
     def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities of all words of the texts, whether each has a letter, and the texts' word counts."""
+        return self._tagged(texts)[:3]
+
+    def _tagged(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As ``words``, and the words' places in what is kept."""
         chains = [_chains(t) for t in texts]
         new = {w for own in chains for c in own for w in c}
         if len(self._known) > KEEP_WORDS:
             self._known.clear()
             self._scores, self._letters = self._scores[:0], self._letters[:0]
+            self._logs, self._plain = self._logs[:0], self._plain[:0]
         new.difference_update(self._known)
         self._learn(list(new))
         known = self._known
@@ -250,16 +367,27 @@ class Tagger:
         lengths = np.array([len(c) for own in chains for c in own], np.int64)
         counts = np.array([sum(map(len, own)) for own in chains], np.int64)
         if not len(ids):
-            return np.zeros((0, len(self.names))), np.zeros(0, bool), counts
+            return np.zeros((0, len(self.names))), np.zeros(0, bool), counts, ids
         posterior = forward_backward(self._scores[ids], lengths, self._model["moves"], self._model["first"])[0]
-        return posterior / posterior.sum(axis=1, keepdims=True), self._letters[ids], counts
+        return posterior / posterior.sum(axis=1, keepdims=True), self._letters[ids], counts, ids
 
     def shares(self, texts: list[str | None]) -> np.ndarray:
         """Per text and language, the mean probability of its words with a letter; zeros without such a word."""
-        posterior, letters, counts = self.words([t or "" for t in texts])
+        return self.measured(texts)[0]
+
+    def measured(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ``shares``, and whether each text is in any of the languages, by a calibrated model."""
+        posterior, letters, counts, ids = self._tagged([t or "" for t in texts])
         owner = np.repeat(np.arange(len(texts)), counts)[letters]
+        fits = np.ones(len(texts), bool)
+        if self._trigrams:
+            logs, plain = self._logs[ids[letters]], self._plain[ids[letters]]
+            # a text without a plain word is measured by all that have a letter
+            plain |= np.bincount(owner[plain], minlength=len(texts))[owner] == 0
+            sums = np.stack([np.bincount(owner[plain], logs[plain, k], len(texts)) for k in (0, 1)], axis=1)
+            fits = _mean(sums) >= self._model["limit"]
         sums = np.stack([np.bincount(owner, posterior[letters, k], len(texts)) for k in range(len(self.names))], axis=1)
-        return sums / np.maximum(1, np.bincount(owner, minlength=len(texts)))[:, None]
+        return sums / np.maximum(1, np.bincount(owner, minlength=len(texts)))[:, None], fits
 
 
 _taggers: dict[str, Tagger] = {}
@@ -271,12 +399,13 @@ def _predicted(batches: Iterator[pa.RecordBatch], shared, own: str) -> Iterator[
         _taggers[own] = Tagger(shared.value)
     tagger = _taggers[own]
     for batch in steps(batches, "text", TAG_STEP):
-        shares = tagger.shares(batch["text"].to_pylist())
+        shares, fits = tagger.measured(batch["text"].to_pylist())
         best = shares.argmax(axis=1)
         known = shares.sum(axis=1) > 0
         names = [tagger.names[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), known.tolist(), strict=True)]
         score = np.where(known, np.minimum(shares.max(axis=1), 1.0), 0.0)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names), pa.array(score)], [*batch.schema.names, *_ADDED])
+        added = [pa.array(names), pa.array(score), pa.array(fits)][: len(_ADDED) + ("trigrams" in shared.value)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, *(*_ADDED, "_lang_fits")[: len(added)]])
 
 
 _ADDED = ("_lang_pred", "_lang_score")
@@ -287,12 +416,15 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
 
     A null text and one without a letter are ``und`` with score 0, and so is every text without a
     model. Equal texts get equal results; ties go to the first language by name. Repeated rows and
-    null ids stay. An empty table gives no rows. Other columns stay as they are. No shuffle.
+    null ids stay. An empty table gives no rows. Other columns stay as they are. No shuffle. A calibrated
+    model also gives ``_lang_fits``: whether the text is in any of the languages.
     """
     if model is None:
         return docs.withColumns({"_lang_pred": F.lit(UNKNOWN), "_lang_score": F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by WEIGHT_BITS and MOST_LABELS
     schema = T.StructType([*docs.schema.fields, T.StructField("_lang_pred", T.StringType()), T.StructField("_lang_score", T.DoubleType())])
+    if "trigrams" in model:
+        schema = T.StructType([*schema.fields, T.StructField("_lang_fits", T.BooleanType())])
     return docs.mapInArrow(partial(_predicted, shared=shared, own=uuid.uuid4().hex), schema)
 
 

@@ -6,6 +6,7 @@ import corpus_pipeline as pipeline
 from lanelux.llm import secrets, simhash, tokens
 
 from .conftest import words
+from .test_langid import rows_of, text
 from .test_secrets import TEXTS, base_spans
 from .test_simhash import plain_components, plain_fingerprint
 
@@ -60,3 +61,19 @@ def test_run(spark):
     assert rows and max(r["offset"] + r["length"] for r in rows) <= 1024
     assert all(r["ids_crc32"] != zlib.crc32(b"") for r in rows)
     assert simhash.DISTANCE == 4 and simhash.SHINGLE == 4 and secrets.RULES[:3] == secrets.BASE
+
+
+def test_language_rejects_what_fits_no_language(spark, made):
+    rng = random.Random(6)
+    junk = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    other = lambda n: " ".join("".join(rng.choice(["szcz", "ło", "ny", "prz", "ka", "ów"]) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+    for langs in (("en", "fr", "de"), ("en", "fr"), ("en",)):
+        labelled = [r for r in rows_of(240, seed=7) if r[2] in langs]
+        clean = [(1000 + k, text(rng, langs[k % len(langs)], rng.randrange(4, 60)), None, "s") for k in range(60)]
+        clean.append((1060, "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde " + text(rng, langs[0], 8), None, "s"))
+        bad = [(2000 + k, (junk, other)[k % 2](rng.randrange(8, 60)), None, "s") for k in range(60)]
+        bad += [(2100, "これは日本語の文章です。" * 9, None, "s"), (2101, "Это русский текст без метки языка", None, "s")]
+        got = {r["doc_id"] for r in pipeline.language(spark, made(labelled + clean + bad), "").collect()}
+        assert {r[0] for r in labelled} <= got, langs
+        assert {r[0] for r in clean} <= got, langs
+        assert not {r[0] for r in bad} & got, langs
