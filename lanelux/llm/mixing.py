@@ -90,13 +90,11 @@ def _rank(unit: Column, odds: Column) -> Column:
     return F.floor(quotient / (1 + quotient) * float(1 << RANK_BITS)).cast("long")
 
 
-def _cuts(sizes: DataFrame, plan: DataFrame) -> DataFrame:
-    """Per source key that takes only some documents once more: ``cut``, the last rank taken whatever its size,
-    and ``last``, the rank behind it whose size fits the words still missing best (null: none fits better than none)."""
-    open_ = plan.where("missing > 0").select("key", "odds", "missing")
-    ranked = sizes.join(open_, "key").select("key", "size", _rank(F.col("unit"), F.col("odds")).alias("rank"))
-    ranked = settle(ranked, "ranked-sizes")
+def _search(ranked: DataFrame, open_: DataFrame, strict: bool = False) -> DataFrame:
+    """Per key of ``open_`` (key, missing) the last rank (cut) under which sizes are less than ``missing``, and what is
+    missing there; with ``strict``, not more than ``missing``. No row for a key whose sizes do not reach it."""
     found = open_.select("key", "missing", F.lit(0).cast("long").alias("range"))
+    reached = "total > missing and total - size <= missing" if strict else "total >= missing and total - size < missing"
     for level in range(RANK_BITS // STEP_BITS):
         shift = RANK_BITS - STEP_BITS * (level + 1)
         narrow = ranked.withColumn("range", F.shiftright("rank", shift + STEP_BITS)).join(
@@ -105,14 +103,63 @@ def _cuts(sizes: DataFrame, plan: DataFrame) -> DataFrame:
         narrow = narrow.where(F.col("range") == F.col("in_range")) if level else narrow
         summed = narrow.groupBy("key", "missing", F.shiftright("rank", shift).alias("range")).agg(F.sum("size").alias("size"))
         total = F.sum("size").over(Window.partitionBy("key").orderBy("range"))  # at most 4096 rows per source
-        summed = summed.withColumn("total", total).where("total >= missing and total - size < missing")
+        summed = summed.withColumn("total", total).where(reached)
         missing = F.col("missing") - (F.col("total") - F.col("size"))
         found = settle(summed.select("key", missing.alias("missing"), "range"), "cuts")
-    cuts = found.select("key", "missing", (F.col("range") - 1).alias("cut"))
+    return found.select("key", "missing", (F.col("range") - 1).alias("cut"))
+
+
+def _in_rounds(rank: Column, size: Column, rounds: Column) -> Column:
+    return F.coalesce(F.exists(rounds, lambda r: (rank > r["above"]) & (rank <= r["to"]) & (size <= r["most"])), F.lit(False))
+
+
+def _refilled(ranked: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``cuts`` with what is missing and the ``rounds`` in which documents behind the cut were taken until none fits.
+
+    A round takes documents no longer than what is missing, in the order of ranks up to the first that does
+    not fit, which is passed over. So what is missing shrinks with each, in all sources at once.
+    """
+    kind = "array<struct<above:bigint,to:bigint,most:double>>"
+    state = settle(cuts.withColumns({"at": F.col("cut"), "rounds": F.array().cast(kind)}), "mix-rounds")
+    while True:
+        open_ = state.where("missing >= 1").select("key", "missing", "at")
+        left = ranked.join(open_, "key").where("rank > at and size between 1 and missing").select("key", "size", "rank")
+        left = settle(left, "mix-left")
+        if left.isEmpty():
+            return state.drop("at")
+        sums = settle(left.groupBy("key").agg(F.sum("size").alias("all"), F.max("rank").alias("end")), "mix-left-sums")
+        more = open_.join(sums, "key").where("all > missing").select("key", "missing")
+        stops = _search(left, more, strict=True).select("key", F.col("cut").alias("stop"), F.col("missing").alias("rest"))
+        to = F.coalesce("stop", "end")
+        own = F.array(F.struct(F.col("at").alias("above"), to.alias("to"), F.col("missing").alias("most"))).cast(kind)
+        taken = state.join(sums, "key", "left").join(stops, "key", "left")
+        ran = F.col("all").isNotNull()
+        state = settle(
+            taken.select(
+                "key",
+                "cut",
+                F.when(ran, F.coalesce("rest", F.col("missing") - F.col("all"))).otherwise(F.col("missing")).alias("missing"),
+                F.when(ran, F.coalesce(F.col("stop") + 1, "end")).otherwise(F.col("at")).alias("at"),
+                F.when(ran, F.concat("rounds", own)).otherwise(F.col("rounds")).alias("rounds"),
+            ),
+            "mix-rounds",
+        )
+
+
+def _cuts(sizes: DataFrame, plan: DataFrame, refill: bool = False) -> DataFrame:
+    """Per source key that takes only some documents once more: ``cut``, the last rank taken whatever its size,
+    and ``last``, the rank behind it whose size fits the words still missing best (null: none fits better than none).
+    With ``refill``, also ``rounds``: documents taken behind the cut before ``last`` is looked for."""
+    open_ = plan.where("missing > 0").select("key", "odds", "missing")
+    ranked = sizes.join(open_, "key").select("key", "size", _rank(F.col("unit"), F.col("odds")).alias("rank"))
+    ranked = settle(ranked, "ranked-sizes")
+    cuts = _search(ranked, open_)
+    cuts = _refilled(ranked, cuts) if refill else cuts
     over = F.abs(F.col("size") - F.col("missing"))
     rest = ranked.join(cuts, "key").where((F.col("rank") > F.col("cut")) & (over < F.col("missing")))
+    rest = rest.where(~_in_rounds(F.col("rank"), F.col("size"), F.col("rounds"))) if refill else rest
     fits = rest.groupBy("key").agg(F.min_by("rank", F.struct(over, "rank")).alias("last"))
-    return cuts.select("key", "cut").join(fits, "key", "left")
+    return cuts.drop("missing").join(fits, "key", "left")
 
 
 def plan_mix(
@@ -121,8 +168,13 @@ def plan_mix(
     share: float = SHARE,
     most: float = MOST,
     seed: int = 11,
+    refill: bool = False,
 ) -> DataFrame:
-    """One row per source: key, source_size, target, whole (sure copies), odds, cut and last (ranks taken once more)."""
+    """One row per source: key, source_size, target, whole (sure copies), odds, cut and last (ranks taken once more).
+
+    With ``refill``, ``rounds`` go on behind the cut until no document fits what is missing, so one very long
+    document leaves no gap. ``op5_mixing`` is without, as its SQL is.
+    """
     text = F.col("text").cast("string")
     sizes = docs.select(
         _source(F.col("source")).alias("key"),
@@ -136,13 +188,14 @@ def plan_mix(
     plan = aims.withColumns({"whole": whole, "odds": F.when(copies > whole, (copies - whole) / (1 - (copies - whole)))})
     plan = plan.withColumn("missing", F.when(F.col("odds").isNotNull(), F.col("target") - F.col("whole") * F.col("source_size")).otherwise(0.0))
     plan = settle(plan, "mix-plan")
-    return settle(plan.join(_cuts(sizes, plan), "key", "left"), "mix-cuts")
+    return settle(plan.join(_cuts(sizes, plan, refill), "key", "left"), "mix-cuts")
 
 
 def mix(docs: DataFrame, plan: DataFrame, seed: int = 11) -> DataFrame:
     """``docs`` with ``_mix``: size, source_size, target, copies, taken of each row.
 
-    A source's words taken are near its target: the first document that does not fit is left out. No row is
+    A source's words taken are near its target: the first document that does not fit is left out (and, by a plan with
+    ``refill``, those behind it that fit are taken). No row is
     taken more than ``most`` times. The choice depends on a row's id and text only, so runs agree and
     equal rows are taken alike. A null text has size 0; null sources are one source, the last; null
     ids are as good as others. An empty table gives no rows. Other columns stay as they are.
@@ -151,10 +204,13 @@ def mix(docs: DataFrame, plan: DataFrame, seed: int = 11) -> DataFrame:
     named = docs.withColumns(
         {"_mix_key": _source(F.col("source")), "_mix_size": words(text), "_mix_unit": random_unit(F.col("doc_id"), text, seed)}
     )
-    own = plan.select(F.col("key").alias("_mix_of"), F.struct("source_size", "target", "whole", "odds", "cut", "last").alias("_mix_plan"))
+    rounds = ["rounds"] if "rounds" in plan.columns else []
+    own = plan.select(F.col("key").alias("_mix_of"), F.struct("source_size", "target", "whole", "odds", "cut", "last", *rounds).alias("_mix_plan"))
     joined = named.join(own, F.col("_mix_key") == F.col("_mix_of")).drop("_mix_of")
     rank = _rank(F.col("_mix_unit"), F.col("_mix_plan.odds"))
     more = F.coalesce(rank <= F.col("_mix_plan.cut"), F.lit(False)) | rank.eqNullSafe(F.col("_mix_plan.last"))
+    if rounds:
+        more = more | _in_rounds(rank, F.col("_mix_size"), F.col("_mix_plan.rounds"))
     more = more & rank.isNotNull()
     copies = F.col("_mix_plan.whole") + more.cast("long")
     fields = {

@@ -63,3 +63,25 @@ def test_many_sources(spark, made):
     assert len(got) == 97
     for s, (size, target) in want.items():
         assert got["a" + s][0] == size and got["a" + s][1] == pytest.approx(target)
+
+
+def test_refill_passes_a_very_long_document(spark, made):
+    rng = random.Random(3)
+    plain = 0
+    for seed in (1, 2, 3):
+        rows = [(k, " ".join(words(rng, rng.randrange(1, 90))), "en", rng.choice("ab")) for k in range(700)]
+        rows += [(1000 + seed, "x " * 14_000, "en", "a"), (2000 + seed, "x " * 16_000, "en", "b")]
+        docs = made(rows)
+        off = {}
+        for refill in (False, True):
+            got = mixing.mix(docs, mixing.plan_mix(docs, (1, 1), 0.4, seed=seed, refill=refill), seed=seed).collect()
+            assert all(r["_mix"]["copies"] <= 1 for r in got)
+            for s in "ab":
+                own = [r["_mix"] for r in got if r["source"] == s]
+                off[refill, s] = own[0]["target"] - sum(m["taken"] for m in own)
+                if refill:
+                    # nothing that was not taken fits
+                    assert not [m for m in own if not m["copies"] and 0 < m["size"] <= off[refill, s]]
+        plain += sum(off[False, s] > 90 for s in "ab")
+        assert all(abs(off[True, s]) <= 5 for s in "ab"), off
+    assert plain
