@@ -324,18 +324,22 @@ ORACLE["survey_file_outcomes"] = with_views(
 for _name in ("survey_read_files", "survey_read_large_files", "stream_ingest"):
     ORACLE[_name] = _FILE_SUMS
 
-ORACLE["segment_load"] = with_views(
-    "segment",
-    body="""SELECT id, ident8, CAST(beginpositie AS DOUBLE) AS beginopschrift, CAST(NULL AS DOUBLE) AS beginafstand,
+_SEGMENT = """SELECT id, ident8, CAST(beginpositie AS DOUBLE) AS beginopschrift, CAST(NULL AS DOUBLE) AS beginafstand,
   CAST(beginpositie AS DOUBLE) AS beginpositie, CAST(eindpositie AS DOUBLE) AS eindopschrift,
   CAST(NULL AS DOUBLE) AS eindafstand, CAST(eindpositie AS DOUBLE) AS eindpositie, gebied, eigenbeheer,
-  'zie "plan"' || chr(9) || id AS opmerking, CAST(10 AS DOUBLE) AS lengte, CAST(NULL AS DOUBLE) AS werkelijkelengte,
+  {} AS opmerking, CAST(10 AS DOUBLE) AS lengte, CAST(NULL AS DOUBLE) AS werkelijkelengte,
   'beheer' AS gebruiker, TIMESTAMP '2024-01-02 03:04:05' AS opnamedatum, TIMESTAMP '2024-01-02 00:00:00' AS begindatum,
   CAST(NULL AS TIMESTAMP) AS creatiedatum, CAST(NULL AS TIMESTAMP) AS wijzigingsdatum,
   CAST(NULL AS DOUBLE) AS deltawijzigingsdatum, CAST(id % 9 AS INTEGER) AS bronid, wegcategorie,
-  CAST(id % 5 - 2 AS INTEGER) AS offset_, TIMESTAMP '2024-02-03 04:05:06' AS copydatum, multi_line
-FROM segment CROSS JOIN (VALUES (false), (true)) w(multi_line)""",
+  CAST(id % 5 - 2 AS INTEGER) AS offset_, TIMESTAMP '2024-02-03 04:05:06' AS copydatum{}
+FROM segment"""
+ORACLE["segment_load"] = with_views(
+    "segment",
+    body=_SEGMENT.format("""'zie "plan"' || chr(9) || id""", ", multi_line") + " CROSS JOIN (VALUES (false), (true)) w(multi_line)",
 )
+_REMARK = """CASE id % 3 WHEN 0 THEN 'zie "plan"' || chr(10) || chr(9) || '"deel" ' || id || chr(10)
+  WHEN 1 THEN chr(10) || chr(10) || '"' || id || '"' || chr(92) ELSE CAST(id AS VARCHAR) END"""
+ORACLE["segment_load_quoted_breaks"] = with_views("segment", body=_SEGMENT.format(_REMARK, ""))
 
 ORACLE["class_bands_values"] = with_views(
     "measurement",

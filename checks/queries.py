@@ -190,9 +190,7 @@ def survey_file_outcomes(spark, sf):
     return survey.union_frames(found)
 
 
-@query
-def segment_load(spark, sf):
-    path = scratch_path(spark, "segment-export")
+def _segment_export(spark, sf, remark):
     s = given.segments(spark, sf)
     empty = F.lit("")
     exported = {
@@ -207,7 +205,7 @@ def segment_load(spark, sf):
         "eindpositie": F.col("eindpositie"),
         "gebied": F.col("gebied"),
         "eigenbeheer": F.col("eigenbeheer"),
-        "opmerking": F.concat(F.lit('zie "plan"\t'), F.col("id").cast("string")),
+        "opmerking": remark,
         "lengte": F.col("eindpositie") - F.col("beginpositie"),
         "werkelijkelengte": empty,
         "gebruiker": F.lit("beheer"),
@@ -221,18 +219,36 @@ def segment_load(spark, sf):
         "offset_": F.col("id") % 5 - 2,
         "copydatum": F.lit("2024-02-03 04:05:06"),
     }
-    (
-        s.select(*[c.cast("string").alias(n) for n, c in exported.items()])
-        .write.option("sep", "\t")
-        .option("header", True)
-        .option("escape", "\\")
-        .option("emptyValue", "")
-        .csv(path)
-    )
-    ways = [read_segments(spark, path, multi_line=m).withColumn("multi_line", F.lit(m)) for m in (False, True)]
+    return s.select(*[c.cast("string").alias(n) for n, c in exported.items()])
+
+
+def _written_segments(export, path):
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    export.write.options(sep="\t", header=True, escape="\\", emptyValue="", **kept).csv(path)
+    return path
+
+
+@query
+def segment_load(spark, sf):
+    remark = F.concat(F.lit('zie "plan"\t'), F.col("id").cast("string"))
+    path = _written_segments(_segment_export(spark, sf, remark), scratch_path(spark, "segment-export"))
+    ways = [read_segments(spark, path, quoted_breaks=m).withColumn("multi_line", F.lit(m)) for m in (False, True)]
     return plain(survey.union_frames(ways))
 
 
+@query
+def segment_load_quoted_breaks(spark, sf):
+    """One large file whose remarks hold line breaks, quotes, tabs and backslashes."""
+    number = F.col("id").cast("string")
+    remark = (
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit('zie "plan"\n\t"deel" '), number, F.lit("\n")))
+        .when(F.col("id") % 3 == 1, F.concat(F.lit('\n\n"'), number, F.lit('"\\')))
+        .otherwise(number)
+    )
+    export = _segment_export(spark, sf, remark).repartitionByRange(1, "id")
+    return plain(read_segments(spark, _written_segments(export, scratch_path(spark, "segment-export"))))
+
+
 @query
 def class_bands_values(spark, sf):
     rows = given.measurements(spark, sf).select("rl")

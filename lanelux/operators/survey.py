@@ -434,33 +434,38 @@ def _tagged_names(columns: Column) -> Column:
 
 def tag_rows(rows: DataFrame) -> DataFrame:
     """Body rows with series name, road id and marking in front, as names and texts."""
-    series = F.col("meting_serie_naam")
-    kept = KEPT_COLUMNS - len(TAGS)
     return rows.select(
-        "bestands_url",
-        "line_no",
-        _tagged_names(F.col("columns")).alias("names"),
-        F.concat(F.array(series, *series_parts(series)), F.slice("fields", 1, kept)).alias("texts"),
+        "bestands_url", "line_no", _tagged_names(F.col("columns")).alias("names"), _tagged_texts().alias("texts")
     )
 
 
-def widen(tagged: DataFrame, layouts: DataFrame, most_columns: int = 1000) -> DataFrame:
-    """One text column per name in ``layouts`` (names); NULL where a file lacks it.
+def _tagged_texts() -> Column:
+    series = F.col("meting_serie_naam")
+    return F.concat(F.array(series, *series_parts(series)), F.slice("fields", 1, KEPT_COLUMNS - len(TAGS)))
 
-    Only the distinct column names reach the driver, the schema needs them.
-    More than ``most_columns`` of them are refused: then some column row is
-    none, and :func:`line_headers` tells which.
+
+def column_names(layouts: DataFrame, most_columns: int = 1000) -> list[str]:
+    """The different names in ``layouts`` (names), in the order of their first places.
+
+    Only they reach the driver, the schema needs them. More than ``most_columns`` of them are refused: then
+    some column row is none, and :func:`line_headers` tells which.
     """
     named = layouts.select("names").distinct().select(F.posexplode("names").alias("at", "name"))
     found = named.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").limit(most_columns + 1).collect()
     if len(found) > most_columns:
         raise ValueError(f"more than {most_columns} different column names")
+    return [r["name"] for r in found]
+
+
+def widen(tagged: DataFrame, layouts: DataFrame, most_columns: int = 1000) -> DataFrame:
+    """One text column per name in ``layouts`` (names); NULL where a file lacks it."""
 
     def value(name: str) -> Column:
         at = F.array_position("names", F.lit(name))
         return F.when(at > 0, F.get("texts", (at - 1).cast("int")))
 
-    return tagged.select("bestands_url", "line_no", *[value(r["name"]).alias(r["name"]) for r in found])
+    names = column_names(layouts, most_columns)
+    return tagged.select("bestands_url", "line_no", *[value(n).alias(n) for n in names])
 
 
 def nonzero_text(rows: DataFrame, column: str = "RL") -> DataFrame:
@@ -479,11 +484,25 @@ def taken_2024(rows: DataFrame) -> DataFrame:
 def combined_2024(rows: DataFrame, headers: DataFrame) -> DataFrame:
     """All body rows of taken files in one wide text table.
 
-    ``headers`` has one row per file, so the column names are found without
-    reading the body.
+    ``headers`` has one row per file, so which files are taken, their column names and the places of these
+    are found per file, without reading the body; body rows carry the places only.
     """
-    layouts = taken_2024(headers).select(_tagged_names(F.col("columns")).alias("names"))
-    return nonzero_text(widen(tag_rows(taken_2024(rows)), layouts))
+    files = taken_2024(headers).select("bestands_url", _tagged_names(F.col("columns")).alias("names"))
+    files = settle(files, "layouts")
+    names = column_names(files)
+    places = F.array(*[(F.array_position("names", F.lit(n)) - 1).cast("int") for n in names])
+    placed = files.select("bestands_url", places.alias("_places"))
+    taken = skew_safe_join(rows, placed, ["bestands_url"], spread_by=["line_no"])
+    # One-element inline: the texts are put together once, not for each column.
+    tagged = taken.select(F.inline(F.array(F.struct("bestands_url", "line_no", "_places", _tagged_texts().alias("_texts")))))
+    wide = tagged.select("bestands_url", "line_no", *[_placed_text(i).alias(n) for i, n in enumerate(names)])
+    return nonzero_text(wide)
+
+
+def _placed_text(i: int) -> Column:
+    """The text of the i-th column, NULL where the file lacks it."""
+    place = F.get("_places", F.lit(i))
+    return F.when(place >= 0, F.get("_texts", place))
 
 
 def union_frames(frames: list[DataFrame]) -> DataFrame:

@@ -126,7 +126,7 @@ def run_year(
     out: str,
     report_year: int,
     read_at: datetime.datetime,
-    multi_line_segments: bool = True,
+    quoted_breaks: bool = True,
 ) -> dict[str, DataFrame]:
     """Run all stages for one year and return the stored tables by name.
 
@@ -134,15 +134,15 @@ def run_year(
     grow: files that the log holds keep their state and are not read again, and
     lines of points loaded since the last run are added. All other tables of the
     year are built anew from these, and the reports are exported to ``export``.
-    ``multi_line_segments`` as in :func:`read_segments`.
+    ``quoted_breaks`` as in :func:`read_segments`.
     """
     with scratch_scope(spark):
         return _run_year(
-            Store(spark, out), survey_root, segments_path, classes, classes_p, report_year, read_at, multi_line_segments
+            Store(spark, out), survey_root, segments_path, classes, classes_p, report_year, read_at, quoted_breaks
         )
 
 
-def _run_year(store, survey_root, segments_path, classes, classes_p, report_year, read_at, multi_line_segments):
+def _run_year(store, survey_root, segments_path, classes, classes_p, report_year, read_at, quoted_breaks):
     spark = store.spark
     known = store.read_or_empty("file_log", report_year, FILE_LOG)
     new = register_files(store, survey_root, report_year, read_at, known).withColumns(
@@ -161,7 +161,7 @@ def _run_year(store, survey_root, segments_path, classes, classes_p, report_year
     raw = accepted(imported)
     points = store.write("measurement_point", measurement_points(raw, report_year), report_year)
     lines = append_new_lines(store, points, report_year)
-    segments = store.write("segment", enrich(read_segments(spark, segments_path, multi_line_segments)), report_year)
+    segments = store.write("segment", enrich(read_segments(spark, segments_path, quoted_breaks)), report_year)
     wegcat = store.write(LOCATED, on_segments(points, segments), report_year)
     counts = store.write("reading_counts", reading_counts(wegcat), report_year)
     tables = {}
