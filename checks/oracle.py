@@ -251,7 +251,20 @@ ORACLE["file_catalog"] = with_views(
     body=f"""SELECT 'reeks=' || reeks AS parent_name, 'weg=' || weg AS above, 2::INTEGER AS level FROM ({_TREE})
 UNION ALL SELECT 'los', NULL, 1""",
 )
-ORACLE["folder_catalog"] = with_views("measurement", body=f"SELECT weg FROM ({_TREE}) WHERE reeks = 'M1'")
+ORACLE["folder_catalog"] = with_views(
+    "measurement",
+    body=f"""SELECT way, 'reeks=M1' AS name, weg FROM ({_TREE}), (VALUES ('files'), ('tree')) w(way) WHERE reeks = 'M1'
+UNION ALL SELECT way, 'weg=3', '3' FROM (VALUES ('files'), ('tree')) w(way)
+UNION ALL SELECT 'tree', 'leeg', CAST(3 * i AS VARCHAR) FROM range(7) t(i)
+UNION ALL SELECT 'under', 'leeg', '3'""",
+)
+ORACLE["folder_tree"] = with_views(
+    "measurement",
+    body=f"""SELECT CAST(NULL AS VARCHAR) AS name, 'reeks=' || reeks AS above, 2::INTEGER AS level, false AS is_folder FROM ({_TREE})
+UNION ALL SELECT 'reeks=' || reeks, 'weg=' || weg, 1, true FROM ({_TREE})
+UNION ALL SELECT DISTINCT 'weg=' || weg, NULL, 0, true FROM ({_TREE})
+UNION ALL SELECT 'los', NULL, 0, true UNION ALL SELECT 'leeg', NULL, 0, true UNION ALL SELECT 'dieper', 'leeg', 1, true""",
+)
 ORACLE["file_catalog_search"] = with_views(
     "measurement",
     body=f"""SELECT weg, reeks, ending, part FROM ({_TREE}), (VALUES ('.csv'), ('v')) e(ending), (VALUES ('reeks=M1'), ('=M2R/')) p(part)
@@ -321,6 +334,12 @@ ORACLE["stream_ingest_outcomes"] = with_views("measurement", body=_FILES)
 ORACLE["survey_file_outcomes"] = with_views(
     "measurement", body=f"SELECT * FROM ({_FILES}) CROSS JOIN (VALUES ('whole'), ('lines')) w(way)"
 )
+ORACLE["stream_first_name"] = with_views(
+    "measurement",
+    body="""SELECT oid // 1000 AS file, CASE WHEN oid // 1000 BETWEEN 3 AND 7 THEN 'ok' ELSE 'name taken' END AS outcome,
+  CASE WHEN oid // 1000 BETWEEN 3 AND 7 THEN count(*) ELSE 0 END AS n
+FROM measurement GROUP BY oid // 1000""",
+)
 for _name in ("survey_read_files", "survey_read_large_files", "stream_ingest"):
     ORACLE[_name] = _FILE_SUMS
 

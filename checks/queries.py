@@ -6,17 +6,18 @@ import datetime
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanelux.functions import geo, text, times
 from lanelux.operators import ledger, points, segments, shares, sinks, survey
 from lanelux.operators.joins import band_join
+from lanelux.operators.order import numbered
 from lanelux.plans import adapters as given
 from lanelux.plans import reports
 from lanelux.plans.pipeline import Store, append_new_lines
 from lanelux.schemas import LAMBERT72_SRID, PROVINCES
-from lanelux.session import scratch_path, settle
+from lanelux.session import file_system, scratch_path, settle
 from lanelux.sources import catalog
 from lanelux.sources.segment_files import read_segments
 from lanelux.sources.survey_files import WHOLE_FILE_BYTES, file_lines, normalized_lines, read_survey, scan_survey
@@ -72,9 +73,35 @@ def file_catalog(spark, sf):
 
 @query
 def folder_catalog(spark, sf):
-    """The folders of one name, by the folder above each."""
-    folders = catalog.list_folders(catalog.list_files(spark, _tree(spark, sf), ["csv"]))
-    return catalog.find_folders(folders, "reeks=M1").select(F.regexp_extract("folder_id", "weg=([0-9]+)/", 1).alias("weg"))
+    """The folders of three names, by the number of the road: with files, with folders only, and empty."""
+    root = _tree(spark, sf)
+    for weg in range(0, 20, 3):
+        system, place = file_system(spark, f"{root}/weg={weg}/leeg")
+        system.mkdirs(place)
+    weg = F.regexp_extract("folder_id", "weg=([0-9]+)", 1).alias("weg")
+    held = catalog.list_folders(catalog.list_files(spark, root, ["csv"]))
+    tree = catalog.list_tree(spark, root)
+    found = []
+    for way, folders in (("files", held), ("tree", catalog.tree_folders(tree))):
+        for name in ("reeks=M1", "weg=3", "leeg"):
+            found.append(catalog.find_folders(folders, name).select(F.lit(way).alias("way"), F.lit(name).alias("name"), weg))
+    below = catalog.tree_folders(tree)
+    top = catalog.find_folders(below, "weg=3").first()[0]
+    under = catalog.find_folders(below, "leeg", parent_id=top)
+    return survey.union_frames([*found, under.select(F.lit("under").alias("way"), F.lit("leeg").alias("name"), weg)])
+
+
+@query
+def folder_tree(spark, sf):
+    """Every file and folder with its level, the folder above it, and how many files of each are found."""
+    root = _tree(spark, sf)
+    system, place = file_system(spark, f"{root}/leeg/dieper")
+    system.mkdirs(place)
+    tree = catalog.list_tree(spark, root)
+    files = catalog.tree_files(tree, ["csv"]).select("parent_name", "level", F.lit(False).alias("is_folder"))
+    folders = tree.where("is_folder").select("parent_name", "level", "is_folder", "name")
+    above = F.when(F.col("level") > 0, F.col("parent_name"))
+    return survey.union_frames([folders, files]).select("name", above.alias("above"), "level", "is_folder")
 
 
 @query
@@ -266,7 +293,7 @@ def sink_refresh(spark, sf):
     sinks.refresh(m, path, 2023)
     sinks.refresh(m, path, 2024)
     sinks.refresh(m.where(F.col("rl") != 0), path, 2024)
-    return plain(spark.read.parquet(path))
+    return plain(sinks.read_table(spark, path))
 
 
 @query
@@ -356,10 +383,13 @@ def incremental_watermark(spark, sf):
 
 @query
 def incremental_lines(spark, sf):
-    """Lines of the second half of the month added to those of the first half."""
+    """Lines of the second half of the month added to those of the first half, and ties of the last day before."""
     rows = _measurement_points(spark, sf)
     store = Store(spark, scratch_path(spark, "lines"))
-    append_new_lines(store, rows.where(F.col("inleesdatum") < given.WATERMARK), given.SURVEY_YEAR)
+    early = rows.where(F.col("inleesdatum") < given.WATERMARK)
+    tied = early.agg(F.max("inleesdatum")).scalar()
+    append_new_lines(store, early.where((F.col("inleesdatum") < tied) | (F.col("oid") % 3 == 0)), given.SURVEY_YEAR)
+    append_new_lines(store, early, given.SURVEY_YEAR)
     append_new_lines(store, rows, given.SURVEY_YEAR)
     lines = append_new_lines(store, rows, given.SURVEY_YEAR)
     return plain(lines.drop("geom_line").withColumn("lengte", F.round("lengte", 3)))
@@ -838,7 +868,9 @@ def stream_ingest(spark, sf):
     folder = _survey_folder(spark, sf)
     table, checkpoint = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-checkpoint")
     for _ in range(2):
-        start_ingest(spark, folder, table, checkpoint, READ_AT, pattern="*.txt", files_per_batch=40).awaitTermination()
+        start_ingest(
+            spark, folder, table, checkpoint, READ_AT, pattern="*.txt", files_per_batch=40, name=_file_of
+        ).awaitTermination()
     return _file_sums(spark.read.parquet(table))
 
 
@@ -848,19 +880,44 @@ def stream_ingest_outcomes(spark, sf):
     path = scratch_path(spark, "broken-files")
     given.write_survey_files(given.measurements(spark, sf), path, broken=True)
     table, checkpoint = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-checkpoint")
-    start_ingest(spark, path, table, checkpoint, READ_AT, pattern="*.txt", files_per_batch=40).awaitTermination()
+    start_ingest(
+        spark, path, table, checkpoint, READ_AT, pattern="*.txt", files_per_batch=40, name=_file_of
+    ).awaitTermination()
     sound = spark.read.parquet(table).select("bestands_url", F.array().cast("array<string>").alias("errors"))
     faulty = spark.read.parquet(f"{table}_rejected").select("bestands_url", "errors")
     return _counted(spark.read.parquet(f"{table}_files"), sound.unionByName(faulty))
 
 
+@query
+def stream_first_name(spark, sf):
+    """Files of two runs, of which five share a name each: the first path of the first run has it."""
+    rows = given.measurements(spark, sf)
+    folder, table = scratch_path(spark, "survey-files"), scratch_path(spark, "stream-table")
+    checkpoint = scratch_path(spark, "stream-checkpoint")
+
+    def number(path):
+        return F.regexp_extract(path, "bestand=B0*([0-9]+)", 1).cast("long")
+
+    for late in (True, False):
+        # Files that sort first come in the second run.
+        given.write_survey_files(rows.where((F.col("oid").cast("long") < 3000) != late), f"{folder}/{int(late)}")
+        start_ingest(
+            spark, folder, table, checkpoint, READ_AT, pattern="*.txt", files_per_batch=3,
+            name=lambda path: (number(path) % 5).cast("string"),
+        ).awaitTermination()
+    files = spark.read.parquet(f"{table}_files")
+    lines = spark.read.parquet(table).groupBy("bestands_url").agg(F.count("*").alias("n"))
+    return files.join(lines, "bestands_url", "left").select(
+        number("bestands_url").alias("file"), "outcome", F.coalesce("n", F.lit(0).cast("long")).alias("n")
+    )
+
+
 # --- order and years --------------------------------------------------------
 
 
-def _placed(df, *columns):
-    """The columns with the place of each row in the order that ``df`` has."""
-    numbered = df.select(*columns, F.monotonically_increasing_id().alias("_seq"))
-    return numbered.withColumn("place", F.row_number().over(Window.orderBy("_seq"))).drop("_seq")
+def _placed(df, *order):
+    """The columns of the order with the place of each row in it."""
+    return numbered(df.select(*order), list(order)).withColumn("place", F.col("place").cast("int"))
 
 
 @query
@@ -870,15 +927,14 @@ def order_ingested_files(spark, sf):
 
 @query
 def order_segment_join(spark, sf):
-    located = segments.on_segments(
-        given.measurements(spark, sf), segments.enrich(given.segments(spark, sf)), ordered=True
-    )
+    located = segments.on_segments(given.measurements(spark, sf), segments.enrich(given.segments(spark, sf)))
     return plain(_placed(located, "ident8", "kmp", "oid"))
 
 
 @query
 def order_share_report(spark, sf):
-    return _placed(_share_report(reports.SHARE_REPORTS["procent_per_prov_M1"], spark, sf), "provincie", "markering", "klasse")
+    report = _share_report(reports.SHARE_REPORTS["procent_per_prov_M1"], spark, sf)
+    return _placed(report, "provincie", "markering", "klasse")
 
 
 @query

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -225,13 +226,20 @@ def backlog_count(listing: DataFrame, log: DataFrame) -> DataFrame:
     return signed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
-def newer_rows(source: DataFrame, target: DataFrame, ts: str = "inleesdatum") -> DataFrame:
+def newer_rows(source: DataFrame, target: DataFrame, ts: str = "inleesdatum", key: list[str] | None = None) -> DataFrame:
     """Source rows after the newest time stamp of the target; all if it has none.
 
-    The watermark is a scalar subquery, so it also reaches the scan filter.
+    The watermark is a scalar subquery, so it also reaches the scan filter. With ``key``, rows at the
+    watermark itself are taken as well if the target has no row of that key there, so rows that get the same
+    stamp later are not lost; only rows at the watermark meet.
     """
     mark = target.agg(F.max(ts)).scalar()
-    return source.where((F.col(ts) > mark) | mark.isNull())
+    later = source.where((F.col(ts) > mark) | mark.isNull())
+    if key is None:
+        return later
+    known = target.where(F.col(ts) == mark).select(*[F.col(k).alias(f"_known_{k}") for k in key])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in key])
+    return later.unionByName(source.where(F.col(ts) == mark).join(known, same, "left_anti"))
 
 
 def survey_year_files(log: DataFrame, year: int) -> DataFrame:

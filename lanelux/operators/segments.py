@@ -66,7 +66,7 @@ def on_segments(
     id as last key so that equal positions can still be split over tasks.
     """
     # An open-ended segment is repeated for the cells that measurements lie in, and no others.
-    found = [points.agg(bound("kmp")).scalar() for bound in (F.min, F.max)]
+    found = points.agg(F.struct(F.min("kmp").alias("low"), F.max("kmp").alias("high"))).scalar()
     low, high = _as_positions(F.ceil("beginpositie", F.lit(4))), _as_positions(F.floor("eindpositie", F.lit(4)))
     located = interval_join(
         points.withColumn("meting_serie_naam", F.replace("meting_serie_naam", F.lit("\n"), F.lit(""))),
@@ -76,7 +76,7 @@ def on_segments(
         "_low",
         "_high",
         cell=CELL_KM,
-        domain=(found[0], found[1]),
+        domain=(found.getField("low"), found.getField("high")),
         spread_by=["oid"],
         broadcast_rows=broadcast_rows,
         rows_per_task=rows_per_task,

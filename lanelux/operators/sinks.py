@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,41 +14,108 @@ from lanelux.operators.survey import normalized_line
 from lanelux.session import file_system, remove
 
 
-def year_path(path: str, report_year: int) -> str:
-    return f"{path}/report_year={report_year}"
+#: A pointer's name: year, number, what it does to the year's rows, and the folder it names.
+_POINTER = re.compile(r"report_year=(-?\d+)\.(\d{12})\.(set|add)\.([0-9a-f]{32})")
 
 
-def restore(spark: SparkSession, path: str, report_year: int) -> None:
-    """Put the rows of a year back in place that a refresh, broken off between its two renames, had set aside."""
-    system, place = file_system(spark, year_path(path, report_year))
-    _, aside = file_system(spark, _beside(path, "old", report_year))
-    if not system.exists(place) and system.exists(aside):
-        system.rename(aside, place)
+@dataclass(frozen=True)
+class Pointer:
+    """One step in the life of a year: ``set`` replaces its rows by those of a folder, ``add`` adds them."""
 
+    year: int
+    number: int
+    what: str
+    version: str
 
-def _beside(path: str, what: str, report_year: int) -> str:
-    # Readers pass over names that begin with an underscore.
-    return f"{path}/_{what}_{report_year}"
+    @property
+    def name(self) -> str:
+        return f"report_year={self.year}.{self.number:012d}.{self.what}.{self.version}"
+
+    def folder(self, path: str) -> str:
+        return f"{path}/versions/report_year={self.year}/version={self.version}"
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    system, place = file_system(spark, folder)
+    return [s.getPath().getName() for s in system.listStatus(place)] if system.exists(place) else []
+
+
+def pointers(spark: SparkSession, path: str, report_year: int | None = None) -> list[Pointer]:
+    """All steps of a year, or of all years, in order."""
+    found = [m for m in map(_POINTER.fullmatch, _names(spark, f"{path}/current")) if m]
+    steps = [Pointer(int(m[1]), int(m[2]), m[3], m[4]) for m in found]
+    return sorted(
+        (p for p in steps if report_year is None or p.year == report_year), key=lambda p: (p.year, p.number, p.version)
+    )
+
+
+def in_force(steps: list[Pointer]) -> list[Pointer]:
+    """Of the steps of one year, the last that replaced its rows and those that added to it."""
+    last = max((i for i, p in enumerate(steps) if p.what == "set"), default=0)
+    return steps[last:]
+
+
+def _point(spark: SparkSession, path: str, pointer: Pointer) -> None:
+    """Write a pointer: an empty file that says all by its name, so it is there as a whole or not at all."""
+    system, place = file_system(spark, f"{path}/current/{pointer.name}")
+    system.create(place, False).close()
+
+
+def _step(df: DataFrame, path: str, report_year: int, what: str) -> list[Pointer]:
+    """Write the rows to a folder of their own, then the pointer to it; returns the year's steps before."""
+    spark = df.sparkSession
+    steps = pointers(spark, path, report_year)
+    new = Pointer(report_year, steps[-1].number + 1 if steps else 1, what, uuid.uuid4().hex)
+    df.write.parquet(new.folder(path))
+    _point(spark, path, new)
+    return steps
+
+
+def _clear(spark: SparkSession, path: str, report_year: int, kept: list[Pointer]) -> None:
+    """Remove the folders of a year that none of ``kept`` names, then their pointers."""
+    year = f"{path}/versions/report_year={report_year}"
+    named = {f"version={p.version}" for p in kept}
+    for name in _names(spark, year):
+        if name not in named:
+            remove(spark, f"{year}/{name}")
+    for p in pointers(spark, path, report_year):
+        if f"version={p.version}" not in named:
+            remove(spark, f"{path}/current/{p.name}")
 
 
 def refresh(df: DataFrame, path: str, report_year: int) -> None:
     """Replace the rows of one report year and leave other years alone.
 
-    The new rows are complete beside the old ones before these give way, so a
-    lost driver or executor loses neither; ``df`` may read the rows it replaces.
-    An empty result empties the year.
+    The new rows are written to a folder of their own; the last step is an empty pointer file with that folder in
+    its name. Nothing is renamed, so this holds on stores where a rename is a copy: readers see the old rows or
+    the new ones, whenever a driver or executor is lost. ``df`` may read the rows it replaces. The rows before are
+    kept until the next refresh, for readers that began with them. An empty result empties the year. One writer
+    at a time for a year of a table.
     """
     spark = df.sparkSession
-    restore(spark, path, report_year)
-    fresh, aside = _beside(path, "new", report_year), _beside(path, "old", report_year)
-    df.write.mode("overwrite").parquet(fresh)
-    system, place = file_system(spark, year_path(path, report_year))
-    remove(spark, aside)
-    if system.exists(place):
-        system.rename(place, file_system(spark, aside)[1])
-    if not system.rename(file_system(spark, fresh)[1], place):
-        raise OSError(f"{fresh} could not take its place")
-    remove(spark, aside)
+    before = in_force(_step(df, path, report_year, "set"))
+    now = in_force(pointers(spark, path, report_year))
+    _clear(spark, path, report_year, [*before, *now])
+
+
+def append_year(df: DataFrame, path: str, report_year: int) -> None:
+    """Add rows to one report year, all or, if the job fails, none; readers see them from the pointer on."""
+    _step(df, path, report_year, "add")
+
+
+def read_year(spark: SparkSession, path: str, report_year: int) -> DataFrame | None:
+    """The rows of one report year, without that column; None if it was never written."""
+    steps = in_force(pointers(spark, path, report_year))
+    return spark.read.parquet(*[p.folder(path) for p in steps]) if steps else None
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of all years with ``report_year``; a filter on it reads those years alone. None if there are none."""
+    steps = pointers(spark, path)
+    folders = [p.folder(path) for y in sorted({p.year for p in steps}) for p in in_force([q for q in steps if q.year == y])]
+    if not folders:
+        return None
+    return spark.read.option("basePath", f"{path}/versions").parquet(*folders).drop("version")
 
 
 def create_if_absent(df: DataFrame, path: str) -> None:

@@ -1,7 +1,7 @@
 """A survey year from files to reports, each stage a stored table.
 
-Tables of all years share one folder each, partitioned by ``report_year``; a
-rerun changes its own year only. Reading a whole table prunes by year.
+Tables of all years share one folder each; a rerun changes its own year only.
+``sinks.read_table`` reads a whole table and prunes by ``report_year``.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ import datetime
 import itertools
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
@@ -49,20 +48,18 @@ class Store:
         return self.read(table, year)
 
     def append(self, table: str, df: DataFrame, year: int) -> DataFrame:
-        sinks.append(df, sinks.year_path(self.path(table), year))
+        sinks.append_year(df, self.path(table), year)
         return self.read(table, year)
 
     def read(self, table: str, year: int) -> DataFrame:
-        sinks.restore(self.spark, self.path(table), year)
-        return self.spark.read.parquet(sinks.year_path(self.path(table), year))
+        rows = sinks.read_year(self.spark, self.path(table), year)
+        if rows is None:
+            raise ValueError(f"{self.path(table)} has no year {year}")
+        return rows
 
     def read_or_empty(self, table: str, year: int, schema: StructType) -> DataFrame:
-        try:
-            return self.read(table, year)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        rows = sinks.read_year(self.spark, self.path(table), year)
+        return self.spark.createDataFrame([], schema) if rows is None else rows
 
 
 def register_files(store: Store, survey_root: str, year: int, read_at: datetime.datetime, log: DataFrame) -> DataFrame:
@@ -78,12 +75,11 @@ def register_files(store: Store, survey_root: str, year: int, read_at: datetime.
 
 
 def append_new_lines(store: Store, points: DataFrame, year: int) -> DataFrame:
-    """Add the lines of points loaded after the newest stored line; all of them the first time."""
+    """Add the lines of points loaded after the newest stored line, or with it but not stored; all of them the first time."""
     none = measurement_lines(points.limit(0))
     known = store.read_or_empty("measurement_line", year, none.schema)
-    path = sinks.year_path(store.path("measurement_line"), year)
-    sinks.append(measurement_lines(ledger.newer_rows(points, known)), path)
-    return store.read("measurement_line", year)
+    newer = ledger.newer_rows(points, known, key=["bestands_url", "line_no"])
+    return store.append("measurement_line", measurement_lines(newer), year)
 
 
 #: Files that are parsed together; the names of so many are on the driver at once.

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanelux.session import file_system
+from lanelux.session import file_system, settle
 
 
 def list_files(
@@ -54,9 +60,99 @@ def _qualified(spark: SparkSession, root: str) -> str:
     return system.makeQualified(path).toUri().getPath().rstrip("/")
 
 
+_ENTRY = pa.schema(
+    [
+        ("path", pa.string()),
+        ("name", pa.string()),
+        ("parent_name", pa.string()),
+        ("parent_id", pa.string()),
+        ("is_folder", pa.bool_()),
+        ("length", pa.int64()),
+        ("modificationTime", pa.timestamp("us", tz="UTC")),
+    ]
+)
+_ENTRY_DDL = (
+    "path string, name string, parent_name string, parent_id string, is_folder boolean, length long, "
+    "modificationTime timestamp"
+)
+#: Folders that one task lists.
+FOLDERS_PER_TASK = 64
+
+
+def _system(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder as executors see it, and the folder's path there."""
+    scheme, host, path = re.fullmatch(r"(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/]*))?(.*)", folder, re.DOTALL).groups()
+    if scheme in (None, "file"):
+        return fs.LocalFileSystem(), path or "/"
+    system, base = fs.FileSystem.from_uri(f"{scheme}://{host or ''}")
+    return system, f"{base.rstrip('/')}/{path.strip('/')}" if base.strip("/") else path or "/"
+
+
+def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What lies directly in each folder; a folder that is gone meanwhile holds nothing."""
+    for batch in batches:
+        for folder in batch["path"].to_pylist():
+            system, place = _system(folder)
+            infos = system.get_file_info(fs.FileSelector(place, allow_not_found=True))
+            # As Spark's readers do.
+            infos = [i for i in infos if not i.base_name.startswith((".", "_"))]
+            rows = [
+                {
+                    "path": f"{folder.rstrip('/')}/{i.base_name}",
+                    "name": i.base_name,
+                    "parent_name": folder.rstrip("/").rsplit("/", 1)[-1],
+                    "parent_id": folder,
+                    "is_folder": i.type == fs.FileType.Directory,
+                    "length": i.size,
+                    "modificationTime": i.mtime,
+                }
+                for i in infos
+            ]
+            yield pa.RecordBatch.from_pylist(rows, schema=_ENTRY)
+
+
+def list_tree(spark: SparkSession, root: str, depth: int = -1) -> DataFrame:
+    """Files and folders below ``root``, also empty ones and those that hold folders only.
+
+    One level after the other is listed by the executors: the folders of a level are rows, each task lists some
+    of them and stores what it finds, so no listing is on the driver. Columns as :func:`list_files` and
+    ``is_folder``; ``depth`` as there. Names that begin with a dot or an underscore are left out. The file
+    system must be one that Arrow knows (file, hdfs, s3, gs, abfs). A missing root has nothing below it.
+    """
+    system, path = file_system(spark, root)
+    top = system.makeQualified(path).toString()
+    frontier = spark.createDataFrame([(top,)], "path string")
+    levels, level, folders = [], 0, 1
+    while folders and (depth < 0 or level <= depth):
+        dealt = frontier.repartition(-(-folders // FOLDERS_PER_TASK), "path")
+        listed = settle(dealt.mapInArrow(_children, _ENTRY_DDL), "listing").withColumn("level", F.lit(level))
+        levels.append(listed)
+        frontier = listed.where("is_folder").select("path")
+        folders, level = frontier.count(), level + 1
+    return reduce(DataFrame.unionByName, levels)
+
+
+def tree_files(tree: DataFrame, extensions: list[str] | None = None) -> DataFrame:
+    """The files of a :func:`list_tree`, as :func:`list_files` gives them; empty ones too."""
+    files = tree.where("not is_folder").drop("is_folder")
+    return files.where(F.element_at(F.split("name", r"\."), -1).isin(extensions)) if extensions else files
+
+
+def tree_folders(tree: DataFrame) -> DataFrame:
+    """All folders of a :func:`list_tree`, as :func:`list_folders` gives them."""
+    return tree.where("is_folder").select(F.col("path").alias("folder_id"), F.col("name").alias("folder_name"))
+
+
 def list_folders(files: DataFrame) -> DataFrame:
-    """Folders that hold a listed file."""
-    return files.select(F.col("parent_id").alias("folder_id"), F.col("parent_name").alias("folder_name")).distinct()
+    """The folders of the files and all folders above them, up to the root of the listing.
+
+    Reads the listing of files alone; folders without any file below them are found by :func:`list_tree`.
+    """
+    held = files.select("parent_id", "level").distinct()
+    parts = F.split("parent_id", "/")
+    above = held.select(parts.alias("_parts"), F.explode(F.sequence(F.lit(0), F.col("level"))).alias("_up"))
+    own = above.select(F.slice("_parts", F.lit(1), F.size("_parts") - F.col("_up")).alias("_parts"))
+    return own.select(F.array_join("_parts", "/").alias("folder_id"), F.element_at("_parts", -1).alias("folder_name")).distinct()
 
 
 def find_folders(folders: DataFrame, name: str, parent_id: str | None = None) -> DataFrame:

@@ -6,7 +6,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lanelux.operators.survey import file_headers, line_headers, number_lines, parse_files, parse_lines
 from lanelux.session import settle
@@ -15,15 +14,6 @@ ENCODING = "ISO-8859-1"
 # Files up to this size are parsed as one row; larger ones line by line.
 WHOLE_FILE_BYTES = 16 * 1024 * 1024
 
-BINARY_FILE = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-    ]
-)
-
 
 def whole_files(found: DataFrame, encoding: str = ENCODING) -> DataFrame:
     return found.select(F.col("path").alias("bestands_url"), F.decode("content", encoding).alias("content"))

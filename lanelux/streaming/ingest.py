@@ -1,34 +1,87 @@
-"""Incremental load of survey files with Structured Streaming."""
+"""Incremental load of survey files with Structured Streaming.
+
+The stream is one of listings: each run lists the folder tree, adds the files it has not listed before to a
+stored listing, and the stream reads that. So files without a byte are seen as well. Which file has a name
+first is kept in the stream's state, by name and year.
+"""
 
 from __future__ import annotations
 
 import datetime
+import fnmatch
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lanelux.operators.ledger import check_names
 from lanelux.operators.survey import accepted, import_rows, rejected
 from lanelux.session import settle
-from lanelux.sources.survey_files import BINARY_FILE, WHOLE_FILE_BYTES, parse_found
+from lanelux.sources.catalog import list_tree, tree_files
+from lanelux.sources.survey_files import WHOLE_FILE_BYTES, scan_files
+
+# Fixed value: the outcome of a file whose name another file had first.
+NAME_TAKEN = "name taken"
+
+_LISTED = "path string, name string, report_year int, candidate boolean"
+_DECIDED = "path string, taken boolean"
 
 
-def survey_stream(
+def file_name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def add_listing(
     spark: SparkSession,
     root: str,
+    listing: str,
+    report_year: int,
     pattern: str = "*.xls",
     files_per_batch: int = 1000,
-) -> DataFrame:
-    """Survey files as they appear below ``root``."""
-    return (
-        spark.readStream.format("binaryFile")
-        .schema(BINARY_FILE)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(root)
+    name: Callable[[Column], Column] = file_name,
+) -> int:
+    """Add the files below ``root`` that ``listing`` lacks to it; returns how many.
+
+    Of new files with one name, the first path is the candidate for it. A stored file holds at most
+    ``files_per_batch`` rows, which the stream takes as one batch.
+    """
+    named = F.col("name").rlike(r"\A" + fnmatch.translate(pattern))
+    files = tree_files(list_tree(spark, root)).where(named).select("path", name(F.col("path")).alias("name"))
+    try:
+        known = spark.read.schema(_LISTED).parquet(listing).select("path")
+        files = files.join(known, "path", "left_anti")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    new = settle(files, "new-files")
+    first = new.groupBy("name").agg(F.min("path").alias("_first"))
+    rows = new.join(first, "name").select(
+        "path", "name", F.lit(report_year).alias("report_year"), (F.col("path") == F.col("_first")).alias("candidate")
     )
+    n = new.count()
+    if n:
+        parts = rows.repartitionByRange(-(-n // files_per_batch), "path").sortWithinPartitions("path")
+        parts.write.mode("append").option("maxRecordsPerFile", files_per_batch).parquet(listing)
+    return n
+
+
+def _decide(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The first candidate of a name and year takes it, for good; the path that has it keeps it."""
+    rows = pd.concat(parts).sort_values("path")
+    if not state.exists and rows["candidate"].any():
+        state.update((rows.loc[rows["candidate"], "path"].iloc[0],))
+    holder = state.get[0] if state.exists else None
+    yield pd.DataFrame({"path": rows["path"], "taken": rows["path"] == holder})
+
+
+def first_of_name(files: DataFrame) -> DataFrame:
+    """``files`` (path, name, report_year, candidate; a stream) with ``taken``: whether the file is the first of its name and year."""
+    grouped = files.groupBy("name", "report_year")
+    return grouped.applyInPandasWithState(_decide, _DECIDED, "holder string", "append", GroupStateTimeout.NoTimeout)
 
 
 def start_ingest(
@@ -41,18 +94,26 @@ def start_ingest(
     files_per_batch: int = 1000,
     whole_file_bytes: int = WHOLE_FILE_BYTES,
     conform_only: bool = False,
+    report_year: int | None = None,
+    name: Callable[[Column], Column] = file_name,
 ) -> StreamingQuery:
     """Load the files that came since the last run, then stop.
 
     Three tables are written: ``table`` has the sound lines, ``<table>_rejected``
     the others with their faults, ``<table>_files`` one row per file with its
-    outcome and whether file and folder name agree with the series name. With
+    outcome and whether file and folder name agree with the series name;
+    ``<table>_listing`` holds the paths seen. A file
+    whose ``name`` (of its path) another file of the same ``report_year`` (of ``read_at``, if not given) had
+    before is not read; its outcome is ``NAME_TAKEN``. A file without a byte has an outcome and
+    a name like any other. With
     ``conform_only``, lines of files whose names do not agree are left out, as
-    the yearly run does. A file without a byte is not seen by the stream. The
-    checkpoint remembers the files. A batch owns the
+    the yearly run does. The
+    checkpoint remembers the listing read and the names. A batch owns the
     partition with its number in each table, so a batch that is repeated after
     a failure replaces itself.
     """
+    listing = f"{table}_listing"
+    add_listing(spark, root, listing, report_year or read_at.year, pattern, files_per_batch, name)
 
     def load(batch: DataFrame, number: int) -> None:
         def store(df: DataFrame, path: str) -> None:
@@ -64,7 +125,18 @@ def start_ingest(
                 .parquet(path)
             )
 
-        headers, rows = parse_found(batch, pattern=pattern, whole_file_bytes=whole_file_bytes)
+        # Stored, so that the state is asked once.
+        decided = settle(batch, "stream-files")
+        some = decided.first()
+        if some is None:
+            return
+        paths = [r["path"] for r in decided.where("taken").collect()]
+        # Where every file is refused, one of them gives the schema.
+        headers, rows = scan_files(spark, paths or [some["path"]], pattern=pattern, whole_file_bytes=whole_file_bytes)
+        if not paths:
+            headers, rows = headers.limit(0), rows.limit(0)
+        refused = decided.where("not taken").select(F.col("path").alias("bestands_url"), F.lit(NAME_TAKEN).alias("outcome"))
+        headers = headers.unionByName(refused, allowMissingColumns=True)
         parts = F.split("bestands_url", "/")
         files = headers.withColumns(
             {
@@ -81,8 +153,9 @@ def start_ingest(
         store(rejected(imported), f"{table}_rejected")
         store(accepted(imported), table)
 
+    stream = spark.readStream.schema(_LISTED).option("maxFilesPerTrigger", 1).parquet(listing)
     return (
-        survey_stream(spark, root, pattern, files_per_batch)
+        first_of_name(stream)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

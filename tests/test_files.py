@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lanelux.operators import sinks, survey
 from lanelux.sources import catalog
 from lanelux.sources.survey_files import file_lines, normalized_lines, scan_survey
-from lanelux.streaming.ingest import start_ingest
+from lanelux.streaming.ingest import NAME_TAKEN, start_ingest
 
 from .test_survey import HEAD, READ_AT, body, keyed, write
 
@@ -62,7 +62,8 @@ def test_stream_keeps_rejected_lines_and_files(spark, folder, tmp_path, size, co
         spark, str(folder), table, state, READ_AT, files_per_batch=3, whole_file_bytes=size, conform_only=conform_only
     ).awaitTermination()
     files = {_name(r["bestands_url"]): r for r in spark.read.parquet(f"{table}_files").collect()}
-    assert len(files) == len(FILES) + 2  # the empty file is not seen
+    assert len(files) == len(FILES) + 3
+    assert files["nothing"]["outcome"] == survey.NO_HEADER_END
     assert [n for n, r in files.items() if r["name_conform"]] == ["N0010001 M1"]
     good, bad = spark.read.parquet(table), spark.read.parquet(f"{table}_rejected")
     if conform_only:
@@ -114,3 +115,86 @@ def test_repeated_and_too_many_column_names(spark):
 def test_file_without_series_name_is_not_taken(spark):
     row = spark.createDataFrame([("x/N1/N1 M1.xls", None), ("x/N1/N1 M1.xls", "N1 M1")], "bestands_url string, meting_serie_naam string")
     assert [r["meting_serie_naam"] for r in survey.taken_2024(row).collect()] == ["N1 M1"]
+
+
+def _outcomes(spark, table):
+    return {r["bestands_url"].split("/in/")[1]: r["outcome"] for r in spark.read.parquet(f"{table}_files").collect()}
+
+
+def test_first_name_wins_in_every_later_run(spark, tmp_path):
+    """A name belongs to the first file that had it, also one without a byte; a restart keeps that."""
+    source, table, state = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "s")
+
+    def run(year):
+        start_ingest(spark, str(source), table, state, READ_AT, files_per_batch=2, report_year=year).awaitTermination()
+        return _outcomes(spark, table)
+
+    write(source / "B" / "N1 M1.xls", keyed(body()))
+    write(source / "C" / "N1 M1.xls", keyed(body(), body()))
+    (source / "C" / "N2 M1.xls").write_bytes(b"")
+    first = run(2024)
+    assert first == {"B/N1 M1.xls": "ok", "C/N1 M1.xls": NAME_TAKEN, "C/N2 M1.xls": survey.NO_HEADER_END}
+    write(source / "A" / "N1 M1.xls", keyed(body()))
+    write(source / "A" / "N2 M1.xls", keyed(body()))
+    write(source / "A" / "N3 M1.xls", keyed(body()))
+    assert run(2024) == {**first, "A/N1 M1.xls": NAME_TAKEN, "A/N2 M1.xls": NAME_TAKEN, "A/N3 M1.xls": "ok"}
+    write(source / "D" / "N1 M1.xls", keyed(body()))
+    assert run(2025)["D/N1 M1.xls"] == "ok"  # a year of its own
+    assert spark.read.parquet(table).count() == 3
+    assert spark.read.parquet(f"{table}_files").count() == 7
+
+
+def test_failed_batch_is_repeated_with_the_same_names(spark, tmp_path, monkeypatch):
+    from lanelux.streaming import ingest
+
+    source, table, state = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "s")
+    write(source / "B" / "N1 M1.xls", keyed(body()))
+    write(source / "C" / "N1 M1.xls", keyed(body()))
+
+    def lost(*args, **options):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "import_rows", lost)
+        with pytest.raises(Exception, match="lost"):
+            start_ingest(spark, str(source), table, state, READ_AT).awaitTermination()
+    write(source / "A" / "N1 M1.xls", keyed(body()))
+    start_ingest(spark, str(source), table, state, READ_AT).awaitTermination()
+    assert _outcomes(spark, table) == {"B/N1 M1.xls": "ok", "C/N1 M1.xls": NAME_TAKEN, "A/N1 M1.xls": NAME_TAKEN}
+    assert spark.read.parquet(table).count() == 1
+
+
+def test_tree_has_empty_and_intermediate_folders(spark, tmp_path):
+    write(tmp_path / "r" / "2024" / "a b+%é" / "x.xls", ["x"])
+    (tmp_path / "r" / "2023" / "leeg" / "dieper").mkdir(parents=True)
+    (tmp_path / "r" / "top.xls").write_bytes(b"")
+    (tmp_path / "r" / "_hidden").mkdir()
+    root = str(tmp_path / "r")
+    tree = catalog.list_tree(spark, root)
+    names = {(r["folder_name"], r["folder_id"].split("/r/")[1]) for r in catalog.tree_folders(tree).collect()}
+    assert names == {("2024", "2024"), ("2023", "2023"), ("leeg", "2023/leeg"), ("dieper", "2023/leeg/dieper"), ("a b+%é", "2024/a b+%é")}
+    files = {r["name"]: (r["level"], r["length"], r["parent_name"]) for r in catalog.tree_files(tree, ["xls"]).collect()}
+    assert files == {"x.xls": (2, 3, "a b+%é"), "top.xls": (0, 0, "r")}
+    assert {r["level"] for r in catalog.list_tree(spark, root, depth=1).collect()} == {0, 1}
+    found = catalog.find_folders(catalog.tree_folders(tree), "2023").first()[0]
+    assert catalog.find_folders(catalog.tree_folders(tree), "leeg", parent_id=found).count() == 1
+    assert catalog.list_tree(spark, str(tmp_path / "none")).count() == 0
+    # The closure of the files' folders, in the same form.
+    held = {r["folder_id"] for r in catalog.list_folders(catalog.list_files(spark, root)).collect()}
+    tree_ids = {r["folder_id"] for r in catalog.tree_folders(tree).collect()}
+    assert {i for i in held if not i.endswith("/r")} == {i for i in tree_ids if "2024" in i}
+
+
+def test_tree_lists_by_many_tasks(spark, tmp_path, monkeypatch):
+    for n in range(40):
+        (tmp_path / f"{n}" / "x").mkdir(parents=True)
+    monkeypatch.setattr(catalog, "FOLDERS_PER_TASK", 4)
+    assert catalog.list_tree(spark, str(tmp_path)).count() == 80
+
+
+@pytest.mark.parametrize(
+    ("folder", "path"),
+    [("file:/a/b c", "/a/b c"), ("/a/b", "/a/b"), ("file:///a/%41", "/a/%41"), ("file:/", "/")],
+)
+def test_system_of_a_folder(folder, path):
+    assert catalog._system(folder)[1] == path

@@ -106,3 +106,16 @@ def test_band_join_equals_brute_force(spark, fact, kind, broadcast_bands):
 def test_band_join_of_nothing(spark, fact):
     bands = spark.createDataFrame(BANDS["plain"], "klasse string, lo int, hi int")
     assert band_join(fact.where("v < 0"), bands, "v", "lo", "hi", broadcast_bands=0).count() == 0
+
+
+def test_places_in_an_order(spark):
+    """Places equal those of a sort, with ties, nulls and more ranges than rows; no window takes all rows."""
+    from lanelux.operators.order import numbered
+
+    rows = spark.range(500).selectExpr("if(id % 9 = 0, null, (id * 7919) % 50) AS a", "cast(id % 3 AS string) AS b", "id")
+    got = numbered(rows, ["a", F.desc("b"), "id"])
+    want = sorted(rows.collect(), key=lambda r: (r["a"] is not None, r["a"] or 0, -int(r["b"]), r["id"]))
+    assert [tuple(r)[:3] for r in sorted(got.collect(), key=lambda r: r["place"])] == [tuple(r) for r in want]
+    assert sorted(r["place"] for r in numbered(rows, ["b"]).collect()) == list(range(1, 501))
+    assert numbered(rows.limit(0), ["a"]).count() == 0
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()

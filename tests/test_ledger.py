@@ -161,6 +161,20 @@ def test_newer_rows(spark, rows):
     assert ledger.newer_rows(source, source).count() == 0
 
 
+def test_rows_with_the_stamp_of_the_watermark(spark, rows):
+    """Two runs with one stamp lose no row, and none is taken twice."""
+    source = stamped(spark, 1, 2, 2, 2, 3, None).withColumn("key", F.monotonically_increasing_id())
+    stored = source.where("id = 1").union(source.where("id = 2").limit(1))
+    newer = ledger.newer_rows(source, stored, key=["key"])
+    assert sorted(r["id"] for r in newer.collect()) == [2, 2, 3]
+    assert newer.join(stored, "key").count() == 0
+    twice = stored.union(newer)
+    assert ledger.newer_rows(source.where("id is not null"), twice, key=["key"]).count() == 0
+    assert ledger.newer_rows(source, source.limit(0), key=["key"]).count() == 6
+    plan = newer._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+
+
 def test_watermark_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     stamped(spark, 1, 2, 3).write.parquet(path)
@@ -177,10 +191,91 @@ def test_refresh_replaces_one_year(spark, tmp_path, rows):
     sinks.refresh(spark.range(3), path, 2023)
     sinks.refresh(spark.range(5), path, 2024)
     sinks.refresh(spark.range(1), path, 2024)
-    got = spark.read.parquet(path).groupBy("report_year").count()
+    got = sinks.read_table(spark, path).groupBy("report_year").count()
     assert rows(got) == [(2023, 3), (2024, 1)]
     sinks.refresh(spark.range(0), path, 2024)
-    assert rows(spark.read.parquet(path).groupBy("report_year").count()) == [(2023, 3)]
+    assert rows(sinks.read_table(spark, path).groupBy("report_year").count()) == [(2023, 3)]
+    assert sinks.read_year(spark, path, 2024).columns == ["id"] and sinks.read_year(spark, path, 2022) is None
+
+
+def test_a_year_is_read_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for year in (2023, 2024):
+        sinks.append_year(spark.range(3), path, year)
+        sinks.append_year(spark.range(4), path, year)
+    scan = sinks.read_table(spark, path).where("report_year = 2024")
+    assert scan.count() == 7
+    assert "PartitionFilters: [isnotnull(report_year" in scan._jdf.queryExecution().executedPlan().toString()
+
+
+class Killed(Exception):
+    pass
+
+
+#: What a refresh calls, in order; each is where it may be killed.
+STEPS = ["write", "_point", "_clear", "remove"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("after", [False, True])
+def test_readers_see_old_or_new_rows_at_every_step(spark, tmp_path, monkeypatch, step, after):
+    path = str(tmp_path / "t")
+    sinks.refresh(spark.range(2), path, 2024)
+    sinks.append_year(spark.range(1), path, 2024)
+    began = sinks.read_year(spark, path, 2024)  # a reader that goes on reading
+    seen = []
+
+    def look():
+        n = sinks.read_year(spark, path, 2024).count()
+        seen.append(n)
+        assert n == sinks.read_table(spark, path).count() and n in (3, 5)
+
+    def watched(name, call, kills):
+        def run(*args, **options):
+            look()
+            if kills and not after:
+                raise Killed
+            call(*args, **options)
+            look()
+            if kills:
+                raise Killed
+
+        return run
+
+    from pyspark.sql import DataFrameWriter
+
+    with monkeypatch.context() as m:
+        for name in ("_point", "_clear", "remove"):
+            m.setattr(sinks, name, watched(name, getattr(sinks, name), name == step))
+        m.setattr(DataFrameWriter, "parquet", watched("write", DataFrameWriter.parquet, step == "write"))
+        rows = sinks.read_year(spark, path, 2024).select("id").union(spark.range(2))  # reads what it replaces
+        try:
+            sinks.refresh(rows, path, 2024)
+        except Killed:
+            pass
+    assert seen == sorted(seen)  # never back to the old rows
+    done = STEPS.index(step) > 1 or (step == "_point" and after)
+    look()
+    assert seen[-1] == (5 if done else 3)
+    assert began.count() == 3
+    sinks.refresh(spark.range(7), path, 2024)
+    assert sinks.read_year(spark, path, 2024).count() == 7
+    sinks.refresh(spark.range(8), path, 2024)
+    assert len(list((tmp_path / "t" / "versions" / "report_year=2024").iterdir())) == 2  # nothing is left of the killed one
+
+
+def test_killed_append_adds_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.append_year(spark.range(2), path, 2024)
+
+    def killed(*args):
+        raise Killed
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_point", killed)
+        with pytest.raises(Killed):
+            sinks.append_year(spark.range(5), path, 2024)
+    assert sinks.read_year(spark, path, 2024).count() == 2
 
 
 def test_create_append_empty(spark, tmp_path):

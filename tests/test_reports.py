@@ -169,8 +169,10 @@ def test_run_year(spark, tmp_path, monkeypatch):
     assert read_paths == [["N0010001 M1.xls", "N0010002 M1.xls", "N0010003 M1.xls", "N0010004 M1.xls"]]
     lines = again["measurement_line"].count()
     write(source / "N0010005" / "N0010005 {M1}.xls", keyed(body(), body(f12="4,2", f13="50,6"), head=series("N0010005 {M1}")))
-    # A refresh broken off between its renames has set the points aside.
-    (tmp_path / "uit" / "measurement_point" / "report_year=2024").rename(tmp_path / "uit" / "measurement_point" / "_old_2024")
+    # A refresh broken off before its last step has left a folder that nothing names.
+    left = tmp_path / "uit" / "measurement_point" / "versions" / "report_year=2024" / "version=left"
+    left.mkdir()
+    (left / "part-0.parquet").write_bytes(b"half")
     third = run_year(
         spark, str(source), str(tmp_path / "segmenten.tsv"), given.classes(spark), given.classes_p(spark),
         str(tmp_path / "uit"), 2024, datetime.datetime(2024, 7, 1),
@@ -180,4 +182,4 @@ def test_run_year(spark, tmp_path, monkeypatch):
     assert third["measurement_line"].count() == lines + 1
     exported = spark.read.option("sep", ";").option("header", True).csv(str(tmp_path / "uit" / "export" / "2024" / "procent_per_prov_vl_H"))
     assert [r["klasse"] for r in exported.collect()] == ["C"]
-    assert not [p for p in (tmp_path / "uit").rglob("_new_*")] and not [p for p in (tmp_path / "uit").rglob("_old_*")]
+    assert not left.exists()
