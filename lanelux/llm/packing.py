@@ -133,7 +133,7 @@ def _pack(batches: Iterator[pa.RecordBatch], length, end_id, vocabulary, path, g
         rest.clear()
 
     for batch in steps(batches, "text", TOKEN_STEP):
-        columns = batch["doc_id"].to_pylist(), batch["_group"].to_pylist(), encode(batch["text"].to_pylist())
+        columns = batch["doc_id"].to_pylist(), batch["_group"].to_pylist(), encode(batch["text"])
         for doc_id, own_group, ids in zip(*columns, strict=True):
             if own_group != group:
                 settled()

@@ -44,7 +44,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, end_id: int, vocabula
         )
 
     for batch in steps(batches, "text", TOKEN_STEP):
-        for doc_id, ids in zip(batch["doc_id"].to_pylist(), encode(batch["text"].to_pylist()), strict=True):
+        for doc_id, ids in zip(batch["doc_id"].to_pylist(), encode(batch["text"]), strict=True):
             if writer is None:
                 name = f"{part:06d}-{n:04d}-{uuid.uuid4().hex}.zst"
                 writer = frames.Writer(system.open_output_stream(f"{root}/{name}", compression=None))
