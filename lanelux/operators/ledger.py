@@ -52,31 +52,50 @@ def new_files(listing: DataFrame, log: DataFrame, read_at: datetime.datetime) ->
     )
 
 
+def _windows(text_: Column, size: Column) -> Column:
+    """Hashes of all different pieces of ``size`` characters in a text that is no shorter."""
+    places = F.sequence(F.lit(1), F.length(text_) - size + 1)
+    return F.array_distinct(F.transform(places, lambda i: F.xxhash64(size, F.substring(text_, i, size))))
+
+
+def path_candidates(listed: DataFrame, texts: DataFrame, path: str = "path") -> DataFrame:
+    """Pairs of a listed path and a text (_id, _text) that may hold it: all that do are among them.
+
+    A path's windows are its pieces of as many characters as the largest power of two that fits its length.
+    Each path is looked up by the one of its windows that the fewest texts hold, so paths that share
+    a long beginning or end meet the few texts that hold what tells them apart; a path with a window that no
+    text holds meets none. ``listed`` holds no empty path.
+    """
+    size = F.expr(f"shiftleft(1, length(bin(length(`{path}`))) - 1)")
+    sized = listed.select(path, size.alias("_size"))
+    own = sized.select(path, "_size", F.explode(_windows(F.col(path), F.col("_size"))).alias("_key"))
+    own = settle(own, "listed-windows")
+    sizes = own.select("_size").distinct().agg(F.collect_set("_size")).scalar()
+    fitting = F.filter(F.col("_sizes"), lambda n: n <= F.length("_text"))
+    keys = F.flatten(F.transform(fitting, lambda n: _windows(F.col("_text"), n)))
+    at = texts.withColumn("_sizes", sizes).select("_id", F.explode(F.array_distinct(keys)).alias("_key"))
+    held = skew_safe_join(at, own.select("_key").distinct(), ["_key"], how="left_semi", spread_by=["_id"])
+    held = settle(held, "path-windows")
+    often = held.groupBy("_key").agg(F.count("*").alias("_often"))
+    counted = skew_safe_join(own, often, ["_key"], how="left", spread_by=[path])
+    rarest = counted.groupBy(path).agg(F.min(F.struct(F.coalesce("_often", F.lit(0)).alias("n"), "_key")).alias("_rarest"))
+    chosen = rarest.where("_rarest.n > 0").select(path, F.col("_rarest._key").alias("_key"))
+    return held.join(chosen, "_key").select(path, "_id")
+
+
 def new_paths(listing: DataFrame, log: DataFrame, path: str = "path", logged: str = "bestands_url") -> DataFrame:
     """Listed paths that occur nowhere inside a logged path.
 
-    The key of a listed path is the hash of its last characters, as many as the
-    largest power of two that fits its length. A logged path has one key per
-    place and per such size; equal keys lead to the few logged texts that are
-    then searched. So work grows with the lengths of the paths, not with pairs.
+    Only texts that :func:`path_candidates` finds are searched, so work grows with the lengths of the paths,
+    not with pairs. An empty path occurs in every logged path.
     """
-    size = F.expr(f"CASE WHEN length(`{path}`) > 0 THEN shiftleft(1, length(bin(length(`{path}`))) - 1) ELSE 0 END")
-    listed = listing.select(path, size.alias("_size")).where(F.col(path).isNotNull()).distinct()
-    listed = listed.withColumn("_key", F.xxhash64("_size", F.right(path, F.col("_size"))))
-    sizes = listed.select("_size").distinct().agg(F.collect_set("_size")).scalar()
+    listed = listing.select(path).where(F.col(path).isNotNull()).distinct()
     texts = log.select(F.col(logged).alias("_text")).where(F.col("_text").isNotNull()).distinct()
-
-    def keys(n: Column) -> Column:
-        last = F.when(n > 0, F.length("_text") - n + 1).otherwise(F.lit(1))
-        return F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(n, F.substring(F.col("_text"), i, n)))
-
-    fitting = F.filter(F.col("_sizes"), lambda n: n <= F.length("_text"))
-    at_places = texts.withColumn("_sizes", sizes).select(
-        F.xxhash64("_text").alias("_id"), F.explode(F.array_distinct(F.flatten(F.transform(fitting, keys)))).alias("_key")
-    )
-    pairs = at_places.join(listed.select(path, "_key"), "_key").select(path, "_id")
-    known = texts.withColumn("_id", F.xxhash64("_text"))
-    seen = pairs.join(known, "_id").where(F.col("_text").contains(F.col(path))).select(path).distinct()
+    texts = settle(texts.select(F.xxhash64("_text").alias("_id"), "_text"), "logged-paths")
+    pairs = path_candidates(listed.where(F.col(path) != ""), texts, path)
+    seen = pairs.join(texts, "_id").where(F.col("_text").contains(F.col(path))).select(path).distinct()
+    some = texts.limit(1).agg(F.count("*")).scalar() > 0
+    seen = seen.unionByName(listed.where((F.col(path) == "") & some))
     return skew_safe_join(listing, settle(seen, "seen-paths"), [path], how="left_anti")
 
 

@@ -74,6 +74,25 @@ def test_new_paths_equals_brute_force(spark):
     assert sorted(r["path"] for r in got.collect()) == sorted(p for p in listing if not any(p in s for s in logged))
 
 
+def test_paths_with_one_tail_meet_few_texts(spark):
+    """10,000 paths that differ only in front, and a log with as many of the same tail: pairs grow with the paths."""
+    tail = "/Te_verwerken/2024/N0010001/N0010001 M1 met een lange naam.xls"
+    listing = spark.range(10_000).select(F.concat(F.lit("map"), F.lpad(F.col("id").cast("string"), 7, "0"), F.lit(tail)).alias("path"))
+    log = listing.where("path like '%1/Te%'").unionByName(
+        spark.range(10_000).select(F.concat(F.lit("arch"), F.col("id").cast("string"), F.lit(tail)).alias("path"))
+    )
+    texts = log.select(F.xxhash64("path").alias("_id"), F.col("path").alias("_text"))
+    assert ledger.path_candidates(listing, texts).count() <= 10_000
+    assert ledger.new_paths(listing, log, logged="path").count() == 9_000
+
+
+def test_an_empty_path_occurs_in_every_text(spark):
+    listing = spark.createDataFrame([("",), ("a",), (None,)], "path string")
+    log = spark.createDataFrame([("b",)], "bestands_url string")
+    assert sorted(r["path"] or "" for r in ledger.new_paths(listing, log).collect()) == ["", "a"]  # the null one stays
+    assert ledger.new_paths(listing, log.limit(0)).count() == 3
+
+
 def test_new_paths_without_log_or_listing(spark):
     some, none = spark.createDataFrame([("a",)], "path string"), spark.createDataFrame([], "path string")
     assert ledger.new_paths(some, none.select(F.col("path").alias("bestands_url"))).count() == 1
