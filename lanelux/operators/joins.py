@@ -21,6 +21,8 @@ BROADCAST_BANDS = 1_000
 ROWS_PER_TASK = 5_000_000
 # Shares of every key where the hot ones are too many to list.
 SHARES_OF_ALL = 16
+# Parts that a cell with many rows is cut in, with about as many rows each.
+PARTS_OF_CELL = 64
 
 
 def fits(df: DataFrame, rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -60,6 +62,7 @@ def skew_safe_join(
     spread_by: list[str] | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join on equal ``keys`` plus ``condition``; ``how`` keeps or filters ``fact`` rows.
 
@@ -68,7 +71,7 @@ def skew_safe_join(
     shares by a hash of these columns and the matching ``dim`` rows are
     repeated once per share, so no task receives a whole hot key. The result
     is the same on every path. Columns other than ``keys`` must differ between
-    the two sides.
+    the two sides. ``small`` says whether ``dim`` is within the bound, if that was checked before.
     """
     dim = dim.withColumnsRenamed({k: f"_dim_{k}" for k in keys})
     matches = [F.col(k) == F.col(f"_dim_{k}") for k in keys]
@@ -76,7 +79,7 @@ def skew_safe_join(
         matches.append(condition)
     drop = [f"_dim_{k}" for k in keys]
 
-    if fits(dim, broadcast_rows):
+    if fits(dim, broadcast_rows) if small is None else small:
         return fact.join(F.broadcast(dim), reduce(Column.__and__, matches), how).drop(*drop)
 
     spread = F.xxhash64(*(spread_by or fact.columns))
@@ -104,6 +107,27 @@ def skew_safe_join(
     return dealt.join(repeated, reduce(Column.__and__, matches), how).drop("_share", "_dim_share", *drop)
 
 
+def dense_cells(placed: DataFrame, keys: list[str], point: str, rows_per_cell: int) -> DataFrame:
+    """Cells (keys, _cell) of ``placed`` with more than ``rows_per_cell`` rows, and the bounds ``_cuts`` of their parts.
+
+    The bounds are quantiles of the points in the cell, from mergeable sketches, so parts hold about
+    equally many rows wherever in the cell these lie. Points that are equal share a part.
+    """
+    cell = [*keys, "_cell"]
+    counts = placed.groupBy(*cell).agg(F.count("*").alias("_rows"))
+    dense = settle(counts.where(F.col("_rows") > rows_per_cell).select(*cell), "dense-cells")
+    held = skew_safe_join(placed.select(*cell, point), dense, cell, how="left_semi", spread_by=[point])
+    shares = [k / PARTS_OF_CELL for k in range(1, PARTS_OF_CELL)]
+    cuts = F.percentile_approx(F.col(point).cast("double"), shares, 10_000)
+    return settle(held.groupBy(*cell).agg(F.array_distinct(cuts).alias("_cuts")), "cell-parts")
+
+
+def part_of(value: Column) -> Column:
+    """The part of a cell with bounds ``_cuts`` that a value lies in; 0 in a cell that is not cut."""
+    above = F.filter("_cuts", lambda cut: cut <= value.cast("double"))
+    return F.when(F.col("_cuts").isNotNull(), F.size(above)).otherwise(F.lit(0))
+
+
 def interval_join(
     fact: DataFrame,
     intervals: DataFrame,
@@ -124,7 +148,9 @@ def interval_join(
     the rows of one cell only, and a long road is split over many tasks. Cell
     numbers grow with the value, so no match is lost; ``domain`` only bounds
     the number of cells of an open-ended interval, what lies outside it shares
-    the first or last cell. The exact values are compared afterwards.
+    the first or last cell. The exact values are compared afterwards. Where the intervals are too many
+    to broadcast, a cell with more than ``rows_per_task`` rows is cut further, in parts of about
+    equally many rows, so a row meets few intervals also where most rows lie on a short piece of a road.
     """
 
     def cell_of(name: str) -> Column:
@@ -137,15 +163,25 @@ def interval_join(
         "_cell", F.explode(F.sequence(cell_of(low), cell_of(high)))
     )
     placed = fact.where(F.col(point).isNotNull()).withColumn("_cell", cell_of(point))
+    small = fits(spans, broadcast_rows)
+    cell_keys = [*keys, "_cell"]
+    if not small:
+        cuts = dense_cells(placed, keys, point, rows_per_task)
+        placed, spans = (skew_safe_join(side, cuts, cell_keys, how="left", spread_by=spread) for side, spread in ((placed, spread_by), (spans, None)))
+        placed = placed.withColumn("_part", part_of(F.col(point))).drop("_cuts")
+        parts = F.sequence(part_of(F.col(low)), part_of(F.col(high)))
+        spans = spans.withColumn("_part", F.explode(parts)).drop("_cuts")
+        cell_keys.append("_part")
     return skew_safe_join(
         placed,
         spans,
-        [*keys, "_cell"],
+        cell_keys,
         condition=F.col(point).between(F.col(low), F.col(high)),
         spread_by=spread_by,
         broadcast_rows=broadcast_rows,
         rows_per_task=rows_per_task,
-    ).drop("_cell")
+        small=small,
+    ).drop("_cell", "_part")
 
 
 def band_join(

@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from lanelux.operators import joins
 from lanelux.operators.joins import band_join, hot_keys, interval_join, skew_safe_join
 
 WAYS = [{}, {"broadcast_rows": 0, "rows_per_task": 1_000_000}, {"broadcast_rows": 0, "rows_per_task": 7}, {"rows_per_task": 150}]
@@ -87,6 +88,27 @@ def test_interval_join_equals_brute_force(spark, rows, way):
     assert len({w for w in want if w[0] == 1000}) == 1
 
 
+def test_cells_of_a_road_with_most_rows_on_one_kilometre(spark):
+    """90% of the rows lie on 1 of 100 km: parts of the dense cell hold few rows each, and the join is exact."""
+    rnd = random.Random(5)
+    near = [round(rnd.uniform(42, 43) if rnd.random() < 0.9 else rnd.uniform(0, 100), 4) for _ in range(6000)]
+    points = spark.createDataFrame([(i, "r1", Decimal(str(at))) for i, at in enumerate(near)], "id long, road string, at decimal(10,4)")
+    segments = [("r1", Decimal(k) / 20, Decimal(k + 1) / 20, k) for k in range(2000)] + [("r1", Decimal(0), Decimal(100), -1)]
+    s = spark.createDataFrame(segments, "road string, lo decimal(18,4), hi decimal(18,4), seg long")
+    placed = points.withColumn("_cell", F.floor(F.col("at").cast("double") / 10))
+    cuts = joins.dense_cells(placed, ["road"], "at", 1000)
+    assert cuts.count() == 1
+    parted = placed.join(cuts, ["road", "_cell"], "left").groupBy("_cell", joins.part_of(F.col("at")).alias("p")).count()
+    largest = parted.agg(F.max("count")).first()[0]
+    assert placed.groupBy("_cell").count().agg(F.max("count")).first()[0] > 5000 and largest < 250
+    got = interval_join(
+        points, s, ["road"], "at", "lo", "hi", cell=10.0, domain=(0.0, 100.0), spread_by=["id"], broadcast_rows=0, rows_per_task=1000
+    )
+    assert "_part" not in got.columns
+    want = sorted((i, k) for i, at in enumerate(near) for _, lo, hi, k in segments if lo <= Decimal(str(at)) <= hi)
+    assert sorted((r["id"], r["seg"]) for r in got.select("id", "seg").collect()) == want
+
+
 BANDS = {
     "plain": [("A", 0, 49), ("B", 50, 99), ("C", 100, 2_147_483_647)],
     "overlap": [("A", 0, 60), ("B", 50, 99), ("C", 90, 300)],
