@@ -682,6 +682,7 @@ ORACLE["point_wgs84"] = with_views(
     "measurement",
     body="SELECT oid, CAST(longitude_start AS DOUBLE) AS x, CAST(latitude_start AS DOUBLE) AS y FROM measurement",
 )
+ORACLE["projection_round_trip"] = with_views("measurement", body="SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_off FROM measurement")
 ORACLE["point_lambert72"] = with_views("point", body="SELECT oid, round(mx, 2) AS x, round(my, 2) AS y FROM point")
 ORACLE["point_coords_int"] = with_views("point", body="SELECT oid, x_coord, y_coord FROM point")
 ORACLE["line_geometry"] = with_views(

@@ -770,6 +770,15 @@ def _planar(spark, sf):
     return geo.with_lambert72(given.measurements(spark, sf), "longitude_start", "latitude_start", "x", "y")
 
 
+@query
+def projection_round_trip(spark, sf):
+    """The places of the measurements, back from the plane by other formulas: how many, how many off by a millimetre."""
+    there = _planar(spark, sf).withColumns({c: F.col(f"{c}_start").cast("double") for c in ("longitude", "latitude")})
+    back = geo.with_wgs84(there, "x", "y", "lon", "lat")
+    off = geo.ground_distance(F.col("lon"), F.col("lat"), F.col("longitude"), F.col("latitude"))
+    return back.agg(F.count("*").alias("n"), F.count_if(off >= 0.001).alias("n_off"))
+
+
 @query
 def point_lambert72(spark, sf):
     return _planar(spark, sf).select("oid", centimetres("x").alias("x"), centimetres("y").alias("y"))

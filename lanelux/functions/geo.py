@@ -120,6 +120,71 @@ def with_lambert72(df: DataFrame, lon: str, lat: str, x: str, y: str) -> DataFra
     return df.select(*given, F.inline(F.array(F.struct(F.col("_east").alias(x), F.col("_north").alias(y)))))
 
 
+#: Rounds of the iterated latitudes; each gains two digits or more.
+_ROUNDS = 6
+
+
+def with_geodetic(df: DataFrame, x: str, y: str, lat: str, lon: str) -> DataFrame:
+    """Geodetic BD72 radians ``lat``/``lon`` of planar metres: :func:`with_conic` backwards, the latitude iterated."""
+    c = cone()
+    df = _add(df, _dx=F.col(x) - FALSE_EASTING, _dy=F.lit(FALSE_NORTHING) - F.col(y))
+    df = _add(df, _t=F.pow(F.hypot("_dx", "_dy") / c.scale, F.lit(1 / c.n)))
+    df = _add(df, **{lon: F.atan2("_dx", "_dy") / c.n + math.radians(CENTRAL_MERIDIAN)}, _l0=math.pi / 2 - 2 * F.atan("_t"))
+    for k in range(_ROUNDS):
+        es = F.lit(c.e) * F.sin(f"_l{k}")
+        bent = F.col("_t") * F.pow((1 - es) / (1 + es), F.lit(c.e / 2))
+        df = _add(df, **{f"_l{k + 1}": math.pi / 2 - 2 * F.atan(bent)})
+    return df.withColumn(lat, F.col(f"_l{_ROUNDS}")).drop("_dx", "_dy", "_t", *[f"_l{k}" for k in range(_ROUNDS + 1)])
+
+
+def _with_cartesian(df: DataFrame, lat: str, lon: str, height: Column, a: float, inv_f: float, names: list[str]) -> DataFrame:
+    e2 = _e2(inv_f)
+    nu = F.lit(a) / F.sqrt(1 - F.lit(e2) * F.sin(lat) * F.sin(lat))
+    df = _add(df, _nu=nu, _h=height)
+    out = F.col("_nu") + F.col("_h")
+    xyz = [out * F.cos(lat) * F.cos(lon), out * F.cos(lat) * F.sin(lon), (F.col("_nu") * (1 - e2) + F.col("_h")) * F.sin(lat)]
+    return _add(df, **dict(zip(names, xyz, strict=True))).drop("_nu", "_h")
+
+
+def with_wgs84(df: DataFrame, x: str, y: str, lon: str, lat: str) -> DataFrame:
+    """Add degrees ``lon``/``lat`` on the WGS84 ellipsoid for planar metres: :func:`with_lambert72` backwards.
+
+    The datum shift is taken in the direction it is published for, BD72 to WGS84, and all latitudes are
+    iterated, so this shares no formula with the way there. The height over the older ellipsoid is found
+    with which the point lies on the newer one.
+    """
+    given = df.columns
+    e2 = _e2(WGS84_INV_F)
+    df = with_geodetic(df, x, y, "_blat", "_blon").withColumn("_h0", F.lit(0.0))
+    rx, ry, rz = (math.radians(s / 3600.0) for s in ROTATION_SEC)
+    m = 1.0 + SCALE_PPM * 1e-6
+    for k in range(3):
+        df = _with_cartesian(df, "_blat", "_blon", F.col(f"_h{k}"), INTL24_A, INTL24_INV_F, ["_u", "_v", "_w"])
+        df = _add(
+            df,
+            _x=SHIFT_M[0] + m * (F.col("_u") - rz * F.col("_v") + ry * F.col("_w")),
+            _y=SHIFT_M[1] + m * (rz * F.col("_u") + F.col("_v") - rx * F.col("_w")),
+            _z=SHIFT_M[2] + m * (-ry * F.col("_u") + rx * F.col("_v") + F.col("_w")),
+        )
+        df = _add(df, _p=F.hypot("_x", "_y"))
+        df = _add(df, _f0=F.atan2(F.col("_z"), F.col("_p") * (1 - e2)))
+        for n in range(_ROUNDS):
+            sine = F.sin(f"_f{n}")
+            nu = F.lit(WGS84_A) / F.sqrt(1 - F.lit(e2) * sine * sine)
+            df = _add(df, **{f"_f{n + 1}": F.atan2(F.col("_z") + F.lit(e2) * nu * sine, F.col("_p"))})
+        df = _add(df, _lat=F.col(f"_f{_ROUNDS}"))
+        nu = F.lit(WGS84_A) / F.sqrt(1 - F.lit(e2) * F.sin("_lat") * F.sin("_lat"))
+        df = _add(df, **{f"_h{k + 1}": F.col(f"_h{k}") - (F.col("_p") / F.cos("_lat") - nu)})
+    found = F.struct(F.degrees(F.atan2("_y", "_x")).alias(lon), F.degrees("_lat").alias(lat))
+    return df.select(*given, F.inline(F.array(found)))
+
+
+def ground_distance(lon: Column, lat: Column, other_lon: Column, other_lat: Column) -> Column:
+    """Metres between two places in degrees that are close together."""
+    metre = math.radians(1) * WGS84_A
+    return F.hypot((lon - other_lon) * F.cos(F.radians(lat)) * metre, (lat - other_lat) * metre)
+
+
 def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 

@@ -211,6 +211,27 @@ def test_lambert72_equals_an_independent_computation(spark):
         assert abs(row["x"] - x) < 0.005 and abs(row["y"] - y) < 0.005
 
 
+def test_round_trip_over_the_whole_country(spark):
+    """Back by other formulas, a millimetre at most is lost anywhere; a wrong sign of a rotation would be metres."""
+    grid = spark.range(60 * 60).selectExpr("2.4 + (id % 60) * 0.07 AS lon", "49.4 + (id div 60) * 0.04 AS lat")
+    there = geo.with_lambert72(grid, "lon", "lat", "x", "y")
+    back = geo.with_wgs84(there, "x", "y", "lon2", "lat2")
+    off = geo.ground_distance(F.col("lon2"), F.col("lat2"), F.col("lon"), F.col("lat"))
+    most, n = back.agg(F.max(off), F.count(off)).first()
+    assert n == 3600 and most < 0.001
+    plane = geo.with_lambert72(back.select("x", "y", F.col("lon2").alias("l"), F.col("lat2").alias("b")), "l", "b", "x2", "y2")
+    assert plane.agg(F.max(F.hypot(F.col("x2") - F.col("x"), F.col("y2") - F.col("y")))).first()[0] < 0.001
+
+
+def test_published_point_of_the_cone_backwards(spark):
+    """The example that comes with the definition of the projection, from the plane to the ellipsoid."""
+    shift = math.radians(geo.CENTRAL_MERIDIAN) - (_radians(4, 21, 24.983) + math.radians(29.2985 / 3600) / geo.cone().n)
+    df = spark.createDataFrame([(251763.20, 153034.13)], "x double, y double")
+    row = geo.with_geodetic(df, "x", "y", "lat", "lon").first()
+    assert row["lat"] == pytest.approx(_radians(50, 40, 46.461), abs=1e-8)  # 6 cm, as the way there
+    assert row["lon"] - shift == pytest.approx(_radians(5, 48, 26.533), abs=1e-8)
+
+
 def test_lambert72_keeps_null_and_plan_small(spark):
     df = geo.with_lambert72(spark.createDataFrame([(None, 50.0)], "lon double, lat double"), "lon", "lat", "x", "y")
     assert df.first()["x"] is None
