@@ -626,6 +626,13 @@ ORACLE["segment_enrich"] = with_views(
 FROM enriched""",
 )
 _WEGCAT = [c for c in WEGCAT_COLUMNS if c != "geoml72"]
+_LAST_ROADS = "(CAST(substr(ident8, 2, 6) AS INTEGER) % 10 < 4 OR CAST(substr(ident8, 2, 6) AS INTEGER) % 10 > 5)"
+ORACLE["reading_counts_by_file"] = with_views(
+    "wegcat",
+    body=f"""SELECT CAST(year(tijdstip_meting) AS INTEGER) AS jaar, markering, provincie, left(wegcategorie, 1) AS weg, rl, count(*) AS n
+FROM wegcat WHERE rl <> 0 AND {_LAST_ROADS} GROUP BY ALL
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, count(*) FROM wegcat WHERE rl <> 0 AND {_LAST_ROADS}""",
+)
 ORACLE["segment_interval_join"] = with_views("wegcat", body=f"SELECT {cols(_WEGCAT)} FROM wegcat")
 for _name, _table in (("class_band_join", "klasse"), ("class_band_join_p", "klasse_p")):
     ORACLE[_name] = with_views(

@@ -15,6 +15,7 @@ from lanelux.operators.joins import band_join
 from lanelux.operators.order import numbered
 from lanelux.plans import adapters as given
 from lanelux.plans import reports
+from lanelux.plans.located import update_located
 from lanelux.plans.pipeline import Store, append_new_lines
 from lanelux.schemas import LAMBERT72_SRID, PROVINCES
 from lanelux.session import file_system, scratch_path, settle
@@ -862,6 +863,21 @@ def _share_report(report, spark, sf):
     return reports.share_report(counts, given.classes(spark), given.classes_p(spark), report, ordered=True)
 
 
+@query
+def reading_counts_by_file(spark, sf):
+    """Counts of the roads loaded at last: some came first, some of these went, the others came later."""
+    rows = given.measurements(spark, sf)
+    store, s = Store(spark, scratch_path(spark, "located")), segments.enrich(given.segments(spark, sf))
+    rows = settle(rows.withColumn("bestands_url", F.col("ident8")), "by-file")
+    road = F.substring("ident8", 2, 6).cast("int") % 10
+    counts = None
+    for loaded in (road < 6, road < 4, road.between(0, 3) | (road > 5)):
+        located, counts = update_located(store, rows.where(loaded), s, given.SURVEY_YEAR)
+    total = located.where("rl <> 0").agg(F.count("*").alias("n"))
+    none = [F.lit(None).cast(t).alias(n) for n, t in counts.dtypes if n != "n"]
+    return counts.unionByName(total.select(*none, "n"))
+
+
 for _name in reports.CLASS_REPORTS:
     QUERIES[f"report_{_name.lower()}"] = partial(_class_report, _name)
 for _name, _report in reports.SHARE_REPORTS.items():

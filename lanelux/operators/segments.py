@@ -58,12 +58,14 @@ def on_segments(
     ordered: bool = False,
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Measurements with the district, province and category of their segment.
 
     A point on a shared boundary belongs to both segments; a point outside all
     segments is left out. ``ordered`` sorts by road and position, with the row
-    id as last key so that equal positions can still be split over tasks.
+    id as last key so that equal positions can still be split over tasks. ``keep`` names further columns
+    of the points that stay.
     """
     # An open-ended segment is repeated for the cells that measurements lie in, and no others.
     found = points.agg(F.struct(F.min("kmp").alias("low"), F.max("kmp").alias("high"))).scalar()
@@ -80,5 +82,7 @@ def on_segments(
         spread_by=["oid"],
         broadcast_rows=broadcast_rows,
         rows_per_task=rows_per_task,
-    ).select(*[c for c in WEGCAT_COLUMNS if c in points.columns or c in ("district", "provincie", "wegcategorie")])
+    )
+    named = [c for c in WEGCAT_COLUMNS if c in points.columns or c in ("district", "provincie", "wegcategorie")]
+    located = located.select(*named, *keep)
     return located.orderBy("ident8", "kmp", "oid") if ordered else located

@@ -35,8 +35,8 @@ def classify(
     return matched.withColumn("offset_1000", direction_offset(F.col("ident8"))).select(*CLASSIFIED_COLUMNS)
 
 
-def reading_counts(wegcat: DataFrame) -> DataFrame:
-    """Number of nonzero readings per year, marking, province, road letter and reading.
+def reading_counts(wegcat: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Number of nonzero readings per year, marking, province, road letter and reading, and per ``by``.
 
     All share reports start from this table. It is bounded by the values that
     occur, not by the number of measurements, and partial counts are merged
@@ -45,6 +45,7 @@ def reading_counts(wegcat: DataFrame) -> DataFrame:
     return (
         wegcat.where(F.col("rl") != 0)
         .groupBy(
+            *by,
             F.year("tijdstip_meting").alias("jaar"),
             "markering",
             "provincie",
@@ -55,6 +56,12 @@ def reading_counts(wegcat: DataFrame) -> DataFrame:
     )
 
 
+def merged_counts(counts: DataFrame) -> DataFrame:
+    """Reading counts from parts of them, of which withdrawn ones are negative; what comes to nothing is left out."""
+    keys = ["jaar", "markering", "provincie", "weg", "rl"]
+    return counts.groupBy(*keys).agg(F.sum("n").alias("n")).where(F.col("n") != 0)
+
+
 def classify_counts(counts: DataFrame, classes: DataFrame, category: str | None = None) -> DataFrame:
     """:func:`classify` on counted readings; column ``n`` holds the number."""
     rows = counts.where(F.col("weg") == category) if category else counts

@@ -17,9 +17,9 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from lanelux.operators import ledger, sinks
 from lanelux.operators.joins import skew_safe_join
 from lanelux.operators.points import measurement_lines, measurement_points
-from lanelux.operators.segments import enrich, on_segments
-from lanelux.operators.shares import reading_counts
+from lanelux.operators.segments import enrich
 from lanelux.operators.survey import accepted, import_rows, rejected
+from lanelux.plans.located import update_located
 from lanelux.plans.reports import LOCATED, all_reports
 from lanelux.functions.times import stamp
 from lanelux.schemas import FILE_LOG, MEASUREMENT_RAW
@@ -128,7 +128,8 @@ def run_year(
 
     The file log, the imported lines, the file outcomes and the measurement lines
     grow: files that the log holds keep their state and are not read again, and
-    lines of points loaded since the last run are added. All other tables of the
+    lines of points loaded since the last run are added. Located points and their counts are brought up to date
+    file by file (:func:`update_located`). All other tables of the
     year are built anew from these, and the reports are exported to ``export``.
     ``quoted_breaks`` as in :func:`read_segments`.
     """
@@ -158,8 +159,8 @@ def _run_year(store, survey_root, segments_path, classes, classes_p, report_year
     points = store.write("measurement_point", measurement_points(raw, report_year), report_year)
     lines = append_new_lines(store, points, report_year)
     segments = store.write("segment", enrich(read_segments(spark, segments_path, quoted_breaks)), report_year)
-    wegcat = store.write(LOCATED, on_segments(points, segments), report_year)
-    counts = store.write("reading_counts", reading_counts(wegcat), report_year)
+    wegcat, counts = update_located(store, points, segments, report_year)
+    counts = store.write("reading_counts", counts, report_year)
     tables = {}
     for name, report in all_reports(wegcat, classes, classes_p, counts).items():
         tables[name] = wegcat if name == LOCATED else store.write(name, report, report_year)

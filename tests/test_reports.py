@@ -183,3 +183,52 @@ def test_run_year(spark, tmp_path, monkeypatch):
     exported = spark.read.option("sep", ";").option("header", True).csv(str(tmp_path / "uit" / "export" / "2024" / "procent_per_prov_vl_H"))
     assert [r["klasse"] for r in exported.collect()] == ["C"]
     assert not left.exists()
+
+
+def test_located_points_are_kept_up_to_date(spark, tmp_path, rows, monkeypatch):
+    """Files come, go and come again: counts equal those of all points, only new files are located, a broken-off run is mended."""
+    from lanelux.plans import located
+    from lanelux.plans.pipeline import Store
+
+    roads = [(f"N00{k}0001", k) for k in range(1, 6)]
+    read = [(100 * k + n, f"f{k % 4}", road, float(n % 12), "M1", n % 7, datetime.datetime(2024, 1, 1 + k)) for road, k in roads for n in range(40)]
+    points = spark.createDataFrame(read, "oid long, bestands_url string, ident8 string, kmp double, markering string, rl int, tijdstip_meting timestamp_ntz")
+    points = points.withColumn("kmp", F.col("kmp").cast("decimal(10,4)")).withColumn("meting_serie_naam", F.col("ident8"))
+    parts = [(road, float(a), float(a + 5), "1", "Antwerpen", "H1") for road, _ in roads for a in (0, 5)]
+    segments = spark.createDataFrame(parts, "ident8 string, beginpositie double, eindpositie double, district string, provincie string, wegcategorie string")
+    segments = segments.withColumns({c: F.col(c).cast("decimal(38,8)") for c in ("beginpositie", "eindpositie")})
+    store = Store(spark, str(tmp_path))
+    seen = []
+
+    def watched(p, *args, **options):
+        seen.append(sorted(r[0] for r in p.select("bestands_url").distinct().collect()))
+        return on_segments(p, *args, **options)
+
+    on_segments = located.on_segments
+    monkeypatch.setattr(located, "on_segments", watched)
+
+    def run(files, s=segments):
+        given_points = points.where(F.col("bestands_url").isin(files))
+        got, counts = located.update_located(store, given_points, s, 2024)
+        want = on_segments(given_points, s)
+        assert rows(got.select("oid", "kmp", "district")) == rows(want.select("oid", "kmp", "district"))
+        assert rows(counts) == rows(located.reading_counts(want).select(*counts.columns))
+
+    run(["f0", "f1"])
+    run(["f0", "f1"])
+    run(["f0", "f1", "f2"])
+    run(["f1", "f2", "f3"])
+    run(["f0", "f1"])
+    assert seen == [["f0", "f1"], ["f2"], ["f3"], ["f0"]]
+    with monkeypatch.context() as m:  # broken off between the located rows and their counts
+        append = Store.append
+        m.setattr(Store, "append", lambda self, table, *a: append(self, table, *a) if table != located.COUNTS else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(["f0", "f1", "f3"])
+    run(["f0", "f1", "f3"])
+    assert seen[-1] == ["f0", "f1", "f3"]
+    run(["f0", "f1", "f3"], segments.where("beginpositie = 0"))
+    assert seen[-1] == ["f0", "f1", "f3"]
+    run([])
+    run(["f2"])
+    assert seen[-1] == ["f2"]
