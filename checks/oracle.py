@@ -330,6 +330,19 @@ SELECT 'B' || lpad(CAST(oid // 1000 AS VARCHAR), 7, '0') || ' M1' AS file,
   CASE WHEN oid // 1000 % 8 = 5 THEN count(*) ELSE 0 END AS n_bad
 FROM measurement GROUP BY oid // 1000
 """
+_IN_FILES = _WHOLE_FILE | {
+    "meting_serie_naam": "'B' || lpad(CAST(oid // 1000 AS VARCHAR), 7, '0') || ' M1' AS meting_serie_naam",
+    "locatieomschrijving": "max(locatieomschrijving) OVER f AS locatieomschrijving",
+    "markering": "'M1' AS markering",
+}
+ORACLE["survey_read_all_columns"] = with_views(
+    "measurement",
+    body=f"""SELECT * FROM (
+  SELECT {", ".join(_IN_FILES.get(n, cols([n])) for n in MEASUREMENT_RAW.names if n not in ("oid", "inleesdatum", "bestands_url"))},
+    {len(HEADER_KEYS) + 2} + row_number() OVER (f ORDER BY oid) AS line_no
+  FROM measurement WINDOW f AS (PARTITION BY oid // 1000))
+CROSS JOIN (VALUES ('whole'), ('lines'), ('stream')) w(way)""",
+)
 ORACLE["stream_ingest_outcomes"] = with_views("measurement", body=_FILES)
 ORACLE["survey_file_outcomes"] = with_views(
     "measurement", body=f"SELECT * FROM ({_FILES}) CROSS JOIN (VALUES ('whole'), ('lines')) w(way)"
@@ -752,6 +765,10 @@ ORACLE["sink_report_export"] = "\nUNION ALL\n".join(
 )
 
 
+for _name in ("per_district_wegcat", *CLASS_REPORTS):
+    ORACLE[f"export_{_name.lower()}"] = ORACLE[f"report_{_name.lower()}"]
+
+
 # --- order and years --------------------------------------------------------
 
 ORACLE["order_ingested_files"] = with_views(

@@ -188,6 +188,23 @@ def survey_read_large_files(spark, sf):
     return _file_sums(good)
 
 
+@query
+def survey_read_all_columns(spark, sf):
+    """Every column of every line of survey files, read whole, line by line and by the stream."""
+    folder = _survey_folder(spark, sf)
+    table, checkpoint = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-checkpoint")
+    start_ingest(
+        spark, folder, table, checkpoint, READ_AT, pattern="*.txt", files_per_batch=40, name=_file_of
+    ).awaitTermination()
+    ways = {
+        "whole": survey.accepted(survey.import_rows(read_survey(spark, folder, pattern="*.txt"), READ_AT)),
+        "lines": survey.accepted(survey.import_rows(survey.parse_lines(file_lines(spark, folder, pattern="*.txt")), READ_AT)),
+        "stream": spark.read.parquet(table).drop("batch"),
+    }
+    rows = [df.drop("oid", "bestands_url", "inleesdatum").withColumn("way", F.lit(way)) for way, df in ways.items()]
+    return plain(survey.union_frames(rows))
+
+
 def _file_of(url):
     return F.regexp_extract(url, r"bestand=([^/]+)/", 1)
 
@@ -863,6 +880,32 @@ def _share_report(report, spark, sf):
     return reports.share_report(counts, given.classes(spark), given.classes_p(spark), report, ordered=True)
 
 
+def _export_read(name, spark, sf):
+    """One of the large reports, exported and read again with the report's types."""
+    located = reports.located(_measurement_points(spark, sf), segments.enrich(given.segments(spark, sf)))
+    tables = {reports.LOCATED: located, name: located}
+    if name != reports.LOCATED:
+        tables[name] = reports.class_report(located, given.classes(spark), given.classes_p(spark), name)
+    report = tables[name]
+    place = sinks.export_reports({name: report}, scratch_path(spark, "export"))[name]
+    texts = spark.read.option("sep", ";").option("header", True).csv(place)
+    assert texts.columns == report.columns
+    typed = [
+        F.from_json(F.col(f.name), f.dataType.simpleString()).alias(f.name)
+        if f.dataType.typeName() == "struct"
+        else F.col(f.name).cast(f.dataType).alias(f.name)
+        for f in report.schema
+    ]
+    read = texts.select(*typed)
+    if "geoml72" in read.columns:
+        read = read.withColumns({"geom_x": centimetres("geoml72.x"), "geom_y": centimetres("geoml72.y")}).drop("geoml72")
+    return plain(read)
+
+
+for _name in (reports.LOCATED, *reports.CLASS_REPORTS):
+    QUERIES[f"export_{_name.lower()}"] = partial(_export_read, _name)
+
+
 @query
 def reading_counts_by_file(spark, sf):
     """Counts of the roads loaded at last: some came first, some of these went, the others came later."""

@@ -169,6 +169,9 @@ def write_combined_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("sep", ";").option("header", True).csv(path)
 
 
+_EXACT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+
+
 def export_reports(reports: Mapping[str, DataFrame], path: str) -> dict[str, str]:
     """One folder of semicolon files per report; returns where each one went."""
     places = {}
@@ -180,5 +183,7 @@ def export_reports(reports: Mapping[str, DataFrame], path: str) -> dict[str, str
             ]
         )
         places[name] = f"{path}/{name}"
-        flat.write.mode("overwrite").option("sep", ";").option("header", True).csv(places[name])
+        # The writer's own format ends at milliseconds.
+        exact = {"timestampFormat": f"{_EXACT}XXX", "timestampNTZFormat": _EXACT}
+        flat.write.mode("overwrite").options(sep=";", header=True, **exact).csv(places[name])
     return places
