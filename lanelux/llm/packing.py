@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanelux.llm.common import steps, table
+from lanelux.llm.common import parallelism, steps, table
 from lanelux.llm.tokens import BYTE_BPE, TOKEN_STEP, Vocabulary, encoder
 
 LENGTH = 1024
 END_ID = 0
+#: Groups that a task packs on average, where there are more than the cluster has tasks.
+GROUPS_PER_TASK = 16
 
 _FIELDS = [
     ("doc_id", pa.int64()),
@@ -169,15 +171,17 @@ def pack(
 
     A document is its ids and ``end_id``; a null or empty text is the end id alone. Returns one row
     per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for,
-    the ids. Documents are dealt to groups of about ``group_docs`` by a hash of id and text, so one
-    id or source does not gather in a group; repeated rows share a group, which is packed in parts of
+    the ids. Documents are dealt to groups of about ``group_docs`` by a hash of id, text and place, so neither
+    one id or source nor repeated rows gather in a group; a group is packed in parts of at most
     twice that many documents, so memory stays bounded. Every row is packed, null ids too. An empty
     table gives no rows. Other columns are not read. Gaps under ``least_piece`` stay.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     groups = max(1, -(-rows.count() // group_docs))
-    dealt = rows.withColumn("_group", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(groups)))
-    ordered = dealt.repartition("_group").sortWithinPartitions("_group")
+    place = F.monotonically_increasing_id()
+    dealt = rows.withColumn("_group", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text", place), F.lit(groups)))
+    parts = max(parallelism(docs.sparkSession), -(-groups // GROUPS_PER_TASK))
+    ordered = dealt.repartition(parts, "_group").sortWithinPartitions("_group")
     schema = ", ".join(f"{n} long" for n, _ in _FIELDS) + (", ids binary" if with_ids else "")
     run = partial(
         _pack,
