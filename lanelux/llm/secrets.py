@@ -44,9 +44,17 @@ ACCESS = Rule("access", 1, r"AKIA[A-Z0-9]+", least=16)
 HEX = Rule("hex", 1, r"[0-9a-f]{32,}", least=32)
 BASE = (ASSIGN, ACCESS, HEX)
 #: Rules beyond the base.
-PEM = Rule("pem", 1, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
 JWT = Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}")
-RULES = (*BASE, PEM, JWT)
+#: A whole key: header fields and base64 to its last line, or without one the base64 lines that follow. The text of a
+#: key holds no sign that begins another, so each place is read once.
+WHOLE_KEY = Rule(
+    "pem",
+    3,
+    r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+    r"""(?:(?:[\x20\t]*\r?\n[A-Za-z][A-Za-z0-9-]{0,40}:[^\r\n]{0,100}){0,8}[A-Za-z0-9+/=\x20\t\r\n,>#*|"'\\]*?"""
+    r"-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----|(?:[\x20\t\r\n]++[A-Za-z0-9+/=]{20,}+)*+)",
+)
+RULES = (*BASE, WHOLE_KEY, JWT)
 
 _FIELD = r"[A-Za-z][A-Za-z0-9-]{0,40}+:(?:(?!-----)[^\r\n\\])*+"
 _TRAIL = r"""[\x20\t"',;+]*+"""
@@ -62,7 +70,7 @@ KEY = Rule(
     rf"|(?:(?:[\x20\t]*+{_BASE64}{{20,}}+)++(?:[\x20\t]++{_BASE64}++(?=\s|\z))?)?"
     rf"(?:{_BREAK}{_FIELD})*+(?:(?:{_BREAK})++{_BASE64}++(?={_TRAIL}(?:[\r\n\\]|\z)))*+)",
 )
-#: Rules of ``redact``. ``RULES`` report a key by its first line, as the SQL does.
+#: Rules of ``redact``, which also take keys in quoted and commented lines without a last one.
 REDACTED = (*BASE, KEY, JWT)
 
 LEDGER = {"blob": "binary", "kind": "string", "version": "int", "spans": "array<struct<start:bigint,end:bigint>>"}
@@ -228,7 +236,9 @@ WITH rules(ord, kind, pattern, grp, least) AS (VALUES
     (0, 'assign', '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 8),
     (1, 'access', 'AKIA[A-Z0-9]+', 0, 16),
     (2, 'hex', '[0-9a-f]+', 0, 32),
-    (3, 'pem', '-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----', 0, 1),
+    (3, 'pem', '-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----'
+      || '(?:(?:[\x20\t]*\r?\n[A-Za-z][A-Za-z0-9-]{0,40}:[^\r\n]{0,100}){0,8}[A-Za-z0-9+/=\x20\t\r\n,>#*|"''\\]*?'
+      || '-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----|(?:[\x20\t\r\n]+[A-Za-z0-9+/=]{20,})*)', 0, 1),
     (4, 'jwt', 'eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}', 0, 1)
 ), d AS (
     SELECT row_number() OVER () AS place, doc_id, coalesce(text, '') AS t FROM documents
