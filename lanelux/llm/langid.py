@@ -31,9 +31,12 @@ from lanelux.llm.common import steps, table
 
 #: Weights are hashed to this many rows; a bound of the model's size.
 WEIGHT_BITS = 17
-#: Training sample: at most this many texts per language, and words per language.
-SAMPLE_TEXTS, SAMPLE_WORDS = 250, 60_000
-MOST_LABELS, SAMPLE_CHARS = 64, 20_000
+#: Training sample: at most this many texts and words per language, and characters of a text.
+SAMPLE_TEXTS, SAMPLE_WORDS, SAMPLE_CHARS = 250, 60_000, 20_000
+#: Texts and characters of all languages together; many languages have fewer of each.
+ALL_TEXTS, ALL_CHARS = 16_000, 40_000_000
+#: Languages whose weights fit the driver and a task; more are an error.
+MOST_LABELS = 128
 #: Chains of a text are at most this long, so one long text is many chains.
 CHAIN_WORDS = 256
 #: Words whose scores a worker keeps.
@@ -305,19 +308,26 @@ def fit(docs: DataFrame, texts_per_label: int = SAMPLE_TEXTS, seed: int = 3, cal
     """A model of ``docs`` (doc_id, text, lang), also ``calibrated``; None if no row has a label and a text.
 
     The sample is bounded: of each label, the first ``texts_per_label`` texts in the order of a hash
-    of id and text; of labels, the ``MOST_LABELS`` with most rows. Texts over ``SAMPLE_CHARS``
-    characters are not sampled. Only the sample comes to the driver.
+    of id and text; of a text over ``SAMPLE_CHARS`` characters, a piece of that many, by the hash. Many labels
+    have fewer and shorter texts each, so that all together stay under ``ALL_TEXTS`` and ``ALL_CHARS``; no label with
+    a text goes. More than ``MOST_LABELS`` labels raise. Only the sample comes to the driver.
     """
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    labelled = rows.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    counts = {r["lang"]: r["n"] for r in labelled.orderBy(F.desc("n"), "lang").limit(MOST_LABELS).collect()}
+    rows = rows.where(F.col("lang").isNotNull() & (F.length("text") > 0))
+    labelled = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = {r["lang"]: r["n"] for r in labelled.limit(MOST_LABELS + 1).collect()}
     if not counts:
         return None
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels")
+    texts_per_label = min(texts_per_label, ALL_TEXTS // len(counts))
+    chars = min(SAMPLE_CHARS, ALL_CHARS // (texts_per_label * len(counts)))
     chance = F.xxhash64(F.lit(seed), "doc_id", "text").bitwiseAND(F.lit((1 << 40) - 1))
     # by far most rows are left out by their hash, before any sort; three times the sample stays
     most = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1 << 40, (3 * texts_per_label << 40) // n))))
-    some = rows.where(F.col("lang").isin(list(counts)) & F.length("text").between(1, SAMPLE_CHARS))
-    some = some.withColumn("chance", chance).where(F.col("chance") < most[F.col("lang")])
+    some = rows.withColumn("chance", chance).where(F.col("chance") < most[F.col("lang")])
+    pieces = F.ceil(F.length("text") / F.lit(chars))
+    some = some.withColumn("text", F.substring("text", (F.col("chance") % pieces * chars + 1).cast("int"), F.lit(chars)))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("chance", "text"))
     sample = some.select("lang", "text", "chance", place.alias("place")).where(F.col("place") <= texts_per_label)
     own = sorted((r["lang"], r["place"], r["text"]) for r in sample.select("lang", "place", "text").collect())

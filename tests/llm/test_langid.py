@@ -105,6 +105,29 @@ def test_words_of_any_length_are_read_whole(spark, made):
     assert tagger.shares(["İ" * 40 + "ing"]).sum() > 0
 
 
+def test_many_labels_and_long_texts(spark, made, monkeypatch):
+    """80 labels are all learnt, also one that only has long texts; more than fit are an error, none is dropped."""
+    rng = random.Random(6)
+    signs = ["".join(rng.sample("bcdfghklmnprstvz", 3)) + v for v in "aeiou" for _ in range(16)]
+    own = lambda k, n: " ".join(signs[k][:3] + rng.choice("aeiou") + signs[k] for _ in range(n))
+    rows = [(k, own(k % 79, 12), f"l{k % 79:02d}", "s") for k in range(79 * 6)]
+    rows += [(900 + k, "x" + own(79, 4000), "l79", "s") for k in range(3)]
+    rows += [(950 + k, None, "l00", "s") for k in range(500)] + [(2000 + k, "", "l01", "s") for k in range(500)]
+    monkeypatch.setattr(langid, "WEIGHT_BITS", 12)
+    monkeypatch.setattr(langid, "ALL_TEXTS", 80 * 5)
+    monkeypatch.setattr(langid, "train", lambda texts, labels: {"names": sorted(set(labels)), "texts": texts, "labels": labels})
+    model = langid.fit(made(rows))
+    assert model["names"] == sorted({r[2] for r in rows})
+    counts = {n: model["labels"].count(n) for n in model["names"]}
+    assert min(counts.values()) >= 3 and max(counts.values()) <= 5 and counts["l00"] == counts["l02"] == 5
+    assert max(map(len, model["texts"])) <= langid.SAMPLE_CHARS
+    monkeypatch.setattr(langid, "ALL_CHARS", 400 * 50)
+    assert max(map(len, langid.fit(made(rows))["texts"])) <= 50
+    monkeypatch.setattr(langid, "MOST_LABELS", 79)
+    with pytest.raises(ValueError, match="labels"):
+        langid.fit(made(rows))
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     docs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
