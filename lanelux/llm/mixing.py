@@ -227,11 +227,11 @@ def mix(docs: DataFrame, plan: DataFrame, seed: int = 11) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to 150% of their words."""
     docs = table(spark, sf_dir, "documents")
-    return mix(docs, plan_mix(docs)).select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", "_mix.taken")
+    return mix(docs, plan_mix(docs, refill=True)).select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", "_mix.taken")
 
 
 OP5_SQL = r"""
-WITH d AS (
+WITH RECURSIVE d AS (
     SELECT doc_id, CASE WHEN source IS NULL THEN 'b' ELSE 'a' || source END AS key,
            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
            (('0x' || substr(md5('11:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 13))::BIGINT
@@ -269,11 +269,26 @@ WITH d AS (
 ), f AS (
     SELECT key, rank - 1 AS cut, missing - (total - own) AS missing
     FROM c WHERE part > 0 AND total >= missing AND total - own < missing GROUP BY ALL
+), g AS (
+    SELECT c.key, c.rank, sum(size)::BIGINT AS total, row_number() OVER (PARTITION BY c.key ORDER BY c.rank) AS pos
+    FROM c JOIN f USING (key) WHERE c.rank > f.cut AND size > 0 GROUP BY c.key, c.rank
+), walk AS (
+    SELECT key, 0::BIGINT AS pos, missing, NULL::BIGINT AS rank FROM f
+    UNION ALL
+    SELECT g.key, g.pos, CASE WHEN g.total <= walk.missing THEN walk.missing - g.total ELSE walk.missing END,
+           CASE WHEN g.total <= walk.missing THEN g.rank END
+    FROM walk JOIN g ON g.key = walk.key AND g.pos = walk.pos + 1
+), e AS (
+    SELECT key, min(missing) AS missing FROM walk GROUP BY key
+), w AS (
+    SELECT DISTINCT key, rank, true AS filled FROM walk WHERE rank IS NOT NULL
 ), l AS (
-    SELECT key, first(rank ORDER BY abs(size - f.missing), rank) AS last
-    FROM c JOIN f USING (key) WHERE rank > cut AND abs(size - f.missing) < f.missing GROUP BY key
+    SELECT key, first(rank ORDER BY abs(size - e.missing), rank) AS last
+    FROM c JOIN f USING (key) JOIN e USING (key) LEFT JOIN w USING (key, rank)
+    WHERE rank > cut AND abs(size - e.missing) < e.missing AND filled IS NULL GROUP BY key
 )
 SELECT doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN coalesce(rank <= cut, false) OR coalesce(rank = last, false) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM c LEFT JOIN f USING (key) LEFT JOIN l USING (key)
+       (size * (whole + CASE WHEN coalesce(rank <= cut, false) OR coalesce(filled, false) OR coalesce(rank = last, false)
+        THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM c LEFT JOIN f USING (key) LEFT JOIN l USING (key) LEFT JOIN w USING (key, rank)
 """
