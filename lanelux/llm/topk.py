@@ -7,8 +7,8 @@ until the next bound falls below the query's k-th score.
 
 Vectors are ordered so that similar ones share blocks, which makes bounds tight; blocks are
 ranges of that order. Ranges of blocks are table rows. Queries are first scored in the range
-that holds themselves, which gives each a k-th score to start from; then batches of queries
-meet every range by an equality join on the range's lane.
+that holds themselves, which gives each a k-th score to start from. Batches of queries then meet
+a small table of block maxima, and only the queries that a range's bounds leave go to its vectors.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from lanelux.session import settle
 SCALE = 256
 #: Vectors in a block, bytes of vectors in a range of blocks, and bytes of queries in a batch.
 BLOCK, RANGE_BYTES, BATCH_BYTES = 128, 4 << 20, 1 << 20
+#: Bytes of block maxima in a row, and about how many batches of queries share one copy of a range.
+MAXIMA_BYTES, SHARED = 4 << 20, 8
 #: Scores up to here are whole numbers that doubles hold exactly.
 EXACT = float(1 << 53)
 LONGEST = (1 << 63) - 1
@@ -79,6 +81,22 @@ def _product(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return whole(queries).dot(whole(vectors).T)
 
 
+def _maxima(vectors: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """The largest and the smallest component of each block, per dimension."""
+    starts = np.arange(0, len(vectors), block)
+    if not vectors.shape[1]:
+        return np.zeros((len(starts), 0)), np.zeros((len(starts), 0))
+    return np.maximum.reduceat(vectors, starts, axis=0), np.minimum.reduceat(vectors, starts, axis=0)
+
+
+def _bounds(queries: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """What each query can score in each block at most."""
+    width = min(queries.shape[1], high.shape[1])
+    # the query's positive weights meet the block's largest components, its negative ones the smallest
+    signed = np.hstack([np.maximum(queries[:, :width], 0), np.minimum(queries[:, :width], 0)])
+    return _product(signed, np.hstack([high[:, :width], low[:, :width]]))
+
+
 def search(
     queries: np.ndarray, own: np.ndarray, least: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, block: int = BLOCK
 ) -> tuple[list[np.ndarray], list[list], int]:
@@ -87,12 +105,7 @@ def search(
     ``own`` are the queries' ids, which are no candidates; an id counts once, with its best score.
     """
     starts = np.arange(0, len(ids), block)
-    width = min(queries.shape[1], vectors.shape[1])
-    high = np.array([vectors[s : s + block, :width].max(axis=0) for s in starts])
-    low = np.array([vectors[s : s + block, :width].min(axis=0) for s in starts])
-    # the query's positive weights meet the block's largest components, its negative ones the smallest
-    positive, negative = np.maximum(queries[:, :width], 0), np.maximum(-queries[:, :width], 0)
-    bounds = _product(positive, high) + _product(negative, -low)
+    bounds = _bounds(queries, *_maxima(vectors, block))
     order = np.argsort(-bounds, axis=1, kind="stable")
     best_ids: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
     best: list[list] = [[] for _ in range(len(queries))]
@@ -144,17 +157,24 @@ def _first_ids(places: np.ndarray, names: np.ndarray, k: int) -> np.ndarray:
 
 
 _RANGES = (
-    "lane int, width int, rows int, item int, ids binary, vectors binary, "
+    "range long, width int, rows int, item int, ids binary, vectors binary, blocks int, m_item int, maxima binary, "
     "q_rows int, q_ids binary, q_vectors binary, q_item int, q_least array<double>"
 )
+_QUERIES = "q_width int, q_rows int, q_ids binary, q_vectors binary, q_item int, q_least array<double>"
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<double>": pa.list_(pa.float64())}
+
 
+def _row(schema: str, *values) -> pa.RecordBatch:
+    fields = [f.split() for f in schema.split(", ")]
+    arrays = [pa.array([v], _ARROW[kind]) for v, (_, kind) in zip(values, fields, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, [name for name, _ in fields])
 
-def _ranges(batches: Iterator[pa.RecordBatch], k: int, lanes: int, range_bytes: int):
-    """Ranges of blocks, each with its queries and the k-th score they have in it."""
+
+def _ranges(batches: Iterator[pa.RecordBatch], k: int, range_bytes: int, block: int):
+    """Ranges of blocks with their maxima, each with its queries and the k-th score they have in it."""
     from pyspark import TaskContext
 
-    part, made = TaskContext.get().partitionId(), 0
-    names = [f.split()[0] for f in _RANGES.split(", ")]
+    first, made = TaskContext.get().partitionId() << 32, 0
 
     def row(batch: pa.RecordBatch):
         nonlocal made
@@ -162,16 +182,17 @@ def _ranges(batches: Iterator[pa.RecordBatch], k: int, lanes: int, range_bytes:
         own = np.flatnonzero(asks)
         least = np.full(len(own), -np.inf)
         if len(own):
-            _, best, _ = search(matrix[own], ids[own], least, ids, matrix, k)
+            _, best, _ = search(matrix[own], ids[own], least, ids, matrix, k, block)
             least = np.array([_at_most(b[-1]) if len(b) == k else -np.inf for b in best])
         raw, item = _small(matrix)
+        high, low = _maxima(matrix, block)
+        maxima, m_item = _small(np.concatenate([high, low]))
         q_raw, q_item = _small(matrix[own])
-        lane = (part * 7919 + made) % lanes
         made += 1
-        values = [lane, matrix.shape[1], len(ids), item, ids.tobytes(), raw]
-        values += [len(own), ids[own].tobytes(), q_raw, q_item, least.tolist()]
-        types = [pa.int32()] * 4 + [pa.binary()] * 2 + [pa.int32()] + [pa.binary()] * 2 + [pa.int32(), pa.list_(pa.float64())]
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names)
+        return _row(
+            _RANGES, first + made - 1, matrix.shape[1], len(ids), item, ids.tobytes(), raw, len(high), m_item, maxima,
+            len(own), ids[own].tobytes(), q_raw, q_item, least.tolist(),
+        )
 
     waiting: list[pa.RecordBatch] = []
     size = 0
@@ -193,7 +214,6 @@ def _ranges(batches: Iterator[pa.RecordBatch], k: int, lanes: int, range_bytes:
 
 def _batched(batches: Iterator[pa.RecordBatch], batch_bytes: int):
     """Queries of several ranges together."""
-    names = ["width", "q_rows", "q_ids", "q_vectors", "q_item", "q_least"]
     waiting: list[dict] = []
 
     def row():
@@ -204,9 +224,7 @@ def _batched(batches: Iterator[pa.RecordBatch], batch_bytes: int):
             parts.append(np.pad(own, ((0, 0), (0, width - w["width"]))))
         raw, item = _small(np.concatenate(parts))
         own_ids, own_least = b"".join(w["q_ids"] for w in waiting), [x for w in waiting for x in w["q_least"]]
-        values = [width, sum(w["q_rows"] for w in waiting), own_ids, raw, item, own_least]
-        types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.list_(pa.float64())]
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names)
+        return _row(_QUERIES, width, sum(w["q_rows"] for w in waiting), own_ids, raw, item, own_least)
 
     size = 0
     for batch in batches:
@@ -220,22 +238,92 @@ def _batched(batches: Iterator[pa.RecordBatch], batch_bytes: int):
         yield row()
 
 
-def _searched(batches: Iterator[pa.RecordBatch], k: int):
+_MAXIMA = "range long, width int, blocks int, m_item int, maxima binary"
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], limit: int):
+    """Block maxima of many ranges as one row: a list of structs."""
+    names = [f.split()[0] for f in _MAXIMA.split(", ")]
+    waiting: list[dict] = []
+    size = 0
+
+    def row():
+        kinds = [_ARROW[f.split()[1]] for f in _MAXIMA.split(", ")]
+        kind = pa.list_(pa.struct(list(zip(names, kinds, strict=True))))
+        return pa.RecordBatch.from_arrays([pa.array([waiting], kind)], ["of"])
+
+    for batch in batches:
+        for w in batch.to_pylist():
+            waiting.append(w)
+            size += len(w["maxima"])
+            if size >= limit:
+                yield row()
+                waiting, size = [], 0
+    if waiting:
+        yield row()
+
+
+def _left(batches: Iterator[pa.RecordBatch]):
+    """For each batch of queries and each range of a row of maxima: the queries whose bound reaches their k-th score."""
     for batch in batches:
         for j in range(batch.num_rows):
             r = {n: batch[n][j].as_py() for n in batch.schema.names}
-            ids = np.frombuffer(r["ids"], np.int64)
-            vectors = _unpacked(r["vectors"], r["item"], r["width"], r["rows"])
-            own = np.frombuffer(r["q_ids"], np.int64)
             queries = _unpacked(r["q_vectors"], r["q_item"], r["q_width"], r["q_rows"])
-            best_ids, best, _ = search(queries, own, np.array(r["q_least"]), ids, vectors, k)
-            sizes = [len(b) for b in best]
-            scores = [int(s) for b in best for s in b]
-            names = np.concatenate([np.zeros(0, np.int64), *best_ids])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(own, sizes)), pa.array(names), pa.array(scores, pa.int64())],
-                ["query_id", "vec_id", "score"],
-            )
+            own, least = np.frombuffer(r["q_ids"], np.int64), np.array(r["q_least"])
+            for of in r["of"]:
+                maxima = _unpacked(of["maxima"], of["m_item"], of["width"], 2 * of["blocks"])
+                bounds = _bounds(queries, maxima[: of["blocks"]], maxima[of["blocks"] :])
+                stay = np.flatnonzero((bounds.max(axis=1) >= least).astype(bool))
+                if len(stay):
+                    raw, item = _small(queries[stay])
+                    row = (r["q_width"], len(stay), own[stay].tobytes(), raw, item, least[stay].tolist())
+                    yield _row(f"range long, part int, {_QUERIES}", of["range"], r["part"], *row)
+
+
+def _searched(asks: pa.Table, vectors: pa.Table, k: int, block: int) -> pa.Table:
+    """The queries that came to a range, searched in it."""
+    names = ["query_id", "vec_id", "score"]
+    out = []
+    r = {n: vectors[n][0].as_py() for n in vectors.schema.names}
+    ids, matrix = np.frombuffer(r["ids"], np.int64), _unpacked(r["vectors"], r["item"], r["width"], r["rows"])
+    for j in range(asks.num_rows):
+        q = {n: asks[n][j].as_py() for n in asks.schema.names}
+        own = np.frombuffer(q["q_ids"], np.int64)
+        queries = _unpacked(q["q_vectors"], q["q_item"], q["q_width"], q["q_rows"])
+        best_ids, best, _ = search(queries, own, np.array(q["q_least"]), ids, matrix, k, block)
+        scores = [int(s) for b in best for s in b]
+        found = np.concatenate([np.zeros(0, np.int64), *best_ids])
+        columns = [pa.array(np.repeat(own, [len(b) for b in best])), pa.array(found), pa.array(scores, pa.int64())]
+        out.append(pa.table(columns, names))
+    return pa.concat_tables(out)
+
+
+def vector_ranges(vectors: DataFrame, k: int, every: int, range_bytes: int = RANGE_BYTES, block: int = BLOCK) -> DataFrame:
+    """The ranges as stored rows: vectors, block maxima, and the queries among them with a k-th score to start from."""
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), scaled(F.col("embedding")).alias("v"))
+    rows = rows.where("vec_id is not null and v is not null")
+    rows = rows.select("vec_id", "v", (F.col("vec_id") % every == 0).alias("asks"), _order(F.col("v")).alias("place"))
+    dealt = rows.repartitionByRange("place", "vec_id").sortWithinPartitions("place", "vec_id").select("vec_id", "v", "asks")
+    return settle(dealt.mapInArrow(partial(_ranges, k=k, range_bytes=range_bytes, block=block), _RANGES), "vector-ranges")
+
+
+def left_queries(ranges: DataFrame, batch_bytes: int = BATCH_BYTES, maxima_bytes: int = MAXIMA_BYTES) -> DataFrame:
+    """For each range, the queries that its block maxima do not rule out: range, part (of the batches) and the queries.
+
+    Batches of queries meet the rows of maxima by an equality join on lanes; no vector of a range is read.
+    """
+    spark = ranges.sparkSession
+    asked = ranges.where("q_rows > 0").select("width", "q_rows", "q_ids", "q_vectors", "q_item", "q_least")
+    batches = settle(asked.mapInArrow(partial(_batched, batch_bytes=batch_bytes), _QUERIES), "query-batches")
+    small = ranges.select(*(f.split()[0] for f in _MAXIMA.split(", ")))
+    kind = ", ".join(f.replace(" ", ": ") for f in _MAXIMA.split(", "))
+    maxima = settle(small.mapInArrow(partial(_gathered, limit=maxima_bytes), f"of array<struct<{kind}>>"), "block-maxima")
+    lanes = max(1, min(parallelism(spark), maxima.count()))
+    parts = max(1, batches.count() // SHARED)
+    maxima = maxima.withColumn("lane", F.expr(f"cast(pmod(monotonically_increasing_id(), {lanes}) as int)"))
+    each = batches.withColumn("part", F.pmod(F.xxhash64("q_ids"), F.lit(parts)).cast("int"))
+    each = each.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    return each.join(maxima, "lane").drop("lane").mapInArrow(_left, f"range long, part int, {_QUERIES}")
 
 
 def top_k(
@@ -250,22 +338,13 @@ def top_k(
     components count; an empty vector scores 0 with all. Scores beyond a long are the nearest long and tie there.
     An empty table gives no rows. Other columns are not read.
     """
-    spark = vectors.sparkSession
-    lanes = parallelism(spark)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), scaled(F.col("embedding")).alias("v"))
-    rows = rows.where("vec_id is not null and v is not null")
-    rows = rows.select("vec_id", "v", (F.col("vec_id") % every == 0).alias("asks"), _order(F.col("v")).alias("place"))
-    dealt = rows.repartitionByRange("place", "vec_id").sortWithinPartitions("place", "vec_id").select("vec_id", "v", "asks")
-    ranges = settle(dealt.mapInArrow(partial(_ranges, k=k, lanes=lanes, range_bytes=range_bytes), _RANGES), "vector-ranges")
-    asked = ranges.where("q_rows > 0").select("width", "q_rows", "q_ids", "q_vectors", "q_item", "q_least")
-    batches = asked.mapInArrow(
-        partial(_batched, batch_bytes=batch_bytes), "width int, q_rows int, q_ids binary, q_vectors binary, q_item int, q_least array<double>"
-    )
-    batches = settle(batches, "query-batches").withColumnRenamed("width", "q_width")
-    each = batches.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    used = ranges.select("lane", "width", "rows", "item", "ids", "vectors")
-    met = each.join(used, "lane").drop("lane")
-    found = met.mapInArrow(partial(_searched, k=k), "query_id long, vec_id long, score long")
+    ranges = vector_ranges(vectors, k, every, range_bytes)
+    left = left_queries(ranges, batch_bytes)
+    # a range is sent once for each part that has queries for it; bounds are cheap, so they are made again for the queries
+    wanted = settle(left.select("range", "part").distinct(), "wanted-ranges")
+    used = wanted.join(ranges.select("range", "width", "rows", "item", "ids", "vectors"), "range")
+    pairs = left.groupBy("range", "part").cogroup(used.groupBy("range", "part"))
+    found = pairs.applyInArrow(lambda asks, own: _searched(asks, own, k, BLOCK), "query_id long, vec_id long, score long")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.select("query_id", rank.cast("int").alias("rank"), "vec_id", "score").where(F.col("rank") <= k)

@@ -74,3 +74,18 @@ def test_blocks_are_skipped():
         scores[100 * q] = -np.inf
         assert own == sorted(scores, reverse=True)[:5]
     assert scored < 13 * 20 / 3
+
+
+def test_few_pairs_are_shipped(spark):
+    """Of clustered vectors, a query goes to few ranges, and results are those of brute force all the same."""
+    rng = random.Random(5)
+    centers = [[rng.gauss(0, 1) for _ in range(16)] for _ in range(40)]
+    rows = [(i, [x + rng.gauss(0, 0.02) for x in centers[i % 40]]) for i in range(4000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    ranges = topk.vector_ranges(df, 5, 20, range_bytes=40 * 32)
+    n_ranges, n_queries = ranges.count(), ranges.selectExpr("sum(q_rows)").first()[0]
+    shipped = topk.left_queries(ranges, batch_bytes=600, maxima_bytes=500).selectExpr("sum(q_rows)").first()[0]
+    assert n_ranges >= 100 and n_queries == 200
+    assert n_queries <= shipped < n_queries * n_ranges / 5
+    got = topk.top_k(df, k=5, every=20, range_bytes=40 * 32, batch_bytes=600)
+    assert {tuple(r) for r in got.collect()} == plain(rows, 5, 20)
