@@ -301,6 +301,13 @@ ORACLE["survey_parse_body"] = _parsed(_noisy("'a' || chr(9) || 'b\\c'"), "tijdst
 ORACLE["survey_parse_semicolon"] = _parsed(_noisy("'ab\\c'"), "tijdstip_meting_tekst")
 ORACLE["survey_parse_positional"] = _parsed("marker", DAY_FIRST)
 
+# Every second road is in files of the positional layout.
+_ODD = "CAST(substr(meting_serie_naam, 8, 1) AS INTEGER) % 2 = 1"
+ORACLE["survey_mixed_layouts"] = _parsed(
+    f"CASE WHEN {_ODD} THEN marker ELSE {_noisy("'a' || chr(9) || 'b\\c'")} END",
+    f"CASE WHEN {_ODD} THEN {DAY_FIRST} ELSE tijdstip_meting_tekst END",
+)
+
 _WHOLE_FILE = {n: f"max({n}) OVER f AS {n}" for n in HEADER_KEYS.values()} | {
     "bestands_url": "'survey/B' || oid % 2 || '/B' || oid % 2 || ' M1.xls' AS bestands_url",
     "meting_serie_naam": "'B' || oid % 2 || ' M1' AS meting_serie_naam",

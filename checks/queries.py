@@ -158,6 +158,16 @@ def survey_parse_positional(spark, sf):
     return _typed(survey.parse_lines(_lines(spark, sf, "positional"), "positional"), "positional")
 
 
+@query
+def survey_mixed_layouts(spark, sf):
+    """Keyed and positional files side by side, each read by its own rules."""
+    m = given.measurements(spark, sf)
+    odd = F.substring("meting_serie_naam", 8, 1).cast("int") % 2 == 1
+    lines = given.survey_lines(m.where(odd), "positional").unionByName(given.survey_lines(m.where(~odd)))
+    rows = survey.parse_lines(settle(lines, "survey-lines"), "mixed")
+    return _typed(rows, "mixed")
+
+
 def _survey_folder(spark, sf) -> str:
     path = scratch_path(spark, "survey-files")
     given.write_survey_files(given.measurements(spark, sf), path)

@@ -5,6 +5,9 @@ file and needs no shuffle. :func:`parse_lines` takes numbered lines, so a file
 of any size is parsed by many tasks; only small per-file facts are shuffled.
 Both return one row per body line with ``bestands_url``, ``line_no``, the
 header columns, the column names and the field texts.
+
+A file's layout is ``keyed`` or ``positional``. With ``mixed`` each file has its own, and headers and body
+rows name it in ``layout``: a file is positional if the keyed rules do not fit it and the positional ones do.
 """
 
 from __future__ import annotations
@@ -29,6 +32,13 @@ from lanelux.session import settle
 
 HEADER_COLUMNS = list(HEADER_KEYS.values())
 _OUT = ["bestands_url", "line_no", *HEADER_COLUMNS, "columns", "fields"]
+#: The column name that marks a column row, and the repaired name.
+FIRST_COLUMN = "Position km"
+SPEED_COLUMN = "Speed km/h km/h"
+
+
+def _out(layout: str, *columns: str) -> list[str]:
+    return [*columns, "layout"] if layout == "mixed" else [*columns]
 
 # Private-use characters stand for an escaped delimiter and backslash while a
 # line is split.
@@ -92,7 +102,7 @@ FILE_OK, NO_HEADER_END, NO_COLUMN_ROW, NO_SERIES_NAME = "ok", "no header end", "
 
 def _outcome(layout: str) -> Column:
     """What the header of a file (``_at``, ``columns`` and header columns) lets it be."""
-    no_end = F.col("_at").isNull() if layout == "keyed" else F.lit(False)
+    no_end = F.lit(False) if layout == "positional" else F.col("_at").isNull()
     no_name = F.trim(F.coalesce(F.col("meting_serie_naam"), F.lit(""))) == ""
     return (
         F.when(no_end, NO_HEADER_END)
@@ -102,6 +112,24 @@ def _outcome(layout: str) -> Column:
     )
 
 
+def _positional(outcome: Column, columns: Column, series: Column) -> Column:
+    """Whether a file with this keyed outcome is one of the positional layout, by that layout's columns and series."""
+    named = F.trim(F.regexp_replace(F.coalesce(F.get(columns, F.lit(0)), F.lit("")), '"', "")) == FIRST_COLUMN
+    return (outcome != FILE_OK) & named & (F.trim(F.coalesce(series, F.lit(""))) != "")
+
+
+def _layout_name(positional: Column) -> Column:
+    return F.when(positional, F.lit("positional")).otherwise(F.lit("keyed"))
+
+
+def _fields(line: Column, layout: str, delimiter: str) -> Column:
+    """Fields of a line; of mixed layouts by the row's ``layout``."""
+    if layout == "positional":
+        return F.split(line, "\t")
+    keyed = split_fields(line, delimiter)
+    return keyed if layout == "keyed" else F.when(F.col("layout") == "positional", F.split(line, "\t")).otherwise(keyed)
+
+
 # The header end is looked for among this many lines before the whole file.
 _FIRST_LINES = 200
 
@@ -137,13 +165,27 @@ def _located_files(files: DataFrame, layout: str, delimiter: str) -> DataFrame:
             return _field(F.try_element_at(named, F.lit(-1)), 1)
 
         head = {name: last_value(key) for key, name in HEADER_KEYS.items()}
-    return rows.withColumns({**head, "columns": fields_of(F.get("_lines", F.col("_at")))})
+    rows = rows.withColumns({**head, "columns": fields_of(F.get("_lines", F.col("_at")))})
+    return _by_file(rows) if layout == "mixed" else rows
+
+
+def _by_file(rows: DataFrame) -> DataFrame:
+    """Files located by the keyed rules, with the positional ones put in their place where only these fit."""
+    line = lambda i: F.split(F.get("_lines", F.lit(i)), "\t")
+    head = {name: _field(line(i), 1) for i, name in POSITIONAL_HEADER.items()}
+    columns = line(POSITIONAL_COLUMN_LINE)
+    chosen = _positional(_outcome("keyed"), columns, head["meting_serie_naam"])
+    rows = rows.withColumn("layout", _layout_name(chosen))
+    placed = {**head, "columns": columns, "_at": F.lit(POSITIONAL_COLUMN_LINE)}
+    return rows.withColumns(
+        {name: F.when(F.col("layout") == "positional", value).otherwise(F.col(name)) for name, value in placed.items()}
+    )
 
 
 def file_headers(files: DataFrame, layout: str = "keyed", delimiter: str = "\t") -> DataFrame:
     """Header, column names and outcome, one row per file of ``files`` (bestands_url, content)."""
     located = _located_files(files, layout, delimiter)
-    return located.select("bestands_url", *HEADER_COLUMNS, "columns", _outcome(layout).alias("outcome"))
+    return located.select(*_out(layout, "bestands_url", *HEADER_COLUMNS, "columns"), _outcome(layout).alias("outcome"))
 
 
 def parse_files(files: DataFrame, layout: str = "keyed", delimiter: str = "\t") -> DataFrame:
@@ -151,11 +193,10 @@ def parse_files(files: DataFrame, layout: str = "keyed", delimiter: str = "\t")
     # The header is a column of its own by now: were it taken from the lines
     # next to posexplode, each body row would carry all lines of its file.
     rows = _located_files(files, layout, delimiter)
-    body = rows.select(
-        "bestands_url", *HEADER_COLUMNS, "columns", "_at", F.posexplode("_lines").alias("_i", "_line")
-    ).where(F.col("_i") > F.col("_at"))
-    fields = F.split("_line", "\t") if layout == "positional" else split_fields(F.col("_line"), delimiter)
-    return body.withColumns({"line_no": F.col("_i").cast("bigint"), "fields": fields}).select(*_OUT)
+    kept = _out(layout, "bestands_url", *HEADER_COLUMNS, "columns", "_at")
+    body = rows.select(*kept, F.posexplode("_lines").alias("_i", "_line")).where(F.col("_i") > F.col("_at"))
+    fields = _fields(F.col("_line"), layout, delimiter)
+    return body.withColumns({"line_no": F.col("_i").cast("bigint"), "fields": fields}).select(*_out(layout, *_OUT))
 
 
 # --- one row per line -------------------------------------------------------
@@ -232,9 +273,7 @@ def header_entries(
 
 
 def _fields_of_lines(lines: DataFrame, layout: str, delimiter: str) -> DataFrame:
-    if layout == "positional":
-        return lines.select("bestands_url", "line_no", F.split("value", "\t").alias("fields"))
-    return lines.select("bestands_url", "line_no", split_fields(F.col("value"), delimiter).alias("fields"))
+    return lines.select("bestands_url", "line_no", _fields(F.col("value"), layout, delimiter).alias("fields"))
 
 
 def line_headers(
@@ -249,6 +288,9 @@ def line_headers(
     Line numbers have no gap up to the column row, which follows the blank row.
     A file without a line is not among ``lines`` and so has no row here.
     """
+    if layout == "mixed":
+        ways = [line_headers(lines, way, delimiter, broadcast_rows, rows_per_task) for way in ("keyed", "positional")]
+        return settle(_chosen_headers(*ways), "headers")
     number, fields = F.col("line_no"), F.col("fields")
     if layout == "positional":
         at = F.when(number == POSITIONAL_COLUMN_LINE, number)
@@ -270,6 +312,20 @@ def line_headers(
     return settle(heads.withColumn("outcome", _outcome(layout)), "headers")
 
 
+def _chosen_headers(keyed: DataFrame, positional: DataFrame) -> DataFrame:
+    """Of two readings of the same files, one row each, the one that fits."""
+    named = ["_at", "columns", "outcome", *HEADER_COLUMNS]
+    other = positional.select("bestands_url", F.struct(*named).alias("_other"))
+    both = keyed.select("bestands_url", F.struct(*named).alias("_own")).join(other, "bestands_url")
+    chosen = _positional(F.col("_own.outcome"), F.col("_other.columns"), F.col("_other.meting_serie_naam"))
+    both = both.withColumn("layout", _layout_name(chosen))
+
+    def value(name: str) -> Column:
+        return F.when(F.col("layout") == "positional", F.col(f"_other.{name}")).otherwise(F.col(f"_own.{name}"))
+
+    return both.select("bestands_url", "layout", *[value(n).alias(n) for n in named])
+
+
 def parse_lines(
     lines: DataFrame,
     layout: str = "keyed",
@@ -285,25 +341,24 @@ def parse_lines(
     """
     if headers is None:
         headers = line_headers(lines, layout, delimiter, broadcast_rows, rows_per_task)
-    return skew_safe_join(
-        _fields_of_lines(lines, layout, delimiter),
+    # Which fields a line has is known before it meets its header, but for mixed layouts.
+    mixed = layout == "mixed"
+    rows = skew_safe_join(
+        lines.select("bestands_url", "line_no", "value") if mixed else _fields_of_lines(lines, layout, delimiter),
         headers.where(F.col("_at").isNotNull()),
         ["bestands_url"],
         condition=F.col("line_no") > F.col("_at"),
         spread_by=["line_no"],
         broadcast_rows=broadcast_rows,
         rows_per_task=rows_per_task,
-    ).select(*_OUT)
+    )
+    rows = rows.withColumn("fields", _fields(F.col("value"), layout, delimiter)) if mixed else rows
+    return rows.select(*_out(layout, *_OUT))
 
 
 # --- cleaned copies ---------------------------------------------------------
 
 
-# The column name that marks a column row, and the repaired name.
-FIRST_COLUMN = "Position km"
-SPEED_COLUMN = "Speed km/h km/h"
-
-
 def _with_speed_name(names: Column) -> Column:
     return F.transform(names, lambda f, i: F.when(i == 10, F.lit(SPEED_COLUMN)).otherwise(f))
 
@@ -336,14 +391,17 @@ def import_rows(
     """Parsed rows as typed measurements plus ``line_no`` and ``errors``.
 
     ``errors`` names the columns whose text is not empty but has no value of
-    the column type, and the texts that are too long. An empty text is NULL.
+    the column type, and the texts that are too long. An empty text is NULL. Rows of mixed layouts are
+    read each by its ``layout``.
     """
     f = {i: _field(F.col("fields"), i) for i in range(22)}
-    parse_time = measure_time if layout == "keyed" else measure_time_legacy
-    if layout == "keyed":
-        photos = text.photo_names(F.slice("fields", 17, 6))
-    else:
-        photos = [f[16], f[17]]
+
+    def by_layout(keyed: Column, positional: Column) -> Column:
+        if layout == "mixed":
+            return F.when(F.col("layout") == "positional", positional).otherwise(keyed)
+        return keyed if layout == "keyed" else positional
+
+    photos = [by_layout(*ways) for ways in zip(text.photo_names(F.slice("fields", 17, 6)), [f[16], f[17]], strict=True)]
     # Body field numbers of the stored columns.
     numbers = {
         "kmp": text.to_decimal(f[0], 10, 4),
@@ -369,7 +427,7 @@ def import_rows(
         {
             **numbers,
             "oid": F.xxhash64("bestands_url", "line_no"),
-            "tijdstip_meting": parse_time(f[1]),
+            "tijdstip_meting": by_layout(measure_time(f[1]), measure_time_legacy(f[1])),
             "marker": f[7],
             "reference": f[11],
             "naam_foto1": photos[0],
@@ -377,9 +435,7 @@ def import_rows(
             "inleesdatum": stamp(read_at),
         }
     )
-    shown_time = f[1]
-    if layout == "keyed":
-        shown_time = F.when(f[1].contains("/"), iso_text(F.col("tijdstip_meting"))).otherwise(f[1])
+    shown_time = by_layout(F.when(f[1].contains("/"), iso_text(F.col("tijdstip_meting"))).otherwise(f[1]), f[1])
     typed = typed.withColumn("tijdstip_meting_tekst", shown_time)
     faults = {c: F.col(c).isNull() & (F.trim(f[i]) != "") for c, i in source.items()}
     faults |= {c: F.col(c).isNull() for c in ("tijdstip_meting", "meting_serie_naam")}

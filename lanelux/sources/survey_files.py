@@ -68,7 +68,8 @@ def parse_found(
     """Headers and body rows of listed files (binaryFile columns), by size in one of two ways.
 
     Headers have one row per file, whatever is in it; ``outcome`` says what
-    keeps a file from being read. Both ways give the same rows. Without ``root`` the names of the large
+    keeps a file from being read. Both ways give the same rows. With the layout ``mixed`` each file has its
+    own, named in ``layout``. Without ``root`` the names of the large
     files are gathered from ``found``, which must then be a bounded batch.
     """
     files = whole_files(found.where(F.col("length") <= whole_file_bytes), encoding)
@@ -86,7 +87,7 @@ def parse_found(
     return headers, rows
 
 
-def _empty_files(found: DataFrame) -> DataFrame | None:
+def _empty_files(found: DataFrame, layout: str = "keyed") -> DataFrame | None:
     """Headers of listed files without a byte, which Spark's readers leave out; None if there are none.
 
     The listing is on the driver already, as part of the reader.
@@ -97,7 +98,7 @@ def _empty_files(found: DataFrame) -> DataFrame | None:
     names = found.sparkSession.createDataFrame([(f,) for f in listed], "path string")
     plain = F.regexp_replace(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
     empty = names.select(plain.alias("path")).join(found.select("path"), "path", "left_anti")
-    return file_headers(empty.select(F.col("path").alias("bestands_url"), F.lit("").alias("content")))
+    return file_headers(empty.select(F.col("path").alias("bestands_url"), F.lit("").alias("content")), layout)
 
 
 def scan_survey(
@@ -111,7 +112,7 @@ def scan_survey(
         .load(root)
     )
     headers, rows = parse_found(found, root, pattern=pattern, **options)
-    empty = _empty_files(found)
+    empty = _empty_files(found, options.get("layout", "keyed"))
     return headers if empty is None else headers.unionByName(empty), rows
 
 
@@ -120,7 +121,7 @@ def scan_files(spark: SparkSession, paths: list[str], pattern: str = "*.xls", **
     plain = [re.sub(r"([{}\[\]*?\\,])", r"\\\1", p) for p in paths]
     found = spark.read.format("binaryFile").load(plain)
     headers, rows = parse_found(found, plain, pattern=pattern, **options)
-    empty = _empty_files(found)
+    empty = _empty_files(found, options.get("layout", "keyed"))
     return headers if empty is None else headers.unionByName(empty), rows
 
 

@@ -167,6 +167,44 @@ def test_positional_layout(spark, tmp_path, rows):
     assert rows(by_line) == rows(parsed)
 
 
+def test_mixed_layouts_in_one_folder(spark, tmp_path, rows):
+    """Each file is read by its own rules, whole and line by line, as in a scan of its own."""
+    old = [f"r{i}\tv{i}" for i in range(18)]
+    old[2] = "reeks\tOUD M1"
+    series = {**HEAD, "Measure Series Name:": "NIEUW M1"}
+    write(tmp_path / "oud" / "OUD M1.xls", [*old, "\t".join(COLUMNS), body(f16="p.jpg", f17="q.jpg"), body(f1="4-3-2024 5:6:7")])
+    # A blank first field, as positional headers may have, does not make a file keyed.
+    blank = [*old[:4], "\tleeg", *old[5:]]
+    write(tmp_path / "oud" / "OUD M2.xls", [*blank, "\t".join(COLUMNS), body(f7='Ob"st;akel')])
+    write(tmp_path / "nieuw" / "NIEUW M1.xls", keyed(body(f7='Ob"st;akel'), head=series))
+    # The keyed rules fit, so they count, whatever stands in line 18.
+    long = keyed(body(), head=series | {f"k{i}": "v" for i in range(10)})
+    assert long[18] == "\t".join(COLUMNS)
+    write(tmp_path / "nieuw" / "NIEUW M2.xls", long)
+    write(tmp_path / "niets" / "niets.xls", ["Info:\tx", body()])
+    write(tmp_path / "niets" / "leeg.xls", [], "")
+
+    def scan(folder, **options):
+        headers, parsed = scan_survey(spark, str(tmp_path / folder), **options)
+        told = {r["bestands_url"].rsplit("/", 1)[-1]: (r["outcome"], r["layout"]) for r in headers.collect()} if "layout" in headers.columns else None
+        return told, survey.import_rows(parsed, READ_AT, options.get("layout", "keyed"))
+
+    told, mixed = scan("", layout="mixed")
+    by_line, lines = scan("", layout="mixed", whole_file_bytes=0)
+    assert told == by_line == {
+        "OUD M1.xls": ("ok", "positional"), "OUD M2.xls": ("ok", "positional"), "NIEUW M1.xls": ("ok", "keyed"),
+        "NIEUW M2.xls": ("ok", "keyed"), "niets.xls": ("no header end", "keyed"), "leeg.xls": ("no header end", "keyed"),
+    }
+    apart = scan("oud", layout="positional")[1].unionByName(scan("nieuw")[1])
+    assert rows(mixed) == rows(lines) == rows(apart) and mixed.count() == 5
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+        assert rows(scan("", layout="mixed", whole_file_bytes=0)[1]) == rows(apart)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
 def test_bad_rows_are_set_apart(spark):
     lines = keyed(body(), body(f2="veel"), body(f1="31/02/2024 00:00:00"), body(f11="r" * 26), body(f4=""))
     df = spark.createDataFrame([("f", "\n".join(lines))], "bestands_url string, content string")
