@@ -144,13 +144,13 @@ def tree_folders(tree: DataFrame) -> DataFrame:
 
 
 def list_folders(files: DataFrame) -> DataFrame:
-    """The folders of the files and all folders above them, up to the root of the listing.
+    """The folders of the files and all folders above them, below the root; the root itself if it holds a file.
 
     Reads the listing of files alone; folders without any file below them are found by :func:`list_tree`.
     """
     held = files.select("parent_id", "level").distinct()
     parts = F.split("parent_id", "/")
-    above = held.select(parts.alias("_parts"), F.explode(F.sequence(F.lit(0), F.col("level"))).alias("_up"))
+    above = held.select(parts.alias("_parts"), F.explode(F.sequence(F.lit(0), F.greatest(F.col("level") - 1, F.lit(0)))).alias("_up"))
     own = above.select(F.slice("_parts", F.lit(1), F.size("_parts") - F.col("_up")).alias("_parts"))
     return own.select(F.array_join("_parts", "/").alias("folder_id"), F.element_at("_parts", -1).alias("folder_name")).distinct()
 
