@@ -546,13 +546,13 @@ def combined_2024(rows: DataFrame, headers: DataFrame) -> DataFrame:
     files = taken_2024(headers).select("bestands_url", _tagged_names(F.col("columns")).alias("names"))
     files = settle(files, "layouts")
     names = column_names(files)
-    places = F.array(*[(F.array_position("names", F.lit(n)) - 1).cast("int") for n in names])
+    places = F.array(*[(F.array_position("names", F.lit(n)) - 1).cast("int") for n in names]).cast("array<int>")
     placed = files.select("bestands_url", places.alias("_places"))
     taken = skew_safe_join(rows, placed, ["bestands_url"], spread_by=["line_no"])
     # One-element inline: the texts are put together once, not for each column.
     tagged = taken.select(F.inline(F.array(F.struct("bestands_url", "line_no", "_places", _tagged_texts().alias("_texts")))))
     wide = tagged.select("bestands_url", "line_no", *[_placed_text(i).alias(n) for i, n in enumerate(names)])
-    return nonzero_text(wide)
+    return nonzero_text(wide) if "RL" in names else wide
 
 
 def _placed_text(i: int) -> Column:

@@ -28,7 +28,7 @@ from lanelux.sources.catalog import list_files
 from lanelux.sources.segment_files import read_segments
 from lanelux.sources.survey_files import scan_files
 
-_IMPORT = StructType(
+IMPORT = StructType(
     [*MEASUREMENT_RAW, StructField("line_no", LongType()), StructField("errors", ArrayType(StringType()))]
 )
 
@@ -103,7 +103,7 @@ def load_queue(store: Store, log: DataFrame, year: int, read_at: datetime.dateti
         checks = ledger.check_names(queue.join(told, F.col("drive_file_id") == F.col("bestands_url")))
         checks = settle(checks.drop("oid").withColumn("datetime_utc_read", stamp(read_at)), "checks")
         conform = checks.where("name_conform").select("bestands_url")
-        known = store.read_or_empty("measurement_import", year, _IMPORT).select("bestands_url").distinct()
+        known = store.read_or_empty("measurement_import", year, IMPORT).select("bestands_url").distinct()
         conform = settle(conform.join(known, "bestands_url", "left_anti"), "conform-files")
         rows = skew_safe_join(rows, conform, ["bestands_url"], how="left_semi", spread_by=["line_no"])
         store.append("measurement_import", import_rows(rows, read_at), year)
@@ -154,7 +154,7 @@ def _run_year(store, survey_root, segments_path, classes, classes_p, report_year
     log = store.write("file_log", load_queue(store, log, report_year, read_at), report_year)
     ingest = store.write("ingest_log", ledger.ingest_log(log, report_year), report_year)
 
-    imported = store.read_or_empty("measurement_import", report_year, _IMPORT)
+    imported = store.read_or_empty("measurement_import", report_year, IMPORT)
     raw = accepted(imported)
     points = store.write("measurement_point", measurement_points(raw, report_year), report_year)
     lines = append_new_lines(store, points, report_year)
