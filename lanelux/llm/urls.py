@@ -44,8 +44,6 @@ RULES = (
 )
 ALLOW, BLOCK = "allow", "block"
 ORDER = 5
-#: Cells (a power of two) per order, table and class of a model in one array (``log_ratios``).
-CELL_BITS = 17
 #: Bytes of URLs in a block.
 BLOCK_BYTES = 1 << 19
 #: Weight of the lower order in counts.
@@ -54,10 +52,6 @@ HELD_OUT = 5
 BINS, WIDEST = 2000, 4.0
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_ODD = np.array(
-    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB],
-    np.uint64,
-)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -109,22 +103,6 @@ def _grams(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(contexts, np.int64), np.array(joints, np.int64), owner
 
 
-def _cells(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """As ``_grams``, with hashed cells of an array in place of keys."""
-    data, owner, place = _symbols(urls)
-    context = np.zeros(len(data), np.uint64)
-    shift = np.uint64(64 - CELL_BITS)
-    contexts, joints = [], []
-    for k in range(ORDER + 1):
-        if k:
-            before = np.where(place >= k, np.roll(data, k), np.uint64(0))
-            context = context + before * _ODD[k - 1] + (context >> np.uint64(29))
-        contexts.append(((context ^ (context >> np.uint64(31))) * _ODD[5]) >> shift)
-        joint = context + data * _ODD[4]
-        joints.append(((joint ^ (joint >> np.uint64(30))) * _ODD[0]) >> shift)
-    return np.array(contexts, np.int64), np.array(joints, np.int64), owner
-
-
 def _ratios(counts: Callable[[int], tuple[np.ndarray, np.ndarray]], owner: np.ndarray, n: int) -> np.ndarray:
     """Scores of ``n`` URLs; ``counts`` gives an order's counts of contexts and joints, per class and byte."""
     chance = np.full((2, len(owner)), 1 / 257)
@@ -135,20 +113,6 @@ def _ratios(counts: Callable[[int], tuple[np.ndarray, np.ndarray]], owner: np.nd
     return np.bincount(owner, logs[1] - logs[0], n) / np.maximum(1, np.bincount(owner, minlength=n))
 
 
-def log_ratios(model: np.ndarray, urls: list[str]) -> np.ndarray:
-    """Log likelihood of each URL as accepted less that as rejected, per byte, by a small model in one array.
-
-    Cells are hashed, so this is for few URLs only; ``judge`` counts exact n-grams.
-    """
-    contexts, joints, owner = _cells(urls)
-
-    def counts(k):
-        seen = model[:, 0, k][:, contexts[k]]
-        return seen, np.minimum(model[:, 1, k][:, joints[k]], seen)
-
-    return _ratios(counts, owner, len(urls))
-
-
 def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows with ``_block``: neighbours in a task, at most ``BLOCK_BYTES`` of URLs or one URL."""
     first = TaskContext.get().partitionId() << 32

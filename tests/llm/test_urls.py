@@ -67,18 +67,24 @@ def test_models_tell_kinds_apart(spark):
 
 
 def test_probabilities_sum_to_one():
-    model = np.zeros((2, 2, urls.ORDER + 1, 1 << urls.CELL_BITS))
-    for kind, u in ((1, "abcabc"), (0, "zzz")):
-        contexts, joints, _ = urls._cells([u])
-        for k in range(urls.ORDER + 1):
-            np.add.at(model[kind, 0, k], contexts[k], 1)
-            np.add.at(model[kind, 1, k], joints[k], 1)
-    ratios = urls.log_ratios(model, ["abcabc", "zzz", ""])
-    assert ratios[0] > 0 > ratios[1]
+    """Over all next bytes, whatever was counted of a context."""
+    rng = np.random.default_rng(4)
+    chance = np.full(257, 1 / 257)
+    for _ in range(urls.ORDER + 1):
+        both = rng.integers(0, 9, 257) * rng.integers(0, 2, 257)
+        logs = [
+            urls._ratios(lambda k, n=n: (np.array([[0.0], [both.sum()]]), np.array([[0.0], [n]])), np.zeros(1, int), 1)[0]
+            for n in both
+        ]
+        # The first class has no count, so its chance stays that of the lowest order.
+        step = [(n + urls.PRIOR * c) / (both.sum() + urls.PRIOR) for n, c in zip(both, chance, strict=True)]
+        assert abs(sum(step) - 1) < 1e-12
+        assert np.argmax(logs) == np.argmax(both)
+        chance = np.array(step)
 
 
 def test_scores_are_those_of_exact_counts(spark):
-    """More different n-grams than the 2^17 cells of a hashed array, so collisions would show."""
+    """So many different n-grams that collisions of hashed counts would show."""
     rng = random.Random(2)
     name = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz-_") for _ in range(n))
     rows = [(k, f"http://{name(8)}.{'com' if k % 2 else 'net/es'}/{name(90)}") for k in range(5000)]
@@ -99,7 +105,7 @@ def test_scores_are_those_of_exact_counts(spark):
                 for j, g in enumerate(own):
                     counts[k % 2][g] += 1
                     counts[k % 2][j, g[:-1]] += 1
-    assert len(counts[0]) > 1 << urls.CELL_BITS
+    assert len(counts[0]) > 1 << 17
 
     def score(u):
         total, n = 0.0, 0
