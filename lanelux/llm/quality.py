@@ -2,7 +2,8 @@
 
 Every rule is evaluated once per document. The ledger keeps what was measured and one
 bit per failed rule; a policy is a named and numbered mask of rules, so a changed policy
-or an ablation reads the ledger and no text.
+or an ablation reads the ledger and no text. The ledger also keeps each rule's version: a bit
+of another version than the rule in force is made again from the measurements.
 """
 
 from __future__ import annotations
@@ -26,10 +27,14 @@ _WINDOW = 3
 
 @dataclass(frozen=True)
 class Rule:
-    """A rule's bit is its place in ``RULES``; ``fails`` is a condition on the measurements."""
+    """A rule's bit is its place in ``RULES``; ``fails`` is a condition on the measurements.
+
+    A changed condition gets the next version, so bits of the one before are not taken for its own.
+    """
 
     name: str
     fails: str
+    version: int = 1
 
 
 #: Rules are only ever added at the end, so a stored bit keeps its meaning.
@@ -105,29 +110,49 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def failures() -> Column:
+def failures(rules: tuple[Rule, ...] = RULES) -> Column:
     """One long with a bit for each rule that fails."""
-    bits = [F.when(F.expr(r.fails), F.lit(1 << k)).otherwise(F.lit(0)) for k, r in enumerate(RULES)]
+    return _joined([F.when(F.expr(r.fails), F.lit(1 << k)).otherwise(F.lit(0)) for k, r in enumerate(rules)])
+
+
+def _joined(bits: list[Column]) -> Column:
     whole = bits[0]
     for bit in bits[1:]:
         whole = whole.bitwiseOR(bit)
     return whole.cast("long")
 
 
-def ledger(docs: DataFrame) -> DataFrame:
-    """doc_id, ``MEASURES`` and ``failed`` (bits of ``RULES``) of every row of ``docs`` (doc_id, text).
+def _versions(rules: tuple[Rule, ...]) -> Column:
+    return F.array(*(F.lit(r.version) for r in rules))
+
+
+def ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """doc_id, ``MEASURES``, ``failed`` (bits of ``rules``) and ``versions`` (of the rules) of every row of ``docs`` (doc_id, text).
 
     Null and empty texts have no words and zero measurements. Repeated rows and null ids stay. An
     empty table gives no rows. Other columns are not read. Nothing is shuffled.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES)
-    return rows.mapInArrow(_measured, schema).withColumn("failed", failures())
+    return rows.mapInArrow(_measured, schema).withColumns({"failed": failures(rules), "versions": _versions(rules)})
+
+
+def in_force(entries: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The ledger with the bits of ``rules``: stored ones of the same version, the others made from the measurements.
+
+    Rules that were added since the entry was stored are among the others. No text is read.
+    """
+    bits = []
+    for k, r in enumerate(rules):
+        stored = F.col("failed").bitwiseAND(F.lit(1 << k).cast("long"))
+        now = F.when(F.expr(r.fails), F.lit(1 << k)).otherwise(F.lit(0)).cast("long")
+        bits.append(F.when(F.get("versions", F.lit(k)) == r.version, stored).otherwise(now))
+    return entries.withColumns({"failed": _joined(bits), "versions": _versions(rules)})
 
 
 def apply_policy(entries: DataFrame, policy: Policy) -> DataFrame:
-    """The ledger with the policy's ``kept``, name and version."""
-    return entries.withColumns(
+    """The ledger with the policy's ``kept``, name and version, by the rules in force."""
+    return in_force(entries, RULES).withColumns(
         {
             "kept": F.col("failed").bitwiseAND(F.lit(policy.mask).cast("long")) == 0,
             "policy": F.lit(policy.name),
@@ -139,7 +164,7 @@ def apply_policy(entries: DataFrame, policy: Policy) -> DataFrame:
 def ablations(entries: DataFrame, policy: Policy) -> DataFrame:
     """Per rule of the policy: documents it fails, and those it alone fails (kept again without it)."""
     failed = F.col("failed").bitwiseAND(F.lit(policy.mask).cast("long"))
-    counted = entries.groupBy(failed.alias("bits")).agg(F.count(F.lit(1)).alias("n"))  # at most one row per set of rules
+    counted = in_force(entries, RULES).groupBy(failed.alias("bits")).agg(F.count(F.lit(1)).alias("n"))  # at most one row per set of rules
     rules = F.array(*(F.struct(F.lit(name).alias("rule"), F.lit(mask((name,))).cast("long").alias("bit")) for name in policy.rules))
     each = counted.select("bits", "n", F.explode(rules).alias("r"))
     own = F.col("bits").bitwiseAND(F.col("r.bit")) != 0

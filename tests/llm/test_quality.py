@@ -4,6 +4,7 @@ from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lanelux.llm import quality
 
@@ -54,3 +55,23 @@ def test_ledger_and_policies(spark, made, odd):
     for k, rule in enumerate(quality.RULES):
         assert alone[rule.name] == (sum(r["failed"] >> k & 1 for r in got), sum(r["failed"] == 1 << k for r in got))
     assert quality.ledger(made([])).count() == 0
+
+
+def test_stored_bits_of_other_versions_are_not_reused(spark, made, odd, monkeypatch):
+    """A changed rule and an added one are judged anew from stored measurements; bits of unchanged rules are taken."""
+    docs = made(odd)
+    entries = quality.ledger(docs)
+    changed = quality.Rule("few_words", "n_words < 90", 2)
+    added = quality.Rule("many_words", "n_words > 1000")
+    rules = (changed, *quality.RULES[1:], added)
+    key = lambda r: (str(r["doc_id"]), r["n_words"], r["n_lines"], r["failed"])
+    anew = quality.ledger(docs, rules).collect()
+    got = quality.in_force(entries, rules).collect()
+    assert sorted(map(key, got)) == sorted(map(key, anew)) != sorted(map(key, entries.collect()))
+    assert {tuple(r["versions"]) for r in got} == {(2, 1, 1, 1, 1, 1, 1)}
+    # Bits of the version in force are the stored ones, whatever the measurements say.
+    turned = quality.in_force(entries.withColumn("failed", F.lit(63).cast("long")))
+    assert {r["failed"] for r in turned.collect()} == {63}
+    monkeypatch.setattr(quality, "RULES", rules)
+    kept = {(r["doc_id"], r["n_words"]): r["kept"] for r in quality.apply_policy(entries, quality.Policy("short", 2, ("few_words",))).collect()}
+    assert all(ok == (n >= 90) for (_, n), ok in kept.items()) and any(50 <= n < 90 for _, n in kept)
