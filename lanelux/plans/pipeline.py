@@ -96,7 +96,7 @@ def load_queue(store: Store, log: DataFrame, year: int, read_at: datetime.dateti
     spark = store.spark
     queue = ledger.work_queue(log, year).select("drive_file_id", "drive_file_name", "drive_folder_name", "oid")
     names = (r["drive_file_id"] for r in queue.select("drive_file_id").toLocalIterator())
-    outcomes = None
+    parsed = False
     while paths := list(itertools.islice(names, FILES_AT_ONCE)):
         headers, rows = scan_files(spark, paths)
         told = headers.select("bestands_url", F.col("meting_serie_naam").alias("measure_series_name"), "outcome")
@@ -109,8 +109,12 @@ def load_queue(store: Store, log: DataFrame, year: int, read_at: datetime.dateti
         store.append("measurement_import", import_rows(rows, read_at), year)
         before = store.read_or_empty("file_outcome", year, checks.schema).select("bestands_url")
         store.append("file_outcome", checks.join(before, "bestands_url", "left_anti"), year)
-        outcomes = checks if outcomes is None else outcomes.unionByName(checks)
-    return log if outcomes is None else ledger.apply_checks(log, outcomes)
+        parsed = True
+    if not parsed:
+        return log
+    # The stored outcomes are one table, however many times files were parsed.
+    told = store.read("file_outcome", year)
+    return ledger.apply_checks(log, told.join(queue.select("drive_file_id").distinct(), "drive_file_id", "left_semi"))
 
 
 def run_year(

@@ -232,3 +232,26 @@ def test_located_points_are_kept_up_to_date(spark, tmp_path, rows, monkeypatch):
     run([])
     run(["f2"])
     assert seen[-1] == ["f2"]
+
+
+def test_queue_parsed_in_parts(spark, tmp_path, rows, monkeypatch):
+    """Files parsed one at a time give the log that they give together, also if their outcomes were stored before."""
+    from lanelux.plans import pipeline
+    from lanelux.schemas import FILE_LOG
+    from tests.test_survey import HEAD, body, keyed, write
+
+    for road, folder in (("N0010001", "N0010001"), ("N0010002", "elders"), ("N0010003", "N0010003")):
+        write(tmp_path / "in" / folder / f"{road} M1.xls", keyed(body(), head={**HEAD, "Measure Series Name:": f"{road} M1"}))
+    write(tmp_path / "in" / "N0010004" / "N0010004 M1.xls", ["Info:\tx", body()])
+    read_at = datetime.datetime(2024, 6, 1)
+    found = []
+    for way, at_once in (("together", 10_000), ("apart", 1), ("apart", 1)):
+        monkeypatch.setattr(pipeline, "FILES_AT_ONCE", at_once)
+        store = pipeline.Store(spark, str(tmp_path / way))
+        new = pipeline.register_files(store, str(tmp_path / "in"), 2024, read_at, spark.createDataFrame([], FILE_LOG))
+        new = new.withColumns({"oid": F.xxhash64("drive_file_id"), "measure_series_name": F.lit(None).cast("string"), "name_conform": F.lit(None).cast("boolean")})
+        found.append(rows(pipeline.load_queue(store, new.select(*FILE_LOG.names), 2024, read_at)))
+        assert store.read("measurement_import", 2024).count() == 2
+        assert store.read("file_outcome", 2024).count() == 4
+    assert found[0] == found[1] == found[2] and len(found[0]) == 4
+    assert all(r[FILE_LOG.names.index("completed_step")] == 4 for r in found[0])
