@@ -19,8 +19,6 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 256 * 1024 * 1024
 BROADCAST_BANDS = 1_000
 ROWS_PER_TASK = 5_000_000
-# Shares of every key where the hot ones are too many to list.
-SHARES_OF_ALL = 16
 # Parts that a cell with many rows is cut in, with about as many rows each.
 PARTS_OF_CELL = 64
 
@@ -37,20 +35,37 @@ def fits(df: DataFrame, rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
     return n <= rows and size <= max_bytes
 
 
+def _many_rows(fact: DataFrame, keys: list[str], rows_per_task: int) -> DataFrame:
+    counts = fact.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    return settle(counts.where(F.col("_rows") > rows_per_task), "hot-keys")
+
+
+def _listed(hot: DataFrame, keys: list[str], rows_per_task: int) -> DataFrame:
+    names = [F.col(k).alias(f"_hot_{k}") for k in keys]
+    return hot.select(*names, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_shares"))
+
+
 def hot_keys(fact: DataFrame, keys: list[str], rows_per_task: int, broadcast_rows: int) -> DataFrame | None:
     """Keys with more than ``rows_per_task`` rows and the shares to split them in.
 
     There are at most ``count(fact) / rows_per_task`` of them. None if they are
     too many to broadcast.
     """
-    counts = fact.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    hot = settle(counts.where(F.col("_rows") > rows_per_task), "hot-keys")
-    if not fits(hot, broadcast_rows):
-        return None
-    return hot.select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys],
-        F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_shares"),
-    )
+    hot = _many_rows(fact, keys, rows_per_task)
+    return _listed(hot, keys, rows_per_task) if fits(hot, broadcast_rows) else None
+
+
+def key_shares(fact: DataFrame, keys: list[str], rows_per_task: int, broadcast_rows: int) -> tuple[DataFrame, int]:
+    """A list of the hottest keys with their shares, which fits a broadcast, and the shares of every other key.
+
+    The others have one share if all hot keys can be listed, else the least power of two that leaves no more
+    than ``rows_per_task`` rows in a share of theirs. Rows are counted once.
+    """
+    hot, others = _many_rows(fact, keys, rows_per_task), 1
+    while not fits(hot, max(0, broadcast_rows)):
+        others *= 2
+        hot = hot.where(F.col("_rows") > others * rows_per_task)
+    return _listed(hot, keys, rows_per_task), others
 
 
 def skew_safe_join(
@@ -83,26 +98,21 @@ def skew_safe_join(
         return fact.join(F.broadcast(dim), reduce(Column.__and__, matches), how).drop(*drop)
 
     spread = F.xxhash64(*(spread_by or fact.columns))
-    hot = hot_keys(fact, keys, rows_per_task, broadcast_rows)
-    if hot is None:
-        # So many hot keys that their list is no small table: every key is split alike.
-        shares = F.lit(SHARES_OF_ALL)
-        dealt = fact.withColumn("_share", F.pmod(spread, shares.cast("bigint")).cast("int"))
-        repeated = dim.withColumn("_dim_share", F.explode(F.sequence(F.lit(0), shares - 1)))
-    else:
-        same_fact = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-        same_dim = reduce(Column.__and__, [F.col(f"_dim_{k}").eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-        names = [f"_hot_{k}" for k in keys]
-        dealt = (
-            fact.join(F.broadcast(hot), same_fact, "left")
-            .withColumn("_share", F.pmod(spread, F.coalesce("_shares", F.lit(1)).cast("bigint")).cast("int"))
-            .drop("_shares", *names)
-        )
-        repeated = (
-            dim.join(F.broadcast(hot), same_dim, "left")
-            .withColumn("_dim_share", F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1)))
-            .drop("_shares", *names)
-        )
+    hot, others = key_shares(fact, keys, rows_per_task, broadcast_rows)
+    shares = F.coalesce("_shares", F.lit(others))
+    same_fact = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    same_dim = reduce(Column.__and__, [F.col(f"_dim_{k}").eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    names = [f"_hot_{k}" for k in keys]
+    dealt = (
+        fact.join(F.broadcast(hot), same_fact, "left")
+        .withColumn("_share", F.pmod(spread, shares.cast("bigint")).cast("int"))
+        .drop("_shares", *names)
+    )
+    repeated = (
+        dim.join(F.broadcast(hot), same_dim, "left")
+        .withColumn("_dim_share", F.explode(F.sequence(F.lit(0), shares - 1)))
+        .drop("_shares", *names)
+    )
     matches.append(F.col("_share") == F.col("_dim_share"))
     return dealt.join(repeated, reduce(Column.__and__, matches), how).drop("_share", "_dim_share", *drop)
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lanelux.operators import joins
-from lanelux.operators.joins import band_join, hot_keys, interval_join, skew_safe_join
+from lanelux.operators.joins import band_join, hot_keys, interval_join, key_shares, skew_safe_join
 
 WAYS = [{}, {"broadcast_rows": 0, "rows_per_task": 1_000_000}, {"broadcast_rows": 0, "rows_per_task": 7}, {"rows_per_task": 150}]
 
@@ -50,6 +50,20 @@ def test_hot_keys_are_split_and_few(fact):
     assert hot_keys(fact, ["k"], 19, 1) is None
 
 
+@pytest.mark.parametrize("rows_per_task", [1, 7, 50, 1000])
+@pytest.mark.parametrize("room", [0, 1, 4, 100])
+def test_no_share_is_larger_than_a_task_should_hold(fact, rows_per_task, room):
+    """Also where the list of hot keys has no room, and then no key is split much finer than it must be."""
+    counts = {r["k"]: r["count"] for r in fact.groupBy("k").count().collect()}
+    listed, others = key_shares(fact, ["k"], rows_per_task, room)
+    hot = {r["_hot_k"]: r["_shares"] for r in listed.collect()}
+    assert len(hot) <= room
+    for k, n in counts.items():
+        assert n <= hot.get(k, others) * rows_per_task
+        assert k not in hot or (hot[k] - 1) * rows_per_task < n
+    assert others == 1 or sum(n > others // 2 * rows_per_task for n in counts.values()) > room
+
+
 def test_no_task_gets_the_whole_hot_key(fact, dim):
     joined = skew_safe_join(fact, dim, ["k"], spread_by=["id"], broadcast_rows=4, rows_per_task=20)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
