@@ -452,9 +452,9 @@ def import_rows(
     return typed.select(F.inline(F.array(F.struct(*MEASUREMENT_RAW.names, "line_no", "errors"))))
 
 
-def accepted(imported: DataFrame) -> DataFrame:
-    """Sound rows; file and ``line_no`` are their exact key."""
-    return imported.where(F.size("errors") == 0).select(*MEASUREMENT_RAW.names, "line_no")
+def accepted(imported: DataFrame, *more: str) -> DataFrame:
+    """Sound rows, with the columns ``more``; file and ``line_no`` are their exact key."""
+    return imported.where(F.size("errors") == 0).select(*MEASUREMENT_RAW.names, "line_no", *more)
 
 
 def rejected(imported: DataFrame) -> DataFrame:

@@ -198,3 +198,31 @@ def test_tree_lists_by_many_tasks(spark, tmp_path, monkeypatch):
 )
 def test_system_of_a_folder(folder, path):
     assert catalog._system(folder)[1] == path
+
+
+def test_many_batches_are_read_by_one_load(spark, tmp_path, monkeypatch):
+    """Batches are full and few, their files are read together, and each keeps its own partition."""
+    from lanelux.streaming import ingest
+
+    source, table, state, loads = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "s"), []
+    for n in range(7):
+        write(source / f"N{n}" / f"N{n} M1.xls", keyed(body(), body()))
+
+    def scan(session, paths, *args, **options):
+        loads.append(len(paths))
+        return scan_files(session, paths, *args, **options)
+
+    scan_files = ingest.scan_files
+    monkeypatch.setattr(ingest, "scan_files", scan)
+    for _ in range(2):
+        start_ingest(spark, str(source), table, state, READ_AT, files_per_batch=2).awaitTermination()
+        assert loads == [7]
+    for path, n in ((table, 2), (f"{table}_files", 1)):
+        counts = {r["batch"]: r["count"] // n for r in spark.read.parquet(path).groupBy("batch").count().collect()}
+        assert sorted(counts) == [0, 1, 2, 3] and sorted(counts.values()) == [1, 2, 2, 2]
+    monkeypatch.setattr(ingest, "FILES_PER_LOAD", 4)
+    for n in range(7, 12):
+        write(source / f"N{n}" / f"N{n} M1.xls", keyed(body()))
+    start_ingest(spark, str(source), table, state, READ_AT, files_per_batch=2).awaitTermination()
+    assert sorted(loads[1:]) in ([1, 4], [2, 3])
+    assert spark.read.parquet(table).count() == 19
