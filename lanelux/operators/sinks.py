@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import partial
+from itertools import groupby
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanelux.operators.survey import normalized_line
 from lanelux.session import file_system, remove
+from lanelux.sources import catalog
 
 
 #: A pointer's name: year, number, what it does to the year's rows, and the folder it names.
@@ -133,6 +138,47 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+#: Characters that a folder name of a partition has as their code, as Spark's writer has them.
+_ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+
+
+def _folder_name(url: str | None) -> str:
+    """The folder of a file's copy, which Spark's readers take for a partition of ``bestands_url``."""
+    name = _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", url) if url else "__HIVE_DEFAULT_PARTITION__"
+    return f"bestands_url={name}"
+
+
+def _copied(batches: Iterator[pa.RecordBatch], root: str, run: str) -> Iterator[pa.RecordBatch]:
+    """Write sorted (bestands_url, value) as one part per file; a part gets its name when it is whole.
+
+    A task that is tried again writes the same parts.
+    """
+    system, top = catalog._system(root)
+    task = TaskContext.get()
+    name = f"part-{task.partitionId():05d}-{run}.c000.txt"
+    made, out, now, folder = 0, None, None, ""
+
+    def end() -> None:
+        out.close()
+        system.move(f"{folder}/.{task.taskAttemptId()}", f"{folder}/{name}")
+
+    for batch in batches:
+        values, at = batch["value"].to_pylist(), 0
+        for url, same in groupby(batch["bestands_url"].to_pylist()):
+            n = sum(1 for _ in same)
+            if out is None or url != now:
+                if out is not None:
+                    end()
+                now, folder, made = url, f"{top}/{_folder_name(url)}", made + 1
+                system.create_dir(folder, recursive=True)
+                out = system.open_output_stream(f"{folder}/.{task.taskAttemptId()}")
+            out.write(b"\n".join([v or b"" for v in values[at : at + n]]) + b"\n")
+            at += n
+    if out is not None:
+        end()
+    yield pa.RecordBatch.from_pydict({"made": pa.array([made], pa.int64())})
+
+
 def write_normalized(
     lines: DataFrame,
     path: str,
@@ -148,21 +194,33 @@ def write_normalized(
     in line order; ``normalized_lines`` reads them as one file again. The text
     is written in ``encoding``, as survey files are; of ISO-8859-1, characters
     that it lacks become question marks.
+
+    There are as many copies as survey files, so the tasks write them through Arrow's file systems: Spark's
+    writer starts a process for each local file and moves each folder on the driver. All are written beside
+    ``path`` and put in its place at once, when every task is done.
     """
+    spark = lines.sparkSession
     order = ["bestands_url", "line_no"]
     clean = normalized_line(lines, delimiter, repair)
+    value = F.col("value").cast("binary")
     if encoding == "ISO-8859-1":
-        known = F.regexp_replace("value", r"[^\x{0}-\x{ff}]", "?")
-        # The writer passes a text's bytes on as they are.
-        clean = clean.withColumn("value", F.encode(known, encoding).cast("string"))
+        value = F.encode(F.regexp_replace("value", r"[^\x{0}-\x{ff}]", "?"), encoding)
+    clean = clean.withColumn("value", value)
     dealt = clean.repartitionByRange(parts, *order) if parts else clean.repartitionByRange(*order)
-    (
-        dealt.sortWithinPartitions(*order)
-        .select("bestands_url", "value")
-        .write.mode("overwrite")
-        .partitionBy("bestands_url")
-        .text(path)
-    )
+    sorted_ = dealt.sortWithinPartitions(*order).select("bestands_url", "value")
+    run = uuid.uuid4().hex
+    system, place = file_system(spark, path)
+    whole = system.makeQualified(place)
+    staged = file_system(spark, f"{whole.getParent().toString()}/_{whole.getName()}-{run}")[1]
+    try:
+        system.mkdirs(staged)
+        sorted_.mapInArrow(partial(_copied, root=staged.toString(), run=run), "made long").agg(F.sum("made")).collect()
+        system.create(file_system(spark, f"{staged.toString()}/_SUCCESS")[1], True).close()
+        system.delete(whole, True)
+        if not system.rename(staged, whole):
+            raise OSError(f"{path} could not be put in place")
+    finally:
+        system.delete(staged, True)
 
 
 def write_combined_csv(df: DataFrame, path: str) -> None:

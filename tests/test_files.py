@@ -226,3 +226,23 @@ def test_many_batches_are_read_by_one_load(spark, tmp_path, monkeypatch):
     start_ingest(spark, str(source), table, state, READ_AT, files_per_batch=2).awaitTermination()
     assert sorted(loads[1:]) in ([1, 4], [2, 3])
     assert spark.read.parquet(table).count() == 19
+
+
+def test_copies_are_replaced_as_a_whole(spark, tmp_path, rows):
+    """Names are those that Spark's writer gives; a run that fails leaves the copies before it."""
+    schema, out = "bestands_url string, line_no long, value string", str(tmp_path / "out")
+    urls = ["a/b c+%é=1.xls", "q'\"#*?:\\{x}[y]^~", "", None, "z|<>&;$\x7f"]
+    lines = spark.createDataFrame([(u, n, f"{n}\té€") for u in urls for n in range(3)], schema)
+    sinks.write_normalized(lines, out, parts=2)
+    spark.createDataFrame([(u, "x") for u in urls], "bestands_url string, value string").write.partitionBy("bestands_url").text(f"{out}-spark")
+    folders = lambda path: {p.name for p in pathlib.Path(path).glob("bestands_url=*")}
+    assert folders(out) == folders(f"{out}-spark") and len(folders(out)) == 4
+    copy = sorted(pathlib.Path(out).glob("bestands_url=a*/part-*"))
+    assert b"".join(p.read_bytes() for p in copy) == b"0;\xe9?\n1;\xe9?\n2;\xe9?\n"
+    assert not list(pathlib.Path(out).glob("bestands_url=*/*.crc"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_normalized(lines.withColumn("value", F.raise_error(F.lit("lost")).cast("string")), out)
+    read = spark.read.option("basePath", out).text(out)
+    assert read.count() == 15 and len(list(tmp_path.iterdir())) == 2
+    sinks.write_normalized(lines.limit(1), out)
+    assert spark.read.option("basePath", out).text(out).count() == 1
