@@ -141,10 +141,13 @@ def append(df: DataFrame, path: str) -> None:
 #: Characters that a folder name of a partition has as their code, as Spark's writer has them.
 _ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 
+#: The folder of rows without a file, where Spark's writer puts them.
+_NO_FILE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _folder_name(url: str | None) -> str:
     """The folder of a file's copy, which Spark's readers take for a partition of ``bestands_url``."""
-    name = _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", url) if url else "__HIVE_DEFAULT_PARTITION__"
+    name = _NO_FILE if url is None else _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", url)
     return f"bestands_url={name}"
 
 
@@ -205,7 +208,9 @@ def write_normalized(
     value = F.col("value").cast("binary")
     if encoding == "ISO-8859-1":
         value = F.encode(F.regexp_replace("value", r"[^\x{0}-\x{ff}]", "?"), encoding)
-    clean = clean.withColumn("value", value)
+    # What shares a folder is one file.
+    url = F.when(~F.col("bestands_url").isin("", _NO_FILE), F.col("bestands_url"))
+    clean = clean.withColumns({"value": value, "bestands_url": url})
     dealt = clean.repartitionByRange(parts, *order) if parts else clean.repartitionByRange(*order)
     sorted_ = dealt.sortWithinPartitions(*order).select("bestands_url", "value")
     run = uuid.uuid4().hex
