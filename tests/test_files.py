@@ -246,3 +246,19 @@ def test_copies_are_replaced_as_a_whole(spark, tmp_path, rows):
     assert read.count() == 15 and len(list(tmp_path.iterdir())) == 2
     sinks.write_normalized(lines.limit(1), out)
     assert spark.read.option("basePath", out).text(out).count() == 1
+
+
+def test_batches_of_the_stream_share_few_state_tasks(spark, tmp_path):
+    """However finely tables are shuffled; a run with another setting goes on with the same names."""
+    source, table, state = tmp_path / "in", str(tmp_path / "t"), tmp_path / "s"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for tasks, folder in ((23, "B"), (2, "A")):
+            spark.conf.set("spark.sql.shuffle.partitions", tasks)
+            write(source / folder / "N1 M1.xls", keyed(body()))
+            start_ingest(spark, str(source), table, str(state), READ_AT).awaitTermination()
+            assert spark.conf.get("spark.sql.shuffle.partitions") == str(tasks)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len([p for p in (state / "state" / "0").iterdir() if p.name.isdigit()]) == 4
+    assert _outcomes(spark, table) == {"B/N1 M1.xls": "ok", "A/N1 M1.xls": NAME_TAKEN}
