@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanelux.llm import langid, mixing, packing, secrets, simhash
+from lanelux.llm import langid, langtrain, mixing, packing, secrets, simhash
 from lanelux.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -22,11 +22,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known with ``LEAST_SCORE`` or more; ``lang`` is filled where it is null.
 
     The score is a share among the learned languages, so a text that fits none of them goes by a measure of
-    its own (``langid.calibrate``). Learned from the documents' own labels. Null, empty and letterless texts go. Without any label
+    its own (its limit is set by ``langtrain.fit_all``). Learned from all documents that have a label, whole texts. Null, empty and letterless texts go. Without any label
     no language is known, so the stage decides nothing and keeps what has a letter.
     """
     docs = docs.select(*COLUMNS)
-    model = langid.fit(docs, calibrated=True)
+    model = langtrain.fit_all(docs, calibrated=True)
     if model is None:
         return docs.where(F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False)))
     rows = langid.predict(docs, model)

@@ -10,8 +10,9 @@ Whether a text is in any of the languages is a measure of its own: the mean log
 characters under trigram models of the languages, for each word the best one's, against a limit from
 the labelled sample.
 
-Training: a bounded sample of labelled texts, cut into short pieces that are chained in mixed
-order, so transitions between languages are seen. Prediction reads whole texts.
+Training: labelled texts, cut into short pieces that are chained in mixed order, so transitions between
+languages are seen. ``langtrain.fit_all`` learns from all of them, as the queries do; ``fit`` is a quick model of a bounded
+sample. Prediction reads whole texts.
 """
 
 from __future__ import annotations
@@ -99,7 +100,8 @@ def _table(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _scores(weights: np.ndarray, flat: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    sums = np.stack([np.bincount(owner, weights[flat, k], len(counts)) for k in range(weights.shape[1])], axis=1)
+    # a label's weights in one array are read faster than a column
+    sums = np.stack([np.bincount(owner, own[flat], len(counts)) for own in np.ascontiguousarray(weights.T)], axis=1)
     return sums / np.sqrt(np.maximum(1, counts))[:, None]
 
 
@@ -132,6 +134,21 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray,
     return forward * backward, forward, backward, local, scale, float((np.log(scale) + top[:, 0]).sum())
 
 
+def chain_gradients(scores: np.ndarray, gold: np.ndarray, lengths: np.ndarray, moves: np.ndarray, first: np.ndarray):
+    """Gradients of the chains' log likelihood by word scores, transitions and start weights."""
+    posterior, forward, backward, local, scale, _ = forward_backward(scores, lengths, moves, first)
+    gradient = -posterior
+    gradient[np.arange(len(gold)), gold] += 1
+    ends = np.zeros(len(gold), bool)
+    ends[np.cumsum(lengths) - 1] = True
+    here = np.flatnonzero(~ends)
+    wanted = np.bincount(gold[here] * len(moves) + gold[here + 1], minlength=moves.size).reshape(moves.shape).astype(float)
+    after = backward[here + 1] * local[here + 1] / scale[here + 1][:, None]
+    wanted -= np.exp(moves) * (forward[here].T @ after)
+    begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    return gradient, wanted, gradient[begin].sum(axis=0)
+
+
 def _chains(text: str) -> list[list[str]]:
     """Chains of words; lines end a chain, long lines are cut.
 
@@ -164,9 +181,18 @@ def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.stack(rows), owner
 
 
+def folded(grams: np.ndarray, bits: int) -> np.ndarray:
+    """Keys of ``_grams`` hashed to so many bits, so that their tables are bounded."""
+    mixed = grams.astype(np.uint64) * _ODD[0]
+    return (((mixed ^ (mixed >> np.uint64(31))) * _TURN) >> np.uint64(64 - bits)).astype(np.int64)
+
+
 class Trigrams:
     """Character models of languages: how well words fit the best of them."""
 
+    #: Bits of folded keys; 0 if keys are exact.
+    bits = 0
+
     def __init__(self, words: list[str], labels: np.ndarray, languages: int):
         """``labels``: the language of each of ``words``."""
         known: dict[str, int] = {}
@@ -180,6 +206,17 @@ class Trigrams:
             none = np.zeros((1, languages))
             self.tables.append((np.append(keys, np.iinfo(np.int64).max), np.append(counts, none, axis=0).astype(np.float32)))
 
+    @classmethod
+    def counted(cls, tables: list[tuple[np.ndarray, np.ndarray]], bits: int) -> Trigrams:
+        """From sorted keys and counts per language of the six rows of ``_grams``, keys folded to ``bits``."""
+        made = cls.__new__(cls)
+        made.bits = bits
+        made.tables = [
+            (np.append(keys, np.iinfo(np.int64).max), np.append(counts, np.zeros((1, counts.shape[1])), axis=0).astype(np.float32))
+            for keys, counts in tables
+        ]
+        return made
+
     def of(self, words: list[str]) -> np.ndarray:
         """Per word the log probability under the best language, and its characters with the end."""
         parts = [self._of(words[k : k + 8192]) for k in range(0, len(words), 8192)]
@@ -187,6 +224,8 @@ class Trigrams:
 
     def _of(self, words: list[str]) -> np.ndarray:
         grams, owner = _grams(words)
+        if self.bits:
+            grams = folded(grams, self.bits)
         chance: float | np.ndarray = RARE
         for k in range(0, 6, 2):
             seen, both = (self._counts(grams[j], *self.tables[j]) for j in (k, k + 1))
@@ -278,18 +317,7 @@ def train(texts: list[str], labels: list[str], rounds: int = 14, rate: float = 0
                 # three pieces make a chain
                 lengths = np.array([sum(len(p) for p, _ in chosen[k : k + 3]) for k in range(0, len(chosen), 3)])
                 scores = _scores(weights, flat, owner, counts)[words]
-                posterior, forward, backward, local, scale, _ = forward_backward(scores, lengths, moves, first)
-                gradient = -posterior
-                gradient[np.arange(len(gold)), gold] += 1
-                ends = np.zeros(len(words), bool)
-                ends[np.cumsum(lengths) - 1] = True
-                here = np.flatnonzero(~ends)
-                wanted = np.zeros_like(moves)
-                np.add.at(wanted, (gold[here], gold[here + 1]), 1)
-                after = backward[here + 1] * local[here + 1] / scale[here + 1][:, None]
-                wanted -= np.exp(moves) * (forward[here].T @ after)
-                begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-                first_gradient = gradient[begin].sum(axis=0)
+                gradient, wanted, first_gradient = chain_gradients(scores, gold, lengths, moves, first)
                 per_word = np.stack([np.bincount(words, gradient[:, k], len(known)) for k in range(size)], axis=1)
                 per_word *= scaled[:, None]
                 step = np.stack(
@@ -304,6 +332,17 @@ def train(texts: list[str], labels: list[str], rounds: int = 14, rate: float = 0
     return {"names": names, "weights": weights.astype(np.float32), "moves": moves, "first": first}
 
 
+def labelled_rows(docs: DataFrame) -> tuple[DataFrame, dict[str, tuple[int, int]]]:
+    """Rows with a label and a text, and per label their number and characters. More than ``MOST_LABELS`` raise."""
+    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    rows = rows.where(F.col("lang").isNotNull() & (F.length("text") > 0))
+    labelled = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+    counts = {r["lang"]: (r["n"], r["chars"]) for r in labelled.limit(MOST_LABELS + 1).collect()}
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels")
+    return rows, counts
+
+
 def fit(docs: DataFrame, texts_per_label: int = SAMPLE_TEXTS, seed: int = 3, calibrated: bool = False) -> dict | None:
     """A model of ``docs`` (doc_id, text, lang), also ``calibrated``; None if no row has a label and a text.
 
@@ -312,14 +351,10 @@ def fit(docs: DataFrame, texts_per_label: int = SAMPLE_TEXTS, seed: int = 3, cal
     have fewer and shorter texts each, so that all together stay under ``ALL_TEXTS`` and ``ALL_CHARS``; no label with
     a text goes. More than ``MOST_LABELS`` labels raise. Only the sample comes to the driver.
     """
-    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = rows.where(F.col("lang").isNotNull() & (F.length("text") > 0))
-    labelled = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    counts = {r["lang"]: r["n"] for r in labelled.limit(MOST_LABELS + 1).collect()}
+    rows, sizes = labelled_rows(docs)
+    counts = {k: n for k, (n, _) in sizes.items()}
     if not counts:
         return None
-    if len(counts) > MOST_LABELS:
-        raise ValueError(f"more than {MOST_LABELS} labels")
     texts_per_label = min(texts_per_label, ALL_TEXTS // len(counts))
     chars = min(SAMPLE_CHARS, ALL_CHARS // (texts_per_label * len(counts)))
     chance = F.xxhash64(F.lit(seed), "doc_id", "text").bitwiseAND(F.lit((1 << 40) - 1))
@@ -444,7 +479,9 @@ def held_out(doc_id: str = "doc_id"):
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned from three quarters of them."""
+    from lanelux.llm.langtrain import fit_all  # it trains with the functions above
+
     docs = table(spark, sf_dir, "documents")
     learned = docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2).select("doc_id", "text", "lang")
-    rows = predict(docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")), fit(learned))
+    rows = predict(docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")), fit_all(learned))
     return rows.select("doc_id", held_out().alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_lang_score").alias("score"))
