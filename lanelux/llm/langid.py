@@ -21,6 +21,7 @@ import string
 import uuid
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +75,7 @@ def _table(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     low = [w.lower() for w in words]
     cores = [w.strip(_PUNCTUATION) or w for w in low]
     sizes = np.fromiter(map(len, cores), np.int64, len(cores)) + 2
-    marked = "".join(["\x02" + c + "\x03" for c in cores])
+    marked = f"\x02{'\x03\x02'.join(cores)}\x03" if cores else ""
     codes = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     ends = np.cumsum(sizes)
     starts, number = ends - sizes, np.arange(len(cores))
@@ -400,7 +401,8 @@ class Tagger:
     def _tagged(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """As ``words``, and the words' places in what is kept."""
         chains = [_chains(t) for t in texts]
-        new = {w for own in chains for c in own for w in c}
+        tokens = list(chain.from_iterable(chain.from_iterable(chains)))
+        new = set(tokens)
         if len(self._known) > KEEP_WORDS:
             self._known.clear()
             self._scores, self._letters = self._scores[:0], self._letters[:0]
@@ -408,7 +410,7 @@ class Tagger:
         new.difference_update(self._known)
         self._learn(list(new))
         known = self._known
-        ids = np.array([known[w] for own in chains for c in own for w in c], np.int64)
+        ids = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
         lengths = np.array([len(c) for own in chains for c in own], np.int64)
         counts = np.array([sum(map(len, own)) for own in chains], np.int64)
         if not len(ids):
