@@ -22,8 +22,8 @@ from lanelux.llm.runs import text_bytes
 
 IDS = np.dtype("<u4")
 
-#: Bytes of text that are cut into units together, and units that a worker keeps.
-TOKEN_STEP, KEEP_UNITS = 8 << 20, 1_000_000
+#: Bytes of text that are cut into units together, of which each takes some fifty bytes meanwhile, and units that a worker keeps.
+TOKEN_STEP, KEEP_UNITS = 2 << 20, 1_000_000
 
 _SPACE, _LETTER, _SIGN, _RARE = 1, 2, 4, 8
 

@@ -30,6 +30,15 @@ def test_small_memory(vocabulary):
         assert encoder.encode([text]) == [encoder._whole(text or "")]
 
 
+def test_a_worker_cuts_few_bytes_of_text_at_once(monkeypatch):
+    encoder, sizes = tokens.Encoder(tokens.public_tokenizers.path(tokens.BYTE_BPE[0]), *tokens.BYTE_BPE[1:]), []
+    inner = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda joined, bounds: sizes.append(len(joined)) or inner(joined, bounds))
+    texts = ["ab cd " * 50_000 + str(k) for k in range(30)]
+    assert encoder.encode(texts) == [encoder._whole(t) for t in texts[:1]] + [encoder.encode([t])[0] for t in texts[1:]]
+    assert max(sizes) <= 3 << 20 and sum(sizes[:-29]) == sum(map(len, texts))
+
+
 def test_frames_round_trip():
     rng = np.random.default_rng(2)
     docs = [(i, rng.integers(0, 50_000, n).astype("<u4").tobytes()) for i, n in enumerate([0, 1, 5000, 3, 70_000, 0, 2])]
