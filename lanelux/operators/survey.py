@@ -257,6 +257,25 @@ def _top_lines(
     return top.withColumn("fields", split_fields(F.col("value"), delimiter)).drop("value")
 
 
+# Header lines that a task sorts at once.
+SORT_ROWS = 200_000
+
+
+def _dealt_tops(rows: DataFrame, n: int) -> DataFrame:
+    """The ``n`` header lines ``rows`` in tasks of about ``SORT_ROWS``, lines of a file mostly together.
+
+    Texts are aggregated by sorting, and a task of a scan may hold the headers of any number of files.
+    """
+    if n <= SORT_ROWS:
+        return rows
+    parts = max(-(-n // SORT_ROWS), rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(parts, F.col("bestands_url"), F.call_function("div", F.col("line_no"), F.lit(1024)))
+
+
+def _n_top_lines(ends: DataFrame) -> int:
+    return ends.agg(F.coalesce(F.sum(F.col("_end") + 2), F.lit(0))).first()[0]
+
+
 def header_entries(
     lines: DataFrame,
     delimiter: str = "\t",
@@ -264,9 +283,10 @@ def header_entries(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Header of each file as (bestands_url, key, value); the last of a repeated key counts."""
-    rows = _top_lines(lines, _header_ends(lines, delimiter), delimiter, broadcast_rows, rows_per_task)
+    ends = _header_ends(lines, delimiter)
+    rows = _top_lines(lines, ends, delimiter, broadcast_rows, rows_per_task)
     return (
-        rows.where(F.col("line_no") < F.col("_end"))
+        _dealt_tops(rows, _n_top_lines(ends)).where(F.col("line_no") < F.col("_end"))
         .groupBy("bestands_url", _field(F.col("fields"), 0).alias("key"))
         .agg(F.max_by(_field(F.col("fields"), 1), F.col("line_no")).alias("value"))
     )
@@ -295,17 +315,18 @@ def line_headers(
     if layout == "positional":
         at = F.when(number == POSITIONAL_COLUMN_LINE, number)
         picks = [F.max(F.when(number == i, _field(fields, 1))).alias(n) for i, n in POSITIONAL_HEADER.items()]
-        rows = _fields_of_lines(lines.where(number <= POSITIONAL_COLUMN_LINE), layout, delimiter)
+        top = lines.where(number <= POSITIONAL_COLUMN_LINE)
+        rows, n = _fields_of_lines(top, layout, delimiter), top.count()
     else:
         ends = _header_ends(lines, delimiter)
-        rows = _top_lines(lines, ends, delimiter, broadcast_rows, rows_per_task)
+        rows, n = _top_lines(lines, ends, delimiter, broadcast_rows, rows_per_task), _n_top_lines(ends)
         at = F.when(number > F.col("_end"), number)
         in_header = number < F.col("_end")
         picks = [
             F.max_by(_field(fields, 1), F.when(in_header & (_field(fields, 0) == key), number)).alias(name)
             for key, name in HEADER_KEYS.items()
         ]
-    heads = rows.groupBy("bestands_url").agg(*picks, F.min(at).alias("_at"), F.min_by(fields, at).alias("columns"))
+    heads = _dealt_tops(rows, n).groupBy("bestands_url").agg(*picks, F.min(at).alias("_at"), F.min_by(fields, at).alias("columns"))
     if layout != "positional":
         # A header that ends with the file has a place for the column row, but no such row.
         heads = ends.join(heads.drop("_at"), "bestands_url", "left").withColumn("_at", F.col("_end") + 1).drop("_end")

@@ -95,6 +95,25 @@ def test_line_path_with_many_files_and_hot_file(spark, rows):
     assert rows(plain) == rows(spread) and plain.count() == 56
 
 
+def test_header_lines_are_sorted_in_bounded_tasks(spark, rows, monkeypatch):
+    files = {f"f{k}": keyed(body(), head=HEAD | {"Lane:": f"R{k}"}) for k in range(40)} | {"none": ["a\tb"] * 30}
+    files |= {f"p{k}": [f"k\tv{i} {k}" for i in range(18)] + ["\t".join(COLUMNS), body()] for k in range(40)}
+    lines = spark.createDataFrame(
+        [(f, i, v) for f, own in files.items() for i, v in enumerate(own)], "bestands_url string, line_no long, value string"
+    ).coalesce(1)
+    ways = [*[lambda w=w: survey.line_headers(lines, w) for w in ("keyed", "positional", "mixed")], lambda: survey.header_entries(lines)]
+    wanted, plans, inner = [rows(way()) for way in ways], [], survey.settle
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return inner(df, name)
+
+    monkeypatch.setattr(survey, "settle", seen)
+    monkeypatch.setattr(survey, "SORT_ROWS", 50)
+    assert [rows(way()) for way in ways] == wanted
+    assert sum(name == "headers" and "REPARTITION_BY_NUM" in plan for name, plan in plans) == 4
+
+
 def test_repeated_header_key_and_blank_variants(spark):
     lines = ["Remarks:\teerst", *[f"{k}\t{v}" for k, v in HEAD.items() if k != "Remarks:"], "Remarks:\tlaatst", '";\tx', "\t".join(COLUMNS), body()]
     df = spark.createDataFrame([("f", "\n".join(lines))], "bestands_url string, content string")
