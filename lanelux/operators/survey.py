@@ -72,6 +72,11 @@ def _blank(field: Column) -> Column:
     return field.rlike(r"^[\s\x1c-\x1f\x85\xa0]*$")
 
 
+def _may_be_blank(line: Column, delimiter: str) -> Column:
+    """Whether the first field of a line can be blank; told without splitting the line."""
+    return line.rlike(rf'^[\s";\\\x1c-\x1f\x85\xa0]*({delimiter}|$)')
+
+
 def _field(fields: Column, i: int) -> Column:
     return F.get(fields, F.lit(i))
 
@@ -152,7 +157,8 @@ def _located_files(files: DataFrame, layout: str, delimiter: str) -> DataFrame:
     else:
 
         def blank_at(part: Column) -> Column:
-            return F.array_position(F.transform(part, lambda v: _blank(_field(fields_of(v), 0))), F.lit(True))
+            blank = lambda v: F.when(_may_be_blank(v, delimiter), _blank(_field(fields_of(v), 0))).otherwise(False)
+            return F.array_position(F.transform(part, blank), F.lit(True))
 
         early = F.nullif(blank_at(F.slice("_lines", 1, _FIRST_LINES)), F.lit(0))
         at = F.coalesce(early, blank_at(F.col("_lines"))).cast("int")
@@ -235,8 +241,7 @@ def _header_ends(lines: DataFrame, delimiter: str) -> DataFrame:
 
     Only lines that may begin with a blank field are split.
     """
-    may_be_blank = F.col("value").rlike(rf'^[\s";\\\x1c-\x1f\x85\xa0]*({delimiter}|$)')
-    blank = F.when(may_be_blank, _blank(_field(split_fields(F.col("value"), delimiter), 0)))
+    blank = F.when(_may_be_blank(F.col("value"), delimiter), _blank(_field(split_fields(F.col("value"), delimiter), 0)))
     ends = lines.groupBy("bestands_url").agg(F.min(F.when(blank, F.col("line_no"))).alias("_end"))
     return settle(ends, "header-ends")
 

@@ -1,4 +1,5 @@
 import datetime
+import re
 from decimal import Decimal
 
 import pytest
@@ -131,6 +132,17 @@ def test_header_longer_than_the_first_look(spark):
     assert survey.parse_files(df).count() == 1
 
 
+def test_header_end_is_looked_for_without_splitting_all_lines(spark):
+    ends = ["", " \t", '";\\ \tx', "\\\t\tx", "\x85\xa0\tx"]
+    for end in [*ends, "\\\\\tx", "-\t"]:
+        lines = [*keyed()[:7], end, "\t".join(COLUMNS), body()]
+        whole = spark.createDataFrame([("f", "\n".join(lines))], "bestands_url string, content string")
+        heads = survey.file_headers(whole)
+        assert heads.first()["outcome"] == (survey.FILE_OK if end in ends else survey.NO_HEADER_END), end
+    plan = heads._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"transform\(slice\(_lines#\d+, 1, 200\), lambdafunction\(CASE WHEN RLIKE\(lambda", plan)
+
+
 def test_file_without_blank_row_has_no_body(spark):
     df = spark.createDataFrame([("f", "Info:\tx\nLane:\ty\n")], "bestands_url string, content string")
     assert survey.parse_files(df).count() == 0
