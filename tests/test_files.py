@@ -262,3 +262,42 @@ def test_batches_of_the_stream_share_few_state_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert len([p for p in (state / "state" / "0").iterdir() if p.name.isdigit()]) == 4
     assert _outcomes(spark, table) == {"B/N1 M1.xls": "ok", "A/N1 M1.xls": NAME_TAKEN}
+
+
+def test_stream_decides_on_many_batches_at_a_time(spark, tmp_path, monkeypatch):
+    """Batches stay as small as asked for, the stream takes several of them in one step; names hold over steps."""
+    from lanelux.streaming import ingest
+
+    source, table, state = tmp_path / "in", str(tmp_path / "t"), tmp_path / "s"
+
+    def run(*folders):
+        for folder in folders:
+            write(source / folder / f"{folder[1:]} M1.xls", keyed(body()))
+        start_ingest(spark, str(source), table, str(state), READ_AT, files_per_batch=2).awaitTermination()
+        counts = spark.read.parquet(f"{table}_files").groupBy("batch").count()
+        steps = [p for p in (state / "commits").iterdir() if p.name.isdigit()]
+        return len(steps), sorted(r["count"] for r in counts.collect())
+
+    assert run(*[f"BN{n}" for n in range(7)]) == (1, [1, 2, 2, 2])
+    monkeypatch.setattr(ingest, "FILES_PER_STEP", 5)  # two whole batches
+    assert run("AN3", "AN8", "BN9", "CN9", "CN10") == (3, [1, 1, 2, 2, 2, 2, 2])
+    taken = {name for name, outcome in _outcomes(spark, table).items() if outcome == "ok"}
+    assert {n.split("/")[0] for n in taken} == {*[f"BN{n}" for n in range(7)], "AN8", "BN9", "CN10"}
+    assert spark.read.parquet(table).count() == 10
+
+
+def test_listing_of_an_earlier_version_is_one_batch_a_step(spark, tmp_path):
+    """Listed and decided files without a part keep their batch, whose number is the step's."""
+    source, table, state = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "s")
+    for n in range(3):
+        write(source / "B" / f"N{n} M1.xls", keyed(body()))
+        listed = [(f"file:{source}/B/N{n} M1.xls", f"N{n} M1.xls", READ_AT.year, True)]
+        one = spark.createDataFrame(listed, "path string, name string, report_year int, candidate boolean")
+        one.coalesce(1).write.mode("append").parquet(f"{table}_listing")
+    write(source / "A" / "N0 M1.xls", keyed(body()))
+    for _ in range(2):
+        start_ingest(spark, str(source), table, state, READ_AT, files_per_batch=2).awaitTermination()
+    files = spark.read.parquet(f"{table}_files").select("batch", "outcome").collect()
+    assert len(files) == 4 and {r["outcome"] for r in files if r["batch"] < 3} == {"ok"}
+    assert [r["outcome"] for r in files if r["batch"] > 2] == [NAME_TAKEN]
+    assert spark.read.parquet(table).count() == 3
