@@ -354,8 +354,7 @@ def sink_append(spark, sf):
 def survey_normalized_lines(spark, sf):
     path = scratch_path(spark, "normalized")
     sinks.write_normalized(_lines(spark, sf), path)
-    lines = spark.read.option("basePath", path).text(path)
-    return lines.select("bestands_url", "value")
+    return sinks.read_normalized(spark, path)
 
 
 @query

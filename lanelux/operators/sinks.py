@@ -151,17 +151,30 @@ def _folder_name(url: str | None) -> str:
     return f"bestands_url={name}"
 
 
+#: Below the copies: the table of their parts. Spark's readers leave out folders with such a name.
+_PARTS = "_copies/parts"
+_PART = pa.schema([("bestands_url", pa.string()), ("name", pa.string()), ("bytes", pa.int64())])
+_PART_DDL = "bestands_url string, name string, bytes long"
+#: Parts that one task reads, and their bytes; a single part may have more.
+PARTS_PER_TASK = 4000
+BYTES_PER_TASK = 64 << 20
+#: Bytes of a part, and lines, that a reading task holds.
+_CHUNK = 1 << 20
+_LINES = 10_000
+
+
 def _copied(batches: Iterator[pa.RecordBatch], root: str, run: str) -> Iterator[pa.RecordBatch]:
-    """Write sorted (bestands_url, value) as one part per file; a part gets its name when it is whole.
+    """Write sorted (bestands_url, value) as one part per file, and tell of it; a part gets its name when it is whole.
 
     A task that is tried again writes the same parts.
     """
     system, top = catalog._system(root)
     task = TaskContext.get()
     name = f"part-{task.partitionId():05d}-{run}.c000.txt"
-    made, out, now, folder = 0, None, None, ""
+    made, out, now, folder = [], None, None, ""
 
     def end() -> None:
+        made.append({"bestands_url": now, "name": name, "bytes": out.tell()})
         out.close()
         system.move(f"{folder}/.{task.taskAttemptId()}", f"{folder}/{name}")
 
@@ -172,14 +185,53 @@ def _copied(batches: Iterator[pa.RecordBatch], root: str, run: str) -> Iterator[
             if out is None or url != now:
                 if out is not None:
                     end()
-                now, folder, made = url, f"{top}/{_folder_name(url)}", made + 1
+                now, folder = url, f"{top}/{_folder_name(url)}"
                 system.create_dir(folder, recursive=True)
                 out = system.open_output_stream(f"{folder}/.{task.taskAttemptId()}")
             out.write(b"\n".join([v or b"" for v in values[at : at + n]]) + b"\n")
             at += n
+        yield pa.RecordBatch.from_pylist(made, schema=_PART)
+        made.clear()
     if out is not None:
         end()
-    yield pa.RecordBatch.from_pydict({"made": pa.array([made], pa.int64())})
+    yield pa.RecordBatch.from_pylist(made, schema=_PART)
+
+
+def _lines_of(stream: pa.NativeFile) -> Iterator[list[bytes]]:
+    """The lines of a text some at a time, as Spark's readers split them; a byte-order mark is left out."""
+    rest, begun = b"", False
+    while chunk := stream.read(max(_CHUNK, len(rest))):
+        rest += chunk
+        if not begun:
+            if len(rest) < 3:
+                continue
+            rest, begun = rest.removeprefix(b"\xef\xbb\xbf"), True
+        # A carriage return at the end may go with a line feed to come.
+        whole = max(rest.rfind(b"\n"), rest.rfind(b"\r", 0, -1)) + 1
+        yield rest[:whole].splitlines()
+        rest = rest[whole:]
+    yield rest.splitlines()
+
+
+def _read_parts(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.RecordBatch]:
+    """The lines (bestands_url, value as bytes) of the parts named."""
+    system, top = catalog._system(root)
+    urls, values, held = [], [], 0
+
+    def some() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(urls, pa.string()), pa.array(values, pa.binary())], ["bestands_url", "value"])
+
+    for batch in batches:
+        for url, name in zip(batch["bestands_url"].to_pylist(), batch["name"].to_pylist()):
+            with system.open_input_stream(f"{top}/{_folder_name(url)}/{name}") as stream:
+                for lines in _lines_of(stream):
+                    urls += [url] * len(lines)
+                    values += lines
+                    held += sum(map(len, lines))
+                    if len(values) >= _LINES or held >= _CHUNK:
+                        yield some()
+                        urls, values, held = [], [], 0
+    yield some()
 
 
 def write_normalized(
@@ -200,7 +252,7 @@ def write_normalized(
 
     There are as many copies as survey files, so the tasks write them through Arrow's file systems: Spark's
     writer starts a process for each local file and moves each folder on the driver. All are written beside
-    ``path`` and put in its place at once, when every task is done.
+    ``path`` and put in its place at once, when every task is done, with a table of the parts for ``read_normalized``.
     """
     spark = lines.sparkSession
     order = ["bestands_url", "line_no"]
@@ -219,7 +271,8 @@ def write_normalized(
     staged = file_system(spark, f"{whole.getParent().toString()}/_{whole.getName()}-{run}")[1]
     try:
         system.mkdirs(staged)
-        sorted_.mapInArrow(partial(_copied, root=staged.toString(), run=run), "made long").agg(F.sum("made")).collect()
+        made = sorted_.mapInArrow(partial(_copied, root=staged.toString(), run=run), _PART_DDL)
+        made.write.parquet(f"{staged.toString()}/{_PARTS}")
         system.create(file_system(spark, f"{staged.toString()}/_SUCCESS")[1], True).close()
         system.delete(whole, True)
         if not system.rename(staged, whole):
@@ -228,6 +281,22 @@ def write_normalized(
         system.delete(staged, True)
 
 
+def read_normalized(spark: SparkSession, path: str) -> DataFrame:
+    """The lines (bestands_url, value) of the copies that ``write_normalized`` made, as Spark's text reader gives them.
+
+    That reader lists all folders on the driver and names each part to a task from there. Here the tasks learn the
+    parts from the table stored with them, and read them through Arrow's file systems.
+    """
+    system, place = file_system(spark, path)
+    root = system.makeQualified(place).toString()
+    parts = spark.read.schema(_PART_DDL).parquet(f"{root}/{_PARTS}")
+    n, size = parts.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    tasks = max(-(-n // PARTS_PER_TASK), -(-size // BYTES_PER_TASK), min(n, spark.sparkContext.defaultParallelism), 1)
+    dealt = parts.repartition(tasks, "bestands_url", "name")
+    lines = dealt.mapInArrow(partial(_read_parts, root=root), "bestands_url string, value binary")
+    return lines.withColumn("value", F.col("value").cast("string"))
+
+
 def write_combined_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("sep", ";").option("header", True).csv(path)
 

@@ -3,6 +3,7 @@
 import os
 import pathlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -301,3 +302,41 @@ def test_listing_of_an_earlier_version_is_one_batch_a_step(spark, tmp_path):
     assert len(files) == 4 and {r["outcome"] for r in files if r["batch"] < 3} == {"ok"}
     assert [r["outcome"] for r in files if r["batch"] > 2] == [NAME_TAKEN]
     assert spark.read.parquet(table).count() == 3
+
+
+def test_copies_are_read_as_spark_reads_them(spark, tmp_path, monkeypatch):
+    """Line breaks inside values, byte-order marks, bytes that are no UTF-8, rows without a file, and large parts."""
+    schema, out = "bestands_url string, line_no long, value string", str(tmp_path / "out")
+    texts = ["ï»¿a\té", "ï»¿b\r", "c\r\nd\r\r\ne", "", "\r", None, "x" * 40, "ü\n\n"]
+    urls = ["a/b c+%é=1.xls", "q'\"#*?:\\{x}[y]^~", "", None]
+    rows = [(u, n, texts[(n + i) % len(texts)]) for i, u in enumerate(urls) for n in range(len(texts))]
+    lines = spark.createDataFrame(rows, schema)
+    for encoding in ("ISO-8859-1", "UTF-8"):
+        sinks.write_normalized(lines, out, parts=3, encoding=encoding)
+        of = [F.col("bestands_url"), F.hex(F.col("value").cast("binary")).alias("value")]
+        want = spark.read.option("basePath", out).text(out).select(*of).collect()
+        for chunk in (1 << 20, 1):
+            monkeypatch.setattr(sinks, "_CHUNK", chunk)
+            lines_of = sinks._lines_of
+            for part in pathlib.Path(out).glob("bestands_url=*/part-*"):
+                with pa.OSFile(str(part)) as stream:
+                    assert [line for some in lines_of(stream) for line in some] == part.read_bytes().removeprefix(b"\xef\xbb\xbf").splitlines()
+        got = sinks.read_normalized(spark, out)
+        assert dict(got.dtypes) == {"bestands_url": "string", "value": "string"}
+        assert sorted(got.select(*of).collect(), key=str) == sorted(want, key=str) and len(want) > 40
+    sinks.write_normalized(lines.limit(0), out)
+    assert sinks.read_normalized(spark, out).count() == 0
+
+
+def test_copies_are_not_listed_on_the_driver(spark, tmp_path):
+    """Nor named there to the tasks: the plan has the table of the parts alone, whatever their number."""
+    from checks.queries import QUERIES
+
+    events = [(i, f"2024-01-{1 + i % 28:02d} 10:00:00", i % 23, ("view", "click")[i % 2], i / 7, "{}") for i in range(60)]
+    schema = "event_id long, ts string, user_id long, event_type string, value double, props string"
+    rows = spark.createDataFrame(events, schema).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    copies = QUERIES["survey_normalized_lines"](spark, str(tmp_path))
+    assert not [f for f in copies.inputFiles() if "bestands_url=" in f]
+    named = copies.groupBy("bestands_url").count().collect()
+    assert len(named) == 46 and sum(r["count"] for r in named) > 60
